@@ -71,6 +71,29 @@ FROM (SELECT o_orderkey, o_orderstatus,
              count(*) OVER (PARTITION BY o_orderstatus) AS n
       FROM orders)"""
 
+ORDERS_FIELDS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+                 ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
+
+# Registry derived from orders: dataset cust_<custkey>, one version per order.
+DS = """(SELECT 'cust_' || CAST(o_custkey AS VARCHAR) AS name,
+        CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS version,
+        '/datasets/cust_' || CAST(o_custkey AS VARCHAR) || '/' || CAST(o_orderkey AS VARCHAR) AS path,
+        'run_' || CAST(o_orderkey AS VARCHAR) AS run_id, o_orderdate AS registered_at,
+        o_orderkey, o_custkey, o_orderstatus
+ FROM orders)"""
+
+# One model version per finished order: trained on that dataset version, tested on orders v1.
+MODELS = f"""(SELECT 'model_' || CAST(o_custkey AS VARCHAR) AS model_name,
+        CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY registered_at, o_orderkey) AS INTEGER)
+          AS model_version,
+        name AS ds_name, version AS ds_version
+ FROM {DS} WHERE o_orderstatus = 'F')"""
+
+ROLES = f"""(SELECT model_name, model_version, 'featurized training data' AS role,
+        ds_name AS dataset_name, ds_version AS dataset_version FROM {MODELS}
+ UNION ALL
+ SELECT model_name, model_version, 'featurized test data', 'orders', 1 FROM {MODELS})"""
+
 
 ORACLE: dict[str, str] = {
     "training_set": f"""
@@ -213,4 +236,71 @@ FROM orders""",
 SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN split_part(url, '://', 2) END AS rel_path FROM pages""",
 
     "format_timestamp": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text FROM events",
+
+    "scan_parquet": "SELECT * FROM lineitem",
+    "scan_csv": "SELECT * FROM orders",
+    "sink_parquet_roundtrip": "SELECT * FROM orders",
+    "sink_overwrite_schema": "SELECT *, c_nationkey + 1 AS nation_code FROM customer",
+    "split_write_pair": _stratified(),
+    "scan_table": "SELECT * FROM customer",
+    "table_ddl": "SELECT * FROM nation",
+    "table_append": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
+    "feature_table_write": """
+SELECT p_partkey, p_size, p_retailprice, round(p_retailprice / p_size, 6) AS p_price_per_size FROM part""",
+    "feature_table_register": """
+SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey, s.s_acctbal, s.s_nationkey
+FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey""",
+    "values_source": """
+SELECT c_custkey, v.segment_code
+FROM customer LEFT JOIN (VALUES ('AUTOMOBILE', 0), ('BUILDING', 1), ('FURNITURE', 2), ('HOUSEHOLD', 3),
+                                ('MACHINERY', 4)) v(segment, segment_code)
+  ON c_mktsegment = v.segment""",
+    "synth_table": f"""
+SELECT c_custkey AS id,
+       CAST(20 + {h("'42/age:' || CAST(c_custkey AS VARCHAR)")} % 81 AS INTEGER) AS age,
+       CAST(10000 * (1 + {h("'42/salary:' || CAST(c_custkey AS VARCHAR)")} % 19) AS INTEGER) AS salary
+FROM customer""",
+    "synth_ground_truth": f"""
+SELECT o_orderkey AS gt_id,
+       CAST(c.lo + {h("'42/customer:' || CAST(o_orderkey AS VARCHAR)")} % (c.hi - c.lo + 1) AS INTEGER) AS customer,
+       CAST(s.lo + {h("'42/network:' || CAST(o_orderkey AS VARCHAR)")} % (s.hi - s.lo + 1) AS INTEGER) AS network,
+       {h("'42/label:' || CAST(o_orderkey AS VARCHAR)")} % 2 = 1 AS label
+FROM orders,
+     (SELECT min(c_custkey) AS lo, max(c_custkey) AS hi FROM customer) c,
+     (SELECT min(s_suppkey) AS lo, max(s_suppkey) AS hi FROM supplier) s""",
+    "register_versions": f"SELECT name, version, run_id, registered_at FROM {DS}",
+    "latest_version": f"""
+SELECT name, max(version) AS latest_version, arg_max(path, version) AS path, 'parquet' AS format,
+       arg_max(registered_at, version) AS registered_at
+FROM {DS} GROUP BY name""",
+    "lineage_inputs": f"""
+SELECT name, version, 'orders' AS input_name, 1 AS input_version, 'orders: 1' AS input_text FROM {DS}
+UNION ALL
+SELECT name, version, name, version - 1, name || ': ' || CAST(version - 1 AS VARCHAR) FROM {DS} WHERE version > 1""",
+    "schema_fields": f"""
+SELECT d.name, d.version, f.position, f.field_name, f.field_type
+FROM {DS} d CROSS JOIN (VALUES {", ".join(f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(ORDERS_FIELDS))})
+     f(position, field_name, field_type)""",
+    "model_datasets": f"""
+SELECT r.model_name, r.model_version, r.role, r.dataset_name, r.dataset_version,
+       d.path AS dataset_path, d.run_id AS dataset_run_id
+FROM {ROLES} r LEFT JOIN {DS} d ON r.dataset_name = d.name AND r.dataset_version = d.version""",
+    "dataset_models": f"""
+SELECT d.name AS dataset_name, d.version AS dataset_version, r.model_name, r.model_version, r.role
+FROM {DS} d JOIN {ROLES} r ON r.dataset_name = d.name AND r.dataset_version = d.version""",
+    "model_lineage": f"""
+WITH ins AS (
+  SELECT name, version, 'orders' AS input_name, 1 AS input_version FROM {DS}
+  UNION ALL SELECT name, version, name, version - 1 FROM {DS} WHERE version > 1)
+SELECT r.model_name, r.model_version, r.dataset_name, r.dataset_version, i.input_name, i.input_version
+FROM {ROLES} r JOIN ins i ON r.dataset_name = i.name AND r.dataset_version = i.version
+WHERE r.role = 'featurized training data'""",
+    "scan_registered": "SELECT * FROM orders",
+    "auc_by_rank": """
+WITH s AS (SELECT CAST(d.n_chars AS DOUBLE) AS score, l.quality AS y
+           FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+r AS (SELECT y, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rnk FROM s),
+c AS (SELECT count(*) FILTER (WHERE y = 1) AS n1, count(*) FILTER (WHERE y = 0) AS n0 FROM s)
+SELECT round((sum(rnk) FILTER (WHERE y = 1) - c.n1 * (c.n1 + 1) / 2.0) / (c.n1 * c.n0), 9) AS auc
+FROM r, c GROUP BY c.n1, c.n0""",
 }

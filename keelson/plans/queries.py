@@ -15,10 +15,15 @@ from pyspark.sql import functions as F
 
 from keelson.functions.hashing import hash32
 from keelson.functions.text import format_timestamp, relative_path
-from keelson.operators import clean, profile, rowid, scale, split
+from keelson.operators import clean, model, profile, registry, rowid, scale, split
 from keelson.operators.keys import pk_violations
 from keelson.operators.lookup import FeatureLookup, training_set
-from keelson.sources.files import read_table
+from keelson.plans import registry_data
+from keelson.session import scratch_dir
+from keelson.sinks import files as sinks
+from keelson.sinks import tables
+from keelson.sources import catalog, synth
+from keelson.sources.files import read_table, scan_csv, scan_parquet, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -216,6 +221,239 @@ def q_format_timestamp(spark, root):
     return ev.select("event_id", format_timestamp("ts").alias("ts_text"))
 
 
+
+# ---------------------------------------------------------------- sources, sinks, tables
+
+DEMO_SCHEMA = "keelson_demo"
+
+
+def _demo_schema(spark: SparkSession) -> str:
+    tables.create_schema(spark, DEMO_SCHEMA, location=scratch_dir(spark, f"{DEMO_SCHEMA}.db"))
+    return DEMO_SCHEMA
+
+
+def q_scan_parquet(spark, root):
+    return scan_parquet(spark, table_path(root, "lineitem"), fmt="parquet")
+
+
+def q_scan_csv(spark, root):
+    orders = read_table(spark, root, "orders")
+    path = scratch_dir(spark, "orders-csv")
+    orders.write.option("header", "true").csv(path)
+    return scan_csv(spark, path, orders.schema)
+
+
+def q_sink_parquet_roundtrip(spark, root):
+    orders = read_table(spark, root, "orders")
+    path = sinks.write_parquet(orders, scratch_dir(spark, "orders-parquet"))
+    return spark.read.parquet(path)
+
+
+def q_sink_overwrite_schema(spark, root):
+    cust = read_table(spark, root, "customer")
+    path = sinks.write_parquet(cust.select("c_custkey", "c_name"), scratch_dir(spark, "customer-v1"))
+    wider = cust.withColumn("nation_code", F.col("c_nationkey") + F.lit(1))
+    sinks.overwrite_with_schema(wider, path)
+    return spark.read.parquet(path)
+
+
+def q_split_write_pair(spark, root):
+    orders = read_table(spark, root, "orders").select("o_orderkey", "o_orderstatus")
+    parts = split.stratified_split(orders, "o_orderstatus", "o_orderkey", TEST_FRACTION, SEED)
+    paths = sinks.write_split(parts, scratch_dir(spark, "orders-split"))
+    sides = [spark.read.parquet(p).withColumn("split", F.lit(side)) for side, p in paths.items()]
+    return clean.union_by_name(sides)
+
+
+def q_scan_table(spark, root):
+    db = _demo_schema(spark)
+    name = f"{db}.customer_copy"
+    tables.drop_table(spark, name)
+    tables.save_table(read_table(spark, root, "customer"), name, location=scratch_dir(spark, "customer-copy"))
+    return catalog.scan_table(spark, "customer_copy", database=db)
+
+
+def q_table_ddl(spark, root):
+    db = _demo_schema(spark)
+    name = f"{db}.nation_ddl"
+    nation = read_table(spark, root, "nation")
+    tables.drop_table(spark, name)
+    tables.create_table(spark, name, "n_nationkey INT, n_name STRING, n_regionkey INT",
+                        location=scratch_dir(spark, "nation-ddl"))
+    tables.append_rows(spark, name, nation)
+    return spark.table(name)
+
+
+def q_table_append(spark, root):
+    db = _demo_schema(spark)
+    name = f"{db}.customer_appended"
+    cust = read_table(spark, root, "customer")
+    tables.drop_table(spark, name)
+    tables.create_table(spark, name, cust.schema, location=scratch_dir(spark, "customer-append"))
+    tables.append_rows(spark, name, cust)
+    tables.append_rows(spark, name, cust.select(*reversed(cust.columns)))
+    return spark.table(name)
+
+
+PART_FEATURES = ["p_partkey", "p_size", "p_retailprice"]
+
+
+def q_feature_table_write(spark, root):
+    db = _demo_schema(spark)
+    name = f"{db}.part_features"
+    part = read_table(spark, root, "part").select(*PART_FEATURES)
+    tables.drop_table(spark, name)
+    tables.create_feature_table(spark, name, "p_partkey", part.schema, "Part features",
+                                location=scratch_dir(spark, "part-features"))
+    tables.write_feature_table(spark, name, part)
+    wider = part.withColumn("p_price_per_size", F.round(F.col("p_retailprice") / F.col("p_size"), 6))
+    tables.write_feature_table(spark, name, wider)
+    return spark.table(name)
+
+
+def q_feature_table_register(spark, root):
+    db = _demo_schema(spark)
+    name = f"{db}.supplier_features"
+    tables.drop_table(spark, name)
+    tables.save_table(read_table(spark, root, "supplier"), name, location=scratch_dir(spark, "supplier"))
+    tables.register_feature_table(spark, name, "s_suppkey", "Supplier features")
+    base = read_table(spark, root, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    return training_set(base, [FeatureLookup(name, ["s_acctbal", "s_nationkey"], "l_suppkey")])
+
+
+def q_values_source(spark, root):
+    codes = synth.values_source(spark, list(SEGMENT_CODES.items()), "segment string, segment_code int")
+    cust = read_table(spark, root, "customer").select("c_custkey", "c_mktsegment")
+    # The code table is literal rows: its size is known, so broadcasting it is safe.
+    joined = cust.join(F.broadcast(codes), cust["c_mktsegment"] == codes["segment"], "left")
+    return joined.select("c_custkey", "segment_code")
+
+
+CUSTOMER_GEN = {"age": synth.UniformInt(20, 100), "salary": synth.Stepped(10000, 1, 19)}
+
+
+def q_synth_table(spark, root):
+    keys = read_table(spark, root, "customer")
+    return synth.synth_table(keys, "c_custkey", CUSTOMER_GEN, SEED, key_alias="id")
+
+
+def q_synth_ground_truth(spark, root):
+    cust = profile.key_range(read_table(spark, root, "customer"), "c_custkey").first()
+    supp = profile.key_range(read_table(spark, root, "supplier"), "s_suppkey").first()
+    gen = {"customer": synth.UniformInt(cust["key_min"], cust["key_max"]),
+           "network": synth.UniformInt(supp["key_min"], supp["key_max"]),
+           "label": synth.Coin()}
+    keys = read_table(spark, root, "orders")
+    return synth.synth_table(keys, "o_orderkey", gen, SEED, key_alias="gt_id")
+
+
+# ---------------------------------------------------------------- registry and lineage
+
+def _registry(spark, root):
+    ds = registry_data.registered_datasets(read_table(spark, root, "orders"))
+    return ds, registry_data.registered_models(ds)
+
+
+def q_register_versions(spark, root):
+    ds, _ = _registry(spark, root)
+    return ds.select("name", "version", "run_id", "registered_at")
+
+
+def q_latest_version(spark, root):
+    ds, _ = _registry(spark, root)
+    return registry.latest_versions(ds)
+
+
+def q_lineage_inputs(spark, root):
+    ds, _ = _registry(spark, root)
+    return registry.lineage_inputs(ds)
+
+
+def q_schema_fields(spark, root):
+    ds, _ = _registry(spark, root)
+    return registry.field_rows(ds)
+
+
+def q_model_datasets(spark, root):
+    ds, models = _registry(spark, root)
+    return registry.model_datasets(models, ds)
+
+
+def q_dataset_models(spark, root):
+    ds, models = _registry(spark, root)
+    return registry.dataset_models(models, ds)
+
+
+def q_model_lineage(spark, root):
+    ds, models = _registry(spark, root)
+    return registry.model_lineage(models, ds)
+
+
+def q_scan_registered(spark, root):
+    orders = read_table(spark, root, "orders")
+    reg_path = scratch_dir(spark, "registry")
+    for _ in range(2):  # two versions of the same dataset; the latest is read
+        path = sinks.write_parquet(orders, scratch_dir(spark, "orders-dataset"))
+        entry = registry.dataset_entry(spark, "orders_features", path, orders.schema, [("orders", 1)])
+        registry.register(spark, reg_path, entry, registry.DATASET_SCHEMA)
+    reg = registry.read_registry(spark, reg_path, registry.DATASET_SCHEMA)
+    return catalog.scan_registered(spark, reg, "orders_features")
+
+
+# ---------------------------------------------------------------- training and evaluation
+
+ML_FEATURES = ["l_quantity", "l_discount", "l_tax", "s_acctbal", "p_size", "p_retailprice"]
+ML_KEY = ["l_orderkey", "l_linenumber"]
+
+
+def ml_frames(spark: SparkSession, root: str):
+    """Training set -> hashed 80/20 split -> both scalers fitted on train rows."""
+    ts = lineitem_training_set(spark, root).select(*ML_KEY, *ML_FEATURES, "label")
+    tagged = split.hash_split(ts, ML_KEY, (1 - TEST_FRACTION, TEST_FRACTION), seed=SEED)
+    train, test = split.split_frames(tagged)
+    stats = scale.fit_scaler(train, ML_FEATURES)
+    keep = ML_KEY + ["label"]
+    train_m = scale.scaled_feature_matrix(train, ML_FEATURES, stats, passthrough=keep)
+    test_m = scale.scaled_feature_matrix(test, ML_FEATURES, stats, passthrough=keep)
+    feats = [c for c in train_m.columns if c not in keep]
+    return train_m, test_m, feats
+
+
+def q_logreg_fit(spark, root):
+    train, _, feats = ml_frames(spark, root)
+    return model.coefficient_frame(model.fit_logreg(train, feats, "label"), feats)
+
+
+def q_logreg_score(spark, root):
+    train, test, feats = ml_frames(spark, root)
+    fitted = model.fit_logreg(train, feats, "label")
+    return model.score(fitted, test, keep=ML_KEY + ["label"])
+
+
+def _cv(spark, root):
+    train, _, feats = ml_frames(spark, root)
+    n = train.count()
+    grid = [{"regParam": 1.0 / n}, {"regParam": 100.0 / n}]
+    return model.cross_validate(train, feats, "label", ML_KEY, grid, folds=FOLDS, seed=SEED), feats
+
+
+def q_cv_select(spark, root):
+    (best, _), feats = _cv(spark, root)
+    return model.coefficient_frame(best, feats)
+
+
+def q_cv_metrics(spark, root):
+    (_, metrics), _ = _cv(spark, root)
+    return metrics
+
+
+def q_auc_by_rank(spark, root):
+    scored = documents_with_labels(spark, root).where(F.col("quality").isNotNull()).select(
+        F.col("quality").alias("y"), F.col("n_chars").cast("double").alias("score"))
+    auc = model.area_under_roc(scored, "y", "score")
+    return spark.createDataFrame([(round(auc, 9),)], "auc double")
+
+
 QUERIES: dict[str, Query] = {
     "training_set": q_training_set,
     "feature_lookup": q_feature_lookup,
@@ -244,4 +482,30 @@ QUERIES: dict[str, Query] = {
     "kfold_assign": q_kfold_assign,
     "relative_path": q_relative_path,
     "format_timestamp": q_format_timestamp,
+    "scan_parquet": q_scan_parquet,
+    "scan_csv": q_scan_csv,
+    "sink_parquet_roundtrip": q_sink_parquet_roundtrip,
+    "sink_overwrite_schema": q_sink_overwrite_schema,
+    "split_write_pair": q_split_write_pair,
+    "scan_table": q_scan_table,
+    "table_ddl": q_table_ddl,
+    "table_append": q_table_append,
+    "feature_table_write": q_feature_table_write,
+    "feature_table_register": q_feature_table_register,
+    "values_source": q_values_source,
+    "synth_table": q_synth_table,
+    "synth_ground_truth": q_synth_ground_truth,
+    "register_versions": q_register_versions,
+    "latest_version": q_latest_version,
+    "lineage_inputs": q_lineage_inputs,
+    "schema_fields": q_schema_fields,
+    "model_datasets": q_model_datasets,
+    "dataset_models": q_dataset_models,
+    "model_lineage": q_model_lineage,
+    "scan_registered": q_scan_registered,
+    "auc_by_rank": q_auc_by_rank,
+    "logreg_fit": q_logreg_fit,
+    "logreg_score": q_logreg_score,
+    "cv_select": q_cv_select,
+    "cv_metrics": q_cv_metrics,
 }
