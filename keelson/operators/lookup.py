@@ -33,7 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.operators.keys import assert_primary_key
+from keelson.operators.keys import assert_primary_key, pk_violations
 
 # Null base keys are spread over this many salt values (per lookup).
 NULL_KEY_SALTS = 512
@@ -83,9 +83,8 @@ def _resolve(spec: FeatureLookup, base: DataFrame) -> tuple[DataFrame, list[str]
     return feat, keys, bool(declared) and declared == keys
 
 
-def lookup(base: DataFrame, spec: FeatureLookup, check_keys: bool = True,
-           salt_null_keys: bool = False) -> DataFrame:
-    """Left-join one feature table onto ``base`` by key."""
+def _prepare(base: DataFrame, spec: FeatureLookup) -> tuple[DataFrame, list[str], list[str], list[str], bool]:
+    """Validate a lookup; return (pruned feature side, lookup keys, key aliases, outputs, vouched)."""
     feat, pk, vouched = _resolve(spec, base)
     lk = _as_list(spec.lookup_key)
     if len(lk) != len(pk):
@@ -102,14 +101,31 @@ def lookup(base: DataFrame, spec: FeatureLookup, check_keys: bool = True,
         raise ValueError(f"feature names {clash} already exist in the base frame; rename them")
     if len(set(outs)) != len(outs):
         raise ValueError(f"duplicate feature output names {outs}")
-
     # Only key + requested features are read from the feature side.
     key_alias = [f"__fk{i}" for i in range(len(pk))]
     right = feat.select(*[F.col(k).alias(a) for k, a in zip(pk, key_alias)],
                         *[F.col(f).alias(o) for f, o in zip(spec.feature_names, outs)])
-    if check_keys and not vouched:
-        assert_primary_key(right, key_alias, name=str(spec.table))
-
+    return right, lk, key_alias, outs, vouched
+
+
+def check_primary_keys(sides: Sequence[tuple[str, DataFrame, list[str]]]) -> None:
+    """A6 for several feature tables in one job (one aggregate per table, unioned)."""
+    if not sides:
+        return
+    if len(sides) == 1:
+        name, right, keys = sides[0]
+        assert_primary_key(right, keys, name=name)
+        return
+    flagged = [pk_violations(right, keys).select(F.lit(i).alias("spec"), "n_rows")
+               for i, (_, right, keys) in enumerate(sides)]
+    bad = reduce(DataFrame.unionByName, flagged).take(1)
+    if bad:
+        name, right, keys = sides[bad[0]["spec"]]
+        assert_primary_key(right, keys, name=name)
+
+
+def _join(base: DataFrame, right: DataFrame, lk: list[str], key_alias: list[str], outs: list[str],
+          salt_null_keys: bool) -> DataFrame:
     cond: Column = reduce(lambda a, b: a & b,
                           [base[k] == right[a] for k, a in zip(lk, key_alias)])
     left = base
@@ -130,6 +146,15 @@ def lookup(base: DataFrame, spec: FeatureLookup, check_keys: bool = True,
     return joined.select(*[left[c] for c in base.columns], *[right[o] for o in outs])
 
 
+def lookup(base: DataFrame, spec: FeatureLookup, check_keys: bool = True,
+           salt_null_keys: bool = False) -> DataFrame:
+    """Left-join one feature table onto ``base`` by key."""
+    right, lk, key_alias, outs, vouched = _prepare(base, spec)
+    if check_keys and not vouched:
+        check_primary_keys([(str(spec.table), right, key_alias)])
+    return _join(base, right, lk, key_alias, outs, salt_null_keys)
+
+
 def training_set(base: DataFrame, lookups: Sequence[FeatureLookup], label: str | None = None,
                  exclude_columns: Sequence[str] = (), check_keys: bool = True,
                  salt_null_keys: bool = False) -> DataFrame:
@@ -142,10 +167,15 @@ def training_set(base: DataFrame, lookups: Sequence[FeatureLookup], label: str |
         raise ValueError(f"label column {label!r} is not in the base frame")
     excluded = set(exclude_columns)
     out = base
+    checks = []
     for spec in lookups:
         if all(o in excluded for o in spec.output_names()):
             continue
-        out = lookup(out, spec, check_keys=check_keys, salt_null_keys=salt_null_keys)
+        right, lk, key_alias, outs, vouched = _prepare(out, spec)
+        if check_keys and not vouched:
+            checks.append((str(spec.table), right, key_alias))
+        out = _join(out, right, lk, key_alias, outs, salt_null_keys)
+    check_primary_keys(checks)
     keep = [c for c in out.columns if c not in excluded or c == label]
     if label is not None:
         keep = [c for c in keep if c != label] + [label]

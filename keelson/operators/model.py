@@ -49,10 +49,10 @@ def _with_label(df: DataFrame, label: str) -> DataFrame:
 def fit_logreg(df: DataFrame, features: Sequence[str], label: str, C: float = 1.0,
                max_iter: int = 100) -> PipelineModel:
     """L1: fit on every row of ``df``; missing values are an error (impute first)."""
-    n = df.count()
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(label)).alias("k")).first()
+    n, classes = row["n"], row["k"]
     if n == 0:
         raise ValueError("no training rows")
-    classes = df.select(label).distinct().limit(3).count()
     if classes < 2:
         raise ValueError(f"label {label} has fewer than two classes")
     return _estimator(features, 1.0 / (C * n), max_iter).fit(_with_label(df, label))

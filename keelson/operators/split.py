@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StructType
 
 from keelson.functions.hashing import hash32
+from keelson.functions.literal import literal_frame
 
 BUCKET_BITS = 16
 BUCKET_SHIFT = 32 - BUCKET_BITS
@@ -119,9 +120,7 @@ def stratified_split(df: DataFrame, label: str, key: str | Sequence[str],
 
     rows = cut.limit(BROADCAST_CLASSES + 1).collect()
     if len(rows) <= BROADCAST_CLASSES:
-        spark = df.sparkSession
-        cut_side = F.broadcast(spark.createDataFrame(rows, schema=cut.schema)) if rows else \
-            F.broadcast(spark.createDataFrame([], schema=cut.schema))
+        cut_side = F.broadcast(literal_frame(df.sparkSession, rows, cut.schema))
     else:
         cut_side = cut
     tagged = data.join(cut_side, data[label].eqNullSafe(cut_side["__label"]), "left").drop("__label")

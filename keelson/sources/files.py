@@ -32,8 +32,27 @@ def scan_parquet(spark: SparkSession, path: str, fmt: str = "parquet",
     return df.select(*columns) if columns else df
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, name))
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Rebalance a scan that yields fewer tasks than the cluster has cores.
+
+    A Parquet file splits only at row-group boundaries, so a small table
+    written as one row group scans as one task and every narrow step after
+    it (hashing, broadcast lookups, projections) runs on one core. When the
+    scan has fewer partitions than ``spark.default.parallelism``, rows are
+    spread round-robin over that many partitions (one small shuffle). A large
+    input already has more scan partitions than cores, so for it this is a
+    no-op and adds no shuffle. Worth it only before CPU-heavy or repeated work
+    (an iterative fit); for one cheap pass the shuffle costs more than it saves.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
+def read_table(spark: SparkSession, root: str, name: str, rebalance: bool = False) -> DataFrame:
+    df = spark.read.parquet(table_path(root, name))
+    return spread(df) if rebalance else df
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType | str,
