@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -15,7 +16,9 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     # spark.checkpoint.dir is read from the session; when it is unset, the
     # local-mode fallback in keelson.session makes a fresh folder.
-    conf = {"spark.driver.memory": "4g"}
+    conf = {"spark.driver.memory": "4g",
+            # Tests only: managed tables go to a fresh warehouse folder.
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="keelson-wh-")}
     s = get_session("local[4]", app_name="keelson-tests", shuffle_partitions=8, conf=conf)
     yield s
     s.stop()
