@@ -219,10 +219,10 @@ FROM part""",
 WITH o AS (SELECT o_orderkey, o_totalprice, {h_seeded('o_orderkey')} % 10000 < 8000 AS is_train FROM orders),
 st AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi, avg(o_totalprice) AS mu,
               stddev_pop(o_totalprice) AS sd FROM o WHERE is_train)
-SELECT o_orderkey,
+SELECT o_orderkey, CASE WHEN is_train THEN 'train' ELSE 'test' END AS split,
        round(coalesce((o_totalprice - lo) / nullif(hi - lo, 0), 0), 6) AS mm_o_totalprice,
        round(coalesce((o_totalprice - mu) / nullif(sd, 0), 0), 6) AS std_o_totalprice
-FROM o, st WHERE NOT is_train""",
+FROM o, st""",
 
     "stratified_split": _stratified(),
 

@@ -187,12 +187,13 @@ def q_scaled_feature_matrix(spark, root):
 
 
 def q_scale_with_train_stats(spark, root):
+    """M4: statistics from the training rows only, applied to every row."""
     orders = split.hash_split(read_table(spark, root, "orders").select("o_orderkey", "o_totalprice"),
                               "o_orderkey", (1 - TEST_FRACTION, TEST_FRACTION), seed=SEED)
-    train, test = split.split_frames(orders)
+    train, _ = split.split_frames(orders)
     stats = scale.fit_scaler(train, ["o_totalprice"])
-    out = scale.scaled_feature_matrix(test, ["o_totalprice"], stats=stats, passthrough=["o_orderkey"])
-    return out.select("o_orderkey", _r("mm_o_totalprice").alias("mm_o_totalprice"),
+    out = scale.scaled_feature_matrix(orders, ["o_totalprice"], stats, passthrough=["o_orderkey", "split"])
+    return out.select("o_orderkey", "split", _r("mm_o_totalprice").alias("mm_o_totalprice"),
                       _r("std_o_totalprice").alias("std_o_totalprice"))
 
 

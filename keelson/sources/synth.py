@@ -17,12 +17,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from keelson.functions.hashing import hash32
+from keelson.functions.literal import literal_frame
 
 
 def values_source(spark: SparkSession, rows: Sequence[Sequence[object]],
                   schema: StructType | str) -> DataFrame:
-    """A frame from literal rows (a code table, a handful of settings)."""
-    return spark.createDataFrame(list(rows), schema=schema)
+    """A frame from literal rows (a code table, a handful of settings).
+
+    The rows become a local relation inside the JVM (like SQL ``VALUES``), so
+    a join against it can broadcast a table whose size is known up front.
+    """
+    st = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return literal_frame(spark, list(rows), st)
 
 
 @dataclass(frozen=True)
