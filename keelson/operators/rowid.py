@@ -16,6 +16,11 @@ re-created from the counts, so the output has as many rows as the input:
   cluster by a shuffle of chunk descriptors only, and each chunk expands on
   its own task.
 
+The counts feed both branches, so they are checkpointed once to the shared
+checkpoint folder (adaptive execution does not share the aggregate's shuffle
+between two branches); both branches then read the checkpoint instead of
+re-running the scan and the shuffle, and the lineage is cut there.
+
 With a natural key (unique by contract) the id is the hash of the key and
 nothing is shuffled.
 """
@@ -28,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions.hashing import FIELD_SEP, as_text
+from keelson.session import checkpoint_root
 
 CHUNK = 1 << 16
 _N = "__copies"
@@ -48,7 +54,8 @@ def add_row_id(df: DataFrame, id_col: str = "id", key: str | Sequence[str] | Non
         return df.withColumn(id_col, F.md5(content_text(keys)))
 
     cols = df.columns
-    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(_N))
+    checkpoint_root(df.sparkSession)
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(_N)).checkpoint(eager=True)
 
     small = counted.where(F.col(_N) <= chunk).withColumn(
         _ORD, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(_N))))
