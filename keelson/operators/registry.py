@@ -20,10 +20,11 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, IntegerType, StringType, StructField, StructType,
+from pyspark.sql.types import (ArrayType, IntegerType, MapType, StringType, StructField, StructType,
                                TimestampNTZType)
 
 from keelson.functions.text import name_version
+from keelson.operators.rank import rank_within_groups
 
 INPUT_T = StructType([StructField("name", StringType()), StructField("version", IntegerType())])
 FIELD_T = StructType([StructField("name", StringType()), StructField("type", StringType())])
@@ -94,16 +95,19 @@ def assign_versions(registry: DataFrame, batch: DataFrame,
     """Give each new registration the next version of its name.
 
     version = (largest registered version of the name, or 0) + the request's
-    rank among the batch's requests for that name. Registry rows are metadata
-    (one per registered dataset or model version), so ranking them per name
-    is a window over registrations, never over data rows.
+    rank among the batch's requests for that name, in ``order_cols`` order
+    (remaining plain columns break ties). The rank is computed without a
+    per-name window, so a name with a huge batch of registrations is spread
+    over many tasks.
     """
     prior = registry.groupBy("name").agg(F.max("version").alias("__prior"))
-    order = [F.col(c) for c in order_cols]
-    rank = F.row_number().over(Window.partitionBy("name").orderBy(*order))
-    return (batch.drop("version").join(prior, "name", "left")
-            .withColumn("version", (F.coalesce(F.col("__prior"), F.lit(0)) + rank).cast("int"))
-            .drop("__prior"))
+    simple = [f.name for f in batch.schema.fields
+              if f.name not in ("name", "version", *order_cols)
+              and not isinstance(f.dataType, (ArrayType, MapType, StructType))]
+    ranked = rank_within_groups(batch.drop("version"), ["name"], [*order_cols, *simple], "__rank")
+    return (ranked.join(prior, "name", "left")
+            .withColumn("version", (F.coalesce(F.col("__prior"), F.lit(0)) + F.col("__rank")).cast("int"))
+            .drop("__prior", "__rank"))
 
 
 def register(spark: SparkSession, registry_path: str, batch: DataFrame, schema: StructType,
