@@ -32,17 +32,21 @@ MAX_GROUP_ROWS = 1_000_000
 
 
 def rank_within_groups(df: DataFrame, group: Sequence[str], order: Sequence[str],
-                       rank_col: str = "rank", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                       rank_col: str = "rank", max_group_rows: int | None = None,
+                       largest: int | None = None) -> DataFrame:
     """1-based rank of each row within its group under ``order`` (make it total).
 
     The size of the largest group is checked first (one aggregate with
     map-side combining). If every group fits in ``max_group_rows``, a window
     ranks them, one group per task. Beyond that bound the sort-based path
-    below is used, so no task ever holds a whole hot group.
+    below is used, so no task ever holds a whole hot group. A caller that
+    already knows the largest group's size passes it as ``largest``.
     """
     g, o = list(group), list(order)
-    largest = df.groupBy(*g).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
-    if largest is None or largest <= max_group_rows:
+    bound = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
+    if largest is None:
+        largest = df.groupBy(*g).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
+    if largest is None or largest <= bound:
         w = Window.partitionBy(*g).orderBy(*o)
         return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
     return _rank_by_global_sort(df, g, o, rank_col)

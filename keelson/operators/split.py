@@ -12,8 +12,9 @@ X1, exact stratified split, without a window over the data:
    class's ``target``-th row in (h, key) order and how many rows of it are
    still needed; one row per class;
 3. rows in buckets before the cut are test, after it train; only rows inside
-   the cut bucket (about n/65,536 per class) are ranked by (h, key) with a
-   window, and the first ``need`` of them are test.
+   the cut bucket (about n/65,536 per class) are ranked by (h, key) -- with a
+   window while that bucket is bounded, else with the sort-based rank of
+   ``rank.py`` -- and the first ``need`` of them are test.
 
 The cut table (one row per class) is bounded by the number of classes; up to
 ``BROADCAST_CLASSES`` it is brought to the driver and broadcast as a local
@@ -31,6 +32,7 @@ from pyspark.sql.types import ArrayType, BinaryType, MapType, StructType
 
 from keelson.functions.hashing import hash32
 from keelson.functions.literal import literal_frame
+from keelson.operators.rank import rank_within_groups
 
 BUCKET_BITS = 16
 BUCKET_SHIFT = 32 - BUCKET_BITS
@@ -116,13 +118,17 @@ def stratified_split(df: DataFrame, label: str, key: str | Sequence[str],
            .withColumn("__target", F.floor(F.sum("__nb").over(by_class) * F.lit(test_fraction) + F.lit(0.5)))
            .where((F.col("__cum") >= F.col("__target")) & (F.col("__cum") - F.col("__nb") < F.col("__target")))
            .select(F.col(label).alias("__label"), F.col(_B).alias(_CUT),
-                   (F.col("__target") - (F.col("__cum") - F.col("__nb"))).alias(_NEED)))
+                   (F.col("__target") - (F.col("__cum") - F.col("__nb"))).alias(_NEED),
+                   F.col("__nb").alias("__cut_rows")))
 
     rows = cut.limit(BROADCAST_CLASSES + 1).collect()
+    largest = None
     if len(rows) <= BROADCAST_CLASSES:
         cut_side = F.broadcast(literal_frame(df.sparkSession, rows, cut.schema))
+        largest = max((r["__cut_rows"] for r in rows), default=0)
     else:
         cut_side = cut
+    cut_side = cut_side.drop("__cut_rows")
     tagged = data.join(cut_side, data[label].eqNullSafe(cut_side["__label"]), "left").drop("__label")
 
     outside = tagged.where(F.col(_CUT).isNull() | (F.col(_B) != F.col(_CUT))).withColumn(
@@ -132,8 +138,10 @@ def stratified_split(df: DataFrame, label: str, key: str | Sequence[str],
 
     order = [F.col(_H)] + [F.col(k) for k in keys] + \
         [F.col(c) for c in _orderable(df, set(keys) | {label})]
-    inside = (tagged.where(F.col(_B) == F.col(_CUT))
-              .withColumn(_RN, F.row_number().over(Window.partitionBy(label).orderBy(*order)))
+    # Rank inside the cut bucket: a window while the bucket is bounded, a
+    # distributed sort for a class so large that even n/65,536 rows is a lot.
+    inside = (rank_within_groups(tagged.where(F.col(_B) == F.col(_CUT)), [label], order, _RN,
+                                 largest=largest)
               .withColumn(split_col, F.when(F.col(_RN) <= F.col(_NEED), F.lit(test_name))
                           .otherwise(F.lit(train_name)))
               .drop(_RN))

@@ -57,3 +57,12 @@ def test_hash_split_and_folds_are_partition_independent(spark):
     assert set(folds) == set(range(5)) and min(folds.values()) > 3500
     train, test = split.random_split(df, "id", (0.8, 0.2))
     assert train.count() + test.count() == 20000
+
+
+def test_sort_based_rank_in_cut_bucket_gives_same_split(spark, monkeypatch):
+    from keelson.operators import rank
+    df = spark.range(4000).select(F.col("id"), (F.col("id") % 2).alias("y"))
+    want = sorted((r.id, r.split) for r in split.stratified_split(df, "y", "id").collect())
+    monkeypatch.setattr(rank, "MAX_GROUP_ROWS", 0)
+    got = sorted((r.id, r.split) for r in split.stratified_split(df, "y", "id").collect())
+    assert got == want
