@@ -91,20 +91,23 @@ def model_entry(spark: SparkSession, name: str, path: str, datasets: Sequence[tu
 
 
 def assign_versions(registry: DataFrame, batch: DataFrame,
-                    order_cols: Sequence[str] = ("registered_at",)) -> DataFrame:
+                    order_cols: Sequence[str] = ("registered_at",),
+                    largest: int | None = None) -> DataFrame:
     """Give each new registration the next version of its name.
 
     version = (largest registered version of the name, or 0) + the request's
     rank among the batch's requests for that name, in ``order_cols`` order
     (remaining plain columns break ties). The rank is computed without a
     per-name window, so a name with a huge batch of registrations is spread
-    over many tasks.
+    over many tasks. ``largest`` (an upper bound on the requests per name in
+    the batch) spares the size check when the caller knows it.
     """
     prior = registry.groupBy("name").agg(F.max("version").alias("__prior"))
     simple = [f.name for f in batch.schema.fields
               if f.name not in ("name", "version", *order_cols)
               and not isinstance(f.dataType, (ArrayType, MapType, StructType))]
-    ranked = rank_within_groups(batch.drop("version"), ["name"], [*order_cols, *simple], "__rank")
+    ranked = rank_within_groups(batch.drop("version"), ["name"], [*order_cols, *simple], "__rank",
+                                largest=largest)
     return (ranked.join(prior, "name", "left")
             .withColumn("version", (F.coalesce(F.col("__prior"), F.lit(0)) + F.col("__rank")).cast("int"))
             .drop("__prior", "__rank"))

@@ -351,8 +351,10 @@ def q_synth_ground_truth(spark, root):
 # ---------------------------------------------------------------- registry and lineage
 
 def _registry(spark, root):
-    ds = registry_data.registered_datasets(read_table(spark, root, "orders"))
-    return ds, registry_data.registered_models(ds)
+    orders = read_table(spark, root, "orders")
+    largest = registry_data.most_orders_per_customer(orders)
+    ds = registry_data.registered_datasets(orders, largest)
+    return ds, registry_data.registered_models(ds, largest)
 
 
 def q_register_versions(spark, root):

@@ -45,17 +45,23 @@ def with_inputs(versions: DataFrame) -> DataFrame:
                                .otherwise(F.array(base)))
 
 
-def registered_datasets(orders: DataFrame) -> DataFrame:
+def most_orders_per_customer(orders: DataFrame) -> int:
+    """Upper bound on registrations per name in any batch (one aggregate)."""
+    return orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
+def registered_datasets(orders: DataFrame, largest: int | None = None) -> DataFrame:
     """D1 in two batches: everything before the cut date, then the rest."""
     req = dataset_requests(orders)
     order = ("registered_at", "o_orderkey")
     first = reg.assign_versions(reg.empty_datasets(orders.sparkSession),
-                                req.where(F.col("registered_at") < F.lit(FIRST_BATCH_BEFORE)), order)
-    second = reg.assign_versions(first, req.where(F.col("registered_at") >= F.lit(FIRST_BATCH_BEFORE)), order)
+                                req.where(F.col("registered_at") < F.lit(FIRST_BATCH_BEFORE)), order, largest)
+    second = reg.assign_versions(first, req.where(F.col("registered_at") >= F.lit(FIRST_BATCH_BEFORE)),
+                                 order, largest)
     return with_inputs(first.unionByName(second))
 
 
-def registered_models(datasets: DataFrame) -> DataFrame:
+def registered_models(datasets: DataFrame, largest: int | None = None) -> DataFrame:
     """One model version per finished order, trained on that dataset version."""
     done = datasets.where(F.col("o_orderstatus") == F.lit("F"))
     name = F.concat(F.lit("model_"), F.col("o_custkey").cast("string"))
@@ -66,4 +72,5 @@ def registered_models(datasets: DataFrame) -> DataFrame:
                       F.lit("classification model").alias("description"),
                       F.concat(F.lit("/models/"), name, F.lit("/"), F.col("o_orderkey").cast("string")).alias("path"),
                       roles.alias("datasets"), F.col("run_id"), F.col("registered_at"), "o_orderkey")
-    return reg.assign_versions(reg.empty_models(datasets.sparkSession), req, ("registered_at", "o_orderkey"))
+    return reg.assign_versions(reg.empty_models(datasets.sparkSession), req, ("registered_at", "o_orderkey"),
+                               largest)
