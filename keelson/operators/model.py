@@ -24,7 +24,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -63,10 +63,8 @@ def coefficients(model: PipelineModel, features: Sequence[str]) -> list[tuple[st
     return list(zip(features, lr.coefficients.toArray().tolist())) + [("(intercept)", float(lr.intercept))]
 
 
-def coefficient_frame(model: PipelineModel, features: Sequence[str]) -> DataFrame:
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
+def coefficient_frame(spark: SparkSession, model: PipelineModel, features: Sequence[str]) -> DataFrame:
+    """Coefficients and intercept as a frame (one row per feature; driver-held numbers)."""
     schema = StructType([StructField("feature", StringType()), StructField("coefficient", DoubleType())])
     return spark.createDataFrame(coefficients(model, features), schema)
 

@@ -45,8 +45,9 @@ def orders_x3(spark: SparkSession, root: str) -> list[DataFrame]:
     return [read_table(spark, root, "orders") for _ in range(3)]
 
 
-def lineitem_training_set(spark: SparkSession, root: str, check_keys: bool = True) -> DataFrame:
-    li = read_table(spark, root, "lineitem")
+def lineitem_training_set(spark: SparkSession, root: str, check_keys: bool = True,
+                          rebalance: bool = False) -> DataFrame:
+    li = read_table(spark, root, "lineitem", rebalance=rebalance)
     base = li.withColumn("label", F.col("l_returnflag") == F.lit("R"))
     lookups = [
         FeatureLookup(read_table(spark, root, "supplier"), ["s_acctbal"], "l_suppkey", "s_suppkey"),
@@ -417,7 +418,9 @@ def ml_frames(spark: SparkSession, root: str):
     iterations, scoring) scan a few Parquet columns instead of re-running the
     lookups, and the lineage is cut at a table in the shared folder.
     """
-    ts = lineitem_training_set(spark, root).select(*ML_KEY, *ML_FEATURES, "label")
+    # Hashing and Parquet encoding are the CPU-heavy part here: spread an
+    # under-partitioned scan first (a no-op for a large input).
+    ts = lineitem_training_set(spark, root, rebalance=True).select(*ML_KEY, *ML_FEATURES, "label")
     tagged = split.hash_split(ts, ML_KEY, (1 - TEST_FRACTION, TEST_FRACTION), seed=SEED)
     paths = sinks.write_split(tagged, scratch_dir(spark, "training-set"))
     # Optimiser iterations re-read the training rows; give them every core.
@@ -432,7 +435,7 @@ def ml_frames(spark: SparkSession, root: str):
 
 def q_logreg_fit(spark, root):
     train, _, feats = ml_frames(spark, root)
-    return model.coefficient_frame(model.fit_logreg(train, feats, "label"), feats)
+    return model.coefficient_frame(spark, model.fit_logreg(train, feats, "label"), feats)
 
 
 def q_logreg_score(spark, root):
@@ -450,7 +453,7 @@ def _cv(spark, root):
 
 def q_cv_select(spark, root):
     (best, _), feats = _cv(spark, root)
-    return model.coefficient_frame(best, feats)
+    return model.coefficient_frame(spark, best, feats)
 
 
 def q_cv_metrics(spark, root):
