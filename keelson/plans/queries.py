@@ -455,7 +455,7 @@ def _cv(spark, root):
         n = train.count()
         grid = [{"regParam": 1.0 / n}, {"regParam": 100.0 / n}]
         _CV_RUNS[memo] = (model.cross_validate(train, feats, "label", ML_KEY, grid, folds=FOLDS, seed=SEED,
-                                               parallelism=4), feats)
+                                               parallelism=2), feats)
     return _CV_RUNS[memo]
 
 
