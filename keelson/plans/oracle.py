@@ -25,10 +25,6 @@ def h_seeded(col: str, seed: int = SEED) -> str:
     return h(f"'{seed}:' || CAST({col} AS VARCHAR)")
 
 
-def r6(expr: str, digits: int = 6) -> str:
-    return f"round({expr}, {digits})"
-
-
 LINEITEM_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
                  "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate")
 

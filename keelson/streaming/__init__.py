@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+Every step of the reference is a batch job (featurize, split, lookup, train,
+register); it has no stream source, watermark, window or state. Nothing is
+added here beyond what it computes. The batch operators are plain DataFrame
+code, so a caller that needs incremental runs can apply them per micro-batch
+with ``foreachBatch``.
+"""

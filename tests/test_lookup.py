@@ -73,3 +73,22 @@ def test_null_key_salt_spreads_shuffle_keys(spark):
         assert out.where(F.col("f").isNotNull()).count() == 50
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_training_set_is_the_same_at_any_partition_count(spark):
+    from tests.conftest import SF_SMALL
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").withColumn("label", F.col("l_returnflag") == "R")
+    sup = spark.read.parquet(f"{SF_SMALL}/supplier.parquet")
+    part = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+    specs = [FeatureLookup(sup, ["s_acctbal"], "l_suppkey", "s_suppkey"),
+             FeatureLookup(part, ["p_size"], "l_partkey", "p_partkey")]
+    want = sorted(map(tuple, training_set(li, specs, label="label").collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # sort-merge joins too
+    try:
+        for n in (1, 4, 7):
+            got = training_set(li.repartition(n), [FeatureLookup(s.table.repartition(n), s.feature_names,
+                                                                 s.lookup_key, s.primary_key) for s in specs],
+                               label="label")
+            assert sorted(map(tuple, got.collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
