@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, MapType, NumericType, StructType
+from pyspark.sql.types import NumericType
 
 from keelson.operators.clean import missing_as_null
 
@@ -51,48 +51,62 @@ def head_rows(df: DataFrame, order_by: Sequence[str] | str, n: int = 5) -> DataF
     return df.orderBy(*cols).limit(n)
 
 
-def _missing(df: DataFrame, column: str) -> Column:
+def _present(df: DataFrame, column: str) -> Column:
     dt = df.schema[column].dataType
-    x = missing_as_null(df, column) if isinstance(dt, NumericType) else F.col(column)
-    return F.count(F.lit(1)) - F.count(x)
+    return missing_as_null(df, column) if isinstance(dt, NumericType) else F.col(column)
+
+
+def _comparable(df: DataFrame, column: str) -> Column:
+    """Value whose min and max decide constancy, with a fixed-width type.
+
+    Numbers compare as themselves. Other types compare through a 64-bit hash
+    of the value, which keeps the whole profile a hash aggregate (min/max of
+    strings would force a sort-based one).
+    """
+    dt = df.schema[column].dataType
+    if isinstance(dt, NumericType):
+        return missing_as_null(df, column)
+    return F.when(F.col(column).isNotNull(), F.xxhash64(F.col(column)))
 
 
 def validate_input(df: DataFrame, label: str | None = None) -> DataFrame:
-    """one row per column: rows, missing values, distinct-free checks.
+    """one row per column: rows, missing values, constancy, label classes.
 
     Columns of the result: ``column_name, dtype, n_rows, n_missing,
     all_missing, is_constant, n_label_classes`` (the last only on the label's
-    row, null elsewhere). One aggregate job for every column.
+    row, null elsewhere). One job: per-label partial profiles (hash
+    aggregate, combined map-side), then one global row; the number of label
+    groups is the exact class count (null counts as a class).
     """
     cols = df.columns
-    aggs: list[Column] = [F.count(F.lit(1)).alias("__rows")]
-    comparable = {}
+    parts: list[Column] = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):
-        dt = df.schema[c].dataType
-        aggs.append(_missing(df, c).alias(f"__m{i}"))
-        comparable[c] = not isinstance(dt, (ArrayType, MapType, StructType, BinaryType))
-        if comparable[c]:
-            x = missing_as_null(df, c) if isinstance(dt, NumericType) else F.col(c)
-            aggs += [F.min(x).cast("string").alias(f"__lo{i}"), F.max(x).cast("string").alias(f"__hi{i}")]
+        x = _comparable(df, c)
+        parts += [F.count(_present(df, c)).alias(f"__p{i}"), F.min(x).alias(f"__lo{i}"),
+                  F.max(x).alias(f"__hi{i}")]
+    merge: list[Column] = [F.sum("__rows").alias("__rows")]
+    for i in range(len(cols)):
+        merge += [F.sum(f"__p{i}").alias(f"__p{i}"), F.min(f"__lo{i}").alias(f"__lo{i}"),
+                  F.max(f"__hi{i}").alias(f"__hi{i}")]
     if label is not None:
-        aggs.append(F.count_distinct(F.col(label)).alias("__classes"))
-        aggs.append(F.max(F.col(label).isNull().cast("int")).alias("__nullclass"))
-    wide = df.agg(*aggs)
+        wide = df.groupBy(label).agg(*parts).agg(*merge, F.count(F.lit(1)).alias("__classes"))
+    else:
+        wide = df.agg(*parts)
     entries = []
     for i, c in enumerate(cols):
-        n_missing = F.col(f"__m{i}").cast("bigint")
-        constant = (F.col(f"__lo{i}") == F.col(f"__hi{i}")) if comparable[c] else F.lit(None).cast("boolean")
-        classes = (F.col("__classes") + F.coalesce(F.col("__nullclass"), F.lit(0))).cast("bigint") \
-            if label is not None and c == label else F.lit(None).cast("bigint")
+        rows = F.coalesce(F.col("__rows"), F.lit(0)).cast("bigint")
+        n_missing = (rows - F.coalesce(F.col(f"__p{i}"), F.lit(0))).cast("bigint")
+        constant = F.coalesce(F.col(f"__lo{i}") == F.col(f"__hi{i}"), F.lit(False))
+        classes = F.col("__classes").cast("bigint") if label is not None and c == label \
+            else F.lit(None).cast("bigint")
         entries.append(F.struct(F.lit(c).alias("column_name"),
                                 F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
-                                F.col("__rows").cast("bigint").alias("n_rows"),
+                                rows.alias("n_rows"),
                                 n_missing.alias("n_missing"),
-                                (F.col("__rows") > 0) & (n_missing == F.col("__rows")),
-                                F.coalesce(constant, F.lit(False)),
+                                ((rows > 0) & (n_missing == rows)).alias("all_missing"),
+                                constant.alias("is_constant"),
                                 classes.alias("n_label_classes")))
-    names = ["column_name", "dtype", "n_rows", "n_missing", "all_missing", "is_constant", "n_label_classes"]
-    return wide.select(F.inline(F.array(*entries))).toDF(*names)
+    return wide.select(F.inline(F.array(*entries)))
 
 
 def input_faults(report: DataFrame, label: str | None = None) -> list[str]:

@@ -27,3 +27,12 @@ def test_counts_shapes_and_head(spark):
     assert [r.id for r in profile.head_rows(a, "id", 5).collect()] == [0, 1, 2, 3, 4]
     r = profile.key_range(a, "id").first()
     assert (r.key_min, r.key_max, r.n_keys) == (0, 9, 10)
+
+
+def test_large_distinct_keys_are_not_constant_and_empty_input_is_reported(spark):
+    big = 2 ** 60
+    df = spark.createDataFrame([(big, "a", 1), (big + 1, "a", 0)], "k bigint, s string, y int")
+    rows = {r.column_name: r for r in profile.validate_input(df, "y").collect()}
+    assert not rows["k"].is_constant and rows["s"].is_constant
+    empty = spark.createDataFrame([], "k bigint, y int")
+    assert profile.input_faults(profile.validate_input(empty, "y"), "y") == ["input has no rows"]
