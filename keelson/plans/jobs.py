@@ -252,6 +252,16 @@ def main(argv: Sequence[str] | None = None) -> None:
     tr.add_argument("--label", required=True)
     tr.add_argument("--model-name", required=True)
     tr.add_argument("--model-path", required=True)
+    se = sub.add_parser("select")
+    se.add_argument("--train", required=True)
+    se.add_argument("--test", required=True)
+    se.add_argument("--label", required=True)
+    se.add_argument("--key", required=True)
+    se.add_argument("--model-name", required=True)
+    se.add_argument("--model-path", required=True)
+    se.add_argument("--metrics-path", required=True)
+    se.add_argument("--grid", default='[{"regParam": 0.001}, {"regParam": 0.1}]')
+    se.add_argument("--folds", type=int, default=5)
     for p in sub.choices.values():
         p.add_argument("--registry", default=None)
         p.add_argument("--run-id", default=None)
@@ -275,6 +285,9 @@ def main(argv: Sequence[str] | None = None) -> None:
                                   a.label, run_id=a.run_id)
     elif a.job == "lookup_split":
         out = run_lookup_split(spark, a.schema, a.output, a.registry, tuple(a.names), run_id=a.run_id)
+    elif a.job == "select":
+        out = run_select(spark, a.registry, a.train, a.test, a.label, a.key, a.model_name, a.model_path,
+                         a.metrics_path, json.loads(a.grid), a.folds, run_id=a.run_id)
     else:
         out = run_train(spark, a.registry, a.dataset, a.label, a.model_name, a.model_path, run_id=a.run_id)
     print(json.dumps(out, default=str))
