@@ -41,9 +41,15 @@ def pk_violations(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
 
 
 def assert_primary_key(df: DataFrame, keys: str | Sequence[str], name: str = "table") -> None:
-    """Raise before any join if the key is not a primary key."""
-    bad = pk_violations(df, keys).take(3)
-    if bad:
+    """Raise before any join if the key is not a primary key.
+
+    One aggregate job counts the violating keys (``take`` would scan the
+    shuffle output in several rounds when, as usual, there are none); a
+    sample is fetched only for the error message.
+    """
+    violations = pk_violations(df, keys)
+    if violations.agg(F.count(F.lit(1))).first()[0]:
+        bad = violations.take(3)
         sample = ", ".join(str(tuple(r)) for r in bad)
         raise PrimaryKeyError(
             f"{name}: {list(_keys(keys))} is not a primary key (null or repeated), e.g. {sample}")

@@ -116,11 +116,11 @@ def check_primary_keys(sides: Sequence[tuple[str, DataFrame, list[str]]]) -> Non
         name, right, keys = sides[0]
         assert_primary_key(right, keys, name=name)
         return
-    flagged = [pk_violations(right, keys).select(F.lit(i).alias("spec"), "n_rows")
+    flagged = [pk_violations(right, keys).select(F.lit(i).alias("spec"))
                for i, (_, right, keys) in enumerate(sides)]
-    bad = reduce(DataFrame.unionByName, flagged).take(1)
+    bad = reduce(DataFrame.unionByName, flagged).groupBy("spec").agg(F.count(F.lit(1))).collect()
     if bad:
-        name, right, keys = sides[bad[0]["spec"]]
+        name, right, keys = sides[min(r["spec"] for r in bad)]
         assert_primary_key(right, keys, name=name)
 
 
