@@ -19,7 +19,7 @@ from keelson.operators import clean, model, profile, registry, rowid, scale, spl
 from keelson.operators.keys import pk_violations
 from keelson.operators.lookup import FeatureLookup, training_set
 from keelson.plans import registry_data
-from keelson.session import scratch_dir
+from keelson.session import checkpoint_root, scratch_dir
 from keelson.sinks import files as sinks
 from keelson.sinks import tables
 from keelson.sources import catalog, synth
@@ -352,10 +352,17 @@ def q_synth_ground_truth(spark, root):
 # ---------------------------------------------------------------- registry and lineage
 
 def _registry(spark, root):
+    """The registry tables, materialised once like the stored tables they stand for.
+
+    Both lineage tables feed several joins; checkpointing them to the shared
+    folder means every consumer reads them instead of re-deriving the
+    versions (adaptive execution does not share exchanges across branches).
+    """
     orders = read_table(spark, root, "orders")
     largest = registry_data.most_orders_per_customer(orders)
-    ds = registry_data.registered_datasets(orders, largest)
-    return ds, registry_data.registered_models(ds, largest)
+    checkpoint_root(spark)
+    ds = registry_data.registered_datasets(orders, largest).checkpoint(eager=True)
+    return ds, registry_data.registered_models(ds, largest).checkpoint(eager=True)
 
 
 def q_register_versions(spark, root):
