@@ -47,10 +47,16 @@ def _with_label(df: DataFrame, label: str) -> DataFrame:
 
 
 def fit_logreg(df: DataFrame, features: Sequence[str], label: str, C: float = 1.0,
-               max_iter: int = 100) -> PipelineModel:
-    """L1: fit on every row of ``df``; missing values are an error (impute first)."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(label)).alias("k")).first()
-    n, classes = row["n"], row["k"]
+               max_iter: int = 100, checked: tuple[int, int] | None = None) -> PipelineModel:
+    """L1: fit on every row of ``df``; missing values are an error (impute first).
+
+    ``checked`` = (rows, label classes) when a previous pass already counted
+    them; otherwise one aggregate counts them here.
+    """
+    if checked is None:
+        row = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(label)).alias("k")).first()
+        checked = (row["n"], row["k"])
+    n, classes = checked
     if n == 0:
         raise ValueError("no training rows")
     if classes < 2:

@@ -340,8 +340,11 @@ def q_synth_table(spark, root):
 
 
 def q_synth_ground_truth(spark, root):
-    cust = profile.key_range(read_table(spark, root, "customer"), "c_custkey").first()
-    supp = profile.key_range(read_table(spark, root, "supplier"), "s_suppkey").first()
+    # Both key ranges (A4) in one job: one row per table.
+    ranges = (profile.key_range(read_table(spark, root, "customer"), "c_custkey").withColumn("t", F.lit("c"))
+              .unionByName(profile.key_range(read_table(spark, root, "supplier"), "s_suppkey")
+                           .withColumn("t", F.lit("s"))).collect())
+    cust, supp = (next(r for r in ranges if r["t"] == t) for t in ("c", "s"))
     gen = {"customer": synth.UniformInt(cust["key_min"], cust["key_max"]),
            "network": synth.UniformInt(supp["key_min"], supp["key_max"]),
            "label": synth.Coin()}
@@ -432,22 +435,25 @@ def ml_frames(spark: SparkSession, root: str):
     paths = sinks.write_split(tagged, scratch_dir(spark, "training-set"))
     # Optimiser iterations re-read the training rows; give them every core.
     train, test = (spread(spark.read.parquet(paths[s])) for s in ("train", "test"))
-    stats = scale.fit_scaler(train, ML_FEATURES)
+    stats = scale.fit_scaler(train, ML_FEATURES + ["label"])
+    stats, label_stats = {c: stats[c] for c in ML_FEATURES}, stats["label"]
     keep = ML_KEY + ["label"]
     train_m = scale.scaled_feature_matrix(train, ML_FEATURES, stats, passthrough=keep)
     test_m = scale.scaled_feature_matrix(test, ML_FEATURES, stats, passthrough=keep)
     feats = [c for c in train_m.columns if c not in keep]
-    return train_m, test_m, feats
+    # Rows and label classes come from the same pass (binary label: min != max).
+    checked = (label_stats.n, 2 if label_stats.min != label_stats.max else 1)
+    return train_m, test_m, feats, checked
 
 
 def q_logreg_fit(spark, root):
-    train, _, feats = ml_frames(spark, root)
-    return model.coefficient_frame(spark, model.fit_logreg(train, feats, "label"), feats)
+    train, _, feats, checked = ml_frames(spark, root)
+    return model.coefficient_frame(spark, model.fit_logreg(train, feats, "label", checked=checked), feats)
 
 
 def q_logreg_score(spark, root):
-    train, test, feats = ml_frames(spark, root)
-    fitted = model.fit_logreg(train, feats, "label")
+    train, test, feats, checked = ml_frames(spark, root)
+    fitted = model.fit_logreg(train, feats, "label", checked=checked)
     return model.score(fitted, test, keep=ML_KEY + ["label"])
 
 
@@ -458,8 +464,8 @@ def _cv(spark, root):
     """One model-selection run; its two outputs (L5) are two queries."""
     memo = (spark.sparkContext.applicationId, root)
     if memo not in _CV_RUNS:
-        train, _, feats = ml_frames(spark, root)
-        n = train.count()
+        train, _, feats, checked = ml_frames(spark, root)
+        n = checked[0]
         grid = [{"regParam": 1.0 / n}, {"regParam": 100.0 / n}]
         _CV_RUNS[memo] = (model.cross_validate(train, feats, "label", ML_KEY, grid, folds=FOLDS, seed=SEED,
                                                parallelism=2), feats)

@@ -39,7 +39,7 @@ def overwrite_with_schema(df: DataFrame, path: str, fmt: str = "parquet") -> str
 
 def write_split(df: DataFrame, path: str, sides: Sequence[str] = ("train", "test"),
                 split_col: str = SPLIT_COLUMN, fmt: str = "parquet",
-                mode: str = "errorifexists") -> dict[str, str]:
+                mode: str = "errorifexists", max_records_per_file: int | None = None) -> dict[str, str]:
     """K8: write every side of a split in one pass, one folder per side.
 
     The split column becomes the folder name (``<path>/split=train``), so the
@@ -47,7 +47,10 @@ def write_split(df: DataFrame, path: str, sides: Sequence[str] = ("train", "test
     output, and nothing has to be cached. Returns side -> folder. A side with
     no rows has no folder.
     """
-    df.write.mode(mode).format(fmt).partitionBy(split_col).save(path)
+    w = df.write.mode(mode).format(fmt).partitionBy(split_col)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", str(max_records_per_file))
+    w.save(path)
     return {s: f"{path.rstrip('/')}/{split_col}={s}" for s in sides}
 
 
