@@ -6,7 +6,15 @@ itself), so the content alone does not identify a row. The id is
 copies of one content 1..n. It depends on nothing but the data: the same rows
 get the same ids at any partition count and after any task retry.
 
-Physical plan. Copies are counted with a group-by on all columns, which
+Physical plan. With ``unique_fast_path``, a first, cheap pass counts a 64-bit
+hash of each row's content (one long per distinct hash per map task is
+shuffled, not the row) and keeps the hashes that occur more than once. When that set is bounded (checked, then
+broadcast), rows with a hash seen once are unique contents: their ordinal is
+1 and their id is computed where they are read, with no shuffle. Only rows
+whose hash repeats (copies, and the rare hash collision) take the counting
+path; if copies are everywhere, all rows do.
+
+Counting path: copies are counted with a group-by on all columns, which
 combines copies on the map side before the shuffle. The ordinals are then
 re-created from the counts, so the output has as many rows as the input:
 
@@ -36,6 +44,9 @@ from keelson.functions.hashing import FIELD_SEP, as_text
 from keelson.session import checkpoint_root
 
 CHUNK = 1 << 16
+# Up to this many repeated content hashes, unique rows skip the counting path.
+DUP_BROADCAST_MAX = 1_000_000
+_HASH = "__content_hash"
 _N = "__copies"
 _CHUNK = "__chunk"
 _ORD = "__ordinal"
@@ -45,8 +56,20 @@ def content_text(columns: Sequence[str]):
     return F.concat_ws(FIELD_SEP, *[as_text(c) for c in columns])
 
 
+def _id_expr(cols: Sequence[str], ordinal) -> "F.Column":
+    return F.md5(F.concat_ws(FIELD_SEP, content_text(cols), ordinal.cast("string")))
+
+
 def add_row_id(df: DataFrame, id_col: str = "id", key: str | Sequence[str] | None = None,
-               chunk: int = CHUNK) -> DataFrame:
+               chunk: int = CHUNK, unique_fast_path: bool = False,
+               broadcast_max: int | None = None) -> DataFrame:
+    """A 32-hex id per row, distinct for copies, stable across runs.
+
+    ``unique_fast_path`` turns on the hash pre-pass: worth it when most rows
+    are unique and wide (the full-row shuffle is skipped for them); when most
+    rows have copies, as in a feature set unioned with itself, it only adds a
+    pass, so it is off by default.
+    """
     if id_col in df.columns:
         raise ValueError(f"column {id_col!r} already exists")
     if key is not None:
@@ -55,6 +78,26 @@ def add_row_id(df: DataFrame, id_col: str = "id", key: str | Sequence[str] | Non
 
     cols = df.columns
     checkpoint_root(df.sparkSession)
+    if not unique_fast_path:
+        return _ids_by_count(df, cols, id_col, chunk)
+    limit = DUP_BROADCAST_MAX if broadcast_max is None else broadcast_max
+    # Which 64-bit content hashes occur more than once: a shuffle of one long
+    # per distinct hash per task, not of whole rows.
+    hashed = df.withColumn(_HASH, F.xxhash64(*[F.col(c) for c in cols]))
+    repeated = (hashed.groupBy(_HASH).agg(F.count(F.lit(1)).alias(_N))
+                .where(F.col(_N) > 1).select(_HASH).checkpoint(eager=True))
+    if repeated.count() > limit:
+        # Copies everywhere: every row takes the counting path.
+        return _ids_by_count(df, cols, id_col, chunk)
+    small = F.broadcast(repeated)  # size checked just above
+    unique = (hashed.join(small, _HASH, "left_anti")
+              .select(*cols, _id_expr(cols, F.lit(1)).alias(id_col)))
+    copies = hashed.join(small, _HASH, "left_semi").drop(_HASH)
+    return unique.unionByName(_ids_by_count(copies, cols, id_col, chunk))
+
+
+def _ids_by_count(df: DataFrame, cols: list[str], id_col: str, chunk: int) -> DataFrame:
+    """Ordinals re-created from per-content copy counts (see the module notes)."""
     counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(_N)).checkpoint(eager=True)
 
     small = counted.where(F.col(_N) <= chunk).withColumn(
@@ -70,5 +113,4 @@ def add_row_id(df: DataFrame, id_col: str = "id", key: str | Sequence[str] | Non
            .drop(_CHUNK))
 
     both = small.unionByName(hot)
-    text = F.concat_ws(FIELD_SEP, content_text(cols), F.col(_ORD).cast("string"))
-    return both.select(*cols, F.md5(text).alias(id_col))
+    return both.select(*cols, _id_expr(cols, F.col(_ORD)).alias(id_col))

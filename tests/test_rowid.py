@@ -31,3 +31,13 @@ def test_natural_key_needs_no_shuffle(spark):
     df = spark.createDataFrame([(1,), (2,)], "k int")
     out = add_row_id(df, key="k")
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unique_rows_skip_the_counting_path_with_the_same_ids(spark):
+    rows = [(i, f"u{i}") for i in range(200)] + [(7, "dup")] * 4
+    df = spark.createDataFrame(rows, "x int, y string")
+    fast = _ids(add_row_id(df, unique_fast_path=True))   # unique rows by broadcast anti join
+    slow = _ids(add_row_id(df))                          # every row through the counts
+    assert _ids(add_row_id(df, unique_fast_path=True, broadcast_max=0)) == slow
+    assert fast == slow
+    assert len({i for _, i in fast}) == 204
