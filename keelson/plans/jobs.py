@@ -89,11 +89,18 @@ def run_featurize(spark: SparkSession, inputs: Sequence[str], output: str, regis
     feats = featurize(spark, [df for _, _, df in resolved], recode, drop, impute)
     sinks.write_parquet(feats, output)
     written = spark.read.parquet(output)
+    shapes = _shapes({n: df for n, _, df in resolved} | {name: written})
     version = register_dataset(spark, registry_root, name, output, written,
                                [(n, v) for n, v, _ in resolved], run_id, feature_table)
     if feature_table:
         write_feature_table(spark, feature_table, written, "id", f"{name} featurized data")
-    return {"name": name, "version": version, "path": output}
+    return {"name": name, "version": version, "path": output, "shapes": shapes}
+
+
+def _shapes(frames: Mapping[str, DataFrame]) -> dict[str, tuple[int, int]]:
+    """A3: (rows, columns) of every frame, in one job; checks that the union kept every row."""
+    rows = {r["frame"]: (r["n_rows"], r["n_cols"]) for r in profile.shape_profile(frames).collect()}
+    return {n: rows[n] for n in frames}
 
 
 def run_featurize_split(spark: SparkSession, inputs: Sequence[str], output: str, registry_root: str,
@@ -151,11 +158,18 @@ def run_lookup_split(spark: SparkSession, schema: str, output: str, registry_roo
     parts = split.hash_split(keyed, "__row", weights, seed=seed).drop("__row")
     paths = sinks.write_split(parts, output)
     inputs = [(f"{schema}.network", 1), (f"{schema}.customers", 1), (f"{schema}.{ground_truth}", 1)]
-    out = {}
+    out: dict = {}
+    sides = {side: spark.read.parquet(paths[side]) for side in ("train", "test")}
+    # A2: sizes of the base, the training set and both sides. The training set
+    # is counted from what was written, so the lookups do not run again.
+    counts = {r["frame"]: r["n_rows"] for r in profile.row_counts({"ground_truth": base, **sides}).collect()}
+    counts["training_set"] = counts["train"] + counts["test"]
+    if counts["training_set"] != counts["ground_truth"]:
+        raise RuntimeError(f"lookups changed the row count: {counts}")
     for side, ds_name in zip(("train", "test"), names):
-        df = spark.read.parquet(paths[side])
-        v = register_dataset(spark, registry_root, ds_name, paths[side], df, inputs, run_id)
+        v = register_dataset(spark, registry_root, ds_name, paths[side], sides[side], inputs, run_id)
         out[side] = {"name": ds_name, "version": v, "path": paths[side]}
+    out["rows"] = counts
     return out
 
 

@@ -21,6 +21,8 @@ def test_featurize_and_stratified_split_flow(spark):
                              run_id="run-1", feature_table="feat_jobs.orders_featurized")
     df = spark.read.parquet(out["path"])
     n = spark.read.parquet(table_path(SF_SMALL, "orders")).count()
+    assert out["shapes"]["featurized"] == (3 * n, 6)
+    assert out["shapes"]["feature_set_1"] == (n, 6)
     assert df.count() == 3 * n
     assert df.select("id").distinct().count() == 3 * n
     assert spark.table("feat_jobs.orders_featurized").count() == 3 * n
@@ -41,6 +43,7 @@ def test_base_tables_lookup_split_train_select(spark):
     train = spark.read.parquet(sp["train"]["path"])
     test = spark.read.parquet(sp["test"]["path"])
     assert train.count() + test.count() == 1000
+    assert sp["rows"]["ground_truth"] == sp["rows"]["training_set"] == 1000
     assert set(train.columns) == {"customer", "network", "label", "failure", "salary", "age"}
     res = jobs.run_train(spark, root, "ts_train", "label", "clf", scratch_dir(spark, "model"), exclude=())
     assert res["version"] == 1 and len(res["coefficients"]) == 11
