@@ -92,3 +92,25 @@ def test_training_set_is_the_same_at_any_partition_count(spark):
             assert sorted(map(tuple, got.collect())) == want
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_lookup_key_is_split_by_adaptive_execution(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        # key 7 holds a third of the base rows
+        base = spark.range(60000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("k"), "id")
+        feat = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("f"))
+        out = lookup(base, FeatureLookup(feat, ["f"], "k"))
+        assert len(out.collect()) == 60000
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
