@@ -106,11 +106,27 @@ def _shapes(frames: Mapping[str, DataFrame]) -> dict[str, tuple[int, int]]:
 def run_featurize_split(spark: SparkSession, inputs: Sequence[str], output: str, registry_root: str,
                         names: tuple[str, str], recode: Mapping[str, Mapping[str, int]], drop: Sequence[str],
                         impute: Sequence[str], label: str, test_fraction: float = 0.2, seed: int = 42,
-                        run_id: str | None = None) -> dict:
-    """Featurize, then an exact stratified split written in one pass."""
+                        run_id: str | None = None, fit_on: str = "train") -> dict:
+    """Featurize, then an exact stratified split written in one pass.
+
+    ``fit_on="train"`` (default) fits the imputation means on the training
+    side only and applies them to both sides, so nothing about the test rows
+    leaks into the features; ``fit_on="all"`` fits them on every row before
+    the split, as the original flow did.
+    """
+    if fit_on not in ("train", "all"):
+        raise ValueError("fit_on must be 'train' or 'all'")
     resolved = resolve_inputs(spark, registry_root, inputs)
-    feats = featurize(spark, [df for _, _, df in resolved], recode, drop, impute)
-    parts = split.stratified_split(feats, label, "id", test_fraction, seed)
+    if fit_on == "all":
+        feats = featurize(spark, [df for _, _, df in resolved], recode, drop, impute)
+        parts = split.stratified_split(feats, label, "id", test_fraction, seed)
+    else:
+        union = clean.union_by_name([df for _, _, df in resolved])
+        coded = rowid.add_row_id(clean.clean_features(union, recode=recode, drop=drop))
+        parts = split.stratified_split(coded, label, "id", test_fraction, seed)
+        if impute:
+            means = clean.fit_means(parts.where(F.col("split") == "train"), impute)
+            parts = clean.impute_mean(parts, impute, means)
     paths = sinks.write_split(parts, output)
     out = {}
     for side, ds_name in zip(("train", "test"), names):
@@ -250,6 +266,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     fs.add_argument("--output", required=True)
     fs.add_argument("--names", nargs=2, required=True)
     fs.add_argument("--label", required=True)
+    fs.add_argument("--fit-on", choices=("train", "all"), default="train")
     for p in (fz, fs):
         p.add_argument("--recode", default="{}", help='JSON: {"Sex": {"male": 0, "female": 1}}')
         p.add_argument("--drop", default="")
@@ -296,7 +313,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif a.job == "featurize_split":
         out = run_featurize_split(spark, a.input, a.output, a.registry, tuple(a.names), json.loads(a.recode),
                                   [c for c in a.drop.split(",") if c], [c for c in a.impute.split(",") if c],
-                                  a.label, run_id=a.run_id)
+                                  a.label, run_id=a.run_id, fit_on=a.fit_on)
     elif a.job == "lookup_split":
         out = run_lookup_split(spark, a.schema, a.output, a.registry, tuple(a.names), run_id=a.run_id)
     elif a.job == "select":

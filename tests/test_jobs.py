@@ -31,6 +31,9 @@ def test_featurize_and_stratified_split_flow(spark):
                                   {"o_orderpriority": PRIORITY}, ["o_custkey"], ["o_totalprice"], "o_orderstatus")
     train, test = (spark.read.parquet(sp[s]["path"]) for s in ("train", "test"))
     assert train.count() + test.count() == 3 * n
+    assert train.where(F.col("o_totalprice").isNull()).count() == 0
+    # every split row keeps its id, and no id is on both sides
+    assert train.join(test, "id").count() == 0
     ds = reg.read_registry(spark, f"{root}/{jobs.DATASETS}", reg.DATASET_SCHEMA)
     inputs = {r.input_text for r in reg.lineage_inputs(ds.where(F.col("name") == "orders_train")).collect()}
     assert inputs == {"feature_set_1: 1", "feature_set_2: 1", "feature_set_3: 1"}
