@@ -54,6 +54,20 @@ def register_dataset(spark: SparkSession, registry_root: str, name: str, path: s
     return registry.register(spark, ds_path, entry, registry.DATASET_SCHEMA).first()["version"]
 
 
+def table_version(spark: SparkSession, registry_root: str, table: str, run_id: str | None = None) -> int:
+    """Latest registered version of a catalog table; registers it on first use.
+
+    Lineage then names every input with a real version instead of a fixed one.
+    """
+    ds_path, _ = _registry_paths(registry_root)
+    reg = registry.read_registry(spark, ds_path, registry.DATASET_SCHEMA)
+    try:
+        return registry.resolve_dataset(reg, table)["version"]
+    except KeyError:
+        location = tables.table_location(spark, table) or table
+        return register_dataset(spark, registry_root, table, location, spark.table(table), [], run_id)
+
+
 def resolve_inputs(spark: SparkSession, registry_root: str, names: Sequence[str]) -> list[tuple[str, int, DataFrame]]:
     """Latest version of each registered input, with its rows (lazy)."""
     ds_path, _ = _registry_paths(registry_root)
@@ -173,7 +187,8 @@ def run_lookup_split(spark: SparkSession, schema: str, output: str, registry_roo
     keyed = ts.withColumn("__row", F.md5(rowid.content_text(ts.columns)))
     parts = split.hash_split(keyed, "__row", weights, seed=seed).drop("__row")
     paths = sinks.write_split(parts, output)
-    inputs = [(f"{schema}.network", 1), (f"{schema}.customers", 1), (f"{schema}.{ground_truth}", 1)]
+    inputs = [(t, table_version(spark, registry_root, t, run_id))
+              for t in (f"{schema}.network", f"{schema}.customers", f"{schema}.{ground_truth}")]
     out: dict = {}
     sides = {side: spark.read.parquet(paths[side]) for side in ("train", "test")}
     # A2: sizes of the base, the training set and both sides. The training set

@@ -76,6 +76,13 @@ def table_primary_keys(spark: SparkSession, name: str) -> list[str]:
     return [k.strip() for k in value.split(",") if k.strip()]
 
 
+def table_location(spark: SparkSession, name: str) -> str | None:
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(name)}").collect():
+        if r["col_name"] == "Location":
+            return r["data_type"]
+    return None
+
+
 def table_comment(spark: SparkSession, name: str) -> str | None:
     for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(name)}").collect():
         if r["col_name"] == "Comment":

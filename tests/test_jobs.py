@@ -47,6 +47,10 @@ def test_base_tables_lookup_split_train_select(spark):
     test = spark.read.parquet(sp["test"]["path"])
     assert train.count() + test.count() == 1000
     assert sp["rows"]["ground_truth"] == sp["rows"]["training_set"] == 1000
+    ds = reg.read_registry(spark, f"{root}/{jobs.DATASETS}", reg.DATASET_SCHEMA)
+    lineage = {(r.input_name, r.input_version) for r in reg.lineage_inputs(ds.where(F.col("name") == "ts_train")).collect()}
+    assert lineage == {("ft_jobs.network", 1), ("ft_jobs.customers", 1), ("ft_jobs.ground_truth", 1)}
+    assert ds.where(F.col("name") == "ft_jobs.ground_truth").count() == 1
     assert set(train.columns) == {"customer", "network", "label", "failure", "salary", "age"}
     res = jobs.run_train(spark, root, "ts_train", "label", "clf", scratch_dir(spark, "model"), exclude=())
     assert res["version"] == 1 and len(res["coefficients"]) == 11
