@@ -25,6 +25,10 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files (row-id counts, sort-based ranks, registry snapshots)
+    # are removed once nothing references them, so the shared folder does
+    # not grow with every job.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
