@@ -66,3 +66,10 @@ def test_sort_based_rank_in_cut_bucket_gives_same_split(spark, monkeypatch):
     monkeypatch.setattr(rank, "MAX_GROUP_ROWS", 0)
     got = sorted((r.id, r.split) for r in split.stratified_split(df, "y", "id").collect())
     assert got == want
+
+
+def test_many_classes_use_a_shipped_cut_table(spark):
+    df = spark.range(3000).select("id", (F.col("id") % 600).alias("y"))  # 600 classes of 5 rows
+    out = split.stratified_split(df, "y", "id")
+    sizes = Counter(r.y for r in out.where(F.col("split") == "test").collect())
+    assert sum(sizes.values()) == 600 and set(sizes.values()) == {1}
