@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from keelson.operators.keys import assert_primary_key
+from keelson.session import checkpoint_root
 
 PK_PROPERTY = "primary_keys"
 
@@ -136,6 +137,12 @@ def write_feature_table(spark: SparkSession, name: str, df: DataFrame, mode: str
     keys = table_primary_keys(spark, name)
     if not keys:
         raise ValueError(f"{name} is not a feature table (no {PK_PROPERTY} property)")
+    if mode == "overwrite" and set(df.inputFiles()) & set(spark.table(name).inputFiles()):
+        # The new rows are computed from the table itself: Spark refuses to
+        # overwrite what the plan reads, so cut the lineage at a checkpoint in
+        # the shared folder first.
+        checkpoint_root(spark)
+        df = df.checkpoint(eager=True)
     if check_keys:
         assert_primary_key(df, keys, name=name)
     if _same_schema(spark.table(name).schema, df.schema):

@@ -72,3 +72,16 @@ def test_split_pair_is_one_write(spark):
     paths = files.write_split(df, scratch_dir(spark, "pair"))
     assert spark.read.parquet(paths["test"]).count() == 20
     assert spark.read.parquet(paths["train"]).count() == 80
+
+
+def test_feature_table_can_be_rewritten_from_itself(spark, db):
+    name = f"{db}.self_rewrite"
+    df = spark.createDataFrame([(1, 10.0), (2, 20.0)], "id int, x double")
+    tables.drop_table(spark, name)
+    tables.create_feature_table(spark, name, "id", df.schema, "self", location=scratch_dir(spark, "self"))
+    tables.write_feature_table(spark, name, df)
+    tables.write_feature_table(spark, name, spark.table(name).withColumn("x", F.col("x") * 2))
+    assert sorted(map(tuple, spark.table(name).collect())) == [(1, 20.0), (2, 40.0)]
+    tables.write_feature_table(spark, name, spark.table(name).withColumn("y", F.col("x") + 1))
+    assert sorted(map(tuple, spark.table(name).collect())) == [(1, 20.0, 21.0), (2, 40.0, 41.0)]
+    assert tables.table_primary_keys(spark, name) == ["id"]
