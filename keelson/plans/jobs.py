@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from keelson.operators import clean, model, profile, registry, rowid, scale, split
 from keelson.operators.lookup import FeatureLookup, training_set
-from keelson.session import get_session
+from keelson.session import checkpoint_root, get_session
 from keelson.sinks import files as sinks
 from keelson.sinks import tables
 from keelson.sources import synth
@@ -80,11 +80,12 @@ def resolve_inputs(spark: SparkSession, registry_root: str, names: Sequence[str]
 
 
 def featurize(spark: SparkSession, frames: Sequence[DataFrame], recode: Mapping[str, Mapping[str, int]],
-              drop: Sequence[str], impute: Sequence[str], id_col: str = "id") -> DataFrame:
+              drop: Sequence[str], impute: Sequence[str], id_col: str = "id",
+              unique_fast_path: bool = False) -> DataFrame:
     """Union -> clean -> row ids (the featurize step)."""
     union = clean.union_by_name(list(frames))
     cleaned = clean.clean_features(union, recode=recode, drop=drop, impute=impute)
-    return rowid.add_row_id(cleaned, id_col)
+    return rowid.add_row_id(cleaned, id_col, unique_fast_path=unique_fast_path)
 
 
 def write_feature_table(spark: SparkSession, name: str, df: DataFrame, key: str, description: str) -> None:
@@ -98,9 +99,11 @@ def write_feature_table(spark: SparkSession, name: str, df: DataFrame, key: str,
 
 def run_featurize(spark: SparkSession, inputs: Sequence[str], output: str, registry_root: str, name: str,
                   recode: Mapping[str, Mapping[str, int]], drop: Sequence[str], impute: Sequence[str],
-                  run_id: str | None = None, feature_table: str | None = None) -> dict:
+                  run_id: str | None = None, feature_table: str | None = None,
+                  unique_fast_path: bool = False) -> dict:
     resolved = resolve_inputs(spark, registry_root, inputs)
-    feats = featurize(spark, [df for _, _, df in resolved], recode, drop, impute)
+    feats = featurize(spark, [df for _, _, df in resolved], recode, drop, impute,
+                      unique_fast_path=unique_fast_path)
     sinks.write_parquet(feats, output)
     written = spark.read.parquet(output)
     shapes = _shapes({n: df for n, _, df in resolved} | {name: written})
@@ -139,6 +142,9 @@ def run_featurize_split(spark: SparkSession, inputs: Sequence[str], output: str,
         coded = rowid.add_row_id(clean.clean_features(union, recode=recode, drop=drop))
         parts = split.stratified_split(coded, label, "id", test_fraction, seed)
         if impute:
+            # The split feeds the fit and the write: materialise it once.
+            checkpoint_root(spark)
+            parts = parts.checkpoint(eager=True)
             means = clean.fit_means(parts.where(F.col("split") == "train"), impute)
             parts = clean.impute_mean(parts, impute, means)
     paths = sinks.write_split(parts, output)
@@ -276,6 +282,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     fz.add_argument("--output", required=True)
     fz.add_argument("--name", required=True)
     fz.add_argument("--feature-table")
+    fz.add_argument("--unique-fast-path", action="store_true",
+                    help="hash pre-pass: unique rows get their id without a full-row shuffle")
     fs = sub.add_parser("featurize_split")
     fs.add_argument("--input", action="append", required=True)
     fs.add_argument("--output", required=True)
@@ -324,7 +332,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif a.job == "featurize":
         out = run_featurize(spark, a.input, a.output, a.registry, a.name, json.loads(a.recode),
                             [c for c in a.drop.split(",") if c], [c for c in a.impute.split(",") if c],
-                            a.run_id, a.feature_table)
+                            a.run_id, a.feature_table, a.unique_fast_path)
     elif a.job == "featurize_split":
         out = run_featurize_split(spark, a.input, a.output, a.registry, tuple(a.names), json.loads(a.recode),
                                   [c for c in a.drop.split(",") if c], [c for c in a.impute.split(",") if c],
