@@ -41,3 +41,21 @@ def test_unique_rows_skip_the_counting_path_with_the_same_ids(spark):
     assert _ids(add_row_id(df, unique_fast_path=True, broadcast_max=0)) == slow
     assert fast == slow
     assert len({i for _, i in fast}) == 204
+
+
+def test_ids_follow_the_documented_formula(spark):
+    import hashlib
+    from collections import defaultdict
+
+    from keelson.functions.hashing import FIELD_SEP, NULL_MARK
+
+    rows = [(1, "a"), (1, "a"), (None, "b"), (2, None), (1, "a")]
+    df = spark.createDataFrame(rows, "x int, y string")
+    seen = defaultdict(int)
+    want = []
+    for r in rows:
+        text = FIELD_SEP.join(NULL_MARK if v is None else str(v) for v in r)
+        seen[text] += 1
+        want.append((r, hashlib.md5(f"{text}{FIELD_SEP}{seen[text]}".encode()).hexdigest()))
+    got = [((r.x, r.y), r.id) for r in add_row_id(df).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
