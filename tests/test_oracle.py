@@ -41,3 +41,14 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns[-1] == "label"
+
+
+@pytest.mark.parametrize("name", ["format_timestamp", "scan_csv", "register_versions", "head_rows"])
+def test_time_bearing_queries_do_not_depend_on_the_session_time_zone(spark, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = entry.queries()[name](spark, SF).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    want = duck.sql(entry.oracle_sql()[name]).df()
+    assert value_hash(normalise(got)) == value_hash(normalise(want))
