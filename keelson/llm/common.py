@@ -66,20 +66,16 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_POW = np.ones(1, dtype=np.uint64)
-_INV = np.ones(1, dtype=np.uint64)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _POW, _INV
-    if len(_POW) < n:
-        size = max(n, 2 * CHUNK_BYTES)
-        step = np.full(size, _MULT, dtype=np.uint64)
-        step[0] = 1
-        _POW = np.multiply.accumulate(step)
-        step[1:] = np.uint64(pow(int(_MULT), -1, 1 << 64))
-        _INV = np.multiply.accumulate(step)
-    return _POW, _INV
+    """Powers of the multiplier and of its inverse modulo 2^64."""
+    out = []
+    for base in (int(_MULT), pow(int(_MULT), -1, 1 << 64)):
+        step = np.full(n, base, dtype=np.uint64)
+        step[:1] = 1
+        out.append(np.multiply.accumulate(step))
+    return out[0], out[1]
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +135,7 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
     power, inverse = _powers(hi - lo)
     total = np.empty(hi - lo + 1, dtype=np.uint64)
     total[0] = 0
-    np.cumsum(_BYTE_VALUE[data] * power[:hi - lo], out=total[1:])
+    np.cumsum(_BYTE_VALUE[data] * power, out=total[1:])
     s = starts - lo
     return mix64((total[ends - lo] - total[s]) * inverse[s] + (ends - starts).astype(np.uint64) * _MIX1)
 
