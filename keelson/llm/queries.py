@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keelson.llm import mix_sources
+from keelson.llm import embed_dedup, mix_sources, url_rules
 from keelson.llm.common import read
 
 
@@ -17,8 +17,58 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source")
 
 
+# The contract's rules: (host, path, verdict).
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge_urls(read(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op9_url_rules": op9_url_rules,
+    "op10_embed_dedup": op10_embed_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+_URL_PARTS = r"""
+parts AS (SELECT page_id, url,
+  CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+split AS (SELECT page_id,
+  translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, row_number() OVER () AS rid FROM parts)
+"""
+
+ORACLE: dict[str, str] = {
+    "op9_url_rules": f"""
+WITH rules(rhost, rpath, verdict) AS (VALUES {", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)}),
+{_URL_PARTS},
+hits AS (SELECT s.rid, r.rhost || r.rpath AS rule, r.verdict,
+  row_number() OVER (PARTITION BY s.rid ORDER BY length(r.rhost || r.rpath) DESC, length(r.rhost) DESC) AS k
+  FROM split s JOIN rules r ON (s.host = r.rhost OR ends_with(s.host, '.' || r.rhost)) AND starts_with(s.path, r.rpath))
+SELECT s.page_id, coalesce(s.host, '') AS host, coalesce(s.path, '') AS path, h.rule, coalesce(h.verdict, 'allow') AS verdict
+FROM split s LEFT JOIN hits h ON s.rid = h.rid AND h.k = 1""",
+    "op10_embed_dedup": """
+WITH RECURSIVE vecs AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+ok AS (SELECT * FROM vecs WHERE label IS NOT NULL AND v IS NOT NULL AND len(v) > 0
+  AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+  AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+lowest AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(l.b, e.vec_id))::BIGINT AS component_id,
+  least(e.vec_id, coalesce(l.b, e.vec_id)) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN degree d ON e.vec_id = d.a LEFT JOIN lowest l ON e.vec_id = l.a""",
+}
