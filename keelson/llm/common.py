@@ -150,7 +150,7 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.nd
     total = len(words)
     run = np.zeros(total, dtype=np.uint64)
     for k in range(n):
-        part = words[k:] * (_MULT * np.uint64(2 * k + 3))
+        part = words[k:] * np.uint64(int(_MULT) * (2 * k + 3) % (1 << 64))
         run[:total - k] += part if k == 0 else mix64(part)
     per_row = np.where(count >= n, count - n + 1, 0)
     row = np.repeat(np.arange(len(count)), per_row)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keelson.llm import embed_dedup, mix_sources, pack, url_rules
+from keelson.llm import embed_dedup, minhash_dedup, mix_sources, pack, url_rules
 from keelson.llm.common import read
 
 
@@ -17,6 +17,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -47,6 +51,7 @@ def op10_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op4_pack": op4_pack,
     "op9_url_rules": op9_url_rules,
     "op10_embed_dedup": op10_embed_dedup,
