@@ -160,8 +160,18 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.nd
     within = np.arange(len(row)) - first[row]
     out[out_bounds[:-1][row] + within] = run[bounds[:-1][row] + within]
     for r in np.flatnonzero((count > 0) & (count < n)):
-        value = np.uint64(int(count[r]))
+        value = np.array([count[r]], dtype=np.uint64)
         for w in words[bounds[r]:bounds[r + 1]]:
-            value = mix64(np.array([value * _MULT + w], dtype=np.uint64))[0]
-        out[out_bounds[r]] = value
+            value = mix64(value * _MULT + w)
+        out[out_bounds[r]] = value[0]
     return mix64(out), out_bounds
+
+
+# --- held-out rows -------------------------------------------------------------
+
+FOLDS = 5
+
+
+def held_out():
+    """Rows whose id falls in the fold that nothing is learned from; a null id does not."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0, F.lit(False))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keelson.llm import embed_dedup, minhash_dedup, mix_sources, pack, url_rules
+from keelson.llm import embed_dedup, language, minhash_dedup, mix_sources, pack, quality, url_rules
 from keelson.llm.common import read
 
 
@@ -30,6 +30,14 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read(spark, sf_dir, "documents"))
+
+
 # The contract's rules: (host, path, verdict).
 URL_RULES = [
     ("com", "/", "allow"),
@@ -53,6 +61,8 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_pack": op4_pack,
+    "op5_quality": op5_quality,
+    "op7_language": op7_language,
     "op9_url_rules": op9_url_rules,
     "op10_embed_dedup": op10_embed_dedup,
 }
