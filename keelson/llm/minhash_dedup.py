@@ -10,12 +10,15 @@ lists have their collisions counted over both whole signatures, and those above
 threshold are confirmed on the documents' full shingle sets.
 
 Lists are merged with skipping: a member that already is in a component with
-another need not meet it. In each round, list blocks of bounded size pair every
-member with the block's hub and with its successor, if their components
-differ; confirmed links merge components. Once few pairs across components or
-few links are left, all pairs across components are tried: no list pair across
-components is left untested, and a group of copies never expands into all its
-pairs.
+another need not meet it. First, list blocks of bounded size pair every
+member with the block's hub and with its successor; confirmed links merge components.
+Then, in the lists that still hold several components, the members outside the
+largest one are held against all others in tiles, and each offers the partner
+of another component with which it collides most. Once such a round confirms
+little, every pair across components that collides often enough is tested on
+the full sets inside the tiles, which return links only: no pair is left
+untested, and a group of copies never expands into all its pairs. A pair counts
+only in the first list that both prefixes share.
 
 Defined results: a null text, or one without words, has an empty set, links
 with nothing and is kept; a text of fewer words than a shingle is one shingle;
@@ -40,12 +43,13 @@ COORDS = 64
 MATCHES = 36
 BLOCK = 128
 MAX_ROUNDS = 8
-# All remaining pairs are tried when there are at most so many per posting, or
-# when a round confirms less than this share of its pairs: then few members
-# of the open lists belong together, and further rounds would not close them.
-PAIRS_PER_POSTING = 1
+TILE = 512
+# When a round confirms less than this share of its pairs, few members of the
+# open lists belong together, and all remaining pairs are tried.
 LEAST_YIELD = 0.05
 
+_LIST = ["coord", "value"]
+
 _SEEDS = mix64(np.arange(1, 2 * COORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _MUL, _ADD = _SEEDS[:COORDS] | np.uint64(1), _SEEDS[COORDS:]
 
@@ -119,10 +123,6 @@ def _confirm(n: int, percent: int):
     return run
 
 
-def _differ(left: str, right: str):
-    return F.col(left) != F.col(right)
-
-
 def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
     docs = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
@@ -155,35 +155,36 @@ def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> D
               .agg(F.sort_array(F.collect_list(F.struct("n", "coord", "value"))).alias("p"))
               .filter(F.size("p") >= MATCHES))
     # Values of one class come first in the order; they fill the prefix from the left.
-    lists = stash(ranked.select("rep", F.explode(F.slice("p", F.lit(1), F.size("p") - MATCHES + 1)).alias("p"))
-                  .select("rep", "p.coord", "p.value", "p.n"), "minhash-lists")
+    prefix = stash(ranked.select("rep", F.slice("p", F.lit(1), F.size("p") - MATCHES + 1).alias("p")), "minhash-prefix")
+    lists = prefix.select("rep", F.explode("p").alias("p")).select("rep", "p.coord", "p.value")
+    mask = F.aggregate("p", F.lit(0).cast("bigint"), lambda m, x: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x.coord)))
     alive = stash(classes.select("rep", "doc_id", "text_hash", "sig").join(
-        lists.select("rep").distinct(), "rep", "left_semi"), "minhash-alive")
+        prefix.select("rep", mask.alias("mask")), "rep"), "minhash-alive")
     # One text per class, that of the row which names it.
     own = alive.select("rep", F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
     texts = stash(docs.join(own, (F.col("doc_id") == F.col("__id")) & (F.col("text_hash") == F.col("__hash")))
                   .groupBy("doc_id", "text_hash", "rep").agg(F.first("text").alias("text")).select("rep", "text"), "minhash-texts")
-    alive = alive.select("rep", "sig")
+    alive = alive.select("rep", "sig", "mask")
 
-    label = lists.select(F.col("rep").alias("node"), F.col("rep").alias("component")).distinct()
+    label = prefix.select(F.col("rep").alias("node"), F.col("rep").alias("component"))
     edges, yield_, state = None, 1.0, stash(lists.withColumn("comp", F.col("rep")), "minhash-state")
-    total = state.count()
     for turn in range(MAX_ROUNDS + 1):
         # Lists whose members all are in one component are done.
-        sizes = state.groupBy("coord", "value", "comp").agg(F.count(F.lit(1)).alias("c"))
-        open_ = stash(sizes.groupBy("coord", "value").agg(
-            F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("within"), F.count(F.lit(1)).alias("k")).filter("k > 1"),
-            "minhash-open")
-        work, = open_.agg(F.sum((F.col("all") * F.col("all") - F.col("within")) / 2)).first()
-        if not work:
+        sizes = state.groupBy(*_LIST, "comp").agg(F.count(F.lit(1)).alias("c"))
+        open_ = stash(sizes.groupBy(*_LIST).agg(
+            F.sum("c").alias("all"), F.max(F.struct("c", "comp")).alias("m"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+            .select(*_LIST, "all", (F.col("all") - F.col("m.c")).alias("few"), F.col("m.comp").alias("largest")), "minhash-open")
+        if open_.isEmpty():
             break
-        last = turn == MAX_ROUNDS or work <= PAIRS_PER_POSTING * total or yield_ < LEAST_YIELD
-        members = state.join(open_.select("coord", "value", "all"), ["coord", "value"])
-        pairs = stash(_across(members) if last else _by_hub(members, turn), "minhash-pairs")
-        found = _verify(pairs, alive, texts, shingle, percent)
-        edges = found if edges is None else stash(edges.unionByName(found), "minhash-edges")
+        members = state.join(open_, _LIST)
+        last = turn == MAX_ROUNDS or yield_ < LEAST_YIELD
         if last:
+            found = _remaining(members, alive, texts, shingle, percent)
+            edges = stash(edges.unionByName(found), "minhash-edges")
             break
+        pairs = stash(_by_hub(members, turn) if turn == 0 else _best_partners(members, alive), "minhash-pairs")
+        found = _verify(pairs, alive, texts, shingle, percent)
+        edges = found if edges is None else stash(edges.unionByName(found), "minhash-edges")
         yield_ = found.count() / max(1, pairs.count())
         label = connected_components(edges)
         state = stash(state.drop("comp").join(label.withColumnRenamed("node", "rep"), "rep", "left")
@@ -193,16 +194,12 @@ def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> D
     return connected_components(edges)
 
 
-def _ids_repeat(docs: DataFrame) -> bool:
-    return not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null").isEmpty()
-
-
 def _by_hub(members: DataFrame, turn: int) -> DataFrame:
     """In blocks of bounded size: each member with the block's hub and its successor."""
     blocks = F.ceil(F.col("all") / F.lit(BLOCK)).cast("int")
     dealt = (members.withColumn("order", F.xxhash64(F.lit(turn), "rep"))
              .withColumn("block", F.pmod(F.xxhash64(F.lit(-1 - turn), "rep"), blocks)))
-    within = Window.partitionBy("coord", "value", "block").orderBy("order", "rep")
+    within = Window.partitionBy(*_LIST, "block").orderBy("order", "rep")
     near = dealt.select("rep", "comp",
                         F.first(F.struct("rep", "comp")).over(within).alias("hub"),
                         F.lead(F.struct("rep", "comp")).over(within).alias("next"))
@@ -211,12 +208,159 @@ def _by_hub(members: DataFrame, turn: int) -> DataFrame:
         F.least("x", "o.rep").alias("a"), F.greatest("x", "o.rep").alias("b")).distinct()
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """All pairs of a list whose components differ."""
-    m = stash(members.select("coord", "value", "rep", "comp"), "minhash-across")
-    other = m.select("coord", "value", F.col("rep").alias("b"), F.col("comp").alias("cb"))
-    return (m.withColumnRenamed("rep", "a").join(other, ["coord", "value"])
-            .filter((F.col("a") < F.col("b")) & _differ("comp", "cb")).select("a", "b").distinct())
+def _members(column: pa.Array, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.StructArray]:
+    """Class, component, prefix mask and signature of a block's members, and the block."""
+    rows = column.slice(i, 1).flatten()
+    get = lambda k: rows.field(k).to_numpy(zero_copy_only=False)
+    return get(0), get(1), get(2).view(np.uint64), rows.field(3).flatten().to_numpy().reshape(len(rows), COORDS), rows
+
+
+def collisions(coord: int, left: tuple, right: tuple) -> np.ndarray:
+    """Collisions of each pair that belongs to this list, reaches the threshold and joins two components; else 0."""
+    (_, ca, ma, sa, _), (_, cb, mb, sb, _) = left, right
+    hits = np.zeros((len(ca), len(cb)), dtype=np.int16)
+    earlier = np.zeros((len(ca), len(cb)), dtype=bool)
+    for k in range(COORDS):
+        same = sa[:, k][:, None] == sb[:, k][None, :]
+        hits += same
+        if k < coord:
+            bit = np.uint64(1 << k)
+            earlier |= same & ((ma & bit) > 0)[:, None] & ((mb & bit) > 0)[None, :]
+    hits[earlier | (ca[:, None] == cb[None, :]) | (hits < MATCHES)] = 0
+    return hits
+
+
+def _each_tile(batch: pa.RecordBatch) -> Iterator[tuple[int, tuple, tuple, np.ndarray]]:
+    coord = batch.column("coord").to_numpy()
+    for i in range(batch.num_rows):
+        left, right = (_members(batch.column(c), i) for c in ("few_members", "all_members"))
+        yield i, left, right, collisions(int(coord[i]), left, right)
+
+
+def _best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for _, left, right, hits in _each_tile(batch):
+            x = np.flatnonzero(hits.any(axis=1))
+            y = hits[x].argmax(axis=1)
+            a.append(np.minimum(left[0][x], right[0][y]))
+            b.append(np.maximum(left[0][x], right[0][y]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+
+def _contested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members with a partner to test, once per tile and side."""
+    for batch in batches:
+        row, rep, few = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+        for i, left, right, hits in _each_tile(batch):
+            for side, axis in ((left, 1), (right, 0)):
+                found = side[0][hits.any(axis=axis)]
+                row.append(np.full(len(found), i))
+                rep.append(found)
+                few.append(np.full(len(found), axis == 1))
+        row = pa.array(np.concatenate(row))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("coord").take(row), batch.column("value").take(row), pa.array(np.concatenate(rep)),
+             pa.array(np.concatenate(few))], ["coord", "value", "rep", "few"])
+
+
+def intersections(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Sizes of the intersections of all sets of one side with all of the other."""
+    (va, na), (vb, nb) = ((x.flatten().to_numpy(), np.diff(x.offsets.to_numpy())) for x in (left, right))
+    shared = np.intersect1d(va, vb)
+    out = np.zeros((len(na), len(nb)), dtype=np.float64)
+    (ra, ia), (rb, ib) = (_places(v, n, shared) for v, n in ((va, na), (vb, nb)))
+    width = 4096
+    for lo in range(0, len(shared), width):
+        dense = []
+        for r, i, n in ((ra, ia, len(na)), (rb, ib, len(nb))):
+            at = (i >= lo) & (i < lo + width)
+            m = np.zeros((n, width), dtype=np.float32)
+            m[r[at], i[at] - lo] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def _places(values: np.ndarray, counts: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(shared):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(shared, values), len(shared) - 1)
+    there = shared[at] == values
+    return np.repeat(np.arange(len(counts)), counts)[there], at[there]
+
+
+def _exact_tiles(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for _, left, right, hits in _each_tile(batch):
+                if not hits.any():
+                    continue
+                sets = left[4].field(4), right[4].field(4)
+                na, nb = (np.diff(s.offsets.to_numpy()) for s in sets)
+                both = intersections(*sets)
+                x, y = np.nonzero((hits > 0) & (100 * both >= percent * (na[:, None] + nb[None, :] - both)))
+                a.append(np.minimum(left[0][x], right[0][y]))
+                b.append(np.maximum(left[0][x], right[0][y]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+    return run
+
+
+def _full_sets(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offsets = text_buffers(batch.column("text"))
+            for i in range(batch.num_rows):
+                keys, _ = shingle_keys(raw, offsets[i:i + 2], n)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("rep").slice(i, 1), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), pa.array(keys.view(np.int64)))],
+                    ["rep", "shingles"])
+    return run
+
+
+def _tiles(few: DataFrame, every: DataFrame, columns: list[str], weight: str) -> DataFrame:
+    """Blocks of the members outside a list's largest component against blocks of all.
+
+    A block holds about ``TILE`` units of ``weight``, of which the list's sums
+    are in ``few_<weight>`` and ``all_<weight>``.
+    """
+    def blocks(rows: DataFrame, total: str, name: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("rep"), F.ceil(F.col(total) / F.lit(TILE)).cast("int"))
+        return (rows.groupBy(*_LIST, block.alias("block")).agg(F.collect_list(F.struct(*columns)).alias(name)).drop("block"))
+    return blocks(few, f"few_{weight}", "few_members").join(blocks(every, f"all_{weight}", "all_members"), _LIST).select(
+        *_LIST, "few_members", "all_members")
+
+
+_MEMBER = ["rep", "comp", "mask", "sig"]
+
+
+def _sig_tiles(members: DataFrame, alive: DataFrame) -> DataFrame:
+    full = stash(members.join(alive, "rep").withColumnsRenamed({"few": "few_rows", "all": "all_rows"}), "minhash-members")
+    return _tiles(full.filter("comp <> largest"), full, _MEMBER, "rows")
+
+
+def _best_partners(members: DataFrame, alive: DataFrame) -> DataFrame:
+    """For each member outside its list's largest component the partner it collides with most, per tile."""
+    return _sig_tiles(members, alive).mapInArrow(_best, "a long, b long").distinct()
+
+
+def _remaining(members: DataFrame, alive: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links among all pairs across components that collide often enough."""
+    to_test = stash(_sig_tiles(members, alive).mapInArrow(_contested, "coord int, value int, rep long, few boolean").distinct(),
+                    "minhash-contested")
+    sets = stash(texts.join(to_test.select("rep").distinct(), "rep", "left_semi")
+                 .mapInArrow(_full_sets(shingle), "rep long, shingles array<long>"), "minhash-sets")
+    # A long set counts as several members, so that tiles stay bounded.
+    heavy = F.ceil(F.size("shingles") / F.lit(1000)).cast("bigint")
+    full = (to_test.join(members.select(*_LIST, "rep", "comp"), [*_LIST, "rep"])
+            .join(alive, "rep").join(sets, "rep").withColumn("w", heavy))
+    full = stash(full, "minhash-heavy")
+    sums = stash(full.groupBy(*_LIST).agg(F.sum(F.when(F.col("few"), F.col("w")).otherwise(0)).alias("few_w"),
+                                          F.sum(F.when(~F.col("few"), F.col("w")).otherwise(0)).alias("all_w")), "minhash-weights")
+    full = full.join(sums, _LIST)
+    tiles = _tiles(full.filter("few"), full.filter("not few"), [*_MEMBER, "shingles"], "w")
+    return stash(tiles.mapInArrow(_exact_tiles(percent), "a long, b long").distinct(), "minhash-links")
 
 
 def _verify(pairs: DataFrame, alive: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
