@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keelson.llm import embed_dedup, language, minhash_dedup, mix_sources, pack, quality, url_rules
+from keelson.llm import embed_dedup, fingerprint, language, minhash_dedup, mix_sources, pack, quality, url_rules
 from keelson.llm.common import read
 
 
@@ -38,6 +38,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
 
 
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(read(spark, sf_dir, "documents"))
+
+
 # The contract's rules: (host, path, verdict).
 URL_RULES = [
     ("com", "/", "allow"),
@@ -63,6 +67,7 @@ QUERIES = {
     "op4_pack": op4_pack,
     "op5_quality": op5_quality,
     "op7_language": op7_language,
+    "op8_fingerprint": op8_fingerprint,
     "op9_url_rules": op9_url_rules,
     "op10_embed_dedup": op10_embed_dedup,
 }
