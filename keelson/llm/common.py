@@ -175,3 +175,12 @@ FOLDS = 5
 def held_out():
     """Rows whose id falls in the fold that nothing is learned from; a null id does not."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
+
+
+def sorted_features(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of column ``x`` ordered by id and content, and that order."""
+    column = table.column("x").combine_chunks()
+    x = column.flatten().to_numpy().astype(np.float64).reshape(len(column), width)
+    ids = table.column("doc_id").to_pylist()
+    order = np.array(sorted(range(len(ids)), key=lambda i: (ids[i], x[i].tobytes())), dtype=np.int64)
+    return x[order], order

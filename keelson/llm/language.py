@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import CHUNK_BYTES, held_out, row_chunks, stash, text_buffers
+from keelson.llm.common import CHUNK_BYTES, held_out, row_chunks, sorted_features, stash, text_buffers
 
 BUCKETS, ORDERS = 2048, (1, 2, 3)
 SAMPLE = 3000
@@ -198,11 +198,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> dict:
     chosen = known.join(counts, "lang").filter(share < F.lit(float(each)) / F.col("n"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     data = chosen.select("doc_id", "lang", "text").mapInArrow(
-        _features, f"doc_id {id_type}, lang string, x array<float>").limit(2 * sample).toPandas()
-    data["__x"] = [v.tobytes() for v in data["x"]]
-    data = data.sort_values(["doc_id", "lang", "__x"])
-    x = np.stack(data["x"].to_numpy()).astype(np.float64) if len(data) else np.zeros((0, BUCKETS))
-    return fit_machines(x, data["lang"].to_numpy(dtype=object))
+        _features, f"doc_id {id_type}, lang string, x array<float>").limit(2 * sample).toArrow()
+    x, order = sorted_features(data, BUCKETS)
+    return fit_machines(x, np.array(data.column("lang").to_pylist(), dtype=object)[order])
 
 
 def _predict(model: dict):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import held_out, mix64, row_chunks, span_hashes, stash, text_buffers, word_spans
+from keelson.llm.common import held_out, mix64, row_chunks, sorted_features, span_hashes, stash, text_buffers, word_spans
 
 WORDS, SHAPES, DIM, NONZERO, WINDOW = 4096, 480, 32, 2, 2
 SAMPLE = 8000
@@ -92,7 +92,7 @@ def context_vectors(docs: DataFrame) -> np.ndarray:
     """Centred unit context vectors of all entries; fixed size, whatever the corpus."""
     cols = [f"c{k}" for k in range(DIM)]
     sums = (docs.select("text").mapInArrow(_contexts, "entry long, n long, " + ", ".join(f"{c} long" for c in cols))
-            .groupBy("entry").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in cols])).toPandas()
+            .groupBy("entry").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in cols])).toArrow().to_pandas()
     out = np.zeros((WORDS + SHAPES, DIM), dtype=np.float32)
     if len(sums):
         sums = sums.sort_values("entry")
@@ -194,11 +194,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     rows = docs.select("doc_id", "text").join(F.broadcast(stash(known, "quality-sample")), "doc_id")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     data = rows.select("doc_id", "text", "quality").mapInArrow(
-        _vectors(table), f"doc_id {id_type}, quality int, x array<float>").limit(2 * sample).toPandas()
-    data["__x"] = [v.tobytes() for v in data["x"]]
-    data = data.sort_values(["doc_id", "__x"])
-    x = np.stack(data["x"].to_numpy()).astype(np.float64) if len(data) else np.zeros((0, 4 * DIM + 1))
-    return table, fit_network(x, data["quality"].to_numpy(np.float64))
+        _vectors(table), f"doc_id {id_type}, quality int, x array<float>").limit(2 * sample).toArrow()
+    x, order = sorted_features(data, 4 * DIM + 1)
+    return table, fit_network(x, data.column("quality").to_numpy().astype(np.float64)[order])
 
 
 def _score(table: np.ndarray, net: dict):
