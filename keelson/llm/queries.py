@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keelson.llm import embed_dedup, fingerprint, language, minhash_dedup, mix_sources, pack, quality, url_rules
+from keelson.llm import embed_dedup, fingerprint, html_extract, language, minhash_dedup, mix_sources, pack, quality, url_rules
 from keelson.llm.common import read
 
 
@@ -17,6 +17,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ def op10_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_html_extract": op2_html_extract,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_pack": op4_pack,
     "op5_quality": op5_quality,
