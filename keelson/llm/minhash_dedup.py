@@ -124,7 +124,7 @@ def _confirm(n: int, percent: int):
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+    """``doc_id, n_shingles, component_id, text_hash, kept`` for every row of ``docs``."""
     docs = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = stash(docs.mapInArrow(_sketch(shingle), f"doc_id {id_type}, text_hash long, n_shingles long, set_a long, set_b long, "
@@ -142,11 +142,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80) -> Dat
         F.col("set_a").alias("__a"), F.col("set_b").alias("__b"), F.col("n_shingles").alias("__n"), "component_id"), "minhash-member")
     some = rows.filter("n_shingles > 0").join(
         member, (F.col("set_a") == F.col("__a")) & (F.col("set_b") == F.col("__b")) & (F.col("n_shingles") == F.col("__n")), "left")
-    out = some.select("doc_id", "n_shingles", "component_id").unionByName(
-        rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    out = some.select("doc_id", "n_shingles", "component_id", "text_hash").unionByName(
+        rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_hash"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
+def drop_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80) -> DataFrame:
+    """One document of each group of near-duplicates; documents without words all stay.
+
+    Of kept rows that share an id (repeated rows), the one with the smallest text hash stays.
+    """
+    found = stash(near_duplicates(docs, shingle, percent).select("doc_id", "n_shingles", "text_hash", "kept"), "minhash-found")
+    out = found.filter("not kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    hashed = docs.withColumn("__text", F.xxhash64("text"))
+    rest = hashed.join(out, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash")), "left_anti")
+    repeated = stash(found.filter("kept and n_shingles > 0 and doc_id is not null").groupBy("doc_id")
+                     .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("__id")), "minhash-repeated")
+    if repeated.isEmpty():
+        return rest.select(*docs.columns)
+    again = F.col("doc_id") == F.col("__id")
+    once = (rest.join(repeated, again, "left_semi").groupBy("doc_id")
+            .agg(F.min(F.struct("__text", *docs.columns)).alias("r")).select("r.*"))
+    return rest.join(repeated, again, "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
+
+
 def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Components (``node, component``) of the classes' confirmed links."""
     posts = classes.select("rep", F.posexplode("sig").alias("coord", "value"))

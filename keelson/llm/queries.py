@@ -8,7 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keelson.llm import embed_dedup, fingerprint, html_extract, language, minhash_dedup, mix_sources, pack, quality, url_rules
+from keelson.llm import (
+    embed_dedup,
+    fingerprint,
+    html_extract,
+    language,
+    minhash_dedup,
+    mix_sources,
+    pack,
+    quality,
+    quote_links,
+    url_rules,
+)
 from keelson.llm.common import read
 
 
@@ -22,7 +33,8 @@ def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+    return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
 
 
 def tokenizer_path() -> str:
@@ -38,6 +50,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op6_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_links.link_quotes(read(spark, sf_dir, "conversations"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
 
@@ -71,6 +87,7 @@ QUERIES = {
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_pack": op4_pack,
     "op5_quality": op5_quality,
+    "op6_quote_links": op6_quote_links,
     "op7_language": op7_language,
     "op8_fingerprint": op8_fingerprint,
     "op9_url_rules": op9_url_rules,
