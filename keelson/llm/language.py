@@ -119,7 +119,7 @@ def svm(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
 def fit_machines(x: np.ndarray, langs: np.ndarray) -> dict:
     """All machines: pairs of families, then pairs of languages of one family."""
     names = sorted(set(langs))
-    scale = x.std(axis=0) + 1e-5
+    scale = (x.std(axis=0) if len(x) else np.zeros(x.shape[1])) + 1e-5
     fam = np.array([family(g) for g in langs])
     machines = []
     for level, labels in (("family", fam), ("lang", langs)):

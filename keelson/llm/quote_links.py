@@ -53,15 +53,19 @@ def split_quotes(text: str) -> tuple[str, list[tuple[int, str]]]:
         if level == 0:
             own.append(line)
         elif rest.strip():
-            if level != last or not passages:
-                if last == 0:
-                    _drop_attribution(own)
+            if last == 0:
+                _drop_attribution(own)
+            if last == 0 or level != passages[-1][0]:
                 passages.append((level, []))
             passages[-1][1].append(rest)
-        elif level == last and passages:
+        elif last == 0:
+            _drop_attribution(own)
+            passages.append((level, []))
+        elif level == passages[-1][0]:
             passages[-1][1].append("")
         last = level
-    return "\n".join(own).strip("\n"), [(n, "\n".join(lines).strip("\n")) for n, lines in passages]
+    quoted = [(n, "\n".join(lines).strip("\n")) for n, lines in passages]
+    return "\n".join(own).strip("\n"), [(n, part) for n, part in quoted if part]
 
 
 def _drop_attribution(own: list[str]) -> None:
