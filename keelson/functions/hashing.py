@@ -1,52 +1,52 @@
 """Deterministic hashes shared by splits, folds, row ids and synthetic data.
 
-``hash32(text)`` is the first 32 bits of the MD5 digest of a text, read as a
-non-negative long. It depends only on the value, never on partitioning or
-task retries, and has a one-line SQL twin in other engines
-(``('0x' || substr(md5(text), 1, 8))::BIGINT``), which is what the oracle
+``hash60(text)`` is the first 60 bits of the MD5 digest of a text, read as a
+non-negative long. It depends only on the value, never on partitioning, the
+session time zone or task retries, and has a one-line SQL twin in other engines
+(``('0x' || substr(md5(text), 1, 15))::BIGINT``), which is what the oracle
 tests rely on. Everything stays a built-in expression, so it runs inside
 whole-stage codegen.
+
+The hashed text starts with a purpose and a seed, so draws for different
+purposes (another split, a fold, a column) are independent of each other. Every
+field follows with its length in front (``-1:`` for null): two different
+rows never give one text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-# Marker used for a null field inside a composite text; it cannot collide
-# with the text of any value because it holds a control character.
-NULL_MARK = "\u0000"
-FIELD_SEP = "\u001f"
+from collections.abc import Sequence
 
-HASH_SPACE = 1 << 32
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, TimestampType
 
+HASH_BITS = 60
+HASH_SPACE = 1 << HASH_BITS
+NULL_FIELD = "-1:"
 
-def as_text(col: Column | str) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(c.cast("string"), F.lit(NULL_MARK))
 
+def field_text(df: DataFrame, column: str) -> Column:
+    """A column's value as text that no other value of it shares, with its length in front."""
+    dtype, c = df.schema[column].dataType, F.col(column)
+    if isinstance(dtype, TimestampType):
+        # Microseconds since the epoch: the text form follows the session time zone.
+        c = F.unix_micros(c)
+    elif isinstance(dtype, BinaryType):
+        c = F.hex(c)
+    text = c.cast("string")
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit(NULL_FIELD))
 
-def hash_text(*cols: Column | str, seed: int | str | None = None) -> Column:
-    """Canonical text of a key: seed and fields joined, nulls marked.
 
-    A single non-null column with no seed is just its string form, so that
-    ``hash32`` of a plain key equals the SQL twin ``md5(cast(k as varchar))``.
-    """
-    if len(cols) == 1 and seed is None:
-        c = F.col(cols[0]) if isinstance(cols[0], str) else cols[0]
-        return c.cast("string")
-    parts = [as_text(c) for c in cols]
-    if seed is not None:
-        return F.concat(F.lit(f"{seed}:"), F.concat_ws(FIELD_SEP, *parts))
-    return F.concat_ws(FIELD_SEP, *parts)
+def row_text(df: DataFrame, columns: Sequence[str]) -> Column:
+    return F.concat(*[field_text(df, c) for c in columns])
 
 
-def hash32(*cols: Column | str, seed: int | str | None = None) -> Column:
-    """First 32 bits of md5(canonical text) as a bigint in [0, 2**32)."""
-    text = hash_text(*cols, seed=seed)
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+def keyed_text(df: DataFrame, columns: Sequence[str], purpose: str, seed: int | str = 0) -> Column:
+    """``purpose/seed|`` and the fields of a key."""
+    return F.concat(F.lit(f"{purpose}/{seed}|"), row_text(df, columns))
 
 
-def unit_interval(*cols: Column | str, seed: int | str | None = None) -> Column:
-    """Hash mapped to [0, 1): a reproducible per-row uniform draw."""
-    return hash32(*cols, seed=seed) / F.lit(float(HASH_SPACE))
+def hash60(text: Column) -> Column:
+    """First 60 bits of md5(text) as a bigint in [0, 2**60)."""
+    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("bigint")

@@ -16,9 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
-# Dictionaries up to this size become a CASE chain; larger ones a map literal.
-CASE_CHAIN_MAX = 16
-
 
 def union_by_name(frames: Sequence[DataFrame], allow_missing: bool = True) -> DataFrame:
     """Stack frames by column name, keeping duplicates.
@@ -51,39 +48,39 @@ def missing_as_null(df: DataFrame, column: str) -> Column:
     return F.nanvl(c, F.lit(None).cast(df.schema[column].dataType)) if _is_floating(df, column) else c
 
 
-def recode_expr(column: str, mapping: Mapping[object, object], unlisted: str = "error",
+def recode_expr(df: DataFrame, column: str, mapping: Mapping[object, object], unlisted: str = "error",
                 out_type: str = "int") -> Column:
     """P2 as an expression: listed values become their codes; exact match.
 
-    ``unlisted``: ``"error"`` fails the job on a value not in the dictionary,
-    ``"null"`` turns it into null. A null input stays null either way.
+    The dictionary is an array of (value, code) pairs typed to the column and
+    to ``out_type``, looked up as a map: one path for every size. A code of
+    None gives null. ``unlisted``: ``"error"`` fails the job on a value not in
+    the dictionary, ``"null"`` turns it into null, ``"keep"`` leaves it as it
+    is. A null input stays null either way.
     """
-    if unlisted not in ("error", "null"):
-        raise ValueError("unlisted must be 'error' or 'null'")
+    if unlisted not in ("error", "null", "keep"):
+        raise ValueError("unlisted must be 'error', 'null' or 'keep'")
     if not mapping:
         raise ValueError("empty dictionary")
+    dtype = df.schema[column].dataType
     c = F.col(column)
     if unlisted == "error":
-        fallback = F.raise_error(F.concat(F.lit(f"unlisted value in {column}: "), c.cast("string")))
+        fallback = F.raise_error(F.concat(F.lit(f"unlisted value in {column}: "), c.cast("string"))).cast(out_type)
     else:
-        fallback = F.lit(None)
-    if len(mapping) <= CASE_CHAIN_MAX:
-        expr = None
-        for k, v in mapping.items():
-            expr = (F.when(c == F.lit(k), F.lit(v)) if expr is None
-                    else expr.when(c == F.lit(k), F.lit(v)))
-        expr = expr.when(c.isNull(), F.lit(None)).otherwise(fallback)
-        return expr.cast(out_type)
-    # Large dictionary: one hash lookup in a map literal (size known on the driver).
-    table = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v).cast(out_type))])
-    found = F.try_element_at(table, c)
-    return F.when(c.isNull() | found.isNotNull(), found).otherwise(fallback.cast(out_type)).cast(out_type)
+        fallback = c.cast(out_type) if unlisted == "keep" else F.lit(None).cast(out_type)
+    # Keys that cannot be a value of the column (after conversion) match nothing.
+    pairs = [(F.lit(k).try_cast(dtype), F.lit(v).cast(out_type)) for k, v in mapping.items() if k is not None]
+    keys = F.array(*[k for k, _ in pairs])
+    place = F.array_position(keys, c)
+    codes = F.array(*[v for _, v in pairs])
+    return F.when(c.isNull(), F.lit(None).cast(out_type)).when(
+        place > 0, F.element_at(codes, F.greatest(place, F.lit(1)).cast("int"))).otherwise(fallback)
 
 
 def recode_values(df: DataFrame, column: str, mapping: Mapping[object, object],
                   unlisted: str = "error", out_type: str = "int") -> DataFrame:
     """Replace a column in place by its codes."""
-    return df.withColumn(column, recode_expr(column, mapping, unlisted, out_type))
+    return df.withColumn(column, recode_expr(df, column, mapping, unlisted, out_type))
 
 
 def fit_means(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
@@ -139,10 +136,7 @@ def clean_features(df: DataFrame, recode: Mapping[str, Mapping[object, object]]
     every other frame; without it the means are fitted on ``df``.
     """
     out = drop_columns(df, drop) if drop else df
-    exprs: dict[str, Column] = {}
+    # A column that is recoded and imputed gets the mean of its codes.
     for c, mapping in (recode or {}).items():
-        exprs[c] = recode_expr(c, mapping, unlisted)
-    if impute:
-        fitted = dict(means) if means is not None else fit_means(out, impute)
-        exprs.update(impute_mean_exprs(out, {c: fitted.get(c) for c in impute}))
-    return out.withColumns(exprs) if exprs else out
+        out = recode_values(out, c, mapping, unlisted)
+    return impute_mean(out, impute, means) if impute else out

@@ -61,6 +61,8 @@ def fit_logreg(df: DataFrame, features: Sequence[str], label: str, C: float = 1.
         raise ValueError("no training rows")
     if classes < 2:
         raise ValueError(f"label {label} has fewer than two classes")
+    if classes > 2:
+        raise ValueError(f"label {label} has {classes} classes; the regression is binary")
     return _estimator(features, 1.0 / (C * n), max_iter).fit(_with_label(df, label))
 
 

@@ -15,7 +15,7 @@ registry grows to. Writers follow a single-writer rule per registry path.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -42,6 +42,8 @@ DATASET_SCHEMA = StructType([
     StructField("feature_table", StringType()),
     StructField("run_id", StringType()),
     StructField("registered_at", TimestampNTZType()),
+    # How to read the files (header, separator, ...); null means the format's defaults.
+    StructField("options", MapType(StringType(), StringType())),
 ])
 
 MODEL_SCHEMA = StructType([
@@ -76,10 +78,11 @@ def empty_models(spark: SparkSession) -> DataFrame:
 def dataset_entry(spark: SparkSession, name: str, path: str, schema: StructType,
                   inputs: Sequence[tuple[str, int]] = (), description: str | None = None,
                   fmt: str = "parquet", feature_table: str | None = None,
-                  run_id: str | None = None) -> DataFrame:
+                  run_id: str | None = None, options: Mapping[str, str] | None = None) -> DataFrame:
     """One registration request (version still unassigned, time = now)."""
     row = (name, None, description if description is not None else f"{name} featurized data", fmt, path,
-           [tuple(i) for i in inputs], schema_fields(schema), feature_table, run_id, None)
+           [tuple(i) for i in inputs], schema_fields(schema), feature_table, run_id, None,
+           dict(options) if options else None)
     return (spark.createDataFrame([row], DATASET_SCHEMA)
             .withColumn("registered_at", F.localtimestamp()))
 
@@ -130,7 +133,10 @@ def read_registry(spark: SparkSession, path: str, schema: StructType) -> DataFra
     """All registrations under ``path`` (empty before the first one)."""
     try:
         return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
-    except AnalysisException:  # PATH_NOT_FOUND: nothing registered yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # Nothing registered yet.
         return spark.createDataFrame([], schema)
 
 
@@ -147,12 +153,12 @@ def resolve_dataset(registry: DataFrame, name: str, version: int | None = None)
     """One registry row for ``name`` (latest version unless given)."""
     rows = registry.where(F.col("name") == F.lit(name))
     if version is not None:
-        hit = rows.where(F.col("version") == F.lit(version)).select("path", "format", "version").take(1)
-    else:
-        hit = latest_versions(rows).select("path", "format", F.col("latest_version").alias("version")).take(1)
-    if not hit:
+        rows = rows.where(F.col("version") == F.lit(version))
+    hit = rows.select("version", "path", "format", "fields", "options").agg(
+        F.max_by(F.struct("version", "path", "format", "fields", "options"), "version").alias("r")).first()["r"]
+    if hit is None:
         raise KeyError(f"dataset {name!r} version {version} is not registered")
-    return hit[0]
+    return hit
 
 
 def lineage_inputs(datasets: DataFrame) -> DataFrame:
@@ -177,17 +183,50 @@ def _model_roles(models: DataFrame) -> DataFrame:
                     F.col("d.name").alias("dataset_name"), F.col("d.version").alias("dataset_version")))
 
 
+# A dataset version named by more than this share of all roles is hot: there are
+# at most 1 / HOT_SHARE of them, whatever the registry's size.
+HOT_SHARE = 0.001
+SALTS = 64
+
+
+def _join_roles(roles: DataFrame, datasets: DataFrame, how: str) -> DataFrame:
+    """Roles joined to dataset versions; roles of a hot version are spread by a salt.
+
+    Every model of a project may carry the same test dataset: its roles would
+    all meet in one task. The hot versions are found by a partial aggregate;
+    their roles get one of ``SALTS`` salts and their registry rows all of them.
+    """
+    ref = ["dataset_name", "dataset_version"]
+    counts = roles.groupBy(*ref).agg(F.count(F.lit(1)).alias("__n"))
+    total = roles.agg(F.count(F.lit(1)).alias("__all"))
+    # One total row, and at most 1 / HOT_SHARE hot versions.
+    hot = (counts.join(F.broadcast(total), F.col("__n") > F.greatest(F.col("__all") * HOT_SHARE, F.lit(SALTS)))
+           .select(*[F.col(c).alias(f"__{c}") for c in ref]))
+    is_hot = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in ref]
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), is_hot, "left").drop(*[f"__{c}" for c in ref])
+
+    salted = marked(roles).withColumn("__salt", F.when(F.col("__hot"), F.pmod(
+        F.xxhash64("model_name", "model_version", "role"), F.lit(SALTS))).otherwise(0).cast("int")).drop("__hot")
+    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    copies = marked(datasets).withColumn("__salt", F.explode(
+        F.when(F.col("__hot"), every).otherwise(F.array(F.lit(0))))).drop("__hot")
+    return salted.join(copies, [*ref, "__salt"], how).drop("__salt")
+
+
 def model_datasets(models: DataFrame, datasets: DataFrame) -> DataFrame:
     """Model version -> its datasets by role -> their registry rows."""
     ds = datasets.select(F.col("name").alias("dataset_name"), F.col("version").alias("dataset_version"),
                          F.col("path").alias("dataset_path"), F.col("run_id").alias("dataset_run_id"))
-    return _model_roles(models).join(ds, ["dataset_name", "dataset_version"], "left")
+    return _join_roles(_model_roles(models), ds, "left")
 
 
 def dataset_models(models: DataFrame, datasets: DataFrame) -> DataFrame:
     """Dataset version -> the model versions that used it, and in which role."""
     ds = datasets.select(F.col("name").alias("dataset_name"), F.col("version").alias("dataset_version"))
-    return ds.join(_model_roles(models), ["dataset_name", "dataset_version"], "inner")
+    return _join_roles(_model_roles(models), ds, "inner").select(
+        "dataset_name", "dataset_version", "model_name", "model_version", "role")
 
 
 def model_lineage(models: DataFrame, datasets: DataFrame, role: str = ROLE_TRAIN) -> DataFrame:

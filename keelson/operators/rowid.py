@@ -2,7 +2,8 @@
 
 Source rows may be exact copies of each other (a feature set unioned with
 itself), so the content alone does not identify a row. The id is
-``md5(text of every column, copy ordinal)``, where the ordinal numbers the
+``md5(text of every column # copy ordinal)`` (see ``functions.hashing``: no two
+contents share a text, and the session time zone does not matter), where the ordinal numbers the
 copies of one content 1..n. It depends on nothing but the data: the same rows
 get the same ids at any partition count and after any task retry.
 
@@ -37,10 +38,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.functions.hashing import FIELD_SEP, as_text
+from keelson.functions.hashing import row_text
 from keelson.session import checkpoint_root
 
 CHUNK = 1 << 16
@@ -52,12 +53,8 @@ _CHUNK = "__chunk"
 _ORD = "__ordinal"
 
 
-def content_text(columns: Sequence[str]):
-    return F.concat_ws(FIELD_SEP, *[as_text(c) for c in columns])
-
-
-def _id_expr(cols: Sequence[str], ordinal) -> "F.Column":
-    return F.md5(F.concat_ws(FIELD_SEP, content_text(cols), ordinal.cast("string")))
+def _id_expr(df: DataFrame, cols: Sequence[str], ordinal: Column) -> Column:
+    return F.md5(F.concat(row_text(df, cols), F.lit("#"), ordinal.cast("string")))
 
 
 def add_row_id(df: DataFrame, id_col: str = "id", key: str | Sequence[str] | None = None,
@@ -74,7 +71,7 @@ def add_row_id(df: DataFrame, id_col: str = "id", key: str | Sequence[str] | Non
         raise ValueError(f"column {id_col!r} already exists")
     if key is not None:
         keys = [key] if isinstance(key, str) else list(key)
-        return df.withColumn(id_col, F.md5(content_text(keys)))
+        return df.withColumn(id_col, F.md5(row_text(df, keys)))
 
     cols = df.columns
     checkpoint_root(df.sparkSession)
@@ -91,7 +88,7 @@ def add_row_id(df: DataFrame, id_col: str = "id", key: str | Sequence[str] | Non
         return _ids_by_count(df, cols, id_col, chunk)
     small = F.broadcast(repeated)  # size checked just above
     unique = (hashed.join(small, _HASH, "left_anti")
-              .select(*cols, _id_expr(cols, F.lit(1)).alias(id_col)))
+              .select(*cols, _id_expr(df, cols, F.lit(1)).alias(id_col)))
     copies = hashed.join(small, _HASH, "left_semi").drop(_HASH)
     return unique.unionByName(_ids_by_count(copies, cols, id_col, chunk))
 
@@ -113,4 +110,4 @@ def _ids_by_count(df: DataFrame, cols: list[str], id_col: str, chunk: int) -> Da
            .drop(_CHUNK))
 
     both = small.unionByName(hot)
-    return both.select(*cols, _id_expr(cols, F.col(_ORD)).alias(id_col))
+    return both.select(*cols, _id_expr(both, cols, F.col(_ORD)).alias(id_col))

@@ -1,43 +1,41 @@
 """Reproducible splits and folds (X1 stratified, X2 hashed random, X3 k-fold).
 
-Every row draws ``h = hash32(seed:key)``; nothing depends on partitioning,
-task retries or ``rand()``. The same rows land on the same side at 1, 4 or
-700 partitions.
+Every row draws a 60-bit hash of (purpose, seed, key); nothing depends on
+partitioning, task retries or ``rand()``. The purpose holds the side names and
+weights (or the fraction, or the number of folds), so splitting one side of a
+split again is independent of the first split; repeating a split with equal
+arguments needs a new seed.
+
+X2 and X3 are projections: side borders are thresholds on the full hash, so
+a hold-out of a few rows in a billion has its share.
 
 X1, exact stratified split, without a window over the data:
 
-1. histogram: rows per (class, b) with ``b = h >> 16``; at most 65,536 buckets
-   per class, built with partial aggregation;
-2. on that small frame, a running sum per class finds the bucket holding the
-   class's ``target``-th row in (h, key) order and how many rows of it are
-   still needed; one row per class;
-3. rows in buckets before the cut are test, after it train; only rows inside
-   the cut bucket (about n/65,536 per class) are ranked by (h, key) -- with a
-   window while that bucket is bounded, else with the sort-based rank of
-   ``rank.py`` -- and the first ``need`` of them are test.
-
-The cut table (one row per class) is bounded by the number of classes; up to
-``BROADCAST_CLASSES`` it is brought to the driver and broadcast as a local
-relation, above that it is joined with a shuffle. Only the cut-bucket rows go
-through a sort; the other rows are labelled by a projection.
+1. histogram: rows per (class, first 16 bits), with partial aggregation; a
+   running sum per class finds the bucket of the class's last test row;
+2. the rows of these buckets (about n/65,536 per class) are counted by full hash, and
+   a running sum gives the hash of the last test row: one threshold per class;
+3. one projection over the input compares each row's hash with its class's
+   threshold (a plain join with one row per class).
+
+Only rows whose hash equals the threshold (copies of one key) can be split by
+it; if there are more of them than the class still needs, these few are ranked.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StructType
 
-from keelson.functions.hashing import hash32
-from keelson.functions.literal import literal_frame
+from keelson.functions.hashing import HASH_BITS, HASH_SPACE, hash60, keyed_text
 from keelson.operators.rank import rank_within_groups
+from keelson.session import checkpoint_root
 
-BUCKET_BITS = 16
-BUCKET_SHIFT = 32 - BUCKET_BITS
-BROADCAST_CLASSES = 10_000
-FRACTION_SCALE = 10_000
+BUCKET_SHIFT = HASH_BITS - 16
 
 _H, _B, _CUT, _NEED, _RN = "__h", "__b", "__cut", "__need", "__rn"
 
@@ -46,8 +44,21 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def split_hash(key: str | Sequence[str], seed: int = 42) -> Column:
-    return hash32(*_keys(key), seed=seed)
+def split_hash(df: DataFrame, key: str | Sequence[str], purpose: str, seed: int = 42) -> Column:
+    return hash60(keyed_text(df, _keys(key), purpose, seed))
+
+
+def side_bounds(weights: Sequence[float]) -> list[int]:
+    """Upper hash bound of every side but the last."""
+    parts = [Fraction(w) for w in weights]
+    total = sum(parts)
+    if total <= 0 or any(w < 0 for w in parts):
+        raise ValueError("weights must be non-negative with a positive sum")
+    return [round(sum(parts[:i + 1]) / total * HASH_SPACE) for i in range(len(parts) - 1)]
+
+
+def split_purpose(weights: Sequence[float], names: Sequence[str]) -> str:
+    return "split " + ",".join(f"{n}={w:g}" for n, w in zip(names, weights))
 
 
 def hash_split(df: DataFrame, key: str | Sequence[str], weights: Sequence[float] = (0.8, 0.2),
@@ -55,20 +66,16 @@ def hash_split(df: DataFrame, key: str | Sequence[str], weights: Sequence[float]
                split_col: str = "split") -> DataFrame:
     """Independent per-row assignment, sizes approximate.
 
-    Row goes to side i when ``h mod 10000`` falls in the i-th slice of the
-    cumulative weights. A projection; no shuffle.
+    A row goes to the first side whose hash bound lies above its hash. A
+    projection; no shuffle.
     """
     if len(weights) != len(names):
         raise ValueError("one name per weight")
-    total = float(sum(weights))
-    if total <= 0 or any(w < 0 for w in weights):
-        raise ValueError("weights must be non-negative with a positive sum")
-    bucket = F.pmod(split_hash(key, seed), F.lit(FRACTION_SCALE))
-    cum, expr = 0.0, None
-    for w, name in zip(weights[:-1], names[:-1]):
-        cum += w / total
-        bound = F.lit(int(round(cum * FRACTION_SCALE)))
-        expr = F.when(bucket < bound, F.lit(name)) if expr is None else expr.when(bucket < bound, F.lit(name))
+    drawn = split_hash(df, key, split_purpose(weights, names), seed)
+    expr = None
+    for bound, name in zip(side_bounds(weights), names):
+        below = drawn < F.lit(bound).cast("bigint")
+        expr = F.when(below, F.lit(name)) if expr is None else expr.when(below, F.lit(name))
     last = F.lit(names[-1])
     return df.withColumn(split_col, last if expr is None else expr.otherwise(last))
 
@@ -86,7 +93,7 @@ def assign_folds(df: DataFrame, key: str | Sequence[str], k: int = 5, seed: int
     """Fold number in 0..k-1 from the row hash."""
     if k < 2:
         raise ValueError("k must be at least 2")
-    return df.withColumn(fold_col, F.pmod(split_hash(key, seed), F.lit(k)).cast("int"))
+    return df.withColumn(fold_col, F.pmod(split_hash(df, key, f"fold {k}", seed), F.lit(k)).cast("int"))
 
 
 def _orderable(df: DataFrame, skip: set[str]) -> list[str]:
@@ -100,53 +107,53 @@ def stratified_split(df: DataFrame, label: str, key: str | Sequence[str],
                      names: tuple[str, str] = ("train", "test")) -> DataFrame:
     """Each class (null included) sends exactly round(n_c * f) rows to test.
 
-    The target per class is ``floor(n_c * f + 0.5)``; rows are taken in
-    (h, key) order, remaining columns breaking ties between rows that share a
-    key, so the chosen set is the same on every run.
+    The target per class is ``floor(n_c * f + 0.5)``; rows are taken in hash
+    order, key and remaining columns breaking ties between rows that share a
+    hash, so the chosen set is the same on every run.
     """
     if not 0.0 <= test_fraction <= 1.0:
         raise ValueError("test_fraction must be in [0, 1]")
     keys = _keys(key)
     train_name, test_name = names
-    data = df.withColumn(_H, split_hash(keys, seed)).withColumn(_B, F.shiftright(F.col(_H), BUCKET_SHIFT))
-
-    hist = data.groupBy(label, _B).agg(F.count(F.lit(1)).alias("__nb"))
-    by_class = Window.partitionBy(label)
-    running = by_class.orderBy(_B).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = (hist
-           .withColumn("__cum", F.sum("__nb").over(running))
-           .withColumn("__target", F.floor(F.sum("__nb").over(by_class) * F.lit(test_fraction) + F.lit(0.5)))
-           .where((F.col("__cum") >= F.col("__target")) & (F.col("__cum") - F.col("__nb") < F.col("__target")))
-           .select(F.col(label).alias("__label"), F.col(_B).alias(_CUT),
-                   (F.col("__target") - (F.col("__cum") - F.col("__nb"))).alias(_NEED),
-                   F.col("__nb").alias("__cut_rows")))
-
-    rows = cut.limit(BROADCAST_CLASSES + 1).collect()
-    largest = None
-    if len(rows) <= BROADCAST_CLASSES:
-        cut_side = F.broadcast(literal_frame(df.sparkSession, rows, cut.schema))
-        largest = max((r["__cut_rows"] for r in rows), default=0)
-    else:
-        cut_side = cut
-    cut_side = cut_side.drop("__cut_rows")
-    tagged = data.join(cut_side, data[label].eqNullSafe(cut_side["__label"]), "left").drop("__label")
-
-    outside = tagged.where(F.col(_CUT).isNull() | (F.col(_B) != F.col(_CUT))).withColumn(
-        split_col,
-        F.when(F.col(_CUT).isNotNull() & (F.col(_B) < F.col(_CUT)), F.lit(test_name))
-        .otherwise(F.lit(train_name)))
-
-    order = [F.col(_H)] + [F.col(k) for k in keys] + \
-        [F.col(c) for c in _orderable(df, set(keys) | {label})]
-    # Rank inside the cut bucket: a window while the bucket is bounded, a
-    # distributed sort for a class so large that even n/65,536 rows is a lot.
-    inside = (rank_within_groups(tagged.where(F.col(_B) == F.col(_CUT)), [label], order, _RN,
-                                 largest=largest)
-              .withColumn(split_col, F.when(F.col(_RN) <= F.col(_NEED), F.lit(test_name))
-                          .otherwise(F.lit(train_name)))
-              .drop(_RN))
-    out = outside.unionByName(inside)
-    return out.drop(_H, _B, _CUT, _NEED)
+    drawn = split_hash(df, keys, f"stratified {test_fraction:g}", seed)
+    last = _last_test_rows(df.select(F.col(label).alias("__label"), drawn.alias(_H)), test_fraction)
+
+    tagged = (df.withColumn(_H, drawn)
+              .join(last, F.col(label).eqNullSafe(F.col("__label")), "left"))
+    at_end = F.col(_H) == F.col(_CUT)
+    out = tagged.withColumn(split_col, F.when(F.col(_H) <= F.col(_CUT), F.lit(test_name)).otherwise(F.lit(train_name)))
+    result = [*df.columns, split_col]
+    if last.filter("__at > __need").isEmpty():
+        return out.select(*result)
+    # Copies of a key straddle a threshold: rank these rows only.
+    order = [F.col(k) for k in keys] + [F.col(c) for c in _orderable(df, set(keys) | {label})]
+    ranked = rank_within_groups(tagged.where(at_end), [label], order, _RN).withColumn(
+        split_col, F.when(F.col(_RN) <= F.col(_NEED), F.lit(test_name)).otherwise(F.lit(train_name)))
+    return out.where(~F.coalesce(at_end, F.lit(False))).select(*result).unionByName(ranked.select(*result))
+
+
+def _last_test_rows(hashes: DataFrame, fraction: float) -> DataFrame:
+    """Per class with test rows: the hash of its last one (``__cut``), how many
+    rows have that hash (``__at``) and how many of them are test (``__need``)."""
+    checkpoint_root(hashes.sparkSession)
+    bucket = F.shiftright(F.col(_H), BUCKET_SHIFT)
+    by_class = Window.partitionBy("__label")
+    hist = hashes.groupBy("__label", bucket.alias(_B)).agg(F.count(F.lit(1)).alias("__n"))
+    upto = by_class.orderBy(_B).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = (hist.withColumn("__cum", F.sum("__n").over(upto))
+           .withColumn("__target", F.floor(F.sum("__n").over(by_class) * F.lit(fraction) + F.lit(0.5)))
+           .where((F.col("__cum") >= F.col("__target")) & (F.col("__cum") - F.col("__n") < F.col("__target")))
+           .select(F.col("__label").alias("__l"), F.col(_B).alias("__bucket"),
+                   (F.col("__target") - (F.col("__cum") - F.col("__n"))).alias("__left")))
+    inside = (hashes.withColumn(_B, bucket)
+              .join(cut, F.col("__label").eqNullSafe(F.col("__l")) & (F.col(_B) == F.col("__bucket")))
+              .groupBy("__label", _H, "__left").agg(F.count(F.lit(1)).alias("__at")))
+    run = by_class.orderBy(_H).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (inside.withColumn("__cum", F.sum("__at").over(run))
+            .where((F.col("__cum") >= F.col("__left")) & (F.col("__cum") - F.col("__at") < F.col("__left")))
+            .select("__label", F.col(_H).alias(_CUT), "__at",
+                    (F.col("__left") - (F.col("__cum") - F.col("__at"))).alias(_NEED))
+            .checkpoint(eager=True))
 
 
 def split_frames(df: DataFrame, split_col: str = "split",

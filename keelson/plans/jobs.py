@@ -47,25 +47,42 @@ def _registry_paths(registry_root: str) -> tuple[str, str]:
 
 def register_dataset(spark: SparkSession, registry_root: str, name: str, path: str, df: DataFrame,
                      inputs: Sequence[tuple[str, int]], run_id: str | None,
-                     feature_table: str | None = None, fmt: str = "parquet") -> int:
+                     feature_table: str | None = None, fmt: str = "parquet",
+                     options: Mapping[str, str] | None = None) -> int:
     ds_path, _ = _registry_paths(registry_root)
-    entry = registry.dataset_entry(spark, name, path, df.schema, inputs, fmt=fmt,
-                                   feature_table=feature_table, run_id=run_id)
+    entry = registry.dataset_entry(spark, name, path, df.schema, inputs, fmt=fmt, feature_table=feature_table,
+                                   run_id=run_id, options=options)
     return registry.register(spark, ds_path, entry, registry.DATASET_SCHEMA).first()["version"]
 
 
+def _table_stamp(spark: SparkSession, location: str | None) -> str:
+    """Changes when the files of a table do: their number, bytes and the folder's time."""
+    if not location:
+        return ""
+    at = spark._jvm.org.apache.hadoop.fs.Path(location)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = fs.getContentSummary(at)
+    return f"{size.getFileCount()} files, {size.getLength()} bytes, {fs.getFileStatus(at).getModificationTime()}"
+
+
 def table_version(spark: SparkSession, registry_root: str, table: str, run_id: str | None = None) -> int:
-    """Latest registered version of a catalog table; registers it on first use.
+    """Registered version of a catalog table as it is now.
 
-    Lineage then names every input with a real version instead of a fixed one.
+    Lineage then names every input with a real version: a table is registered
+    on first use, and again once its files have changed.
     """
     ds_path, _ = _registry_paths(registry_root)
     reg = registry.read_registry(spark, ds_path, registry.DATASET_SCHEMA)
+    location = tables.table_location(spark, table)
+    stamp = _table_stamp(spark, location)
     try:
-        return registry.resolve_dataset(reg, table)["version"]
+        entry = registry.resolve_dataset(reg, table)
+        if (entry["options"] or {}).get("stamp") == stamp:
+            return entry["version"]
     except KeyError:
-        location = tables.table_location(spark, table) or table
-        return register_dataset(spark, registry_root, table, location, spark.table(table), [], run_id)
+        pass
+    return register_dataset(spark, registry_root, table, location or table, spark.table(table), [], run_id,
+                            options={"stamp": stamp})
 
 
 def resolve_inputs(spark: SparkSession, registry_root: str, names: Sequence[str]) -> list[tuple[str, int, DataFrame]]:
@@ -100,22 +117,28 @@ def write_feature_table(spark: SparkSession, name: str, df: DataFrame, key: str,
 def run_featurize(spark: SparkSession, inputs: Sequence[str], output: str, registry_root: str, name: str,
                   recode: Mapping[str, Mapping[str, int]], drop: Sequence[str], impute: Sequence[str],
                   run_id: str | None = None, feature_table: str | None = None,
-                  unique_fast_path: bool = False) -> dict:
+                  unique_fast_path: bool = False, fmt: str = "parquet", mode: str = "errorifexists") -> dict:
+    """Featurize registered inputs; ``mode="overwrite"`` replaces the output, schema included."""
     resolved = resolve_inputs(spark, registry_root, inputs)
     feats = featurize(spark, [df for _, _, df in resolved], recode, drop, impute,
                       unique_fast_path=unique_fast_path)
-    sinks.write_parquet(feats, output)
-    written = spark.read.parquet(output)
+    if mode == "overwrite":
+        sinks.overwrite_with_schema(feats, output, fmt=fmt)
+    else:
+        sinks.write_parquet(feats, output, mode=mode, fmt=fmt)
+    written = scan_parquet(spark, output, fmt=fmt)
     shapes = _shapes({n: df for n, _, df in resolved} | {name: written})
+    if mode != "append" and shapes[name][0] != sum(shapes[n][0] for n in dict.fromkeys(inputs)):
+        raise RuntimeError(f"the union did not keep every row: {shapes}")
     version = register_dataset(spark, registry_root, name, output, written,
-                               [(n, v) for n, v, _ in resolved], run_id, feature_table)
+                               [(n, v) for n, v, _ in resolved], run_id, feature_table, fmt=fmt)
     if feature_table:
         write_feature_table(spark, feature_table, written, "id", f"{name} featurized data")
     return {"name": name, "version": version, "path": output, "shapes": shapes}
 
 
 def _shapes(frames: Mapping[str, DataFrame]) -> dict[str, tuple[int, int]]:
-    """A3: (rows, columns) of every frame, in one job; checks that the union kept every row."""
+    """A3: (rows, columns) of every frame, in one job."""
     rows = {r["frame"]: (r["n_rows"], r["n_cols"]) for r in profile.shape_profile(frames).collect()}
     return {n: rows[n] for n in frames}
 
@@ -123,9 +146,12 @@ def _shapes(frames: Mapping[str, DataFrame]) -> dict[str, tuple[int, int]]:
 def run_featurize_split(spark: SparkSession, inputs: Sequence[str], output: str, registry_root: str,
                         names: tuple[str, str], recode: Mapping[str, Mapping[str, int]], drop: Sequence[str],
                         impute: Sequence[str], label: str, test_fraction: float = 0.2, seed: int = 42,
-                        run_id: str | None = None, fit_on: str = "train") -> dict:
+                        run_id: str | None = None, fit_on: str = "train", fmt: str = "parquet",
+                        mode: str = "errorifexists", feature_tables: tuple[str, str] | None = None) -> dict:
     """Featurize, then an exact stratified split written in one pass.
 
+    ``feature_tables`` names a feature table (key ``id``) for each side.
+
     ``fit_on="train"`` (default) fits the imputation means on the training
     side only and applies them to both sides, so nothing about the test rows
     leaks into the features; ``fit_on="all"`` fits them on every row before
@@ -147,12 +173,15 @@ def run_featurize_split(spark: SparkSession, inputs: Sequence[str], output: str,
             parts = parts.checkpoint(eager=True)
             means = clean.fit_means(parts.where(F.col("split") == "train"), impute)
             parts = clean.impute_mean(parts, impute, means)
-    paths = sinks.write_split(parts, output)
+    paths = sinks.write_split(parts, output, fmt=fmt, mode=mode)
     out = {}
-    for side, ds_name in zip(("train", "test"), names):
-        df = spark.read.parquet(paths[side])
+    for i, (side, ds_name) in enumerate(zip(("train", "test"), names)):
+        df = scan_parquet(spark, paths[side], fmt=fmt)
+        table = feature_tables[i] if feature_tables else None
+        if table:
+            write_feature_table(spark, table, df, "id", f"{ds_name} featurized data")
         v = register_dataset(spark, registry_root, ds_name, paths[side], df,
-                             [(n, v) for n, v, _ in resolved], run_id)
+                             [(n, v) for n, v, _ in resolved], run_id, table, fmt=fmt)
         out[side] = {"name": ds_name, "version": v, "path": paths[side]}
     return out
 
@@ -190,8 +219,8 @@ def run_lookup_split(spark: SparkSession, schema: str, output: str, registry_roo
     lookups = [FeatureLookup(f"{schema}.network", ["failure"], "network"),
                FeatureLookup(f"{schema}.customers", ["salary", "age"], "customer")]
     ts = training_set(base, lookups, label="label")
-    keyed = ts.withColumn("__row", F.md5(rowid.content_text(ts.columns)))
-    parts = split.hash_split(keyed, "__row", weights, seed=seed).drop("__row")
+    # Equal rows get ids of their own, so every row falls on a side by itself.
+    parts = split.hash_split(rowid.add_row_id(ts, "id"), "id", weights, seed=seed)
     paths = sinks.write_split(parts, output)
     inputs = [(t, table_version(spark, registry_root, t, run_id))
               for t in (f"{schema}.network", f"{schema}.customers", f"{schema}.{ground_truth}")]
@@ -264,10 +293,21 @@ def run_select(spark: SparkSession, registry_root: str, train_ds: str, test_ds:
 
 
 def register_source(spark: SparkSession, registry_root: str, name: str, path: str, fmt: str = "parquet",
-                    run_id: str | None = None) -> int:
-    """Register an existing folder (any installed format) as a dataset version."""
-    df = scan_parquet(spark, path, fmt=fmt)
-    return register_dataset(spark, registry_root, name, path, df, [], run_id, fmt=fmt)
+                    run_id: str | None = None, schema: str | None = None,
+                    options: Mapping[str, str] | None = None) -> int:
+    """Register an existing folder (any installed format) as a dataset version.
+
+    ``schema`` (DDL) declares the columns; without it a text format is inferred
+    here, once, and the columns found are recorded. ``options`` (header,
+    separator, ...) are recorded and used by every later read.
+    """
+    options = dict(options or {})
+    reader = spark.read.format(fmt).options(**options)
+    if schema:
+        reader = reader.schema(schema)
+    elif fmt == "csv":
+        reader = reader.option("inferSchema", "true")
+    return register_dataset(spark, registry_root, name, path, reader.load(path), [], run_id, fmt=fmt, options=options)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -277,6 +317,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     reg.add_argument("--name", required=True)
     reg.add_argument("--path", required=True)
     reg.add_argument("--format", default="parquet")
+    reg.add_argument("--schema", dest="columns", help="DDL of the columns; without it a CSV is inferred once")
+    reg.add_argument("--option", action="append", default=[], help="read option, e.g. header=true")
     fz = sub.add_parser("featurize")
     fz.add_argument("--input", action="append", required=True)
     fz.add_argument("--output", required=True)
@@ -290,7 +332,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     fs.add_argument("--names", nargs=2, required=True)
     fs.add_argument("--label", required=True)
     fs.add_argument("--fit-on", choices=("train", "all"), default="train")
+    fs.add_argument("--feature-tables", nargs=2)
     for p in (fz, fs):
+        p.add_argument("--format", default="parquet")
+        p.add_argument("--mode", default="errorifexists", choices=("errorifexists", "overwrite"))
         p.add_argument("--recode", default="{}", help='JSON: {"Sex": {"male": 0, "female": 1}}')
         p.add_argument("--drop", default="")
         p.add_argument("--impute", default="")
@@ -328,15 +373,17 @@ def main(argv: Sequence[str] | None = None) -> None:
     if not a.registry:
         ap.error("--registry is required")
     if a.job == "register":
-        out = {"version": register_source(spark, a.registry, a.name, a.path, a.format, a.run_id)}
+        out = {"version": register_source(spark, a.registry, a.name, a.path, a.format, a.run_id, a.columns,
+                                          dict(o.split("=", 1) for o in a.option))}
     elif a.job == "featurize":
         out = run_featurize(spark, a.input, a.output, a.registry, a.name, json.loads(a.recode),
                             [c for c in a.drop.split(",") if c], [c for c in a.impute.split(",") if c],
-                            a.run_id, a.feature_table, a.unique_fast_path)
+                            a.run_id, a.feature_table, a.unique_fast_path, a.format, a.mode)
     elif a.job == "featurize_split":
         out = run_featurize_split(spark, a.input, a.output, a.registry, tuple(a.names), json.loads(a.recode),
                                   [c for c in a.drop.split(",") if c], [c for c in a.impute.split(",") if c],
-                                  a.label, run_id=a.run_id, fit_on=a.fit_on)
+                                  a.label, run_id=a.run_id, fit_on=a.fit_on, fmt=a.format, mode=a.mode,
+                                  feature_tables=tuple(a.feature_tables) if a.feature_tables else None)
     elif a.job == "lookup_split":
         out = run_lookup_split(spark, a.schema, a.output, a.registry, tuple(a.names), run_id=a.run_id)
     elif a.job == "select":

@@ -8,21 +8,22 @@ the correctness check.
 from __future__ import annotations
 
 SEED = 42
-NUL = "chr(0)"
-SEP = "chr(31)"
+SPACE = 1 << 60
 
 
-def h(text_sql: str) -> str:
-    """First 32 bits of md5(text) as BIGINT (twin of ``hash32``)."""
-    return f"('0x' || substr(md5({text_sql}), 1, 8))::BIGINT"
+def field(col: str) -> str:
+    """A field with its length in front; null is ``-1:``."""
+    text = f"CAST({col} AS VARCHAR)"
+    return f"coalesce(CAST(length({text}) AS VARCHAR) || ':' || {text}, '-1:')"
 
 
-def h_key(col: str) -> str:
-    return h(f"CAST({col} AS VARCHAR)")
+def h(purpose: str, col: str, seed: int = SEED) -> str:
+    """First 60 bits of md5(purpose/seed|field) as BIGINT (twin of ``hash60``)."""
+    return f"('0x' || substr(md5('{purpose}/{seed}|' || {field(col)}), 1, 15))::BIGINT"
 
 
-def h_seeded(col: str, seed: int = SEED) -> str:
-    return h(f"'{seed}:' || CAST({col} AS VARCHAR)")
+# Hash bound of a train share of 0.8 of (0.8 + 0.2).
+TRAIN = f"{h('split train=0.8,test=0.2', 'o_orderkey')} < {round(0.8 / (0.8 + 0.2) * SPACE)}"
 
 
 LINEITEM_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
@@ -37,8 +38,7 @@ ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_or
 
 
 def _text_of(cols: list[str]) -> str:
-    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), {NUL})" for c in cols)
-    return f"concat_ws({SEP}, {parts})"
+    return " || ".join(field(c) for c in cols)
 
 
 def _validate_sql(src: str, cols: list[tuple[str, str, bool]], label: str) -> str:
@@ -58,7 +58,7 @@ def _validate_sql(src: str, cols: list[tuple[str, str, bool]], label: str) -> st
 
 
 def _stratified() -> str:
-    hk = h_seeded("o_orderkey")
+    hk = h("stratified 0.2", "o_orderkey")
     return f"""
 SELECT o_orderkey, o_orderstatus,
        CASE WHEN rn <= floor(n * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split
@@ -78,12 +78,12 @@ DS = """(SELECT 'cust_' || CAST(o_custkey AS VARCHAR) AS name,
         o_orderkey, o_custkey, o_orderstatus
  FROM orders)"""
 
-# One model version per finished order: trained on that dataset version, tested on orders v1.
+# One model version per order: trained on that dataset version, tested on orders v1.
 MODELS = f"""(SELECT 'model_' || CAST(o_custkey AS VARCHAR) AS model_name,
         CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY registered_at, o_orderkey) AS INTEGER)
           AS model_version,
         name AS ds_name, version AS ds_version
- FROM {DS} WHERE o_orderstatus = 'F')"""
+ FROM {DS})"""
 
 ROLES = f"""(SELECT model_name, model_version, 'featurized training data' AS role,
         ds_name AS dataset_name, ds_version AS dataset_version FROM {MODELS}
@@ -136,7 +136,7 @@ FROM {DOCS_LABELS}""",
     "clean_features": f"""
 WITH g AS (
   SELECT o_orderkey, o_custkey, o_orderstatus,
-         CASE WHEN {h_key('o_orderkey')} % 10 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice,
+         CASE WHEN {h('gap', 'o_orderkey', 0)} % 10 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice,
          o_orderdate
   FROM {ORDERS_X3})
 SELECT o_orderkey, o_custkey,
@@ -148,7 +148,7 @@ FROM g""",
     "row_id": f"""
 WITH t AS (SELECT *, {_text_of(ORDERS_COLS)} AS txt FROM {ORDERS_X3})
 SELECT {', '.join(ORDERS_COLS)},
-       md5(txt || {SEP} || CAST(row_number() OVER (PARTITION BY txt) AS VARCHAR)) AS id
+       md5(txt || '#' || CAST(row_number() OVER (PARTITION BY txt) AS VARCHAR)) AS id
 FROM t""",
 
     "row_counts": """
@@ -212,7 +212,7 @@ SELECT
 FROM part""",
 
     "scale_with_train_stats": f"""
-WITH o AS (SELECT o_orderkey, o_totalprice, {h_seeded('o_orderkey')} % 10000 < 8000 AS is_train FROM orders),
+WITH o AS (SELECT o_orderkey, o_totalprice, {TRAIN} AS is_train FROM orders),
 st AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi, avg(o_totalprice) AS mu,
               stddev_pop(o_totalprice) AS sd FROM o WHERE is_train)
 SELECT o_orderkey, CASE WHEN is_train THEN 'train' ELSE 'test' END AS split,
@@ -223,10 +223,10 @@ FROM o, st""",
     "stratified_split": _stratified(),
 
     "hash_split": f"""
-SELECT o_orderkey, CASE WHEN {h_seeded('o_orderkey')} % 10000 < 8000 THEN 'train' ELSE 'test' END AS split
+SELECT o_orderkey, CASE WHEN {TRAIN} THEN 'train' ELSE 'test' END AS split
 FROM orders""",
 
-    "kfold_assign": f"SELECT o_orderkey, CAST({h_seeded('o_orderkey')} % 5 AS INTEGER) AS fold FROM orders",
+    "kfold_assign": f"SELECT o_orderkey, CAST({h('fold 5', 'o_orderkey')} % 5 AS INTEGER) AS fold FROM orders",
 
     "relative_path": """
 SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN split_part(url, '://', 2) END AS rel_path FROM pages""",
@@ -243,6 +243,9 @@ SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN split_part(url, '://', 2)
     "table_append": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
     "feature_table_write": """
 SELECT p_partkey, p_size, p_retailprice, round(p_retailprice / p_size, 6) AS p_price_per_size FROM part""",
+    "feature_table_append": """
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_size, p.p_retailprice
+FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey""",
     "feature_table_register": """
 SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey, s.s_acctbal, s.s_nationkey
 FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey""",
@@ -253,14 +256,14 @@ FROM customer LEFT JOIN (VALUES ('AUTOMOBILE', 0), ('BUILDING', 1), ('FURNITURE'
   ON c_mktsegment = v.segment""",
     "synth_table": f"""
 SELECT c_custkey AS id,
-       CAST(20 + {h("'42/age:' || CAST(c_custkey AS VARCHAR)")} % 81 AS INTEGER) AS age,
-       CAST(10000 * (1 + {h("'42/salary:' || CAST(c_custkey AS VARCHAR)")} % 19) AS INTEGER) AS salary
+       CAST(20 + {h('column age', 'c_custkey')} % 81 AS INTEGER) AS age,
+       CAST(10000 * (1 + {h('column salary', 'c_custkey')} % 19) AS INTEGER) AS salary
 FROM customer""",
     "synth_ground_truth": f"""
 SELECT o_orderkey AS gt_id,
-       CAST(c.lo + {h("'42/customer:' || CAST(o_orderkey AS VARCHAR)")} % (c.hi - c.lo + 1) AS INTEGER) AS customer,
-       CAST(s.lo + {h("'42/network:' || CAST(o_orderkey AS VARCHAR)")} % (s.hi - s.lo + 1) AS INTEGER) AS network,
-       {h("'42/label:' || CAST(o_orderkey AS VARCHAR)")} % 2 = 1 AS label
+       CAST(c.lo + {h('column customer', 'o_orderkey')} % (c.hi - c.lo + 1) AS INTEGER) AS customer,
+       CAST(s.lo + {h('column network', 'o_orderkey')} % (s.hi - s.lo + 1) AS INTEGER) AS network,
+       {h('column label', 'o_orderkey')} % 2 = 1 AS label
 FROM orders,
      (SELECT min(c_custkey) AS lo, max(c_custkey) AS hi FROM customer) c,
      (SELECT min(s_suppkey) AS lo, max(s_suppkey) AS hi FROM supplier) s""",

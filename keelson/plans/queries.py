@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.functions.hashing import hash32
+from keelson.functions.hashing import hash60, keyed_text
 from keelson.functions.text import format_timestamp, relative_path
 from keelson.operators import clean, model, profile, registry, rowid, scale, split
 from keelson.operators.keys import pk_violations
@@ -119,7 +119,7 @@ def q_impute_mean(spark, root):
 def orders_with_gaps(spark: SparkSession, root: str) -> DataFrame:
     """orders x3 with o_totalprice missing on about a tenth of the keys."""
     union = clean.union_by_name(orders_x3(spark, root))
-    gap = F.pmod(hash32("o_orderkey"), F.lit(10)) == 0
+    gap = F.pmod(hash60(keyed_text(union, ["o_orderkey"], "gap")), F.lit(10)) == 0
     return union.withColumn("o_totalprice", F.when(gap, F.lit(None).cast("double"))
                             .otherwise(F.col("o_totalprice")))
 
@@ -313,6 +313,20 @@ def q_feature_table_write(spark, root):
     return spark.table(name)
 
 
+def q_feature_table_append(spark, root):
+    """Rows appended in two key-disjoint parts, then looked up from lineitem."""
+    db = _demo_schema(spark)
+    name = f"{db}.part_appended"
+    part = read_table(spark, root, "part").select(*PART_FEATURES)
+    tables.drop_table(spark, name)
+    tables.create_feature_table(spark, name, "p_partkey", part.schema, "Part features",
+                                location=scratch_dir(spark, "part-appended"))
+    tables.write_feature_table(spark, name, part.filter("p_size <= 25"))
+    tables.write_feature_table(spark, name, part.filter("p_size > 25 or p_size is null"), mode="append")
+    base = read_table(spark, root, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return training_set(base, [FeatureLookup(name, ["p_size", "p_retailprice"], "l_partkey")])
+
+
 def q_feature_table_register(spark, root):
     db = _demo_schema(spark)
     name = f"{db}.supplier_features"
@@ -354,37 +368,42 @@ def q_synth_ground_truth(spark, root):
 
 # ---------------------------------------------------------------- registry and lineage
 
-def _registry(spark, root):
-    """The registry tables, materialised once like the stored tables they stand for.
+def _datasets(spark, root):
+    """The dataset registry, materialised once like the stored table it stands for.
 
-    Both lineage tables feed several joins; checkpointing them to the shared
-    folder means every consumer reads them instead of re-deriving the
-    versions (adaptive execution does not share exchanges across branches).
+    It feeds several joins; checkpointing it to the shared folder means every
+    consumer reads it instead of re-deriving the versions (adaptive
+    execution does not share exchanges across branches).
     """
     orders = read_table(spark, root, "orders")
-    largest = registry_data.most_orders_per_customer(orders)
     checkpoint_root(spark)
-    ds = registry_data.registered_datasets(orders, largest).checkpoint(eager=True)
+    largest = registry_data.most_orders_per_customer(orders)
+    return registry_data.registered_datasets(orders, largest).checkpoint(eager=True), largest
+
+
+def _registry(spark, root):
+    """Both registry tables, for the queries that read models."""
+    ds, largest = _datasets(spark, root)
     return ds, registry_data.registered_models(ds, largest).checkpoint(eager=True)
 
 
 def q_register_versions(spark, root):
-    ds, _ = _registry(spark, root)
+    ds, _ = _datasets(spark, root)
     return ds.select("name", "version", "run_id", "registered_at")
 
 
 def q_latest_version(spark, root):
-    ds, _ = _registry(spark, root)
+    ds, _ = _datasets(spark, root)
     return registry.latest_versions(ds)
 
 
 def q_lineage_inputs(spark, root):
-    ds, _ = _registry(spark, root)
+    ds, _ = _datasets(spark, root)
     return registry.lineage_inputs(ds)
 
 
 def q_schema_fields(spark, root):
-    ds, _ = _registry(spark, root)
+    ds, _ = _datasets(spark, root)
     return registry.field_rows(ds)
 
 
@@ -457,29 +476,29 @@ def q_logreg_score(spark, root):
     return model.score(fitted, test, keep=ML_KEY + ["label"])
 
 
-_CV_RUNS: dict[tuple[str, str], tuple] = {}
-
-
 def _cv(spark, root):
-    """One model-selection run; its two outputs (L5) are two queries."""
-    memo = (spark.sparkContext.applicationId, root)
-    if memo not in _CV_RUNS:
-        train, _, feats, checked = ml_frames(spark, root)
-        n = checked[0]
-        grid = [{"regParam": 1.0 / n}, {"regParam": 100.0 / n}]
-        _CV_RUNS[memo] = (model.cross_validate(train, feats, "label", ML_KEY, grid, folds=FOLDS, seed=SEED,
-                                               parallelism=2), feats)
-    return _CV_RUNS[memo]
+    """One model-selection run: best model, metrics and feature names."""
+    train, _, feats, checked = ml_frames(spark, root)
+    n = checked[0]
+    grid = [{"regParam": 1.0 / n}, {"regParam": 100.0 / n}]
+    best, metrics = model.cross_validate(train, feats, "label", ML_KEY, grid, folds=FOLDS, seed=SEED, parallelism=2)
+    return best, metrics, feats
 
 
 def q_cv_select(spark, root):
-    (best, _), feats = _cv(spark, root)
+    best, _, feats = _cv(spark, root)
     return model.coefficient_frame(spark, best, feats)
 
 
 def q_cv_metrics(spark, root):
-    (_, metrics), _ = _cv(spark, root)
-    return metrics
+    return _cv(spark, root)[1]
+
+
+def q_model_save_load(spark, root):
+    """Scores of a model read back from where it was saved."""
+    train, test, feats, checked = ml_frames(spark, root)
+    path = model.save_model(model.fit_logreg(train, feats, "label", checked=checked), scratch_dir(spark, "model"))
+    return model.score(model.load_model(path), test, keep=ML_KEY + ["label"])
 
 
 def q_auc_by_rank(spark, root):
@@ -543,4 +562,6 @@ QUERIES: dict[str, Query] = {
     "logreg_score": q_logreg_score,
     "cv_select": q_cv_select,
     "cv_metrics": q_cv_metrics,
+    "model_save_load": q_model_save_load,
+    "feature_table_append": q_feature_table_append,
 }

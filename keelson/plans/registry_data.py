@@ -1,7 +1,7 @@
 """Registry contents derived from ``orders``, for the lineage queries.
 
 Each order stands for one registration of the dataset ``cust_<o_custkey>``
-made at ``o_orderdate``; every finished order (status F) also registers a
+made at ``o_orderdate``, and registers a
 model version ``model_<o_custkey>`` trained on that dataset version. The
 registry therefore grows with the data, and the lineage queries are real
 joins over it.
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.operators import registry as reg
+from keelson.session import checkpoint_root
 
 ORDERS_FIELDS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
                  ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"),
@@ -54,21 +55,22 @@ def registered_datasets(orders: DataFrame, largest: int | None = None) -> DataFr
     """D1 in two batches: everything before the cut date, then the rest."""
     req = dataset_requests(orders)
     order = ("registered_at", "o_orderkey")
+    checkpoint_root(orders.sparkSession)
     first = reg.assign_versions(reg.empty_datasets(orders.sparkSession),
-                                req.where(F.col("registered_at") < F.lit(FIRST_BATCH_BEFORE)), order, largest)
+                                req.where(F.col("registered_at") < F.lit(FIRST_BATCH_BEFORE)), order,
+                                largest).checkpoint(eager=True)
     second = reg.assign_versions(first, req.where(F.col("registered_at") >= F.lit(FIRST_BATCH_BEFORE)),
                                  order, largest)
     return with_inputs(first.unionByName(second))
 
 
 def registered_models(datasets: DataFrame, largest: int | None = None) -> DataFrame:
-    """One model version per finished order, trained on that dataset version."""
-    done = datasets.where(F.col("o_orderstatus") == F.lit("F"))
+    """One model version per order, trained on that dataset version."""
     name = F.concat(F.lit("model_"), F.col("o_custkey").cast("string"))
     roles = F.array(
         F.struct(F.lit(reg.ROLE_TRAIN).alias("role"), F.col("name").alias("name"), F.col("version").alias("version")),
         F.struct(F.lit(reg.ROLE_TEST).alias("role"), F.lit("orders").alias("name"), F.lit(1).alias("version")))
-    req = done.select(name.alias("name"), F.lit(None).cast("int").alias("version"),
+    req = datasets.select(name.alias("name"), F.lit(None).cast("int").alias("version"),
                       F.lit("classification model").alias("description"),
                       F.concat(F.lit("/models/"), name, F.lit("/"), F.col("o_orderkey").cast("string")).alias("path"),
                       roles.alias("datasets"), F.col("run_id"), F.col("registered_at"), "o_orderkey")

@@ -45,13 +45,20 @@ def write_split(df: DataFrame, path: str, sides: Sequence[str] = ("train", "test
     The split column becomes the folder name (``<path>/split=train``), so the
     plan that produced the split (joins, hashing) runs once instead of once per
     output, and nothing has to be cached. Returns side -> folder. A side with
-    no rows has no folder.
+    no rows gets a folder with an empty file of the same columns.
     """
     w = df.write.mode(mode).format(fmt).partitionBy(split_col)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     w.save(path)
-    return {s: f"{path.rstrip('/')}/{split_col}={s}" for s in sides}
+    folders = {s: f"{path.rstrip('/')}/{split_col}={s}" for s in sides}
+    spark = df.sparkSession
+    for folder in folders.values():
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+            empty = spark.createDataFrame([], df.drop(split_col).schema)
+            empty.coalesce(1).write.format(fmt).save(folder)
+    return folders
 
 
 def write_pair(train: DataFrame, test: DataFrame, train_path: str, test_path: str,

@@ -5,13 +5,12 @@ its primary key (table property ``primary_keys``, comma-separated) and a
 description (the table comment). The key contract (see ``keys``) is checked
 whenever rows are written or a table is adopted, so lookups can trust it.
 
-Writes go through the session catalog with the DataFrame writer. Two quirks of
-file-based catalog tables shape the code:
-
-* ``saveAsTable(mode="overwrite")`` replaces the schema but drops table
-  properties, so the properties are set again afterwards;
-* ``insertInto`` matches columns by position, so the frame is first put in the
-  table's column order by name.
+Writes go through the session catalog with the DataFrame writer. New rows are
+first written to the shared scratch folder: the input is computed once, its
+key is checked on what was written, and a table can be rewritten from its own
+rows. A new schema replaces the table at its own location, with its comment,
+format and properties. ``insertInto`` matches columns by position, so the frame is
+put in the table's column order by name.
 """
 
 from __future__ import annotations
@@ -21,10 +20,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from keelson.operators.keys import assert_primary_key
-from keelson.session import checkpoint_root
+from keelson.operators.keys import PrimaryKeyError, assert_primary_key
+from keelson.session import scratch_dir
 
 PK_PROPERTY = "primary_keys"
+# Properties that the catalog keeps for itself.
+_OWN_PROPERTIES = ("spark.sql.", "transient_", "EXTERNAL", "TRANSLATED_TO_EXTERNAL", "numFiles", "totalSize", "bucketing_version")
 
 
 def quote_name(name: str) -> str:
@@ -126,33 +127,67 @@ def _same_schema(a: StructType, b: StructType) -> bool:
         sorted((f.name, f.dataType.simpleString()) for f in b.fields)
 
 
+def _staged(df: DataFrame) -> tuple[DataFrame, str]:
+    path = scratch_dir(df.sparkSession, "staged")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _drop_staged(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def assert_new_keys(spark: SparkSession, name: str, df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if appending ``df`` would break the table's key: in itself or with the rows there."""
+    assert_primary_key(df, keys, name=name)
+    known = df.select(*keys).join(spark.table(name).select(*keys), list(keys), "left_semi")
+    hit = known.take(3)
+    if hit:
+        raise PrimaryKeyError(f"{name}: keys to append are in the table already, e.g. {', '.join(str(tuple(r)) for r in hit)}")
+
+
 def write_feature_table(spark: SparkSession, name: str, df: DataFrame, mode: str = "overwrite",
                         check_keys: bool = True) -> None:
     """K4: write rows into a feature table after checking its key.
 
-    Same schema: the rows replace (or extend) the table's rows and the key and
-    description stay as they are. A new schema with ``mode="overwrite"``
-    replaces the table, then the key and description are set again.
+    Same schema: the rows replace the table's rows, or extend them if no key is
+    there yet. A new schema with ``mode="overwrite"`` replaces the table where
+    it is, with its key, description and other properties.
     """
+    if mode not in ("overwrite", "append"):
+        raise ValueError("mode must be 'overwrite' or 'append'")
     keys = table_primary_keys(spark, name)
     if not keys:
         raise ValueError(f"{name} is not a feature table (no {PK_PROPERTY} property)")
-    if mode == "overwrite" and set(df.inputFiles()) & set(spark.table(name).inputFiles()):
-        # The new rows are computed from the table itself: Spark refuses to
-        # overwrite what the plan reads, so cut the lineage at a checkpoint in
-        # the shared folder first.
-        checkpoint_root(spark)
-        df = df.checkpoint(eager=True)
-    if check_keys:
-        assert_primary_key(df, keys, name=name)
-    if _same_schema(spark.table(name).schema, df.schema):
-        _in_table_order(spark, name, df).write.insertInto(quote_name(name), overwrite=(mode == "overwrite"))
-        return
-    if mode != "overwrite":
+    same = _same_schema(spark.table(name).schema, df.schema)
+    if not same and mode != "overwrite":
         raise ValueError(f"schema of the frame differs from {name}; only mode='overwrite' may replace it")
-    comment = table_comment(spark, name)
-    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
-    set_feature_metadata(spark, name, keys, comment)
+    rows, staged = _staged(df)
+    try:
+        if mode == "append":
+            assert_new_keys(spark, name, rows, keys)
+        elif check_keys:
+            assert_primary_key(rows, keys, name=name)
+        if not same:
+            _replace_schema(spark, name, df.schema)
+        _in_table_order(spark, name, rows).write.insertInto(quote_name(name), overwrite=(mode == "overwrite"))
+    finally:
+        _drop_staged(spark, staged)
+
+
+def _replace_schema(spark: SparkSession, name: str, schema: StructType) -> None:
+    """The same table with other columns: location, format, comment and properties stay.
+
+    The rows at the location are left for the write that follows to replace.
+    """
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(name)}").collect()}
+    properties = {k: v for k, v in table_properties(spark, name).items() if not k.startswith(_OWN_PROPERTIES)}
+    external = facts.get("Type") == "EXTERNAL"
+    spark.catalog.refreshTable(name)
+    drop_table(spark, name)
+    create_table(spark, name, schema, comment=facts.get("Comment"), properties=properties,
+                 location=facts.get("Location") if external else None, fmt=facts.get("Provider", "parquet"))
 
 
 def register_feature_table(spark: SparkSession, name: str, primary_keys: str | Sequence[str],
@@ -164,7 +199,11 @@ def register_feature_table(spark: SparkSession, name: str, primary_keys: str | S
 
 
 def append_rows(spark: SparkSession, name: str, df: DataFrame) -> None:
-    """K7: append rows, matching columns by name."""
+    """K7: append rows, matching columns by name; a feature table's key is checked."""
+    keys = table_primary_keys(spark, name)
+    if keys:
+        write_feature_table(spark, name, df, mode="append")
+        return
     _in_table_order(spark, name, df).write.insertInto(quote_name(name), overwrite=False)
 
 

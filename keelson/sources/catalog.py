@@ -8,6 +8,10 @@ from keelson.operators.registry import resolve_dataset
 from keelson.sinks.tables import quote_name
 
 
+# Formats whose files do not say their column types.
+TEXT_FORMATS = ("csv", "json")
+
+
 def scan_table(spark: SparkSession, name: str, database: str | None = None) -> DataFrame:
     """Every column of a catalog table, by (optionally schema-qualified) name."""
     full = f"{database}.{name}" if database and "." not in name else name
@@ -18,8 +22,12 @@ def scan_registered(spark: SparkSession, registry: DataFrame, name: str,
                     version: int | None = None) -> DataFrame:
     """The rows of a registered dataset, latest version unless given.
 
-    The registry lookup returns one row (path and format); the data itself is
-    scanned lazily like any other source.
+    The registry lookup returns one row (path, format, options, columns); the
+    data itself is scanned lazily like any other source. Text formats are read
+    with the columns recorded at registration, so a later read infers nothing.
     """
     entry = resolve_dataset(registry, name, version)
-    return spark.read.format(entry["format"]).load(entry["path"])
+    reader = spark.read.format(entry["format"]).options(**(entry["options"] or {}))
+    if entry["format"] in TEXT_FORMATS:
+        reader = reader.schema(", ".join(f"`{f['name']}` {f['type']}" for f in entry["fields"]))
+    return reader.load(entry["path"])

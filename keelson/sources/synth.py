@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from keelson.functions.hashing import hash32
+from keelson.functions.hashing import hash60, keyed_text
 from keelson.functions.literal import literal_frame
 
 
@@ -31,6 +31,11 @@ def values_source(spark: SparkSession, rows: Sequence[Sequence[object]],
     return literal_frame(spark, list(rows), st)
 
 
+def _fitting(expr: Column, lo: int, hi: int) -> Column:
+    """``int`` if every value fits one, else ``bigint`` (which the hash fills to 2**60 values)."""
+    return expr.cast("int" if -(1 << 31) <= lo and hi < 1 << 31 else "bigint")
+
+
 @dataclass(frozen=True)
 class UniformInt:
     """Uniform integer in the closed range [lo, hi]."""
@@ -38,7 +43,8 @@ class UniformInt:
     hi: int
 
     def expr(self, h: Column) -> Column:
-        return (F.lit(self.lo) + F.pmod(h, F.lit(self.hi - self.lo + 1))).cast("int")
+        drawn = F.lit(self.lo).cast("bigint") + F.pmod(h, F.lit(self.hi - self.lo + 1).cast("bigint"))
+        return _fitting(drawn, self.lo, self.hi)
 
 
 @dataclass(frozen=True)
@@ -59,8 +65,9 @@ class Stepped:
     last: int
 
     def expr(self, h: Column) -> Column:
-        k = F.lit(self.first) + F.pmod(h, F.lit(self.last - self.first + 1))
-        return (F.lit(self.step) * k).cast("int")
+        k = F.lit(self.first).cast("bigint") + F.pmod(h, F.lit(self.last - self.first + 1).cast("bigint"))
+        ends = sorted((self.step * self.first, self.step * self.last))
+        return _fitting(F.lit(self.step).cast("bigint") * k, *ends)
 
 
 @dataclass(frozen=True)
@@ -74,8 +81,8 @@ class Coin:
 Generator = UniformInt | Choice | Stepped | Coin
 
 
-def draw(key: Column | str, column: str, gen: Generator, seed: int = 42) -> Column:
-    return gen.expr(hash32(key, seed=f"{seed}/{column}"))
+def draw(df: DataFrame, key: str, column: str, gen: Generator, seed: int = 42) -> Column:
+    return gen.expr(hash60(keyed_text(df, [key], f"column {column}", seed)))
 
 
 def synth_table(keys: DataFrame, key: str, columns: Mapping[str, Generator], seed: int = 42,
@@ -83,7 +90,7 @@ def synth_table(keys: DataFrame, key: str, columns: Mapping[str, Generator], see
     """One row per key of ``keys``, each column drawn by its generator."""
     out = keys.select(F.col(key).alias(key_alias or key))
     k = key_alias or key
-    return out.select(k, *[draw(k, name, gen, seed).alias(name) for name, gen in columns.items()])
+    return out.select(k, *[draw(out, k, name, gen, seed).alias(name) for name, gen in columns.items()])
 
 
 def synth_range(spark: SparkSession, n: int, key: str, columns: Mapping[str, Generator],

@@ -29,7 +29,28 @@ def test_recode_listed_values_and_unlisted_handling(spark):
     assert got == [0, None]
 
 
-def test_large_dictionary_uses_map_lookup(spark):
+@pytest.mark.parametrize("size", [16, 17])
+def test_dictionary_size_changes_nothing(spark, size):
+    mapping = {f"v{i}": i for i in range(size)} | {"v3": None}
+    df = spark.createDataFrame([("v3",), ("v7",), (None,)], "c string")
+    assert [r.c for r in clean.recode_values(df, "c", mapping).collect()] == [None, 7, None]
+    numbers = spark.createDataFrame([("3",), ("7",)], "c string")
+    assert [r.c for r in clean.recode_values(numbers, "c", {i: i * 10 for i in range(size)}).collect()] == [30, 70]
+
+
+def test_unlisted_values_can_stay(spark):
+    df = spark.createDataFrame([("male",), ("other",), (None,)], "c string")
+    got = [r.c for r in clean.recode_values(df, "c", {"male": "m"}, unlisted="keep", out_type="string").collect()]
+    assert got == ["m", "other", None]
+
+
+def test_recode_and_impute_of_one_column(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (None, None)], "x int, s string")
+    out = clean.clean_features(df, recode={"x": {1: 10, 2: 20}, "s": {"a": 1, "b": 4}}, impute=["x", "s"])
+    assert [tuple(r) for r in out.collect()] == [(10.0, 1.0), (20.0, 4.0), (15.0, 2.5)]
+
+
+def test_large_dictionary(spark):
     mapping = {f"v{i}": i for i in range(100)}
     df = spark.createDataFrame([("v7",), ("v99",), ("zz",)], "c string")
     got = [r.c for r in clean.recode_values(df, "c", mapping, unlisted="null").collect()]

@@ -4,23 +4,23 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from keelson.functions.hashing import hash32
+from keelson.functions.hashing import hash60, keyed_text
 from keelson.functions.text import format_timestamp, name_version, relative_path
 from keelson.session import scratch_dir
 from keelson.sources.files import scan_csv
 
 
-def _py_hash32(text: str) -> int:
-    return int(hashlib.md5(text.encode()).hexdigest()[:8], 16)
+def _py_hash60(text: str) -> int:
+    return int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
 
 
-def test_hash32_is_the_first_32_bits_of_md5(spark):
-    df = spark.createDataFrame([(0,), (42,), (123456789012,)], "k bigint")
-    got = {r.k: (r.h, r.hs) for r in df.select("k", hash32("k").alias("h"),
-                                                  hash32("k", seed=42).alias("hs")).collect()}
-    for k, (h, hs) in got.items():
-        assert h == _py_hash32(str(k)) and hs == _py_hash32(f"42:{k}")
-        assert 0 <= h < 2 ** 32
+def test_hash60_is_the_first_60_bits_of_md5(spark):
+    df = spark.createDataFrame([(0, "a"), (42, None), (123456789012, "")], "k bigint, s string")
+    got = df.select("k", "s", hash60(keyed_text(df, ["k", "s"], "test", 7)).alias("h")).collect()
+    for r in got:
+        fields = f"{len(str(r.k))}:{r.k}" + ("-1:" if r.s is None else f"{len(r.s)}:{r.s}")
+        assert r.h == _py_hash60(f"test/7|{fields}")
+        assert 0 <= r.h < 2 ** 60
 
 
 def test_text_helpers(spark):

@@ -65,3 +65,9 @@ def test_cross_validation_picks_best_candidate(spark):
     rows = metrics.orderBy("candidate").collect()
     assert len(rows) == 2 and sum(r.best for r in rows) == 1
     assert rows[0].mean_auc >= rows[1].mean_auc - 1e-9 or rows[1].best
+
+
+def test_three_classes_are_refused(spark):
+    df = spark.createDataFrame([(float(i), i % 3) for i in range(30)], "x double, y int")
+    with pytest.raises(ValueError, match="binary"):
+        model.fit_logreg(df, ["x"], "y")

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from keelson.plans.queries import QUERIES
 from keelson.sources.files import TABLES, table_path
 from tools.check_oracle import normalise, value_hash
 
@@ -22,7 +23,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     if name in SKIP:
         pytest.skip("slow; model selection is tested in test_model")

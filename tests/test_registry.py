@@ -36,3 +36,27 @@ def test_versions_lineage_and_scan(spark):
 
 def test_empty_registry_reads_empty(spark):
     assert reg.read_registry(spark, scratch_dir(spark, "nothing"), reg.DATASET_SCHEMA).count() == 0
+
+
+def test_half_of_the_roles_name_one_dataset(spark):
+    n = 400
+    ds = spark.createDataFrame([(f"d{i}", 1) for i in range(n)] + [("shared", 1)], "name string, version int")
+    ds = ds.selectExpr("name", "version", "concat('/p/', name) as path", "'r' as run_id")
+    models = spark.range(n).selectExpr("concat('m', id) as name", "1 as version", """array(
+        named_struct('role', 'train', 'name', concat('d', id), 'version', 1),
+        named_struct('role', 'test', 'name', 'shared', 'version', 1),
+        named_struct('role', 'old', 'name', 'gone', 'version', 1)) as datasets""")
+    got = reg.model_datasets(models, ds).collect()
+    assert len(got) == 3 * n
+    assert {r.dataset_path for r in got if r.role == "test"} == {"/p/shared"}
+    assert all(r.dataset_path == f"/p/{r.dataset_name}" for r in got if r.role == "train")
+    assert {r.dataset_path for r in got if r.role == "old"} == {None}
+    assert reg.dataset_models(models, ds).count() == 2 * n
+
+
+def test_broken_registry_is_not_read_as_empty(spark):
+    path = scratch_dir(spark, "broken")
+    spark.range(1).write.parquet(path)
+    import pytest
+    with pytest.raises(Exception):
+        reg.read_registry(spark, path, "name string, version nonsense").count()

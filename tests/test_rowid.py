@@ -47,15 +47,31 @@ def test_ids_follow_the_documented_formula(spark):
     import hashlib
     from collections import defaultdict
 
-    from keelson.functions.hashing import FIELD_SEP, NULL_MARK
-
     rows = [(1, "a"), (1, "a"), (None, "b"), (2, None), (1, "a")]
     df = spark.createDataFrame(rows, "x int, y string")
     seen = defaultdict(int)
     want = []
     for r in rows:
-        text = FIELD_SEP.join(NULL_MARK if v is None else str(v) for v in r)
+        text = "".join("-1:" if v is None else f"{len(str(v))}:{v}" for v in r)
         seen[text] += 1
-        want.append((r, hashlib.md5(f"{text}{FIELD_SEP}{seen[text]}".encode()).hexdigest()))
+        want.append((r, hashlib.md5(f"{text}#{seen[text]}".encode()).hexdigest()))
     got = [((r.x, r.y), r.id) for r in add_row_id(df).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_ids_do_not_collide_on_separators_or_nulls(spark):
+    rows = [(None, "a"), ("\u0000", "a"), ("x\u001fy", "z"), ("x", "y\u001fz"), ("-1:", "a"), ("", "a"), ("1:a", ""), ("1", ":a")]
+    ids = [r.id for r in add_row_id(spark.createDataFrame(rows, "x string, y string")).collect()]
+    assert len(set(ids)) == len(rows)
+
+
+def test_ids_do_not_depend_on_the_session_time_zone(spark):
+    df = spark.sql("select timestamp_micros(1700000000123456 + id * 3600000000) as t, id from range(5)")
+    got = []
+    for zone in ("UTC", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got.append(sorted((r.n, r.id) for r in add_row_id(df.withColumnRenamed("id", "n")).select("n", "id").collect()))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got[0] == got[1]

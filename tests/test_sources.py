@@ -29,3 +29,13 @@ def test_values_source_is_a_local_relation(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ExistingRDD" not in plan
     assert df.where(F.col("v") > 1).count() == 1
+
+
+def test_wide_generator_ranges(spark):
+    from keelson.sources import synth
+    df = synth.synth_range(spark, 20_000, "k", {"wide": synth.UniformInt(0, 6_000_000_000), "step": synth.Stepped(1_000_000, 1, 9_000),
+                                                "small": synth.UniformInt(20, 100)})
+    types = dict(df.dtypes)
+    assert (types["wide"], types["step"], types["small"]) == ("bigint", "bigint", "int")
+    top = df.selectExpr("max(wide) w", "max(step) s").first()
+    assert 4_500_000_000 < top.w <= 6_000_000_000 and top.s > 1 << 32

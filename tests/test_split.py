@@ -59,7 +59,7 @@ def test_hash_split_and_folds_are_partition_independent(spark):
     assert train.count() + test.count() == 20000
 
 
-def test_sort_based_rank_in_cut_bucket_gives_same_split(spark, monkeypatch):
+def test_same_split_whatever_the_rank_strategy(spark, monkeypatch):
     from keelson.operators import rank
     df = spark.range(4000).select(F.col("id"), (F.col("id") % 2).alias("y"))
     want = sorted((r.id, r.split) for r in split.stratified_split(df, "y", "id").collect())
@@ -68,8 +68,36 @@ def test_sort_based_rank_in_cut_bucket_gives_same_split(spark, monkeypatch):
     assert got == want
 
 
-def test_many_classes_use_a_shipped_cut_table(spark):
+def test_many_small_classes(spark):
     df = spark.range(3000).select("id", (F.col("id") % 600).alias("y"))  # 600 classes of 5 rows
     out = split.stratified_split(df, "y", "id")
     sizes = Counter(r.y for r in out.where(F.col("split") == "test").collect())
     assert sum(sizes.values()) == 600 and set(sizes.values()) == {1}
+
+
+def test_small_hold_out_has_its_share(spark):
+    df = spark.range(2_000_000)
+    out = split.hash_split(df, "id", (0.99996, 0.00004))
+    assert 45 < out.where(F.col("split") == "test").count() < 125
+
+
+def test_nested_split_is_independent(spark):
+    train = split.hash_split(spark.range(40_000), "id", (0.8, 0.2)).where(F.col("split") == "train").drop("split")
+    n = train.count()
+    test = split.hash_split(train, "id", (0.75, 0.25)).where(F.col("split") == "test").count()
+    assert 0.23 * n < test < 0.27 * n
+
+
+def test_copies_of_one_key_straddle_the_threshold(spark):
+    df = spark.createDataFrame([(1, "a", i % 3) for i in range(100)] + [(i, "b", 0) for i in range(50)], "id int, y string, z int")
+    for n in (1, 5):
+        out = split.stratified_split(df.repartition(n), "y", "id", 0.3)
+        assert out.count() == 150
+        sizes = Counter(r.y for r in out.where(F.col("split") == "test").collect())
+        assert sizes == Counter({"a": 30, "b": 15})
+
+
+def test_more_classes_than_any_table_is_shipped_for(spark):
+    df = spark.range(21_000).select("id", (F.col("id") % 10_500).alias("y"))
+    out = split.stratified_split(df, "y", "id", 0.5)
+    assert out.where(F.col("split") == "test").groupBy("y").count().where("count = 1").count() == 10_500

@@ -85,3 +85,43 @@ def test_feature_table_can_be_rewritten_from_itself(spark, db):
     tables.write_feature_table(spark, name, spark.table(name).withColumn("y", F.col("x") + 1))
     assert sorted(map(tuple, spark.table(name).collect())) == [(1, 20.0, 21.0), (2, 40.0, 41.0)]
     assert tables.table_primary_keys(spark, name) == ["id"]
+
+
+def test_append_keeps_the_key_contract(spark, db):
+    name = f"{db}.appended"
+    df = spark.createDataFrame([(1, 10.0), (2, 20.0)], "id int, x double")
+    tables.drop_table(spark, name)
+    tables.create_feature_table(spark, name, "id", df.schema, location=scratch_dir(spark, "appended"))
+    tables.write_feature_table(spark, name, df)
+    more = spark.createDataFrame([(3, 30.0)], "id int, x double")
+    tables.append_rows(spark, name, more)
+    for write in (lambda d: tables.append_rows(spark, name, d), lambda d: tables.write_feature_table(spark, name, d, mode="append")):
+        for bad in (df.limit(1), more.withColumn("id", F.lit(9)).unionByName(more.withColumn("id", F.lit(9)))):
+            with pytest.raises(PrimaryKeyError):
+                write(bad)
+    base = spark.createDataFrame([(1,), (3,), (7,)], "id int")
+    assert sorted(map(tuple, lookup(base, FeatureLookup(name, ["x"], "id")).collect()), key=str) == [(1, 10.0), (3, 30.0), (7, None)]
+
+
+def test_schema_change_keeps_location_properties_and_description(spark, db):
+    name, where = f"{db}.wider", scratch_dir(spark, "wider")
+    df = spark.createDataFrame([(1, 10.0)], "id int, x double")
+    tables.drop_table(spark, name)
+    tables.create_feature_table(spark, name, "id", df.schema, "the words", location=where)
+    spark.sql(f"ALTER TABLE {tables.quote_name(name)} SET TBLPROPERTIES ('owner_team' = 'features')")
+    tables.write_feature_table(spark, name, df)
+    before = tables.table_location(spark, name)
+    tables.write_feature_table(spark, name, df.withColumn("y", F.col("x") + 1))
+    assert tables.table_location(spark, name) == before
+    assert tables.table_comment(spark, name) == "the words"
+    assert tables.table_properties(spark, name)["owner_team"] == "features"
+    assert tables.table_primary_keys(spark, name) == ["id"]
+    assert [tuple(r) for r in spark.table(name).collect()] == [(1, 10.0, 11.0)]
+    assert [tuple(r) for r in spark.read.parquet(where).select("id", "x", "y").collect()] == [(1, 10.0, 11.0)]
+
+
+def test_empty_side_of_a_split_can_be_read(spark):
+    df = spark.range(3).withColumn("split", F.lit("train"))
+    paths = files.write_split(df, scratch_dir(spark, "one-sided"))
+    assert spark.read.parquet(paths["test"]).count() == 0
+    assert spark.read.parquet(paths["test"]).columns == ["id"]
