@@ -35,10 +35,14 @@ LABEL = "__label"
 SCORE = "score"
 
 
-def _estimator(features: Sequence[str], reg_param: float, max_iter: int = 100) -> Pipeline:
+# Relative change of the loss at which the optimiser stops.
+TOLERANCE = 1e-6
+
+
+def _estimator(features: Sequence[str], reg_param: float, max_iter: int = 100, tol: float = TOLERANCE) -> Pipeline:
     assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="error")
     lr = LogisticRegression(featuresCol=FEATURES, labelCol=LABEL, regParam=reg_param, elasticNetParam=0.0,
-                            standardization=False, fitIntercept=True, maxIter=max_iter, tol=1e-6)
+                            standardization=False, fitIntercept=True, maxIter=max_iter, tol=tol)
     return Pipeline(stages=[assembler, lr])
 
 
@@ -47,7 +51,8 @@ def _with_label(df: DataFrame, label: str) -> DataFrame:
 
 
 def fit_logreg(df: DataFrame, features: Sequence[str], label: str, C: float = 1.0,
-               max_iter: int = 100, checked: tuple[int, int] | None = None) -> PipelineModel:
+               max_iter: int = 100, checked: tuple[int, int] | None = None,
+               tol: float = TOLERANCE) -> PipelineModel:
     """L1: fit on every row of ``df``; missing values are an error (impute first).
 
     ``checked`` = (rows, label classes) when a previous pass already counted
@@ -63,7 +68,7 @@ def fit_logreg(df: DataFrame, features: Sequence[str], label: str, C: float = 1.
         raise ValueError(f"label {label} has fewer than two classes")
     if classes > 2:
         raise ValueError(f"label {label} has {classes} classes; the regression is binary")
-    return _estimator(features, 1.0 / (C * n), max_iter).fit(_with_label(df, label))
+    return _estimator(features, 1.0 / (C * n), max_iter, tol).fit(_with_label(df, label))
 
 
 def coefficients(model: PipelineModel, features: Sequence[str]) -> list[tuple[str, float]]:
@@ -94,7 +99,7 @@ def area_under_roc(scored: DataFrame, label: str, score_col: str = SCORE) -> flo
 
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, key: str | Sequence[str],
                    grid: Sequence[Mapping[str, float]], folds: int = 5, seed: int = 42,
-                   parallelism: int = 2) -> tuple[PipelineModel, DataFrame]:
+                   parallelism: int = 2, tol: float = TOLERANCE) -> tuple[PipelineModel, DataFrame]:
     """Pick the grid point with the best mean AUC over hashed folds.
 
     ``grid`` entries set ``regParam`` and/or ``maxIter`` of the regression.
@@ -104,7 +109,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, key: str
     if not grid:
         raise ValueError("empty grid")
     data = assign_folds(_with_label(df, label), key, folds, seed, "__fold")
-    pipe = _estimator(features, 0.0)
+    pipe = _estimator(features, 0.0, tol=tol)
     lr = pipe.getStages()[-1]
     builder = ParamGridBuilder()
     maps = []

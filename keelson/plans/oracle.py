@@ -91,7 +91,76 @@ ROLES = f"""(SELECT model_name, model_version, 'featurized training data' AS rol
  SELECT model_name, model_version, 'featurized test data', 'orders', 1 FROM {MODELS})"""
 
 
+# --- logistic regression by Newton steps ---------------------------------------
+# Rows (x, y, t) with their groups; one group is one fit. The three normal
+# equations of a step are solved by Cramer's rule.
+STEPS = 12
+
+TWO_ROWS = """li AS (SELECT l_orderkey, l_returnflag,
+  (l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER () AS x,
+  (l_discount - avg(l_discount) OVER ()) / stddev_pop(l_discount) OVER () AS y,
+  CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS t FROM lineitem)"""
+
+
+def _newton(points: str, fits: str) -> str:
+    """CTEs up to ``fit`` (g, b0, b1, b2): ``points`` has g, x, y, t; ``fits`` has g and lam."""
+    ctes = [f"pts AS ({points})", f"step0 AS (SELECT g, lam, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2 FROM ({fits}))"]
+    for i in range(STEPS):
+        ctes.append(f"""sum{i} AS (SELECT s.g, lam, b0, b1, b2, avg(p - t) AS g0, avg((p - t) * x) + lam * b1 AS g1,
+  avg((p - t) * y) + lam * b2 AS g2, avg(w) AS a, avg(w * x) AS b, avg(w * y) AS c,
+  avg(w * x * x) + lam AS d, avg(w * x * y) AS e, avg(w * y * y) + lam AS f
+  FROM (SELECT q.*, p * (1 - p) AS w FROM (SELECT r.g, r.lam, r.b0, r.b1, r.b2, pts.x, pts.y, pts.t,
+    1 / (1 + exp(-(r.b0 + r.b1 * pts.x + r.b2 * pts.y))) AS p FROM pts JOIN step{i} r ON pts.g = r.g) q) s
+  GROUP BY s.g, lam, b0, b1, b2)""")
+        ctes.append(f"""step{i + 1} AS (SELECT g, lam,
+  b0 - (g0 * (d * f - e * e) - b * (g1 * f - e * g2) + c * (g1 * e - d * g2)) / det AS b0,
+  b1 - (a * (g1 * f - e * g2) - g0 * (b * f - e * c) + c * (b * g2 - g1 * c)) / det AS b1,
+  b2 - (a * (d * g2 - g1 * e) - b * (b * g2 - g1 * c) + g0 * (b * e - d * c)) / det AS b2
+  FROM (SELECT *, a * (d * f - e * e) - b * (b * f - e * c) + c * (b * e - d * c) AS det FROM sum{i}))""")
+    return ",\n".join([*ctes, f"fit AS (SELECT g, b0, b1, b2 FROM step{STEPS})"])
+
+
+FIT_TWO = f"WITH {TWO_ROWS},\n" + _newton("SELECT 0 AS g, x, y, t FROM li", "SELECT 0 AS g, 1.0 / count(*) AS lam FROM li")
+
+COEFFICIENTS = """
+SELECT 'l_quantity' AS feature, round(b1, 4) AS coefficient FROM fit
+UNION ALL SELECT 'l_discount', round(b2, 4) FROM fit
+UNION ALL SELECT '(intercept)', round(b0, 4) FROM fit"""
+
+SCORES_TWO = f"""{FIT_TWO}
+SELECT l_returnflag, CAST(count(*) AS BIGINT) AS n_rows,
+       round(avg(1 / (1 + exp(-(b0 + b1 * x + b2 * y)))), 4) AS mean_score
+FROM li, fit GROUP BY l_returnflag"""
+
+# Candidates of the model selection: fits on all folds but one, judged on that one.
+GRID_TWO = "(VALUES (0, 0.001::DOUBLE), (1, 1.0::DOUBLE)) c(candidate, lam)"
+CV_TWO = f"""WITH {TWO_ROWS},
+folded AS (SELECT *, CAST({h('fold 5', 'l_orderkey')} % 5 AS INTEGER) AS fold FROM li),
+jobs AS (SELECT candidate * 5 + out AS g, candidate, lam, out FROM {GRID_TWO}, range(5) r(out)),
+{_newton("SELECT j.g, x, y, t FROM folded JOIN jobs j ON folded.fold <> j.out", "SELECT g, lam FROM jobs")},
+judged AS (SELECT j.g, t, b0 + b1 * x + b2 * y AS score FROM folded JOIN jobs j ON folded.fold = j.out JOIN fit ON fit.g = j.g),
+ranked AS (SELECT g, t, rank() OVER (PARTITION BY g ORDER BY score) + (count(*) OVER (PARTITION BY g, score) - 1) / 2.0 AS r FROM judged),
+auc AS (SELECT g, (sum(CASE WHEN t = 1 THEN r ELSE 0 END) - sum(t) * (sum(t) + 1) / 2) / (sum(t) * (count(*) - sum(t))) AS auc
+  FROM ranked GROUP BY g),
+metrics AS (SELECT j.candidate, j.lam, avg(a.auc) AS mean_auc FROM jobs j JOIN auc a ON a.g = j.g GROUP BY j.candidate, j.lam)"""
+BEST_LAM = "(SELECT lam FROM metrics ORDER BY mean_auc DESC, candidate LIMIT 1)"
+
+
+def _second_fit(points: str, fits: str) -> str:
+    """The Newton CTEs under other names, to follow the first ones."""
+    import re
+    return re.sub(r"\b(pts|step\d+|sum\d+|fit)\b", r"\1_best", _newton(points, fits))
+
+
 ORACLE: dict[str, str] = {
+    "logreg_fit_two": FIT_TWO + COEFFICIENTS,
+    "logreg_score_two": SCORES_TWO,
+    "model_roundtrip_two": SCORES_TWO,
+    "cv_metrics_two": f"""{CV_TWO}
+SELECT CAST(candidate AS INTEGER) AS candidate, lam AS reg_param, round(mean_auc, 4) AS mean_auc FROM metrics""",
+    "cv_best_two": f"""{CV_TWO},
+{_second_fit("SELECT 0 AS g, x, y, t FROM li", f"SELECT 0 AS g, {BEST_LAM} AS lam")}
+{COEFFICIENTS.replace("FROM fit", "FROM fit_best")}""",
     "training_set": f"""
 SELECT {', '.join('l.' + c.strip() for c in LINEITEM_COLS.split(','))},
        s.s_acctbal, p.p_size, p.p_retailprice, l.l_returnflag = 'R' AS label

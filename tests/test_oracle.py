@@ -11,7 +11,6 @@ from keelson.sources.files import TABLES, table_path
 from tools.check_oracle import normalise, value_hash
 
 SF = os.environ.get("KEELSON_ORACLE_SF", "/root/testdata/sf0.001")
-SKIP = {"cv_select", "cv_metrics"}  # covered in test_model; slow
 
 
 @pytest.fixture(scope="module")
@@ -25,8 +24,6 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    if name in SKIP:
-        pytest.skip("slow; model selection is tested in test_model")
     got = entry.queries()[name](spark, SF).toPandas()
     sql = entry.oracle_sql().get(name)
     if sql is None:

@@ -9,7 +9,8 @@ from tests.conftest import SF_SMALL
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
 # Only a top-k report may gather rows into one partition.
 SINGLE_PARTITION_OK = {"head_rows"}
-SLOW = {"cv_select", "cv_metrics", "logreg_fit", "logreg_score", "model_save_load"}
+SLOW = {"cv_select", "cv_metrics", "logreg_fit", "logreg_score", "logreg_fit_two", "logreg_score_two",
+        "model_roundtrip_two", "cv_metrics_two", "cv_best_two"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
