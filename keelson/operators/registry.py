@@ -197,10 +197,8 @@ def _join_roles(roles: DataFrame, datasets: DataFrame, how: str) -> DataFrame:
     their roles get one of ``SALTS`` salts and their registry rows all of them.
     """
     ref = ["dataset_name", "dataset_version"]
-    counts = roles.groupBy(*ref).agg(F.count(F.lit(1)).alias("__n"))
-    total = roles.agg(F.count(F.lit(1)).alias("__all"))
-    # One total row, and at most 1 / HOT_SHARE hot versions.
-    hot = (counts.join(F.broadcast(total), F.col("__n") > F.greatest(F.col("__all") * HOT_SHARE, F.lit(SALTS)))
+    least = max(roles.count() * HOT_SHARE, SALTS)
+    hot = (roles.groupBy(*ref).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > least)
            .select(*[F.col(c).alias(f"__{c}") for c in ref]))
     is_hot = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in ref]
 

@@ -496,7 +496,7 @@ def q_cv_metrics(spark, root):
 
 TWO_FEATURES = ["l_quantity", "l_discount"]
 # The fits that SQL repeats stop only when the optimum is exact to many places.
-EXACT = 1e-13
+EXACT = 1e-10
 
 
 def two_feature_rows(spark, root):
