@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.session import checkpoint_root, scratch_dir
+from keelson.session import scratch_dir
 
 # A word is a maximal run of characters outside this set (fixed value).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,13 +30,20 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, label)
     df.write.option("compression", "zstd").parquet(path)
+    _STASHED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in ``spark.checkpoint.dir``; files go when unused."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+_STASHED: list[str] = []
+
+
+def drop_stashed(spark: SparkSession) -> int:
+    """Delete the tables stashed so far, once no result is read from them any more."""
+    dropped = 0
+    while _STASHED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STASHED.pop())
+        dropped += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return dropped
 
 
 def source_key(column) -> F.Column:

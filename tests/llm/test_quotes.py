@@ -57,3 +57,11 @@ def test_split_quotes_levels():
     own, passages = quote_links.split_quotes("a\nX wrote:\n> b\n> > c\n>> d\n>\n> e\n\nf")
     assert own == "a\n\nf"
     assert passages == [(1, "b"), (2, "c\nd"), (1, "e")]
+
+
+def test_stashed_tables_can_be_dropped(spark):
+    from keelson.llm import common
+    common.drop_stashed(spark)
+    kept = common.stash(spark.range(3).toDF("id"), "test")
+    assert kept.count() == 3
+    assert common.drop_stashed(spark) == 1
