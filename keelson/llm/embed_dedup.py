@@ -99,7 +99,6 @@ def _tiles(threshold: float):
 
 def _spanning(links: np.ndarray, square: bool) -> tuple[np.ndarray, np.ndarray]:
     """Links (row, column) that connect whatever ``links`` connects, few of them."""
-    rows, cols = np.flatnonzero(links.any(axis=1)), np.flatnonzero(links.any(axis=0))
     n = links.shape[0]
     root = np.arange(n + (0 if square else links.shape[1]))
 
@@ -110,8 +109,7 @@ def _spanning(links: np.ndarray, square: bool) -> tuple[np.ndarray, np.ndarray]:
         return v
 
     x, y, off = [], [], 0 if square else n
-    for r in rows:
-        # Columns not yet in the row's own set, one find each.
+    for r in np.flatnonzero(links.any(axis=1)):
         here = find(int(r))
         for c in np.flatnonzero(links[r]):
             there = find(int(c) + off)
@@ -119,7 +117,6 @@ def _spanning(links: np.ndarray, square: bool) -> tuple[np.ndarray, np.ndarray]:
                 root[there] = here
                 x.append(r)
                 y.append(c)
-    del cols
     return np.array(x, dtype=np.int64), np.array(y, dtype=np.int64)
 
 
@@ -129,7 +126,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, block_rows: int
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     usable = F.coalesce(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & finite
                         & F.exists("embedding", lambda x: x != 0), F.lit(False))
-    # Two hashes and the vector itself name a class; equal vectors share all three.
+    # The digest of the vector's exact text names its class.
     rows = rows.withColumn("__class", F.when(usable, F.sha2(F.concat_ws(",", F.col("embedding").cast("array<string>")), 256)))
     classes = (rows.filter("__class is not null").groupBy("label", "__class")
                .agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"),
