@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from keelson.llm.common import CHUNK_BYTES, held_out, row_chunks, sorted_features, stash, text_buffers
 
 BUCKETS, ORDERS = 2048, (1, 2, 3)
-SAMPLE = 3000
+SAMPLE = 2000
 STEPS, PENALTY = 300, 1e-4
 UNKNOWN = "und"
 
@@ -106,12 +106,12 @@ def svm(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
     w, b = np.zeros(x.shape[1]), 0.0
     pw, pb = w, b
-    bound = 2 * float((weight * ((x * x).sum(axis=1) + 1)).sum()) + PENALTY
+    bound = 2 * float((weight * (np.einsum("ij,ij->i", x, x) + 1)).sum()) + PENALTY
     for t in range(STEPS):
         mw, mb = w + t / (t + 3) * (w - pw), b + t / (t + 3) * (b - pb)
-        slack = weight * np.maximum(0, 1 - y * (x @ mw + mb)) * y
+        slack = weight * np.maximum(0, 1 - y * (x @ mw.astype(x.dtype) + mb)) * y
         pw, pb = w, b
-        w = mw + (2 * x.T @ slack - PENALTY * mw) / bound
+        w = mw + (2 * (slack.astype(x.dtype) @ x) - PENALTY * mw) / bound
         b = mb + 2 * slack.sum() / bound
     return w, float(b)
 
@@ -119,7 +119,9 @@ def svm(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
 def fit_machines(x: np.ndarray, langs: np.ndarray) -> dict:
     """All machines: pairs of families, then pairs of languages of one family."""
     names = sorted(set(langs))
-    scale = (x.std(axis=0) if len(x) else np.zeros(x.shape[1])) + 1e-5
+    # The sample stays in 32 bits and is scaled in place: the driver holds it once.
+    scale = ((x.std(axis=0) if len(x) else np.zeros(x.shape[1])) + 1e-5).astype(x.dtype)
+    x /= scale
     fam = np.array([family(g) for g in langs])
     machines = []
     for level, labels in (("family", fam), ("lang", langs)):
@@ -127,7 +129,7 @@ def fit_machines(x: np.ndarray, langs: np.ndarray) -> dict:
             if level == "lang" and family(p) != family(q):
                 continue
             rows = (labels == p) | (labels == q)
-            w, b = svm(x[rows] / scale, np.where(labels[rows] == p, 1.0, -1.0))
+            w, b = svm(x[rows], np.where(labels[rows] == p, 1.0, -1.0))
             machines.append((level, p, q, w / scale, b))
     return {"langs": names, "pairs": [m[:3] for m in machines],
             "w": np.stack([m[3] for m in machines], axis=1) if machines else np.zeros((BUCKETS, 0)),
@@ -191,7 +193,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> dict:
     counts = stash(known.filter("length(lang) > 0").groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "lang-counts")
     kinds = counts.count()
     if not kinds:
-        return fit_machines(np.zeros((0, BUCKETS)), np.zeros(0, dtype=object))
+        return fit_machines(np.zeros((0, BUCKETS), np.float32), np.zeros(0, dtype=object))
     # Each language's rows with the smallest hashes, by a threshold on the hash.
     each = max(1, sample // kinds)
     share = F.pmod(F.xxhash64(F.lit("lang"), "doc_id"), F.lit(1_000_003)) / F.lit(1_000_003)
@@ -199,8 +201,10 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> dict:
     id_type = docs.schema["doc_id"].dataType.simpleString()
     data = chosen.select("doc_id", "lang", "text").mapInArrow(
         _features, f"doc_id {id_type}, lang string, x array<float>").limit(2 * sample).toArrow()
+    langs = np.array(data.column("lang").to_pylist(), dtype=object)
     x, order = sorted_features(data, BUCKETS)
-    return fit_machines(x, np.array(data.column("lang").to_pylist(), dtype=object)[order])
+    del data
+    return fit_machines(x, langs[order])
 
 
 def _predict(model: dict):

@@ -196,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     data = rows.select("doc_id", "text", "quality").mapInArrow(
         _vectors(table), f"doc_id {id_type}, quality int, x array<float>").limit(2 * sample).toArrow()
     x, order = sorted_features(data, 4 * DIM + 1)
-    return table, fit_network(x, data.column("quality").to_numpy().astype(np.float64)[order])
+    return table, fit_network(x.astype(np.float64), data.column("quality").to_numpy().astype(np.float64)[order])
 
 
 def _score(table: np.ndarray, net: dict):
