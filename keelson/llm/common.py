@@ -156,7 +156,7 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.nd
     count = np.diff(bounds)
     total = len(words)
     run = np.zeros(total, dtype=np.uint64)
-    for k in range(n):
+    for k in range(min(n, total)):
         part = words[k:] * np.uint64(int(_MULT) * (2 * k + 3) % (1 << 64))
         run[:total - k] += part if k == 0 else mix64(part)
     per_row = np.where(count >= n, count - n + 1, 0)

@@ -2,7 +2,7 @@ import numpy as np
 import pyarrow as pa
 
 from keelson.llm import minhash_dedup
-from keelson.llm.common import read
+from keelson.llm.common import read, shingle_hashes
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import awkward_docs, near_components, sentence, shingle_set
 
@@ -66,3 +66,19 @@ def test_intersections_match_sets():
     right = [np.unique(rng.integers(0, 9000, n)) for n in (3, 5000, 0)]
     got = minhash_dedup.intersections(pa.array(left, pa.list_(pa.int64())), pa.array(right, pa.list_(pa.int64())))
     assert got.tolist() == [[len(np.intersect1d(a, b)) for b in right] for a in left]
+
+
+def test_chunks_of_few_words():
+    for n in (4, 5):
+        for total in range(1, n + 2):
+            words = np.arange(1, total + 1, dtype=np.uint64)
+            one, bounds = shingle_hashes(words, np.array([0, total]), n)
+            assert bounds.tolist() == [0, max(1, total - n + 1)] and len(set(one.tolist())) == len(one)
+            # The same row in a chunk with others gives the same hashes.
+            more, at = shingle_hashes(np.concatenate([words, np.arange(50, 60, dtype=np.uint64)]), np.array([0, total, total + 10]), n)
+            assert more[:at[1]].tolist() == one.tolist()
+
+
+def test_short_documents_alone_in_their_table(spark):
+    for text in ("one two", "one", "one two three"):
+        assert [(r.n_shingles, r.kept) for r in run(spark.createDataFrame([(1, text)], "doc_id long, text string"))] == [(1, True)]
