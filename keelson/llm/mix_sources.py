@@ -6,7 +6,9 @@ word budget runs out, and only that bucket is divided again by the next eight
 bits, until it holds one row. What lies below the threshold is taken: a
 filter, no sort. A second copy has a threshold nested in the first, as a
 source repeats only once all of it is taken. What the boundary row leaves open
-is filled by the same search among the rows that still fit.
+is filled by the same search among the rows that still fit, round by round
+until none does; where all of them fit together, all are taken. Last, each
+source takes one more row if that brings it nearer to its target.
 
 Defined results: a null or empty text has size 0 and is never taken; a null
 source is a source of its own and comes last; rows with equal hash (copies of
@@ -27,7 +29,6 @@ from keelson.operators.rank import rank_within_groups
 
 HASH_BITS, POS_BITS, DIGIT = 56, 64, 8
 LEVELS = (HASH_BITS + POS_BITS) // DIGIT
-FILL_ROUNDS = 4
 
 
 def row_size():
@@ -76,11 +77,11 @@ def _below(hash_to: str, pos_to: str):
     return (F.col("__hash") < F.col(hash_to)) | ((F.col("__hash") == F.col(hash_to)) & (F.col("__pos") < F.col(pos_to)))
 
 
-def thresholds(rows: DataFrame, budgets: DataFrame, nearest: bool) -> DataFrame:
+def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     """Per ``__key`` the (hash, position) below which rows sum up to ``__budget``.
 
     Returns ``__key, __h, __p, __left``; ``__left`` is the budget still open.
-    With ``nearest`` the boundary row is taken if that comes nearer.
+    Rows that sum up to no more than the budget all lie below.
     """
     rows = rows.filter("__size > 0").select("__key", "__size", "__hash", "__pos")
     open_ = budgets.select("__key", F.col("__budget").alias("__left"), F.lit(0).cast("bigint").alias("__h"),
@@ -101,24 +102,23 @@ def thresholds(rows: DataFrame, budgets: DataFrame, nearest: bool) -> DataFrame:
                 .groupBy("__key", _digit(level).alias("__digit"))
                 .agg(F.sum("__size").alias("__sum"), F.count(F.lit(1)).alias("__n")))
         upto = Window.partitionBy("__key").orderBy("__digit").rowsBetween(Window.unboundedPreceding, 0)
-        run = sums.withColumn("__run", F.sum("__sum").over(upto))
-        at = (run.join(open_, "__key").filter(F.col("__run") > F.col("__left"))
-              .groupBy("__key", "__left", "__h", "__p")
+        run = sums.withColumns({"__run": F.sum("__sum").over(upto),
+                                "__all": F.sum("__sum").over(Window.partitionBy("__key"))})
+        # Below the first level the boundary lies inside the bucket.
+        fits = F.col("__all") <= F.col("__left") if level == 0 else F.lit(False)
+        at = (run.join(open_, "__key").filter((F.col("__run") > F.col("__left")) | fits)
+              .groupBy("__key", "__left", "__h", "__p", fits.alias("__whole"), "__all")
               .agg(F.min(F.struct("__digit", "__run", "__sum", "__n")).alias("b")))
         step = F.col("b.__digit").cast("bigint") * F.lit(1 << shift if shift < 63 else 0).cast("bigint")
+        whole = F.col("__whole")
         found = stash(at.select(
-            "__key", (F.col("__left") - (F.col("b.__run") - F.col("b.__sum"))).alias("__left"),
-            (F.col("__h") + step if in_hash else F.col("__h")).alias("__h"),
+            "__key", (F.col("__left") - F.when(whole, F.col("__all")).otherwise(F.col("b.__run") - F.col("b.__sum"))).alias("__left"),
+            F.when(whole, F.lit(1 << HASH_BITS)).otherwise(F.col("__h") + step if in_hash else F.col("__h")).alias("__h"),
             (F.col("__p") if in_hash else F.col("__p") + step).alias("__p"),
-            F.col("b.__n").alias("__n"), F.col("b.__sum").alias("__size")), "mix-cut")
-        end = F.lit(1).cast("bigint") * (1 << shift)
-        take = (F.col("__left") >= F.col("__size") / 2) if nearest else F.lit(False)
-        single = found.filter("__n = 1").select(
-            "__key", (F.col("__left") - F.when(take, F.col("__size")).otherwise(0)).alias("__left"),
-            (F.when(take, F.col("__h") + end).otherwise(F.col("__h")) if in_hash else F.col("__h")).alias("__h"),
-            (F.col("__p") if in_hash else F.when(take, F.col("__p") + end).otherwise(F.col("__p"))).alias("__p"))
+            F.when(whole, 0).otherwise(F.col("b.__n")).alias("__n")), "mix-cut")
+        single = found.filter("__n <= 1").select("__key", "__left", "__h", "__p")
         done = single if done is None else done.unionByName(single)
-        open_ = found.filter("__n > 1").drop("__n", "__size")
+        open_ = found.filter("__n > 1").drop("__n")
         if open_.isEmpty():
             break
     return done
@@ -164,31 +164,45 @@ def decide(rows: DataFrame, weights: Sequence[float], share: float, most: float)
     closed = plan.select("__key", "__total", "__target", "__base",
                          F.when((F.col("__budget") >= F.col("__total")) & (F.col("__total") > 0), all_of)
                          .otherwise(F.lit(0).cast("bigint")).alias("__whole"))
-    cuts, left = closed, rows
-    for k in range(FILL_ROUNDS + 1):
-        found = thresholds(left, open_, nearest=k == FILL_ROUNDS)
-        if found is None:
-            break
+    cuts, left, k = closed, rows, 0
+    still = open_.select("__key", F.col("__budget").alias("__open"))
+    while True:
+        found = thresholds(left, open_)
         found = stash(found.withColumn("__gap", F.col("__left")), "mix-fill")
         gap = open_.select("__key", F.col("__budget").alias(f"__gap{k}"))
         cuts = stash(cuts.join(gap.join(found.select("__key", F.col("__h").alias(f"__h{k}"),
                                                      F.col("__p").alias(f"__p{k}")), "__key"), "__key", "left"),
                      "mix-plan")
+        still = stash(still.join(found.select("__key", "__gap"), "__key", "left").select(
+            "__key", F.coalesce("__gap", "__open").alias("__open")), "mix-open")
         open_ = found.filter("__gap >= 1").select("__key", F.col("__gap").alias("__budget"))
-        if k < FILL_ROUNDS:
-            now = left.join(found.select("__key", F.col("__h").alias("__h_"), F.col("__p").alias("__p_"), "__gap"), "__key")
-            left = now.filter(~_below("__h_", "__p_") & (F.col("__size") <= F.col("__gap"))).select(*left.columns)
-            if left.isEmpty():
-                break
-            left = stash(left, "mix-left")
-    return cuts
-
-
-def _apply(rows: DataFrame, plan: DataFrame) -> DataFrame:
+        now = left.join(found.select("__key", F.col("__h").alias("__h_"), F.col("__p").alias("__p_"), "__gap"), "__key")
+        left = now.filter(~_below("__h_", "__p_") & (F.col("__size") <= F.col("__gap"))).select(*left.columns)
+        if left.isEmpty():
+            break
+        left, k = stash(left, "mix-left"), k + 1
+    # One more row: the one that comes nearest to the target, if nearer than without it.
+    over = F.abs(F.col("__size") - F.col("__open"))
+    rest = (rows.join(cuts, "__key").filter(~_taken_more(cuts)).select(*rows.columns).join(still, "__key")
+            .filter((F.col("__size") > 0) & (over <= F.col("__open"))))
+    last = rest.groupBy("__key").agg(F.min(F.struct(over.alias("over"), "__hash", "__pos")).alias("b"))
+    return stash(cuts.join(last.select("__key", F.col("b.__hash").alias("__last_h"), F.col("b.__pos").alias("__last_p")),
+                           "__key", "left"), "mix-plan")
+
+
+def _taken_more(plan: DataFrame):
+    """Whether a row is taken once more than the base of its source."""
     more = F.col("__hash") < F.col("__whole")
     for c in plan.columns:
         if c.startswith("__gap"):
             k = c[len("__gap"):]
             more |= F.coalesce((F.col("__size") <= F.col(c)) & _below(f"__h{k}", f"__p{k}"), F.lit(False))
+    if "__last_h" in plan.columns:
+        more |= F.coalesce((F.col("__hash") == F.col("__last_h")) & (F.col("__pos") == F.col("__last_p")), F.lit(False))
+    return more
+
+
+def _apply(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    more = _taken_more(plan)
     return (rows.join(plan, "__key").withColumn(
         "__copies", F.when(F.col("__size") > 0, F.col("__base") + F.when(more, 1).otherwise(0)).otherwise(0)))

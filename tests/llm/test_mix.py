@@ -82,3 +82,18 @@ def test_empty_table_and_bad_cap(spark):
     assert mix_sources.mix_documents(empty).count() == 0
     with pytest.raises(ValueError):
         mix_sources.mix(empty, most=3)
+
+
+@pytest.mark.parametrize("share", [0.1, 0.5, 0.95, 1.5])
+def test_no_row_left_out_brings_a_source_nearer(spark, share):
+    """Skewed sources: many short rows beside a long one, one document alone, rows in powers of two."""
+    docs = [(i, s, "w " * n) for s, sizes in {"a": [1] * 100 + [200], "b": [100], "c": [2 ** k for k in range(9)], "d": [200] + [1] * 100,
+                                              "e": [7] * 40 + [500, 900], None: [3]}.items() for i, n in enumerate(sizes)]
+    rows = mix_sources.mix(spark.createDataFrame(docs, "doc_id long, source string, text string"), weights=(1,), share=share).collect()
+    for s in {r.source for r in rows}:
+        of = [r for r in rows if r.source == s]
+        assert all(r.copies in (0, 1, 2) for r in of)
+        base, gap = int(of[0].target >= of[0].source_size), of[0].target - sum(r.taken for r in of)
+        assert all(abs(gap - r.size) >= abs(gap) for r in of if r.copies == base), (s, gap)
+        if base:
+            assert all(r.copies >= 1 for r in of)
