@@ -18,6 +18,7 @@ from keelson.llm import (
     pack,
     quality,
     quote_links,
+    toxicity,
     url_rules,
 )
 from keelson.llm.common import read
@@ -81,6 +82,10 @@ def op10_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_html_extract": op2_html_extract,
@@ -92,6 +97,7 @@ QUERIES = {
     "op8_fingerprint": op8_fingerprint,
     "op9_url_rules": op9_url_rules,
     "op10_embed_dedup": op10_embed_dedup,
+    "op11_toxicity": op11_toxicity,
 }
 
 _URL_PARTS = r"""
