@@ -16,10 +16,12 @@ from keelson.llm import (
     minhash_dedup,
     mix_sources,
     pack,
+    phrases,
     quality,
     quote_links,
     toxicity,
     url_rules,
+    whitening,
 )
 from keelson.llm.common import read
 
@@ -86,6 +88,14 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_html_extract": op2_html_extract,
@@ -98,6 +108,8 @@ QUERIES = {
     "op9_url_rules": op9_url_rules,
     "op10_embed_dedup": op10_embed_dedup,
     "op11_toxicity": op11_toxicity,
+    "op12_phrases": op12_phrases,
+    "op13_whitening": op13_whitening,
 }
 
 _URL_PARTS = r"""
@@ -129,4 +141,24 @@ lowest AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
 SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(l.b, e.vec_id))::BIGINT AS component_id,
   least(e.vec_id, coalesce(l.b, e.vec_id)) = e.vec_id AS kept
 FROM embeddings e LEFT JOIN degree d ON e.vec_id = d.a LEFT JOIN lowest l ON e.vec_id = l.a""",
+    "op12_phrases": """
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM lists GROUP BY lang),
+grams AS (SELECT lang, w, len(w) AS size, unnest(range(1, len(w) + 1)) AS i FROM lists),
+counts AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*)::HUGEINT AS a
+  FROM grams, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= size GROUP BY ALL HAVING count(*) >= 100),
+cand AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM counts WHERE k >= 2),
+cuts AS (SELECT lang, k, phrase, a, c, array_to_string(w[1:c], ' ') AS f, array_to_string(w[c + 1:], ' ') AS g
+  FROM cand, (SELECT unnest([1, 2, 3, 4]) AS c) WHERE c < k),
+scored AS (SELECT u.*, x.a AS l, y.a AS r, t.n, (1000 * u.a * t.n) // (x.a * y.a) AS score
+  FROM cuts u JOIN counts x ON x.lang = u.lang AND x.phrase = u.f JOIN counts y ON y.lang = u.lang AND y.phrase = u.g
+  JOIN totals t ON t.lang = u.lang),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+kept AS (SELECT * FROM lowest o WHERE NOT EXISTS (SELECT 1 FROM cand b WHERE b.lang = o.lang AND b.k > o.k
+  AND contains(' ' || b.phrase || ' ', ' ' || o.phrase || ' ') AND 100 * b.a >= 100 * o.a))
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000""",
 }
