@@ -152,7 +152,87 @@ def _second_fit(points: str, fits: str) -> str:
     return re.sub(r"\b(pts|step\d+|sum\d+|fit)\b", r"\1_best", _newton(points, fits))
 
 
+# --- the wide fits: Newton steps over thirteen weights -----------------------------
+# A step's normal equations are solved by Gauss-Jordan elimination, one recursive
+# query a step: ``m`` holds the rows of the system with the gradient as last column.
+WIDE = ["l_quantity", "l_discount", "l_tax", "s_acctbal", "p_size", "p_retailprice"]
+WIDE_NAMES = [f"{p}_{c}" for p in ("mm", "std") for c in WIDE]
+WIDE_STEPS = 9
+_D = 2 * len(WIDE) + 1
+
+_KEY_HASH = (f"('0x' || substr(md5('{{purpose}}/{SEED}|' || {field('l_orderkey')} || {field('l_linenumber')}), 1, 15))::BIGINT")
+WIDE_ROWS = f"""raw AS (SELECT l.l_orderkey, l.l_linenumber, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in WIDE)}, l.l_returnflag = 'R' AS label,
+    {_KEY_HASH.format(purpose='split train=0.8,test=0.2')} < {round(0.8 / (0.8 + 0.2) * SPACE)} AS is_train,
+    CAST({_KEY_HASH.format(purpose='fold 5')} % 5 AS INTEGER) AS fold
+  FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey LEFT JOIN part p ON l.l_partkey = p.p_partkey)"""
+
+
+def _z(alias: str = "s") -> str:
+    """The scaled row as a list, constant first."""
+    mm = [f"coalesce((r.{c} - {alias}.lo_{c}) / nullif({alias}.hi_{c} - {alias}.lo_{c}, 0), 0)" for c in WIDE]
+    std = [f"coalesce((r.{c} - {alias}.mu_{c}) / nullif({alias}.sd_{c}, 0), 0)" for c in WIDE]
+    return f"[1.0::DOUBLE, {', '.join(mm + std)}]"
+
+
+_STATS = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}, avg({c}) AS mu_{c}, stddev_pop({c}) AS sd_{c}" for c in WIDE)
+
+
+def _newton_wide(points: str, fits: str) -> str:
+    """CTEs up to ``wide_fit`` (g, b): ``points`` has g, z, t; ``fits`` has g and lam (on the sum of losses)."""
+    ctes = [f"wpts AS MATERIALIZED ({points})", f"w0 AS MATERIALIZED (SELECT g, lam, list_transform(range({_D}), lambda i: 0.0::DOUBLE) AS b FROM ({fits}))"]
+    for i in range(WIDE_STEPS):
+        rows = []
+        for a in range(1, _D + 1):
+            cells = [f"sum(w * z[{min(a, c)}] * z[{max(a, c)}])" + (" + any_value(lam)" if a == c else "") for c in range(1, _D + 1)]
+            rows.append(f"[{', '.join(cells)}, sum((p - t) * z[{a}]) + any_value(lam * b[{a}])]")
+        ctes.append(f"""n{i} AS MATERIALIZED (SELECT g, any_value(lam) AS lam, any_value(b) AS b, [{', '.join(rows)}] AS m FROM (
+  SELECT q.*, p * (1 - p) AS w FROM (SELECT r.g, r.lam, r.b, z, t, 1 / (1 + exp(-list_dot_product(r.b, z))) AS p
+    FROM wpts JOIN w{i} r ON wpts.g = r.g) q) GROUP BY g)""")
+        ctes.append(f"""e{i}(g, lam, b, k, m) AS (SELECT g, lam, b, 1, m FROM n{i} UNION ALL
+  SELECT g, lam, b, k + 1, list_transform(m, lambda row, i: CASE WHEN i = k THEN list_transform(row, lambda v: v / row[k])
+    ELSE list_transform(row, lambda v, c: v - row[k] * m[k][c] / m[k][k]) END) FROM e{i} WHERE k <= {_D})""")
+        ctes.append(f"w{i + 1} AS MATERIALIZED (SELECT g, lam, list_transform(b, lambda v, j: v - m[j][{_D + 1}]) AS b FROM e{i} WHERE k = {_D + 1})")
+    return ",\n".join([*ctes, f"wide_fit AS (SELECT g, b FROM w{WIDE_STEPS})"])
+
+
+FIT_WIDE = f"""WITH RECURSIVE {WIDE_ROWS},
+stats AS (SELECT {_STATS} FROM raw WHERE is_train),
+{_newton_wide(f"SELECT 0 AS g, {_z()} AS z, CASE WHEN label THEN 1.0 ELSE 0.0 END AS t FROM raw r, stats s WHERE is_train", "SELECT 0 AS g, 1.0::DOUBLE AS lam")}"""
+
+_WIDE_COEFFICIENTS = "SELECT unnest([{names}]) AS feature, round(unnest(b), 4) AS coefficient FROM wide_fit WHERE g = {g}"
+_WIDE_LABELS = ", ".join(f"'{n}'" for n in ["(intercept)", *WIDE_NAMES])
+
+# g = candidate * 6 + the fold left out (5: none).
+CV_WIDE = f"""WITH RECURSIVE {WIDE_ROWS},
+jobs AS (SELECT candidate * 6 + out AS g, candidate, c, 1 / c AS lam, out FROM (VALUES (0, 1.0::DOUBLE), (1, 0.01::DOUBLE)) v(candidate, c), range(6) r(out)),
+stats AS (SELECT o.out, {_STATS} FROM raw, (SELECT unnest(range(6)) AS out) o WHERE is_train AND fold <> o.out GROUP BY o.out),
+{_newton_wide(f"SELECT j.g, {_z()} AS z, CASE WHEN label THEN 1.0 ELSE 0.0 END AS t FROM raw r JOIN jobs j ON r.is_train AND r.fold <> j.out JOIN stats s ON s.out = j.out", "SELECT g, lam FROM jobs")},
+judged AS (SELECT j.g, label, round(list_dot_product(f.b, {_z()}), 10) AS score FROM raw r JOIN jobs j ON r.is_train AND r.fold = j.out
+  JOIN stats s ON s.out = j.out JOIN wide_fit f ON f.g = j.g),
+ranked AS (SELECT g, label, rank() OVER (PARTITION BY g ORDER BY score) + (count(*) OVER (PARTITION BY g, score) - 1) / 2.0 AS r FROM judged),
+areas AS (SELECT g, (sum(r) FILTER (WHERE label) - count(*) FILTER (WHERE label) * (count(*) FILTER (WHERE label) + 1) / 2)
+  / (count(*) FILTER (WHERE label) * count(*) FILTER (WHERE NOT label)) AS auc FROM ranked GROUP BY g),
+metrics AS (SELECT j.candidate, j.c, avg(a.auc) AS mean_auc FROM jobs j JOIN areas a ON a.g = j.g GROUP BY j.candidate, j.c)"""
+
+_CLASS_ROWS = """scored AS (SELECT v.class, v.score, l_returnflag = v.class AS own FROM lineitem,
+  LATERAL (VALUES ('A', CAST(l_quantity AS DOUBLE)), ('N', CAST(l_extendedprice AS DOUBLE)), ('R', CAST(l_discount - l_tax AS DOUBLE))) v(class, score)
+  WHERE l_returnflag IN ('A', 'N', 'R')),
+ranked AS (SELECT class, own, rank() OVER (PARTITION BY class ORDER BY score) + (count(*) OVER (PARTITION BY class, score) - 1) / 2.0 AS r FROM scored),
+per_class AS (SELECT class, count(*) FILTER (WHERE own) AS n_rows, (count(*) FILTER (WHERE own))::DOUBLE / count(*) AS share,
+  (sum(r) FILTER (WHERE own) - (count(*) FILTER (WHERE own))::DOUBLE * (count(*) FILTER (WHERE own) + 1) / 2)
+  / ((count(*) FILTER (WHERE own))::DOUBLE * count(*) FILTER (WHERE NOT own)) AS auc FROM ranked GROUP BY class)"""
+
+
 ORACLE: dict[str, str] = {
+    "logreg_fit": f"{FIT_WIDE}\n{_WIDE_COEFFICIENTS.format(names=_WIDE_LABELS, g=0)}",
+    "logreg_score": f"""{FIT_WIDE}
+SELECT l_orderkey, l_linenumber, label, round(1 / (1 + exp(-list_dot_product(f.b, {_z()}))), 6) AS score
+FROM raw r, stats s, wide_fit f WHERE NOT is_train""",
+    "cv_metrics": f"{CV_WIDE}\nSELECT CAST(candidate AS INTEGER) AS candidate, c, round(mean_auc, 4) AS mean_auc FROM metrics",
+    "cv_select": f"""{CV_WIDE}
+{_WIDE_COEFFICIENTS.format(names=_WIDE_LABELS, g="(SELECT candidate * 6 + 5 FROM metrics ORDER BY mean_auc DESC, candidate LIMIT 1)")}""",
+    "auc_weighted_three": f"WITH {_CLASS_ROWS}\nSELECT round(sum(share * auc) / sum(share), 9) AS auc_weighted FROM per_class",
+    "auc_per_class": f"WITH {_CLASS_ROWS}\nSELECT class, n_rows, round(share, 9) AS share, round(auc, 9) AS auc FROM per_class",
     "logreg_fit_two": FIT_TWO + COEFFICIENTS,
     "logreg_score_two": SCORES_TWO,
     "model_roundtrip_two": SCORES_TWO,
