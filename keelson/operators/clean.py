@@ -12,9 +12,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, NumericType
+from pyspark.sql.types import DataType, DoubleType, FloatType, NumericType
 
 
 def union_by_name(frames: Sequence[DataFrame], allow_missing: bool = True) -> DataFrame:
@@ -53,8 +53,9 @@ def recode_expr(df: DataFrame, column: str, mapping: Mapping[object, object], un
     """P2 as an expression: listed values become their codes; exact match.
 
     The dictionary is an array of (value, code) pairs typed to the column and
-    to ``out_type``, looked up as a map: one path for every size. A code of
-    None gives null. ``unlisted``: ``"error"`` fails the job on a value not in
+    to ``out_type``, searched from its start for every row: for the handful of values
+    of a category. ``recode_values`` joins larger dictionaries instead, with the
+    same results. A code of None gives null. ``unlisted``: ``"error"`` fails the job on a value not in
     the dictionary, ``"null"`` turns it into null, ``"keep"`` leaves it as it
     is. A null input stays null either way.
     """
@@ -79,8 +80,63 @@ def recode_expr(df: DataFrame, column: str, mapping: Mapping[object, object], un
 
 def recode_values(df: DataFrame, column: str, mapping: Mapping[object, object],
                   unlisted: str = "error", out_type: str = "int") -> DataFrame:
-    """Replace a column in place by its codes."""
-    return df.withColumn(column, recode_expr(df, column, mapping, unlisted, out_type))
+    """Replace a column in place by its codes (see ``recode_expr`` for the semantics).
+
+    Up to ``EXPR_ENTRIES`` entries are an expression; more are a left join with a code table, one
+    row a value, which the optimiser sends everywhere or shuffles by its size. The join
+    also finds unlisted values: their rows have no match.
+    """
+    if len(mapping) <= EXPR_ENTRIES:
+        return df.withColumn(column, recode_expr(df, column, mapping, unlisted, out_type))
+    if unlisted not in ("error", "null", "keep"):
+        raise ValueError("unlisted must be 'error', 'null' or 'keep'")
+    codes = code_table(df.sparkSession, mapping, df.schema[column].dataType, out_type)
+    key, code = "__recode_key", "__recode_code"
+    joined = df.join(codes.select(F.col("value").alias(key), F.struct("code").alias(code)), F.col(column) == F.col(key), "left")
+    c = F.col(column)
+    if unlisted == "error":
+        missing = F.raise_error(F.concat(F.lit(f"unlisted value in {column}: "), c.cast("string"))).cast(out_type)
+    else:
+        missing = c.cast(out_type) if unlisted == "keep" else F.lit(None).cast(out_type)
+    new = F.when(c.isNull(), F.lit(None).cast(out_type)).when(F.col(code).isNotNull(), F.col(f"{code}.code")).otherwise(missing)
+    return joined.select(*[new.alias(column) if name == column else F.col(f"`{name}`") for name in df.columns])
+
+
+# Largest dictionary that is searched row by row.
+EXPR_ENTRIES = 32
+
+
+def code_table(spark: SparkSession, mapping: Mapping[object, object], dtype: DataType, out_type: str) -> DataFrame:
+    """``value`` (typed as the column) and ``code`` of every entry; of entries that are equal once typed, the first.
+
+    Entries are shipped as rows of their own types and cast as literals would be; one that cannot be a
+    value of the column matches nothing.
+    """
+    kinds: dict[tuple[str, str], list[tuple]] = {}
+    for place, (k, v) in enumerate(mapping.items()):
+        if k is not None:
+            kinds.setdefault((_literal_type(k), _literal_type(v)), []).append((place, k, v))
+    parts = []
+    for (k_type, v_type), rows in kinds.items():
+        raw = spark.createDataFrame(rows, f"place int, k {k_type}, v {v_type}")
+        parts.append(raw.select("place", F.col("k").try_cast(dtype).alias("value"), F.col("v").cast(out_type).alias("code")))
+    whole = reduce(DataFrame.unionByName, parts).filter("value is not null")
+    return whole.groupBy("value").agg(F.min_by(F.struct("code"), "place").alias("first")).select("value", "first.code")
+
+
+def _literal_type(value: object) -> str:
+    """The SQL type Spark gives a Python value as a literal."""
+    if value is None:
+        return "void"
+    if isinstance(value, bool):
+        return "boolean"
+    if isinstance(value, int):
+        return "int" if -2**31 <= value < 2**31 else "bigint"
+    if isinstance(value, float):
+        return "double"
+    if isinstance(value, str):
+        return "string"
+    return {"Decimal": "decimal(38,18)", "date": "date", "datetime": "timestamp"}[type(value).__name__]
 
 
 def fit_means(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:

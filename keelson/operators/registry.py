@@ -9,11 +9,18 @@ it was trained and tested on, by role.
 Registration appends rows; versions are dense per name (previous maximum + 1,
 then in registration order within a batch). Lineage questions are joins and
 explodes over the two tables, so they are ordinary Spark jobs whatever the
-registry grows to. Writers follow a single-writer rule per registry path.
+registry grows to.
+
+Writers may run at the same time: a batch is written to a folder of its own, which
+nobody reads before the numbered commit file that names it (``sinks.commits``).
+A writer whose number is taken assigns its versions again on what the others
+committed, so versions stay distinct and dense.
 """
 
 from __future__ import annotations
 
+import random
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -25,6 +32,8 @@ from pyspark.sql.types import (ArrayType, IntegerType, MapType, StringType, Stru
 
 from keelson.functions.text import name_version
 from keelson.operators.rank import rank_within_groups
+from keelson.session import checkpoint_root, scratch_dir
+from keelson.sinks import commits
 
 INPUT_T = StructType([StructField("name", StringType()), StructField("version", IntegerType())])
 FIELD_T = StructType([StructField("name", StringType()), StructField("type", StringType())])
@@ -118,19 +127,45 @@ def assign_versions(registry: DataFrame, batch: DataFrame,
 
 def register(spark: SparkSession, registry_path: str, batch: DataFrame, schema: StructType,
              order_cols: Sequence[str] = ("registered_at",)) -> DataFrame:
-    """Append a batch to the registry table at ``registry_path``.
+    """Append a batch to the registry table at ``registry_path``, also beside other writers.
 
-    Returns the registered rows (read back from what was written).
+    Returns the registered rows (read back from what was written). After
+    ``COMMIT_TRIES`` lost races it gives up and leaves nothing registered.
     """
-    current = read_registry(spark, registry_path, schema)
-    new = assign_versions(current, batch, order_cols).select(*schema.fieldNames())
-    run = f"{registry_path.rstrip('/')}/batch={uuid.uuid4().hex}"
-    new.write.mode("errorifexists").parquet(run)
-    return spark.read.schema(schema).parquet(run)
+    root = registry_path.rstrip("/")
+    for attempt in range(COMMIT_TRIES):
+        log = commits.read_log(spark, f"{root}/{LOG}")
+        # Batches of a registry older than its log belong to the first commit.
+        before = [] if log else [n for n in commits.children(spark, root) if n.startswith("batch=")]
+        current = _committed(spark, root, log, schema) if log else _uncommitted(spark, root, schema)
+        new = assign_versions(current, batch, order_cols).select(*schema.fieldNames())
+        name = f"batch={uuid.uuid4().hex}"
+        new.write.mode("errorifexists").parquet(f"{root}/{name}")
+        if commits.commit(spark, f"{root}/{LOG}", len(log) + 1, {"batches": [*before, name]}):
+            return spark.read.schema(schema).parquet(f"{root}/{name}")
+        commits.delete(spark, f"{root}/{name}")
+        time.sleep(random.uniform(0, 0.05 * 2 ** min(attempt, 6)))
+    raise RuntimeError(f"{registry_path}: other writers were faster {COMMIT_TRIES} times")
+
+
+# The log's folder, hidden from readers of the rows, and how often a writer tries.
+LOG = "_commits"
+COMMIT_TRIES = 50
 
 
 def read_registry(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All registrations under ``path`` (empty before the first one)."""
+    """All committed registrations under ``path`` (empty before the first one)."""
+    log = commits.read_log(spark, f"{path.rstrip('/')}/{LOG}")
+    return _committed(spark, path.rstrip("/"), log, schema) if log else _uncommitted(spark, path, schema)
+
+
+def _committed(spark: SparkSession, root: str, log: list[dict], schema: StructType) -> DataFrame:
+    names = [b for entry in log for b in entry["batches"]]
+    return spark.read.schema(schema).parquet(*[f"{root}/{n}" for n in names])
+
+
+def _uncommitted(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A registry without a log: every file counts."""
     try:
         return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
     except AnalysisException as e:
@@ -197,9 +232,11 @@ def _join_roles(roles: DataFrame, datasets: DataFrame, how: str) -> DataFrame:
     their roles get one of ``SALTS`` salts and their registry rows all of them.
     """
     ref = ["dataset_name", "dataset_version"]
-    least = max(roles.count() * HOT_SHARE, SALTS)
-    hot = (roles.groupBy(*ref).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > least)
-           .select(*[F.col(c).alias(f"__{c}") for c in ref]))
+    checkpoint_root(roles.sparkSession)
+    # Roles by dataset version: once, for the total and for the hot ones.
+    named = roles.groupBy(*ref).agg(F.count(F.lit(1)).alias("__n")).checkpoint(eager=True)
+    least = max((named.agg(F.sum("__n")).first()[0] or 0) * HOT_SHARE, SALTS)
+    hot = named.filter(F.col("__n") > least).select(*[F.col(c).alias(f"__{c}") for c in ref])
     is_hot = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in ref]
 
     def marked(df: DataFrame) -> DataFrame:
@@ -233,4 +270,65 @@ def model_lineage(models: DataFrame, datasets: DataFrame, role: str = ROLE_TRAIN
     ins = lineage_inputs(datasets).select(F.col("name").alias("dataset_name"),
                                           F.col("version").alias("dataset_version"),
                                           "input_name", "input_version")
-    return used.join(ins, ["dataset_name", "dataset_version"], "inner").drop("role")
+    return _join_roles(used, ins, "inner").drop("role")
+
+
+# --- lineage to any depth ---------------------------------------------------------
+
+_NODE = ("name", "version")
+
+
+def dataset_ancestors(datasets: DataFrame) -> DataFrame:
+    """Every ancestor of every dataset version: ``name, version, ancestor_name, ancestor_version, distance``.
+
+    Paths are doubled: a round joins all known paths end to start, so the rounds
+    grow with the logarithm of the longest lineage. ``distance`` is the
+    shortest path. A version that is its own ancestor (a cycle, which a registry
+    should not hold) ends the rounds all the same: it appears at most once for
+    each descendant, and as an ancestor of itself, which ``lineage_cycles`` lists.
+    """
+    spark = datasets.sparkSession
+    ends = ["name", "version", "ancestor_name", "ancestor_version"]
+    edges = lineage_inputs(datasets).select("name", "version", F.col("input_name").alias("ancestor_name"),
+                                            F.col("input_version").alias("ancestor_version"))
+    whole = [F.col(c).isNotNull() for c in ends]
+    known = edges.filter(whole[0] & whole[1] & whole[2] & whole[3]).distinct().withColumn("distance", F.lit(1))
+    reach = 1
+    while True:
+        path = scratch_dir(spark, "ancestors")
+        known.write.parquet(path)
+        known = spark.read.schema("name string, version int, ancestor_name string, ancestor_version int, distance int").parquet(path)
+        # Paths of the last round's full reach are new; without one, none can grow further.
+        if known.filter(F.col("distance") == reach).isEmpty():
+            return known
+        tail = known.select(F.col("name").alias("ancestor_name"), F.col("version").alias("ancestor_version"),
+                            F.col("ancestor_name").alias("far_name"), F.col("ancestor_version").alias("far_version"),
+                            F.col("distance").alias("more"))
+        longer = known.join(tail, ["ancestor_name", "ancestor_version"]).select(
+            "name", "version", F.col("far_name").alias("ancestor_name"), F.col("far_version").alias("ancestor_version"),
+            (F.col("distance") + F.col("more")).alias("distance"))
+        known = known.unionByName(longer).groupBy(*ends).agg(F.min("distance").alias("distance"))
+        reach *= 2
+
+
+def lineage_cycles(ancestors: DataFrame) -> DataFrame:
+    """Dataset versions that are their own ancestors, with the length of the shortest cycle."""
+    own = (F.col("name") == F.col("ancestor_name")) & (F.col("version") == F.col("ancestor_version"))
+    return ancestors.filter(own).select("name", "version", F.col("distance").alias("length"))
+
+
+def model_ancestors(models: DataFrame, datasets: DataFrame, role: str = ROLE_TRAIN) -> DataFrame:
+    """D9 to any depth: every dataset version behind a model, the one it names at distance 1.
+
+    Of several paths the shortest counts. A dataset on a cycle is not followed round it.
+    """
+    used = _model_roles(models).where(F.col("role") == F.lit(role)).drop("role").distinct()
+    far = dataset_ancestors(datasets)
+    far = far.filter((F.col("name") != F.col("ancestor_name")) | (F.col("version") != F.col("ancestor_version")))
+    far = far.select(F.col("name").alias("dataset_name"), F.col("version").alias("dataset_version"),
+                     "ancestor_name", "ancestor_version", (F.col("distance") + 1).alias("distance"))
+    near = used.select("model_name", "model_version", F.col("dataset_name").alias("ancestor_name"),
+                       F.col("dataset_version").alias("ancestor_version"), F.lit(1).alias("distance"))
+    behind = _join_roles(used.withColumn("role", F.lit(role)), far, "inner").select(*near.columns)
+    return (near.unionByName(behind).groupBy("model_name", "model_version", "ancestor_name", "ancestor_version")
+            .agg(F.min("distance").alias("distance")))

@@ -443,6 +443,18 @@ WITH ins AS (
 SELECT r.model_name, r.model_version, r.dataset_name, r.dataset_version, i.input_name, i.input_version
 FROM {ROLES} r JOIN ins i ON r.dataset_name = i.name AND r.dataset_version = i.version
 WHERE r.role = 'featurized training data'""",
+    "model_ancestors": f"""
+WITH RECURSIVE ds AS MATERIALIZED (SELECT * FROM {DS}),
+ins AS MATERIALIZED (
+  SELECT name, version, 'orders' AS input_name, 1 AS input_version FROM ds
+  UNION ALL SELECT name, version, name, version - 1 FROM ds WHERE version > 1),
+walk(model_name, model_version, name, version, distance) AS (
+  SELECT model_name, model_version, dataset_name, dataset_version, 1 FROM {ROLES} WHERE role = 'featurized training data'
+  UNION ALL
+  SELECT w.model_name, w.model_version, i.input_name, i.input_version, w.distance + 1
+  FROM walk w JOIN ins i ON w.name = i.name AND w.version = i.version)
+SELECT model_name, model_version, name AS ancestor_name, version AS ancestor_version, CAST(min(distance) AS INTEGER) AS distance
+FROM walk GROUP BY model_name, model_version, name, version""",
     "scan_registered": "SELECT * FROM orders",
     "auc_by_rank": """
 WITH s AS (SELECT CAST(d.n_chars AS DOUBLE) AS score, l.quality AS y

@@ -422,6 +422,11 @@ def q_model_lineage(spark, root):
     return registry.model_lineage(models, ds)
 
 
+def q_model_ancestors(spark, root):
+    ds, models = _registry(spark, root)
+    return registry.model_ancestors(models, ds)
+
+
 def q_scan_registered(spark, root):
     orders = read_table(spark, root, "orders")
     reg_path = scratch_dir(spark, "registry")
@@ -617,6 +622,7 @@ QUERIES: dict[str, Query] = {
     "model_datasets": q_model_datasets,
     "dataset_models": q_dataset_models,
     "model_lineage": q_model_lineage,
+    "model_ancestors": q_model_ancestors,
     "scan_registered": q_scan_registered,
     "auc_by_rank": q_auc_by_rank,
     "auc_weighted_three": q_auc_weighted_three,

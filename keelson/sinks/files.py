@@ -6,9 +6,12 @@ partitions, and ``max_records_per_file`` bounds file sizes on large outputs.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from keelson.sinks import commits
 
 SPLIT_COLUMN = "split"
 
@@ -28,15 +31,40 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", fmt: st
 def overwrite_with_schema(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """K2: replace what is at ``path``, schema included.
 
-    Spark refuses to overwrite a path the same plan reads from, so a job that
-    rewrites its own input writes a new versioned path instead.
+    The rows are written beside it first (``<path>.next-...``), so the frame may read
+    from ``path`` itself; two renames put them in place, the old folder waiting as
+    ``<path>.prev`` in between, and it is deleted last. A failure leaves the old
+    rows at ``path``; after a killed job ``recover_path`` does, and so does the next overwrite.
     """
-    (df.write.mode("overwrite").format(fmt)
-     .option("overwriteSchema", "true")
-     .save(path))
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    recover_path(spark, path)
+    following, previous = f"{path}.next-{uuid.uuid4().hex[:12]}", f"{path}.prev"
+    try:
+        df.write.mode("errorifexists").format(fmt).save(following)
+        if commits.exists(spark, path):
+            commits.rename(spark, path, previous)
+        commits.rename(spark, following, path)
+    except BaseException:
+        recover_path(spark, path)
+        commits.delete(spark, following)
+        raise
+    commits.delete(spark, previous)
     return path
 
 
+def recover_path(spark: SparkSession, path: str) -> bool:
+    """Undo an overwrite that was killed between its two renames; True if there was one."""
+    previous = f"{path.rstrip('/')}.prev"
+    if not commits.exists(spark, previous):
+        return False
+    if commits.exists(spark, path):
+        commits.delete(spark, previous)       # the new rows are in place: only the last step was missing
+        return False
+    commits.rename(spark, previous, path)
+    return True
+
+
 def write_split(df: DataFrame, path: str, sides: Sequence[str] = ("train", "test"),
                 split_col: str = SPLIT_COLUMN, fmt: str = "parquet",
                 mode: str = "errorifexists", max_records_per_file: int | None = None) -> dict[str, str]:

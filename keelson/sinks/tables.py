@@ -5,16 +5,28 @@ its primary key (table property ``primary_keys``, comma-separated) and a
 description (the table comment). The key contract (see ``keys``) is checked
 whenever rows are written or a table is adopted, so lookups can trust it.
 
-Writes go through the session catalog with the DataFrame writer. New rows are
-first written to the shared scratch folder: the input is computed once, its
-key is checked on what was written, and a table can be rewritten from its own
-rows. A new schema replaces the table at its own location, with its comment,
-format and properties. ``insertInto`` matches columns by position, so the frame is
-put in the table's column order by name.
+An overwrite writes its rows as a snapshot, a folder of its own beside the table's
+first one, checks the key on what was written and then switches the table to it: one
+change of the table's location in the catalog. Until then the table holds its old
+rows, whatever fails; a snapshot that was not switched to is removed, the
+one before the current is kept for readers that still use it, older ones go. So the
+input is computed once and a table can be rewritten from its own rows.
+
+A new schema cannot be switched by a location alone. The new table is made
+complete under another name (``<name>__next``) with the old one's comment, format
+and properties, and two renames put it in place, the old table waiting as
+``<name>__prev`` in between. A writer that fails there renames it back; after a
+killed one the next write does, or ``recover_table``.
+
+Appended rows are staged and checked likewise, then inserted;
+``insertInto`` matches columns by position, so the frame is put in the table's
+column order by name.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +34,7 @@ from pyspark.sql.types import StructType
 
 from keelson.operators.keys import PrimaryKeyError, assert_primary_key
 from keelson.session import scratch_dir
+from keelson.sinks import commits
 
 PK_PROPERTY = "primary_keys"
 # Properties that the catalog keeps for itself.
@@ -127,17 +140,6 @@ def _same_schema(a: StructType, b: StructType) -> bool:
         sorted((f.name, f.dataType.simpleString()) for f in b.fields)
 
 
-def _staged(df: DataFrame) -> tuple[DataFrame, str]:
-    path = scratch_dir(df.sparkSession, "staged")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
-
-def _drop_staged(spark: SparkSession, path: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def assert_new_keys(spark: SparkSession, name: str, df: DataFrame, keys: Sequence[str]) -> None:
     """Raise if appending ``df`` would break the table's key: in itself or with the rows there."""
     assert_primary_key(df, keys, name=name)
@@ -152,42 +154,132 @@ def write_feature_table(spark: SparkSession, name: str, df: DataFrame, mode: str
     """K4: write rows into a feature table after checking its key.
 
     Same schema: the rows replace the table's rows, or extend them if no key is
-    there yet. A new schema with ``mode="overwrite"`` replaces the table where
-    it is, with its key, description and other properties.
+    there yet. A new schema with ``mode="overwrite"`` replaces the table with its
+    key, description and other properties kept. Whatever step fails, the old rows stay.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be 'overwrite' or 'append'")
+    recover_table(spark, name)
     keys = table_primary_keys(spark, name)
     if not keys:
         raise ValueError(f"{name} is not a feature table (no {PK_PROPERTY} property)")
     same = _same_schema(spark.table(name).schema, df.schema)
     if not same and mode != "overwrite":
         raise ValueError(f"schema of the frame differs from {name}; only mode='overwrite' may replace it")
-    rows, staged = _staged(df)
-    try:
-        if mode == "append":
+    if mode == "append":
+        path = scratch_dir(spark, "staged")
+        try:
+            rows = _write_snapshot(_in_table_order(spark, name, df), path, "parquet")
             assert_new_keys(spark, name, rows, keys)
-        elif check_keys:
+            rows.write.insertInto(quote_name(name), overwrite=False)
+        finally:
+            commits.delete(spark, path)
+        return
+    facts = _facts(spark, name)
+    fmt = facts.get("Provider", "parquet")
+    base = table_properties(spark, name).get(BASE_PROPERTY) or facts["Location"]
+    path = f"{base.rstrip('/')}.snapshots/{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+    try:
+        rows = _write_snapshot(_in_table_order(spark, name, df) if same else df, path, fmt)
+        if check_keys:
             assert_primary_key(rows, keys, name=name)
-        if not same:
-            _replace_schema(spark, name, df.schema)
-        _in_table_order(spark, name, rows).write.insertInto(quote_name(name), overwrite=(mode == "overwrite"))
-    finally:
-        _drop_staged(spark, staged)
+        if same:
+            if BASE_PROPERTY not in table_properties(spark, name):
+                _set_property(spark, name, BASE_PROPERTY, base)
+            _set_location(spark, name, path)
+        else:
+            _swap_in(spark, name, df.schema, path, fmt, facts, base)
+    except BaseException:
+        if not _is_at(spark, name, path):
+            commits.delete(spark, path)
+        raise
+    _drop_old_snapshots(spark, base, keep={path, facts["Location"]})
 
 
-def _replace_schema(spark: SparkSession, name: str, schema: StructType) -> None:
-    """The same table with other columns: location, format, comment and properties stay.
+# Where a table's snapshots lie beside: the location it was created with.
+BASE_PROPERTY = "snapshot_base"
+_NEXT, _PREV = "__next", "__prev"
 
-    The rows at the location are left for the write that follows to replace.
-    """
-    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(name)}").collect()}
-    properties = {k: v for k, v in table_properties(spark, name).items() if not k.startswith(_OWN_PROPERTIES)}
-    external = facts.get("Type") == "EXTERNAL"
-    spark.catalog.refreshTable(name)
-    drop_table(spark, name)
-    create_table(spark, name, schema, comment=facts.get("Comment"), properties=properties,
-                 location=facts.get("Location") if external else None, fmt=facts.get("Provider", "parquet"))
+
+def _facts(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(name)}").collect()}
+
+
+def _write_snapshot(df: DataFrame, path: str, fmt: str) -> DataFrame:
+    df.write.mode("errorifexists").format(fmt).save(path)
+    return df.sparkSession.read.schema(df.schema).format(fmt).load(path)
+
+
+def _set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {quote_name(name)} SET TBLPROPERTIES ({_sql_text(key)} = {_sql_text(value)})")
+
+
+def _set_location(spark: SparkSession, name: str, path: str) -> None:
+    """The switch: one change in the catalog."""
+    spark.sql(f"ALTER TABLE {quote_name(name)} SET LOCATION {_sql_text(path)}")
+
+
+def _rename_table(spark: SparkSession, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {quote_name(old)} RENAME TO {quote_name(new)}")
+
+
+def _is_at(spark: SparkSession, name: str, path: str) -> bool:
+    """Whether the table reads from ``path`` (in doubt yes, so that nothing in use is removed)."""
+    try:
+        return not spark.catalog.tableExists(name) or (table_location(spark, name) or "").endswith(path.split(":")[-1])
+    except Exception:
+        return True
+
+
+def _swap_in(spark: SparkSession, name: str, schema: StructType, path: str, fmt: str, facts: dict[str, str], base: str) -> None:
+    """Put a table over the files at ``path`` in the place of ``name``; see the module text."""
+    following, previous = name + _NEXT, name + _PREV
+    properties = {k: v for k, v in table_properties(spark, name).items() if not k.startswith(_OWN_PROPERTIES)} | {BASE_PROPERTY: base}
+    drop_table(spark, following)
+    create_table(spark, following, schema, comment=facts.get("Comment"), properties=properties, location=path, fmt=fmt)
+    if facts.get("Type") != "EXTERNAL":
+        # Renames and drops move or delete the files of a managed table; this one's files must stay.
+        _detach(spark, name)
+    try:
+        _rename_table(spark, name, previous)
+        _rename_table(spark, following, name)
+    except BaseException:
+        recover_table(spark, name)
+        drop_table(spark, following)
+        raise
+    drop_table(spark, previous)
+
+
+def _detach(spark: SparkSession, name: str) -> None:
+    """Make a managed table external, its files where they are."""
+    catalog = spark._jsparkSession.sessionState().catalog()
+    schema, table = (["default", name] if "." not in name else [p.strip("`") for p in name.split(".")][-2:])
+    identifier = spark._jvm.org.apache.spark.sql.catalyst.TableIdentifier(table, spark._jvm.scala.Option.apply(schema))
+    old = catalog.getTableMetadata(identifier)
+    external = spark._jvm.org.apache.spark.sql.catalyst.catalog.CatalogTableType.EXTERNAL()
+    fields = [getattr(old, f"copy$default${k}")() for k in range(1, old.productArity() + 1)]
+    fields[1] = external
+    catalog.alterTable(old.copy(*fields))
+
+
+def recover_table(spark: SparkSession, name: str) -> bool:
+    """Undo a replacement that was killed between its two renames; True if there was one."""
+    previous = name + _PREV
+    if not spark.catalog.tableExists(previous):
+        return False
+    if spark.catalog.tableExists(name):
+        drop_table(spark, previous)       # the new table is in place: only the last step was missing
+        return False
+    _rename_table(spark, previous, name)
+    return True
+
+
+def _drop_old_snapshots(spark: SparkSession, base: str, keep: set[str]) -> None:
+    folder = f"{base.rstrip('/')}.snapshots"
+    kept = {k.rstrip("/").rsplit("/", 1)[-1] for k in keep}
+    for child in commits.children(spark, folder):
+        if child not in kept and int(child.split("-")[0]) < min((int(k.split("-")[0]) for k in kept if "-" in k and k.split("-")[0].isdigit()), default=0):
+            commits.delete(spark, f"{folder}/{child}")
 
 
 def register_feature_table(spark: SparkSession, name: str, primary_keys: str | Sequence[str],

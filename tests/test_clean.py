@@ -88,3 +88,28 @@ def test_empty_input_keeps_schema(spark):
     out = clean.clean_features(df, recode={"Sex": {"male": 0}}, impute=["Age"])
     assert out.count() == 0
     assert [f.dataType.simpleString() for f in out.schema.fields] == ["int", "double"]
+
+
+@pytest.mark.parametrize("unlisted", ["error", "null", "keep"])
+def test_large_dictionaries_recode_as_small_ones(spark, unlisted, monkeypatch):
+    mapping = {f"v{i}": (None if i == 7 else i) for i in range(60)} | {None: 5, 3: 9}
+    values = ["v1", "v7", None, "v59", "v1"] + ([] if unlisted == "error" else ["odd"])
+    df = spark.createDataFrame([(k, v, "x") for k, v in enumerate(values)], "k int, c string, `a.b` string")
+    out_type = "string" if unlisted == "keep" else "int"
+    joined = clean.recode_values(df, "c", mapping, unlisted, out_type)
+    assert "Join" in joined._jdf.queryExecution().optimizedPlan().toString() and joined.columns == df.columns
+    monkeypatch.setattr(clean, "EXPR_ENTRIES", 1000)
+    small = clean.recode_values(df, "c", mapping, unlisted, out_type)
+    assert "Join" not in small._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(joined.collect()) == sorted(small.collect()) and joined.schema["c"].dataType == small.schema["c"].dataType
+
+
+def test_join_recode_faults_types_and_repeats(spark):
+    mapping = {i: i * 2 for i in range(100_000)} | {"5": 1, 2**40: 3}
+    df = spark.range(0, 200_000, 1).select((F.col("id") % 100_000).alias("c"))
+    out = clean.recode_values(df, "c", mapping)
+    assert out.count() == 200_000 and out.agg(F.sum("c")).first()[0] == 2 * 2 * sum(range(100_000))
+    with pytest.raises(Exception, match="unlisted value in c: 100001"):
+        clean.recode_values(spark.range(100_000, 100_002).select(F.col("id").alias("c")), "c", mapping | {100_000: 1}).collect()
+    with pytest.raises(ValueError):
+        clean.recode_values(df, "c", mapping, unlisted="odd")

@@ -110,14 +110,15 @@ def test_schema_change_keeps_location_properties_and_description(spark, db):
     tables.create_feature_table(spark, name, "id", df.schema, "the words", location=where)
     spark.sql(f"ALTER TABLE {tables.quote_name(name)} SET TBLPROPERTIES ('owner_team' = 'features')")
     tables.write_feature_table(spark, name, df)
-    before = tables.table_location(spark, name)
     tables.write_feature_table(spark, name, df.withColumn("y", F.col("x") + 1))
-    assert tables.table_location(spark, name) == before
+    # Snapshots lie beside the folder the table was created with.
+    assert tables.table_location(spark, name).split(":")[-1].startswith(f"{where}.snapshots/")
     assert tables.table_comment(spark, name) == "the words"
     assert tables.table_properties(spark, name)["owner_team"] == "features"
     assert tables.table_primary_keys(spark, name) == ["id"]
     assert [tuple(r) for r in spark.table(name).collect()] == [(1, 10.0, 11.0)]
-    assert [tuple(r) for r in spark.read.parquet(where).select("id", "x", "y").collect()] == [(1, 10.0, 11.0)]
+    files = spark.read.parquet(tables.table_location(spark, name))
+    assert [tuple(r) for r in files.select("id", "x", "y").collect()] == [(1, 10.0, 11.0)]
 
 
 def test_empty_side_of_a_split_can_be_read(spark):
@@ -125,3 +126,126 @@ def test_empty_side_of_a_split_can_be_read(spark):
     paths = files.write_split(df, scratch_dir(spark, "one-sided"))
     assert spark.read.parquet(paths["test"]).count() == 0
     assert spark.read.parquet(paths["test"]).columns == ["id"]
+
+
+class Killed(BaseException):
+    pass
+
+
+def _fail(*_, **__):
+    raise Killed
+
+
+def _feature_table(spark, db, name, managed):
+    name = f"{db}.{name}"
+    df = spark.createDataFrame([(1, 10.0), (2, 20.0), (3, 30.0)], "id int, x double")
+    tables.drop_table(spark, name)
+    tables.create_feature_table(spark, name, "id", df.schema, "kept", location=None if managed else scratch_dir(spark, "crash"))
+    tables.write_feature_table(spark, name, df)
+    return name, df
+
+
+def _failing(df):
+    return df.withColumn("x", F.when(F.col("id") == 2, F.raise_error(F.lit("no"))).otherwise(F.col("x")))
+
+
+@pytest.mark.parametrize("managed", [False, True])
+@pytest.mark.parametrize("wider", [False, True])
+@pytest.mark.parametrize("step", ["rows", "keys", "_write_snapshot", "assert_primary_key", "_set_location", "create_table", "_rename_table",
+                                  "second rename", "drop of the old table"])
+def test_an_overwrite_that_fails_leaves_the_old_rows(spark, db, monkeypatch, managed, wider, step):
+    if (wider and step == "_set_location") or (not wider and step in ("create_table", "_rename_table", "second rename", "drop of the old table")):
+        pytest.skip("not a step of this write")
+    name, df = _feature_table(spark, db, f"crash_{int(managed)}", managed)
+    new = df.withColumn("x", F.col("x") + 1)
+    new = new.withColumn("y", F.lit("n")) if wider else new
+    real, calls = tables._rename_table, []
+
+    def second(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise Killed
+        return real(*args)
+
+    with monkeypatch.context() as m:
+        if step == "rows":
+            new = _failing(new)
+        elif step == "keys":
+            new = new.unionByName(new)
+        elif step == "second rename":
+            m.setattr(tables, "_rename_table", second)
+        elif step == "drop of the old table":
+            drop = tables.drop_table
+            m.setattr(tables, "drop_table", lambda s, n: _fail() if n.endswith("__prev") else drop(s, n))
+        else:
+            m.setattr(tables, step, _fail)
+        with pytest.raises((Exception, Killed)):
+            tables.write_feature_table(spark, name, new)
+    rows = sorted(tuple(r)[:2] for r in spark.table(name).collect())
+    # Only after the new table is in place are its rows the ones to see.
+    assert rows == [(1, 11.0), (2, 21.0), (3, 31.0)] if step == "drop of the old table" else rows == [(1, 10.0), (2, 20.0), (3, 30.0)]
+    assert tables.table_primary_keys(spark, name) == ["id"] and tables.table_comment(spark, name) == "kept"
+    # The next write works, whatever was left behind.
+    tables.write_feature_table(spark, name, df.withColumn("x", F.lit(0.0)).withColumn("z", F.lit(1)))
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == [(1, 0.0, 1), (2, 0.0, 1), (3, 0.0, 1)]
+    assert not spark.catalog.tableExists(name + "__prev") and not spark.catalog.tableExists(name + "__next")
+
+
+def test_a_writer_killed_between_the_renames_is_undone(spark, db):
+    name, df = _feature_table(spark, db, "killed", False)
+    tables._rename_table(spark, name, name + "__prev")
+    assert tables.recover_table(spark, name) and not tables.recover_table(spark, name)
+    assert spark.table(name).count() == 3
+    tables._rename_table(spark, name, name + "__prev")
+    tables.write_feature_table(spark, name, df.limit(1))
+    assert spark.table(name).count() == 1
+
+
+def test_one_earlier_snapshot_is_kept_for_its_readers(spark, db):
+    from keelson.sinks import commits
+    name, df = _feature_table(spark, db, "history", False)
+    base = tables.table_properties(spark, name)[tables.BASE_PROPERTY]
+    reader = spark.table(name)
+    tables.write_feature_table(spark, name, df.withColumn("x", F.lit(5.0)))
+    assert sorted(r.x for r in reader.collect()) == [10.0, 20.0, 30.0]
+    for k in range(3):
+        tables.write_feature_table(spark, name, df.withColumn("x", F.lit(float(k))))
+    assert len(commits.children(spark, f"{base}.snapshots")) == 2
+    tables.append_rows(spark, name, df.withColumn("id", F.col("id") + 10))
+    assert spark.table(name).count() == 6
+
+
+@pytest.mark.parametrize("step", ["rows", "first rename", "second rename", "delete"])
+def test_a_path_overwrite_that_fails_leaves_the_old_rows(spark, monkeypatch, step):
+    path = scratch_dir(spark, "crash-path")
+    files.write_parquet(spark.range(3), path)
+    new = spark.read.parquet(path).withColumn("x", F.lit("n"))
+    real, calls = files.commits.rename, []
+
+    def nth(n):
+        def run(*args):
+            calls.append(args)
+            return _fail() if len(calls) == n else real(*args)
+        return run
+
+    with monkeypatch.context() as m:
+        if step == "rows":
+            new = new.withColumn("x", F.when(F.col("id") == 1, F.raise_error(F.lit("no"))).otherwise(F.lit("n")))
+        elif step == "delete":
+            m.setattr(files.commits, "delete", _fail)
+        else:
+            m.setattr(files.commits, "rename", nth(1 if step == "first rename" else 2))
+        with pytest.raises((Exception, Killed)):
+            files.overwrite_with_schema(new, path)
+    assert spark.read.parquet(path).columns == (["id", "x"] if step == "delete" else ["id"])
+    assert spark.read.parquet(path).count() == 3
+    files.overwrite_with_schema(spark.read.parquet(path).withColumn("z", F.lit(1)), path)
+    assert spark.read.parquet(path).columns[-1] == "z" and not files.recover_path(spark, path)
+
+
+def test_a_path_overwrite_killed_between_the_renames_is_undone(spark):
+    from keelson.sinks import commits
+    path = scratch_dir(spark, "killed-path")
+    files.write_parquet(spark.range(3), path)
+    commits.rename(spark, path, f"{path}.prev")
+    assert files.recover_path(spark, path) and spark.read.parquet(path).count() == 3
