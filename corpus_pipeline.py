@@ -10,6 +10,13 @@ input. All but the last return the columns of ``documents``:
 * mix: repeats and drops documents so that sources meet their target weights;
 * pack: token pieces in sequences of at most 2048 tokens.
 
+Every stage takes nulls in any column, empty and very long texts, repeated rows and ids, and an
+empty table as its operator's module states: null and empty texts are scored by the
+quality stage like others and dropped by the language stage as ``und``, which also
+drops texts without a letter; copies are near-duplicates, and of repeated rows one
+stays; ties are broken by ids and hashes, so reruns agree. Extra columns are
+carried along unread, whatever their names.
+
 SQL cannot express the classifiers and the tokeniser, so there is no SQL twin;
 the tests hold each stage against a brute-force version on its own input.
 """
@@ -26,15 +33,20 @@ from keelson.llm.queries import tokenizer_path
 LEAST_SURE = 0.5
 
 
+def _whole(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, lang`` and all columns of a document as one, so that no name can clash."""
+    return docs.select("doc_id", "text", "lang", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = quality.score(docs, read(spark, sf_dir, "labels"), docs.columns)
-    return scored.filter(F.col("__score") >= quality.THRESHOLD).select(*docs.columns)
+    scored = quality.score(_whole(docs), read(spark, sf_dir, "labels"), ["row"])
+    return scored.filter(F.col("__score") >= quality.THRESHOLD).select("row.*")
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language.predict(docs, docs.columns, language.fit(docs))
+    found = language.predict(_whole(docs), ["row"], language.fit(docs))
     sure = (F.col("__lang") != language.UNKNOWN) & (F.col("__score") >= LEAST_SURE)
-    return found.filter(sure).select(*docs.columns)
+    return found.filter(sure).select("row.*")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,8 +9,9 @@ one tag; the tokens of valid classes are the host's template, a flat set: classe
 are not nested, no slots are read from them. Text is read as content or
 furniture by the elements it nests in: an element that is furniture by its
 name, or by the words of its class, id or role, takes all it encloses out; the
-blocks that remain under the innermost main element (article, main, or
-a content container) are the text, and without one those under the body.
+blocks that remain under a main element (article, main, or a content container;
+of an article in a larger container, those in the article alone) are the text,
+and without one those under the body.
 A block whose words all belong to the template is a label and is dropped, but
 outside a main element only, so an article that many pages share stays whole.
 
@@ -21,7 +22,10 @@ digests, of which a host has a bounded number.
 
 Defined results: a null or empty page has an empty text; a page without
 ``://`` in its URL belongs to the host ``''``; unclosed elements end with their
-parent; text outside the body counts as furniture only in the head;
+parent; the content of a script or another raw element ends with its own end tag
+(without one, with the page), whatever signs it holds; quotes delimit values only after an
+equals sign; text outside the body counts as furniture only in the head; texts hidden
+by attributes or styles are kept; pages of any length are read whole;
 repeated pages are extracted alike; only ``page_id``, ``url`` and ``html`` are read.
 """
 
@@ -46,6 +50,7 @@ LEAST_PAGES = 8
 # Fixed values of HTML: elements whose content is no text, void elements,
 # elements that break the line, and end tags implied by a start tag.
 RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "noembed", "noframes", "xmp")
+UNSEEN = ("script", "style", "noscript", "template")
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
 INLINE = ("a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
           "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time",
@@ -64,11 +69,18 @@ FURNITURE_WORDS = frozenset(
     "recommendations comment comments disqus replies reply respond widget pager pagination skip copyright legal "
     "complementary contentinfo".split())
 MAIN_WORDS = frozenset("article articlebody content main post entry story maincontent postcontent entrycontent".split())
-# Elements that a word of their attributes may turn into furniture.
+# Words beside which a furniture word still says furniture.
+NEUTRAL_WORDS = frozenset("post entry article box block list links link button buttons bar area section wrapper wrap container "
+                          "inner outer top bottom left right form text title item items panel group row col module".split())
+# Elements that a word of their attributes may turn into furniture, outside and inside a main element.
 BOXES = ("div", "section", "ul", "ol", "dl", "table", "p", "span", "header", "li", "details", "figure", "a", "iframe", "center")
+BOXES_INSIDE = ("div", "section", "ul", "ol", "header", "details", "figure", "center")
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)|[^<]+|<", re.S)
-_NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+# One attribute, or the end of the tag: quotes count after an equals sign only.
+_ATTRIBUTE = re.compile(r"""[\s/]*(?:(>)|([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)(?:"|$)|'([^']*)(?:'|$)|([^\s>]*)))?|$)""", re.S)
+_NAME = re.compile(r"[A-Za-z][^\s/>]*")
+# The end tag of a raw element; nothing else ends its content.
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|$)", re.I) for name in RAW}
 _WORDS = re.compile(r"[A-Za-z]+(?=[^A-Za-z]|$)|[A-Z]?[a-z]+")
 
 
@@ -76,29 +88,43 @@ _WORDS = re.compile(r"[A-Za-z]+(?=[^A-Za-z]|$)|[A-Z]?[a-z]+")
 HEAD_WORDS = frozenset(("header", "masthead"))
 
 
-def _attribute_words(attributes: str, inside: int) -> tuple[set[str], bool, bool]:
-    """Words of class, id and role; whether they say furniture (or hidden) and main.
+def _attribute_words(attributes: list[tuple[str, str]], inside: int) -> tuple[set[str], bool, bool]:
+    """Words of class, id and role; whether they say furniture and main.
 
     Names are judged one by one: ``post-comments`` is furniture, while
-    ``content with-sidebar`` has a name that is main alone, which wins.
+    ``content with-sidebar`` has a name that is main alone, which wins. Inside a main
+    element a name is furniture only if all its words are, or say nothing:
+    ``share-buttons`` is, ``side-effects`` is not.
     """
-    every, hidden, furniture, main = set(), False, False, False
-    for name, *values in _NAMED.findall(attributes):
-        value = "".join(values)
-        name = name.lower()
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            hidden = True
-        elif name == "style":
-            hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
-        elif name != "aria-hidden":
+    every, furniture, main = set(), False, False
+    for name, value in attributes:
+        if name in ("class", "id", "role"):
             for part in value.split():
                 words = {w.lower() for w in re.split(r"[^A-Za-z]+", part) if w} | {w.lower() for w in _WORDS.findall(part)}
                 every |= words
-                if words & (FURNITURE_WORDS - HEAD_WORDS if inside else FURNITURE_WORDS):
+                said = words & (FURNITURE_WORDS - HEAD_WORDS if inside else FURNITURE_WORDS)
+                if said and not (inside and _other_words(part)):
                     furniture = True
                 else:
                     main |= bool(words & MAIN_WORDS)
-    return every, hidden or furniture and not main, main
+    return every, furniture and not main, main
+
+
+def _other_words(part: str) -> set[str]:
+    """Words of a name that neither say furniture nor say nothing."""
+    whole = {w.lower() for w in re.split(r"[^A-Za-z]+", part) if w}
+    split = {w.lower() for w in _WORDS.findall(part)}
+    left = whole - FURNITURE_WORDS - NEUTRAL_WORDS
+    return left if not (split - FURNITURE_WORDS - NEUTRAL_WORDS) == set() else set()
+
+
+class Main:
+    """A main element: whether it is an article, and the one it lies in."""
+
+    __slots__ = ("article", "outer")
+
+    def __init__(self, article: bool, outer: Main | None):
+        self.article, self.outer = article, outer
 
 
 class Element:
@@ -106,30 +132,77 @@ class Element:
 
     __slots__ = ("name", "path", "furniture", "main")
 
-    def __init__(self, name: str, path: str, furniture: bool, main: int):
+    def __init__(self, name: str, path: str, furniture: bool, main: Main | None):
         self.name, self.path, self.furniture, self.main = name, path, furniture, main
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, Element]]:
-    """(kind, value, element) of a page: kind ``<``, ``>`` for tags, ``|`` for a line break, ``t`` for text."""
-    stack = [Element("", "", False, 0)]
-    mains, raw = 0, ""
-    for m in _TOKEN.finditer(page):
-        piece, name = m.group(0), (m.group(2) or "").lower()
-        if raw:
-            # Content of a raw element ends with its own end tag only.
-            if name == raw and m.group(1):
-                raw = ""
-            else:
+def _tag(page: str, at: int) -> tuple[list[tuple[str, str]], int]:
+    """Attributes of the tag whose name ends at ``at``, and the place after the tag."""
+    found = []
+    while True:
+        m = _ATTRIBUTE.match(page, at)
+        at = m.end()
+        if not m.group(2):
+            return found, at if m.group(1) else len(page)
+        found.append((m.group(2).lower(), html.unescape(m.group(3) or m.group(4) or m.group(5) or "")))
+
+
+def pieces(page: str) -> Iterator[tuple[str, str, list[tuple[str, str]]]]:
+    """(kind, value, attributes): kind ``<``, ``/`` and ``>`` for start, empty and end tags, ``t`` for text.
+
+    Text between tags is all of the page but for markup: a ``<`` that starts
+    no tag is text, and the content of a raw element is skipped up to its own end tag
+    (all that follows if there is none, as browsers do).
+    """
+    at, size = 0, len(page)
+    while at < size:
+        cut = page.find("<", at)
+        if cut != at:
+            yield "t", html.unescape(page[at:cut if cut >= 0 else size]), []
+            if cut < 0:
+                return
+        at = cut
+        after = page[at + 1:at + 2]
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 2)
+            at = size if end < 0 else end + 3
+        elif page.startswith("<![CDATA[", at):
+            end = page.find("]]>", at)
+            yield "t", page[at + 9:size if end < 0 else end], []
+            at = size if end < 0 else end + 3
+        elif after in ("!", "?") or after == "/" and not page[at + 2:at + 3].isalpha():
+            end = page.find(">", at)
+            at = size if end < 0 else end + 1
+        elif after == "/" or after.isalpha() and after.isascii():
+            m = _NAME.match(page, at + (2 if after == "/" else 1))
+            if m is None:
+                yield "t", "<", []
+                at += 1
                 continue
-        if not name:
-            if piece[:2] in ("<!", "<?") and len(piece) > 1:
-                if piece.startswith("<![CDATA["):
-                    yield "t", piece[9:].removesuffix("]]>"), stack[-1]
+            name = m.group(0).lower()
+            attributes, end = _tag(page, m.end())
+            empty = page[end - 2:end] == "/>"
+            at = end
+            if after == "/":
+                yield ">", name, []
                 continue
-            yield "t", html.unescape(piece), stack[-1]
+            yield ("/" if empty else "<"), name, attributes
+            if name in _RAW_END and not empty:
+                close = _RAW_END[name].search(page, at)
+                at = close.start() if close else size
+        else:
+            yield "t", "<", []
+            at += 1
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, Element]]:
+    """(kind, value, element) of a page: kind ``<``, ``>`` for tags, ``|`` for a line break, ``t`` for text."""
+    stack = [Element("", "", False, None)]
+    for kind, name, attributes in pieces(page):
+        if kind == "t":
+            yield "t", name, stack[-1]
             continue
-        if m.group(1):
+        if kind == ">":
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].name == name:
                     while len(stack) > k:
@@ -146,25 +219,17 @@ def tokens(page: str) -> Iterator[tuple[str, str, Element]]:
             _close(stack, (name,) if name not in ("dt", "dd") else ("dt", "dd"), stop=("ul", "ol", "dl", "table"))
         if name == "body" and len(stack) > 1 and stack[-1].name == "head":
             stack.pop()
-        attributes = m.group(3) or ""
         parent = stack[-1]
         inside = main = parent.main
-        words, out, said = _attribute_words(attributes, inside) if attributes.strip(" /") else (set(), False, False)
-        furniture = parent.furniture or (out and (name in BOXES or not words)) or name in FURNITURE or (
-            name == "header" and not inside)
+        words, out, said = _attribute_words(attributes, bool(inside)) if attributes else (set(), False, False)
+        boxes = BOXES_INSIDE if inside else BOXES
+        furniture = parent.furniture or (out and name in boxes) or name in FURNITURE or (name == "header" and not inside)
         if not furniture and (name in ("article", "main") or said and name in BOXES) and (not inside or name == "article"):
-            mains += 1
-            main = mains
+            main = Main(name == "article", inside)
         element = Element(name, f"{parent.path}/{name}" + ("." + ".".join(sorted(words)) if words and name in BOXES else ""),
                           furniture, main)
         yield ("|" if name in VOID else "<"), name, element
-        if name in RAW:
-            raw = name
-            if not attributes.endswith("/"):
-                stack.append(element)
-            else:
-                raw = ""
-        elif name not in VOID:
+        if name not in VOID and not (name in RAW and kind == "/"):
             stack.append(element)
 
 
@@ -236,7 +301,7 @@ def main_text(page: str, template: frozenset[int] | set[int]) -> str:
     fresh = True
     for kind, value, element in tokens(page):
         if kind in "<>|":
-            if kind == "|" and value != "wbr" or value not in INLINE:
+            if kind == "|" and value != "wbr" or value not in INLINE and value not in UNSEEN:
                 fresh = True
             continue
         if element.furniture or element.name in RAW:
@@ -248,8 +313,18 @@ def main_text(page: str, template: frozenset[int] | set[int]) -> str:
         block[1].append(value)
         block[2] = block[2] or bool(element.main) or any(_digest("t", element.path, w) not in template for w in value.split())
     texts = [(main, " ".join("".join(parts).split())) for main, parts, filled in blocks if filled]
-    any_main = any(main and text for main, text in texts)
-    return " ".join(text for main, text in texts if text and (main or not any_main))
+    texts = [(main, text) for main, text in texts if text]
+    any_main = any(main for main, _ in texts)
+    # What lies in an article is the text, not what is around it in a larger container.
+    around = set()
+    for main, _ in texts:
+        if main and main.article:
+            outer = main.outer
+            while outer:
+                if not outer.article:
+                    around.add(outer)
+                outer = outer.outer
+    return " ".join(text for main, text in texts if main not in around and (main or not any_main))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,8 @@ about ``SAMPLE`` in all, shared equally by the languages (rows are chosen by
 id hash). Defined results: ``und`` with score 0 for a null text or one without
 a letter, and for all if nothing can be learned; languages without a family in
 ``FAMILIES`` are families of their own; a null id is not held out and teaches
-nothing; repeated rows are scored alike.
+nothing; repeated rows are scored alike; texts of any length are read whole; extra
+columns are not read.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from keelson.llm.common import CHUNK_BYTES, held_out, row_chunks, sorted_features, stash, text_buffers
 
@@ -200,7 +202,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> dict:
     chosen = known.join(counts, "lang").filter(share < F.lit(float(each)) / F.col("n"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     data = chosen.select("doc_id", "lang", "text").mapInArrow(
-        _features, f"doc_id {id_type}, lang string, x array<float>").limit(2 * sample).toArrow()
+        _features, f"doc_id {id_type}, lang string, x array<float>").orderBy("doc_id", "lang", F.xxhash64("x")).limit(2 * sample).toArrow()
     langs = np.array(data.column("lang").to_pylist(), dtype=object)
     x, order = sorted_features(data, BUCKETS)
     del data
@@ -219,19 +221,24 @@ def _predict(model: dict):
                 if model["langs"]:
                     lang[lo:hi], score[lo:hi] = decide(margins(raw, offsets[lo:hi + 1], model), model)
             lang[~letters], score[~letters] = UNKNOWN, 0.0
-            keep = [c for c in batch.schema.names if not c.startswith("__")]
+            keep = [c for c in batch.schema.names if c != "__letters"]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keep], pa.array(lang, pa.string()), pa.array(score)], [*keep, "__lang", "__score"])
     return run
 
 
 def predict(docs: DataFrame, keep: list[str], model: dict) -> DataFrame:
-    """The columns ``keep`` of every document with ``__lang`` and ``__score``."""
-    cols = docs.select(*dict.fromkeys([*keep, "text"]))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cols.schema)
+    """The columns ``keep`` of every document with ``__lang`` and ``__score``.
+
+    ``keep`` may not hold these two names or ``__letters``.
+    """
+    if {"__lang", "__score", "__letters"} & set(keep):
+        raise ValueError("__lang, __score and __letters are names of the operator's own")
+    cols = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, "text"])])
+    schema = StructType([*cols.schema.fields, StructField("__lang", StringType()), StructField("__score", DoubleType())])
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return cols.withColumn("__letters", letters).mapInArrow(
-        _predict(model), f"{fields}, __lang string, __score double").select(*keep, "__lang", "__score")
+    return cols.withColumn("__letters", letters).mapInArrow(_predict(model), schema).select(
+        *[F.col(f"`{c}`") for c in keep], "__lang", "__score")
 
 
 def identify(docs: DataFrame) -> DataFrame:

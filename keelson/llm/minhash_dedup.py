@@ -23,7 +23,8 @@ only in the first list that both prefixes share.
 Defined results: a null text, or one without words, has an empty set, links
 with nothing and is kept; a text of fewer words than a shingle is one shingle;
 repeated rows and ids are members of the class like others; null ids join a class but
-do not name it. Only ``doc_id`` and ``text`` are read, other columns are ignored.
+do not name it. Only ``doc_id`` and ``text`` are read; other columns are carried
+by ``drop_duplicates`` as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -47,6 +48,8 @@ TILE = 512
 # When a round confirms less than this share of its pairs, few members of the
 # open lists belong together, and all remaining pairs are tried.
 LEAST_YIELD = 0.05
+# Sets of at most this many shingles are named by their words as well.
+SMALL_SET = 8
 
 _LIST = ["coord", "value"]
 
@@ -54,19 +57,35 @@ _SEEDS = mix64(np.arange(1, 2 * COORDS + 1, dtype=np.uint64) * np.uint64(0x9E377
 _MUL, _ADD = _SEEDS[:COORDS] | np.uint64(1), _SEEDS[COORDS:]
 
 
-def shingle_keys(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.uint64]:
-    """Distinct (row, shingle hash) of the rows as one sorted array, and the shift to the row.
+def _order(row: np.ndarray, hashes: np.ndarray, rows: int) -> np.ndarray:
+    """Order of (row, hash) pairs, by one sort on the row and the hash's upper bits where these tell all apart."""
+    bits = max(1, int(rows).bit_length())
+    key = (row.astype(np.uint64) << np.uint64(64 - bits)) | (hashes >> np.uint64(bits))
+    order = np.argsort(key)
+    key, h = key[order], hashes[order]
+    if ((key[1:] == key[:-1]) & (h[1:] != h[:-1])).any():
+        return np.lexsort((hashes, row))
+    return order
 
-    The row number takes the upper bits it needs, the hash all others.
-    """
+
+def shingle_sets(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row and 64-bit hash of every distinct shingle of each row, in order, and a second hash of each row's words."""
     starts, ends, bounds = word_spans(raw, offsets)
-    hashes, at = shingle_hashes(span_hashes(raw, starts, ends), bounds, n)
-    shift = np.uint64(64 - max(1, int(len(offsets) - 1).bit_length()))
-    row = np.repeat(np.arange(len(offsets) - 1, dtype=np.uint64), np.diff(at))
-    keys = np.sort((row << shift) | (hashes & ((np.uint64(1) << shift) - np.uint64(1))))
-    fresh = np.ones(len(keys), dtype=bool)
-    fresh[1:] = keys[1:] != keys[:-1]
-    return keys[fresh], shift
+    words = span_hashes(raw, starts, ends)
+    hashes, at = shingle_hashes(words, bounds, n)
+    rows = len(offsets) - 1
+    row = np.repeat(np.arange(rows), np.diff(at))
+    order = _order(row, hashes, rows)
+    row, hashes = row[order], hashes[order]
+    fresh = np.ones(len(row), dtype=bool)
+    fresh[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])
+    place = np.arange(len(words)) - np.repeat(bounds[:-1], np.diff(bounds))
+    mixed = mix64(words + mix64(place.astype(np.uint64) + np.uint64(0x5EED)))
+    text = np.zeros(rows, dtype=np.uint64)
+    full = np.diff(bounds) > 0
+    if full.any():
+        text[full] = np.add.reduceat(mixed, bounds[:-1][full])
+    return row[fresh], hashes[fresh], text
 
 
 def signatures(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -86,10 +105,8 @@ def _sketch(n: int):
             raw, offsets = text_buffers(batch.column("text"))
             for lo, hi in row_chunks(offsets):
                 rows = hi - lo
-                keys, shift = shingle_keys(raw, offsets[lo:hi + 1], n)
-                bounds = np.searchsorted(keys >> shift, np.arange(rows + 1, dtype=np.uint64))
-                # Names and minima must not depend on the row bits left by the shift: 40 bits always are.
-                hashes = mix64(keys & np.uint64(0xFFFFFFFFFF))
+                row, hashes, words = shingle_sets(raw, offsets[lo:hi + 1], n)
+                bounds = np.searchsorted(row, np.arange(rows + 1))
                 count = np.diff(bounds)
                 full = count > 0
                 packed = np.concatenate([bounds[:-1][full], bounds[-1:]])
@@ -99,6 +116,10 @@ def _sketch(n: int):
                 for k, salt in enumerate((np.uint64(0xA5), np.uint64(0x5A5A))):
                     if full.any():
                         name[full, k] = np.add.reduceat(mix64(hashes ^ salt), packed[:-1])
+                # A small set is named by its words as well: one clash of shingle hashes must not join texts.
+                # Equal sets of other texts then are two classes with a similarity of 1, which link like any two.
+                small = full & (count <= SMALL_SET)
+                name[small, 1] = mix64(name[small, 1] ^ words[small])
                 at = np.concatenate([[0], np.cumsum(np.where(full, COORDS, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, rows), batch.column("text_hash").slice(lo, rows), pa.array(count.astype(np.int64)),
@@ -114,10 +135,14 @@ def _confirm(n: int, percent: int):
             keep = np.zeros(batch.num_rows, dtype=bool)
             (raw_a, off_a), (raw_b, off_b) = (text_buffers(batch.column(c)) for c in ("text_a", "text_b"))
             for lo, hi in row_chunks(off_a + off_b):
-                left, shift = shingle_keys(raw_a, off_a[lo:hi + 1], n)
-                right, _ = shingle_keys(raw_b, off_b[lo:hi + 1], n)
-                count = lambda keys: np.bincount((keys >> shift).astype(np.int64), minlength=hi - lo)  # noqa: B023, E731
-                both = count(np.intersect1d(left, right, assume_unique=True))
+                left, h_left, _ = shingle_sets(raw_a, off_a[lo:hi + 1], n)
+                right, h_right, _ = shingle_sets(raw_b, off_b[lo:hi + 1], n)
+                row, h = np.concatenate([left, right]), np.concatenate([h_left, h_right])
+                order = _order(row, h, hi - lo)
+                row, h = row[order], h[order]
+                twice = row[1:][(row[1:] == row[:-1]) & (h[1:] == h[:-1])]
+                count = lambda rows: np.bincount(rows, minlength=hi - lo)  # noqa: B023, E731
+                both = count(twice)
                 keep[lo:hi] = 100 * both >= percent * (count(left) + count(right) - both)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
     return run
@@ -154,16 +179,17 @@ def drop_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80) -> Dat
     """
     found = stash(near_duplicates(docs, shingle, percent).select("doc_id", "n_shingles", "text_hash", "kept"), "minhash-found")
     out = found.filter("not kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    hashed = docs.withColumn("__text", F.xxhash64("text"))
+    # The documents' own columns travel as one, whatever their names.
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("__text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
     rest = hashed.join(out, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash")), "left_anti")
     repeated = stash(found.filter("kept and n_shingles > 0 and doc_id is not null").groupBy("doc_id")
                      .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("__id")), "minhash-repeated")
     if repeated.isEmpty():
-        return rest.select(*docs.columns)
+        return rest.select("__row.*")
     again = F.col("doc_id") == F.col("__id")
     once = (rest.join(repeated, again, "left_semi").groupBy("doc_id")
-            .agg(F.min(F.struct("__text", *docs.columns)).alias("r")).select("r.*"))
-    return rest.join(repeated, again, "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
+            .agg(F.min(F.struct("__text", "__row")).alias("r")).select("r.__row.*"))
+    return rest.join(repeated, again, "left_anti").select("__row.*").unionByName(once)
 
 
 def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -331,9 +357,9 @@ def _full_sets(n: int):
         for batch in batches:
             raw, offsets = text_buffers(batch.column("text"))
             for i in range(batch.num_rows):
-                keys, _ = shingle_keys(raw, offsets[i:i + 2], n)
+                keys = np.sort(shingle_sets(raw, offsets[i:i + 2], n)[1].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("rep").slice(i, 1), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), pa.array(keys.view(np.int64)))],
+                    [batch.column("rep").slice(i, 1), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), pa.array(keys))],
                     ["rep", "shingles"])
     return run
 

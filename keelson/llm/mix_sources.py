@@ -14,7 +14,8 @@ Defined results: a null or empty text has size 0 and is never taken; a null
 source is a source of its own and comes last; rows with equal hash (copies of
 one id) are told apart by their position in the scan, which only decides which
 of the equal rows count; an empty table gives an empty result; columns other
-than ``doc_id``, ``source`` and ``text`` are not read.
+than ``doc_id``, ``source`` and ``text`` are not read, and carried as they are by
+``mix_documents``, whatever their names.
 """
 
 from __future__ import annotations
@@ -143,11 +144,12 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
 def mix_documents(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5,
                   most: float = 2.0) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken."""
-    keyed = _keyed(docs)
+    # The documents' own columns travel as one, whatever their names.
+    keyed = _keyed(docs.select("doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")))
     rows = stash(keyed.select("doc_id", "source", "__size", "__key", "__pos", "__hash"), "mix-rows")
     taken = _apply(keyed, decide(rows, weights, share, most)).filter("__copies > 0")
     return (taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-            .select(*docs.columns))
+            .select("__row.*"))
 
 
 def decide(rows: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:

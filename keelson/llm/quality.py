@@ -15,7 +15,8 @@ labels of at most ``SAMPLE`` rows that are not held out, the ones with the
 smallest id hash. Defined results: null and empty texts are documents without
 words, scored from their (zero) vector; without labels of both kinds every
 score is the sample's share of label 1 (0.5 without any); a null id is not held
-out and teaches nothing; of labels repeated for an id the lowest counts.
+out and teaches nothing; of labels repeated for an id the lowest counts; repeated rows
+are scored alike; texts of any length are read whole; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from keelson.llm.common import held_out, mix64, row_chunks, sorted_features, span_hashes, stash, text_buffers, word_spans
 
@@ -194,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     rows = docs.select("doc_id", "text").join(F.broadcast(stash(known, "quality-sample")), "doc_id")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     data = rows.select("doc_id", "text", "quality").mapInArrow(
-        _vectors(table), f"doc_id {id_type}, quality int, x array<float>").limit(2 * sample).toArrow()
+        _vectors(table), f"doc_id {id_type}, quality int, x array<float>").orderBy("doc_id", F.xxhash64("x")).limit(2 * sample).toArrow()
     x, order = sorted_features(data, 4 * DIM + 1)
     return table, fit_network(x.astype(np.float64), data.column("quality").to_numpy().astype(np.float64)[order])
 
@@ -206,17 +208,18 @@ def _score(table: np.ndarray, net: dict):
             out = np.zeros(batch.num_rows)
             for lo, hi in row_chunks(offsets):
                 out[lo:hi] = predict(net, pooled(raw, offsets[lo:hi + 1], table))
-            keep = [c for c in batch.schema.names if c != "__score"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(out)], [*keep, "__score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], [*batch.schema.names, "__score"])
     return run
 
 
 def score(docs: DataFrame, labels: DataFrame, keep: list[str], sample: int = SAMPLE) -> DataFrame:
-    """The columns ``keep`` of every document (``text`` is needed) and ``__score``."""
+    """The columns ``keep`` of every document (``text`` is needed) and ``__score``, a name ``keep`` may not hold."""
+    if "__score" in keep:
+        raise ValueError("__score is the name of the result")
     table, net = fit(docs, labels, sample)
-    cols = docs.select(*dict.fromkeys([*keep, "text"]))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cols.schema)
-    return cols.mapInArrow(_score(table, net), f"{fields}, __score double").select(*keep, "__score")
+    cols = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, "text"])])
+    schema = StructType([*cols.schema.fields, StructField("__score", DoubleType())])
+    return cols.mapInArrow(_score(table, net), schema).select(*[F.col(f"`{c}`") for c in keep], "__score")
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

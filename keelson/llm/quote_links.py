@@ -15,7 +15,9 @@ it replies to.
 Defined results: a null text is empty; a message whose quotes match nothing, or
 only later messages, starts a thread; a null conversation is one of its own;
 null turns come last and link with nothing; messages that share a turn are ordered by text;
-unquoted text is kept whole, outer blank lines are cut.
+unquoted text is kept whole (lines end at line feeds, other signs stay), outer blank
+lines are cut; messages of any length are read whole; a short quoted line links like a
+long one where nothing longer matches; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ from pyspark.sql import functions as F
 from keelson.llm.common import source_key, stash
 from keelson.operators.rank import rank_within_groups
 
-# Units of fewer words say too little to link by, unless they are a whole text.
+# Units of fewer words say little: they link only where a message has no longer match,
+# unless they are a whole text.
 LEAST_WORDS = 3
 
 _MARKS = re.compile(r"[ \t]{0,3}((?:>[ \t]?)+)")
@@ -46,7 +49,7 @@ def split_quotes(text: str) -> tuple[str, list[tuple[int, str]]]:
     own: list[str] = []
     passages: list[tuple[int, list[str]]] = []
     last = 0
-    for line in text.splitlines():
+    for line in text.split("\n"):
         m = _MARKS.match(line)
         level = m.group(1).count(">") if m else 0
         rest = line[m.end():] if m else line
@@ -76,14 +79,15 @@ def _drop_attribution(own: list[str]) -> None:
 
 
 def units(text: str) -> dict[int, int]:
-    """Hash of every unit of ``text`` that is long enough, with its number of words."""
+    """Hash of every unit of ``text``, with its number of words, negative if it is short."""
     out = {}
 
     def add(part: str, whole: bool = False) -> None:
         words = part.translate(_UPPER).split()
-        if len(words) >= (1 if whole else LEAST_WORDS):
+        if words:
+            size = len(words) if whole or len(words) >= LEAST_WORDS else -len(words)
             digest = hashlib.blake2b(" ".join(words).encode("utf-8", "replace"), digest_size=8).digest()
-            out.setdefault(int.from_bytes(digest, "little", signed=True), len(words))
+            out.setdefault(int.from_bytes(digest, "little", signed=True), size)
 
     add(text, whole=True)
     for paragraph in re.split(r"\n\s*\n", text):
@@ -147,8 +151,11 @@ def _links(rows: DataFrame) -> DataFrame:
                  .groupBy("conv", "hash").agg(F.min("turn").alias("at")))
     originals = stash(originals, "quotes-originals")
     hits = quotes.join(originals, ["conv", "hash"]).filter(F.col("at") < F.col("turn"))
-    score = hits.groupBy("conv", "uid", "turn", "level", "at").agg(F.sum("words").alias("words"))
-    best = score.groupBy("conv", "uid", "turn").agg(F.max(F.struct(-F.col("level"), "words", "at")).alias("b"))
+    long, short = (F.sum(F.greatest(c, F.lit(0))) for c in (F.col("words"), -F.col("words")))
+    score = hits.groupBy("conv", "uid", "turn", "level", "at").agg(long.alias("long"), short.alias("short"))
+    # Originals of long units go before those of short ones alone.
+    best = score.groupBy("conv", "uid", "turn").agg(F.max(F.struct(
+        F.col("long") > 0, -F.col("level"), F.when(F.col("long") > 0, F.col("long")).otherwise(F.col("short")), "at")).alias("b"))
     # Messages that share a turn share the link, as links name turns.
     return best.groupBy("conv", "turn").agg(F.max("b.at").alias("reply_to"))
 

@@ -82,3 +82,27 @@ def test_chunks_of_few_words():
 def test_short_documents_alone_in_their_table(spark):
     for text in ("one two", "one", "one two three"):
         assert [(r.n_shingles, r.kept) for r in run(spark.createDataFrame([(1, text)], "doc_id long, text string"))] == [(1, True)]
+
+
+def test_sets_are_named_by_full_hashes(spark):
+    # Two texts without a common word whose shingles agree in 40 bits of their hashes.
+    texts = ["q1681327 r11769289 s11 t560442", "q2604151 r18229057 s4 t868050"]
+    rows = run(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert [(r.n_shingles, r.kept) for r in rows] == [(1, True), (1, True)]
+    # Equal small sets of other texts are two classes that link.
+    again = ["a b c d a b c d a", "b c d a b c d a b", "A b c d a b c d a"]
+    rows = run(spark.createDataFrame(list(enumerate(again)), "doc_id long, text string"))
+    assert {r.component_id for r in rows} == {0}
+
+
+def test_order_and_distinct_shingles():
+    rng = np.random.default_rng(4)
+    row = np.repeat(np.arange(5), 40)
+    for hashes in (rng.integers(0, 2**63, 200).astype(np.uint64), rng.integers(0, 9, 200).astype(np.uint64)):
+        order = minhash_dedup._order(row, hashes, 5)
+        pairs = list(zip(row[order].tolist(), hashes[order].tolist()))
+        seen = set()
+        for before, pair in zip([None, *pairs], pairs):
+            assert pair == before or pair not in seen     # equal pairs lie together
+            seen.add(pair)
+        assert row[order].tolist() == sorted(row.tolist())

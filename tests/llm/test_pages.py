@@ -20,11 +20,32 @@ def test_page_without_template():
 def test_odd_markup():
     cases = {"": "", "plain text only": "plain text only", "<p>a<p>b": "a b", "<article>1 < 2 and <b>bo</b>ld &amp &am": "1 < 2 and bold & &am",
              "<article>cut off <a href='x": "cut off", "<div class='content with-sidebar'>x<div class='ad'>y</div>z</div>": "x z",
-             "<p hidden>no</p><p>yes</p>": "yes", "<body>a&nbsp;b <!-- <p>no</p> --></body>": "a b"}
+             "<p hidden>also</p><p>yes</p>": "also yes", "<body>a&nbsp;b <!-- <p>no</p> --></body>": "a b"}
     for page, want in cases.items():
         assert html_extract.main_text(page, frozenset()) == want
 
 
+def test_tokenizer_loses_no_article():
+    long = "word " * 50_000
+    cases = {
+        "<head><script>if(a<b){c()}</script></head><body><article><p>all text</p>": "all text",
+        "<article>a<script>for(i=0;i<n;i++){x='</p>'}</script>b</article>": "ab",
+        "<article>a <SCRIPT type=x>'<script>' \"</scripts>\" <b</SCRIPT >b</article>": "a b",
+        "<style>a<b{}</style><article>x</article>": "x", "<title>1<2</title><main>x</main>": "x",
+        "<article><p title=it's>one</p><p>two</p> it's <b>three</b></article>": "one two it's three",
+        "<article><p it's>one</p><p a='>' b=\">\" c = d>two</p></article>": "one two",
+        "<article><a href=/x/>y</a> z <br/>w</article>": "y z w", "<article>1 <2 </ 3> <> < 4 <é</article>": "1 <2 <> < 4 <é",
+        "<main><p>intro outside</p><article>in</article></main>": "in", "<article>a<article>b</article>c</article>": "a b c",
+        "<main>a<p>b</p></main>": "a b", "<article><code>x <span class=comment># y</span></code></article>": "x # y",
+        "<article><ul class=side-effects><li>rash</ul><table class=alert><td>t</table><table class=related><td>u</table></article>": "rash t u",
+        "<article>a<ul class='share-links'><li>tweet</ul><div id=postComments>first!</div>b</article>": "a b",
+        f"<article>{long}<script>{'<' * 9999}</script>end</article>": long + "end", "<article>x</article><script>never closed <p>y": "x",
+        "<article>a<!-- <article> -- > -->b<![CDATA[c<d]]></article>": "abc<d", "<article>&lt;p&gt; &amp;amp; &#8364;&#x20AC;</article>": "<p> &amp; €€",
+    }
+    for page, want in cases.items():
+        assert html_extract.main_text(page, frozenset()) == want, page[:80]
+
+
 def test_articles_of_all_pages(spark):
     rows = html_extract.extract(read(spark, SF_ORACLE, "pages")).collect()
     pages = {r.page_id: r for r in read(spark, SF_ORACLE, "pages").collect()}

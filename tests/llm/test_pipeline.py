@@ -2,6 +2,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from keelson.llm import queries
@@ -39,10 +40,24 @@ def test_stages_take_awkward_and_empty_tables(spark):
             assert name == "pack" or out.columns == docs.columns
 
 
+def test_extra_columns_of_any_name_are_carried(spark):
+    docs = read(spark, SF_SMALL, "documents").limit(60)
+    names = ["__size", "__total", "__key", "__row", "__score", "__lang", "__letters", "__text", "__id", "__hash", "row", "a.b", "quality", "kept"]
+    more = docs.select("*", *[F.concat(F.lit("mine "), F.col("doc_id")).alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, more, SF_SMALL)
+        assert out.columns == more.columns
+        rows = out.collect()
+        assert rows and all(r[n] == f"mine {r.doc_id}" for r in rows for n in names), name
+        plain = sorted(r.doc_id for r in stage(spark, docs, SF_SMALL).collect())
+        assert sorted(r.doc_id for r in rows) == plain, name
+    assert corpus_pipeline.STAGES[-1][1](spark, more, SF_SMALL).count() > 0
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_sql_twin(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "embeddings"):
+    for t in ("pages", "embeddings", "documents"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{os.path.join(SF_ORACLE, t)}.parquet'")
     want = con.execute(queries.ORACLE[name]).df()
     got = queries.QUERIES[name](spark, SF_ORACLE).toPandas()

@@ -65,3 +65,17 @@ def test_stashed_tables_can_be_dropped(spark):
     kept = common.stash(spark.range(3).toDF("id"), "test")
     assert kept.count() == 3
     assert common.drop_stashed(spark) == 1
+
+
+def test_text_is_kept_to_the_sign():
+    body, quotes = quote_links.split_quotes("a\r\nb\x0cc\x85d\u2028e\n> q\r\n> r\nend\r\n")
+    assert body == "a\r\nb\x0cc\x85d\u2028e\nend\r"
+    assert quotes == [(1, "q\r\nr")]
+
+
+def test_short_quotes_link_where_nothing_longer_matches(spark):
+    long = "the first long line of words here\nSounds good\nanother long line of this message"
+    rows = [("c", 1, "u", long), ("c", 2, "u", "Sounds good\nwe will do the other thing then"), ("c", 3, "u", "> Sounds good\nyes"),
+            ("c", 4, "u", "> Sounds good\n> we will do the other thing then\nok"), ("c", 5, "u", "> " + "word " * 30_000 + "\n> Sounds good\nno")]
+    out = {r.turn: r.reply_to for r in quote_links.link_quotes(spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")).collect()}
+    assert out == {1: None, 2: None, 3: 1, 4: 2, 5: 1}
