@@ -384,6 +384,19 @@ SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN split_part(url, '://', 2)
 
     "scan_parquet": "SELECT * FROM lineitem",
     "scan_csv": "SELECT * FROM orders",
+    "csv_typed_rows": f"""
+SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS o_totalprice, o_orderstatus, CAST(o_orderdate AS DATE) AS o_day
+FROM orders WHERE {h('dirty', 'o_orderkey', 0)} % 50 NOT IN (1, 2, 3)""",
+    "csv_rejects": f"""
+SELECT o_orderkey, CASE d WHEN 3 THEN 'fields' ELSE 'type' END AS reason,
+       CASE d WHEN 1 THEN 'o_totalprice' WHEN 2 THEN 'o_day' END AS bad_column
+FROM (SELECT o_orderkey, {h('dirty', 'o_orderkey', 0)} % 50 AS d FROM orders) WHERE d IN (1, 2, 3)""",
+    "csv_column_types": f"""
+WITH d AS (SELECT o_orderkey, o_orderstatus, {h('dirty', 'o_orderkey', 0)} % 50 AS d FROM orders),
+g AS (SELECT max(o_orderkey) AS top, bool_or(d = 1) AS price, bool_or(d = 2) AS day FROM d WHERE d <> 3)
+SELECT v.* FROM g, LATERAL (VALUES ('o_orderkey', 0, CASE WHEN top < 2147483648 THEN 'int' ELSE 'bigint' END),
+  ('o_totalprice', 1, CASE WHEN price THEN 'string' ELSE 'double' END), ('o_orderstatus', 2, 'string'),
+  ('o_day', 3, CASE WHEN day THEN 'string' ELSE 'date' END)) v("column", "position", "type")""",
     "sink_parquet_roundtrip": "SELECT * FROM orders",
     "sink_overwrite_schema": "SELECT *, c_nationkey + 1 AS nation_code FROM customer",
     "split_write_pair": _stratified(),

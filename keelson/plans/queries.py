@@ -22,7 +22,7 @@ from keelson.plans import registry_data
 from keelson.session import checkpoint_root, scratch_dir
 from keelson.sinks import files as sinks
 from keelson.sinks import tables
-from keelson.sources import catalog, synth
+from keelson.sources import catalog, infer, synth
 from keelson.sources.files import read_table, scan_csv, scan_parquet, spread, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -337,6 +337,37 @@ def q_feature_table_register(spark, root):
     return training_set(base, [FeatureLookup(name, ["s_acctbal", "s_nationkey"], "l_suppkey")])
 
 
+def _dirty_orders(spark, root):
+    """A folder of CSV without headers and with bad lines: of some keys the date or the price is no value, or a field too many."""
+    orders = read_table(spark, root, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", F.to_date("o_orderdate").alias("o_day"))
+    drawn = F.pmod(hash60(keyed_text(orders, ["o_orderkey"], "dirty")), F.lit(50))
+    cells = [F.col("o_orderkey").cast("string"), F.when(drawn == 1, "n/a").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")),
+             F.col("o_orderstatus"), F.when(drawn == 2, "2024-13-45").otherwise(F.col("o_day").cast("string"))]
+    line = F.concat_ws(",", *cells, F.when(drawn == 3, F.lit("extra")))
+    path = scratch_dir(spark, "dirty-csv")
+    orders.select(line.alias("value")).write.text(path)
+    return path
+
+
+DIRTY_SCHEMA = "o_orderkey bigint, o_totalprice double, o_orderstatus string, o_day date"
+
+
+def q_csv_typed_rows(spark, root):
+    schema = spark.createDataFrame([], DIRTY_SCHEMA).schema
+    return infer.scan_with_rejects(spark, _dirty_orders(spark, root), schema, header=False)[0]
+
+
+def q_csv_rejects(spark, root):
+    schema = spark.createDataFrame([], DIRTY_SCHEMA).schema
+    rejects = infer.scan_with_rejects(spark, _dirty_orders(spark, root), schema, header=False)[1]
+    return rejects.select(F.split_part("line", F.lit(","), F.lit(1)).cast("bigint").alias("o_orderkey"), "reason", F.col("column").alias("bad_column"))
+
+
+def q_csv_column_types(spark, root):
+    """Types over the dirty files: one odd field makes a column a string."""
+    return infer.column_types(infer.column_facts(spark, _dirty_orders(spark, root), names=["o_orderkey", "o_totalprice", "o_orderstatus", "o_day"]))
+
+
 def q_values_source(spark, root):
     codes = synth.values_source(spark, list(SEGMENT_CODES.items()), "segment string, segment_code int")
     cust = read_table(spark, root, "customer").select("c_custkey", "c_mktsegment")
@@ -604,6 +635,9 @@ QUERIES: dict[str, Query] = {
     "format_timestamp": q_format_timestamp,
     "scan_parquet": q_scan_parquet,
     "scan_csv": q_scan_csv,
+    "csv_typed_rows": q_csv_typed_rows,
+    "csv_rejects": q_csv_rejects,
+    "csv_column_types": q_csv_column_types,
     "sink_parquet_roundtrip": q_sink_parquet_roundtrip,
     "sink_overwrite_schema": q_sink_overwrite_schema,
     "split_write_pair": q_split_write_pair,
