@@ -38,7 +38,7 @@ def test_tokenizer_loses_no_article():
         "<main><p>intro outside</p><article>in</article></main>": "in", "<article>a<article>b</article>c</article>": "a b c",
         "<main>a<p>b</p></main>": "a b", "<article><code>x <span class=comment># y</span></code></article>": "x # y",
         "<article><ul class=side-effects><li>rash</ul><table class=alert><td>t</table><table class=related><td>u</table></article>": "rash t u",
-        "<article>a<ul class='share-links'><li>tweet</ul><div id=postComments>first!</div>b</article>": "a b",
+        "<article>a<ul class='share-links'><li>tweet</ul><div id=post-comments>first!</div>b</article>": "a b",
         f"<article>{long}<script>{'<' * 9999}</script>end</article>": long + "end", "<article>x</article><script>never closed <p>y": "x",
         "<article>a<!-- <article> -- > -->b<![CDATA[c<d]]></article>": "abc<d", "<article>&lt;p&gt; &amp;amp; &#8364;&#x20AC;</article>": "<p> &amp; €€",
     }
