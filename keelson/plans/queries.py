@@ -341,7 +341,7 @@ def _dirty_orders(spark, root):
     """A folder of CSV without headers and with bad lines: of some keys the date or the price is no value, or a field too many."""
     orders = read_table(spark, root, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", F.to_date("o_orderdate").alias("o_day"))
     drawn = F.pmod(hash60(keyed_text(orders, ["o_orderkey"], "dirty")), F.lit(50))
-    cells = [F.col("o_orderkey").cast("string"), F.when(drawn == 1, "n/a").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")),
+    cells = [F.col("o_orderkey").cast("string"), F.when(drawn == 1, "n/a").otherwise(F.col("o_totalprice").cast("string")),
              F.col("o_orderstatus"), F.when(drawn == 2, "2024-13-45").otherwise(F.col("o_day").cast("string"))]
     line = F.concat_ws(",", *cells, F.when(drawn == 3, F.lit("extra")))
     path = scratch_dir(spark, "dirty-csv")
