@@ -385,7 +385,7 @@ SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN split_part(url, '://', 2)
     "scan_parquet": "SELECT * FROM lineitem",
     "scan_csv": "SELECT * FROM orders",
     "csv_typed_rows": f"""
-SELECT o_orderkey, o_totalprice, o_orderstatus, CAST(o_orderdate AS DATE) AS o_day
+SELECT o_orderkey, o_totalprice, o_orderstatus, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_day
 FROM orders WHERE {h('dirty', 'o_orderkey', 0)} % 50 NOT IN (1, 2, 3)""",
     "csv_rejects": f"""
 SELECT o_orderkey, CASE d WHEN 3 THEN 'fields' ELSE 'type' END AS reason,

@@ -354,7 +354,7 @@ DIRTY_SCHEMA = "o_orderkey bigint, o_totalprice double, o_orderstatus string, o_
 
 def q_csv_typed_rows(spark, root):
     schema = spark.createDataFrame([], DIRTY_SCHEMA).schema
-    return infer.scan_with_rejects(spark, _dirty_orders(spark, root), schema, header=False)[0]
+    return infer.scan_with_rejects(spark, _dirty_orders(spark, root), schema, header=False)[0].withColumn("o_day", F.col("o_day").cast("string"))
 
 
 def q_csv_rejects(spark, root):
