@@ -20,7 +20,12 @@ from keelson.operators.clean import missing_as_null
 
 def row_count(df: DataFrame, name: str, name_col: str = "frame") -> DataFrame:
     """A2 as a one-row frame (name, n_rows)."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias(name_col), "n_rows")
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias(name_col), _counted("n_rows"))
+
+
+def _counted(column: str) -> Column:
+    """A count; one taken from the footers of a table without rows arrives as null and is zero."""
+    return F.greatest(F.col(column), F.lit(0)).cast("bigint").alias(column)
 
 
 def row_counts(frames: Mapping[str, DataFrame], name_col: str = "frame") -> DataFrame:
@@ -37,7 +42,7 @@ def shape_profile(frames: Mapping[str, DataFrame]) -> DataFrame:
 def key_range(df: DataFrame, key: str) -> DataFrame:
     """A4: (key_min, key_max, n_keys) of a key column."""
     return df.agg(F.min(key).alias("key_min"), F.max(key).alias("key_max"),
-                  F.count(key).alias("n_keys"))
+                  F.count(key).alias("n_keys")).select("key_min", "key_max", _counted("n_keys"))
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
@@ -109,6 +114,59 @@ def validate_input(df: DataFrame, label: str | None = None) -> DataFrame:
     return wide.select(F.inline(F.array(*entries)))
 
 
+# Relative standard error of the distinct-count sketch, and how many of them a decision must stay clear of.
+SKETCH_ERROR, SKETCH_MARGIN = 0.01, 4
+
+
+def column_shapes(df: DataFrame, id_share: float = 0.95, constant_share: float = 0.95, skewed_from: float = 2.0) -> DataFrame:
+    """columns that look like ids, are nearly constant or are skewed; one row per column.
+
+    Result: ``column_name, n_present, distinct_estimate, top_count, skewness, id_like, near_constant, skewed``.
+    The first aggregate holds mergeable sketches of all columns: a distinct-count sketch (standard
+    error ``SKETCH_ERROR``) and a quantile sketch, whose median is the only value that more
+    than half of the rows can share (a value with 51 percent is always found). The second counts that value exactly in ``top_count`` (at least one
+    row's value, not the most frequent one where none has half of the rows),
+    and counts distinct values exactly where the estimate is within ``SKETCH_MARGIN`` errors of the
+    border, so the three flags are exact but for a sketch that errs by more than that. Null and
+    NaN are missing; a column without a value, of an empty table too, has no flag set. Shares are of present values;
+    ``constant_share`` must be above 0.51. Skewness is the population's, of numbers only.
+    """
+    if not 0.51 < constant_share <= 1:
+        raise ValueError("constant_share must be above 0.51 and at most 1")
+    numeric = [isinstance(df.schema[c].dataType, NumericType) for c in df.columns]
+    # Sketches see one double a value: a number itself, or 52 bits of a hash.
+    cells = [missing_as_null(df, c).cast("double") if number else F.pmod(_comparable(df, c), F.lit(1 << 52)).cast("double")
+             for c, number in zip(df.columns, numeric)]
+    plain = df.select(*[x.alias(f"x{i}") for i, x in enumerate(cells)],
+                      *[_present(df, c).alias(f"p{i}") for i, c in enumerate(df.columns)])
+    aggs = []
+    for i, number in enumerate(numeric):
+        aggs += [F.count(f"x{i}").alias(f"n{i}"), F.approx_count_distinct(f"p{i}", SKETCH_ERROR).alias(f"d{i}"),
+                 F.percentile_approx(f"x{i}", 0.5, F.lit(1000)).alias(f"m{i}"),
+                 (F.skewness(f"x{i}") if number else F.lit(None).cast("double")).alias(f"s{i}")]
+    first = plain.agg(*aggs).first()
+    exact = []
+    for i in range(len(cells)):
+        n, d, median = first[f"n{i}"], first[f"d{i}"], first[f"m{i}"]
+        exact.append(F.count_if(F.col(f"x{i}") == F.lit(median)).alias(f"t{i}") if median is not None else F.lit(0).alias(f"t{i}"))
+        if n and abs(d / n - id_share) <= SKETCH_MARGIN * SKETCH_ERROR * d / n:
+            exact.append(F.count_distinct(f"p{i}").alias(f"e{i}"))
+    wide = plain.agg(*exact)
+    rows = []
+    for i, c in enumerate(df.columns):
+        n, skew = first[f"n{i}"], first[f"s{i}"]
+        distinct = F.col(f"e{i}") if f"e{i}" in wide.columns else F.lit(first[f"d{i}"])
+        top = F.coalesce(F.col(f"t{i}"), F.lit(0)).cast("bigint")
+        skew = None if skew is None or skew != skew else float(skew)
+        rows.append(F.struct(F.lit(c).alias("column_name"), F.lit(n).cast("bigint").alias("n_present"),
+                             F.lit(first[f"d{i}"]).cast("bigint").alias("distinct_estimate"), top.alias("top_count"),
+                             F.lit(skew).cast("double").alias("skewness"),
+                             ((F.lit(n) > 0) & (distinct >= F.lit(id_share) * n)).alias("id_like"),
+                             ((F.lit(n) > 0) & (top >= F.lit(constant_share) * n)).alias("near_constant"),
+                             F.lit(skew is not None and abs(skew) >= skewed_from).alias("skewed")))
+    return wide.select(F.inline(F.array(*rows)))
+
+
 def input_faults(report: DataFrame, label: str | None = None) -> list[str]:
     """Faults in a ``validate_input`` report (bounded: one row per column)."""
     faults = []

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.operators.clean import missing_as_null
+from keelson.operators.exact import exact_moments
 
 STAT_NAMES = ("n", "min", "max", "mean", "std")
 
@@ -46,9 +47,14 @@ def _stat_aggs(df: DataFrame, cols: Sequence[str]) -> list[Column]:
     return aggs
 
 
-def fit_scaler(df: DataFrame, columns: Sequence[str]) -> dict[str, ColumnStats]:
-    """A5: one pass, one row back to the driver."""
+def fit_scaler(df: DataFrame, columns: Sequence[str], exact: bool = False) -> dict[str, ColumnStats]:
+    """A5: one pass, one row back to the driver.
+
+    ``exact`` takes the sums of ``operators.exact``: equal to the last bit at any partitioning.
+    """
     cols = list(columns)
+    if exact:
+        return {c: ColumnStats(m.n, m.min, m.max, m.mean, m.std) for c, m in exact_moments(df, cols).items()}
     row = df.agg(*_stat_aggs(df, cols)).first()
     return {c: ColumnStats(int(row[f"{c}__n"]), row[f"{c}__min"], row[f"{c}__max"],
                            row[f"{c}__mean"], row[f"{c}__std"]) for c in cols}

@@ -57,6 +57,19 @@ def _validate_sql(src: str, cols: list[tuple[str, str, bool]], label: str) -> st
     return "\nUNION ALL\n".join(parts)
 
 
+def _shapes_sql(src: str, numbers: list[str], others: list[str]) -> str:
+    """One branch per column: distinct share, share of the most frequent value, population skewness."""
+    parts = []
+    for name in numbers + others:
+        skew = (f"(SELECT avg(power({name} - m, 3)) / power(s, 3) FROM {src}, "
+                f"(SELECT avg({name}) AS m, nullif(stddev_pop({name}), 0) AS s FROM {src}) GROUP BY s)") if name in numbers else "0"
+        parts.append(
+            f"SELECT '{name}' AS column_name, CAST(sum(c) AS BIGINT) AS n_present, count(*) >= 0.95 * sum(c) AS id_like, "
+            f"max(c) >= 0.95 * sum(c) AS near_constant, coalesce(abs({skew}) >= 2, false) AS skewed "
+            f"FROM (SELECT {name}, count(*) AS c FROM {src} WHERE {name} IS NOT NULL GROUP BY {name})")
+    return "\nUNION ALL\n".join(parts)
+
+
 def _stratified() -> str:
     hk = h("stratified 0.2", "o_orderkey")
     return f"""
@@ -334,6 +347,33 @@ SELECT 'p_retailprice', count(p_retailprice), round(min(p_retailprice), 6), roun
        round(avg(p_retailprice), 6), round(stddev_pop(p_retailprice), 6)
 FROM part""",
 
+    # Doubles of at least one are whole multiples of 2**-52 (4503599627370496 = 2**52).
+    "exact_moments": """
+SELECT 'l_quantity' AS column_name, CAST(count(l_quantity) AS BIGINT) AS n,
+       CAST(sum(CAST(l_quantity * 4503599627370496 AS HUGEINT)) AS VARCHAR) AS total_units,
+       round(avg(l_quantity), 6) AS mean, round(stddev_pop(l_quantity), 6) AS std
+FROM lineitem
+UNION ALL
+SELECT 'l_extendedprice', count(l_extendedprice), CAST(sum(CAST(l_extendedprice * 4503599627370496 AS HUGEINT)) AS VARCHAR),
+       round(avg(l_extendedprice), 6), round(stddev_pop(l_extendedprice), 6)
+FROM lineitem""",
+
+    "impute_mean_exact": f"""
+SELECT doc_id,
+       round(coalesce(CAST(quality AS DOUBLE), avg(quality) OVER ()), 6) AS quality,
+       round(coalesce(CAST(toxic AS DOUBLE), avg(toxic) OVER ()), 6) AS toxic
+FROM {DOCS_LABELS}""",
+
+    "column_shapes": _shapes_sql(
+        "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+        ["l_returnflag", "l_linestatus", "l_shipdate"]),
+
+    "column_shapes_documents": _shapes_sql(DOCS_LABELS, ["doc_id", "n_chars", "quality", "toxic"], ["lang"]),
+
+    "feature_lookup_bucketed": """
+SELECT l_orderkey, l_linenumber, l_partkey, p_size, p_retailprice
+FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
+
     "minmax_scale": """
 SELECT p_partkey,
   round(coalesce((p_size - min(p_size) OVER ()) / nullif(max(p_size) OVER () - min(p_size) OVER (), 0), 0), 6) AS p_size,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from keelson.functions.hashing import hash60, keyed_text
 from keelson.functions.text import format_timestamp, relative_path
-from keelson.operators import auc, clean, model, profile, registry, rowid, scale, selection, split
+from keelson.operators import auc, clean, exact, model, profile, registry, rowid, scale, selection, split
 from keelson.operators.keys import pk_violations
 from keelson.operators.lookup import FeatureLookup, training_set
 from keelson.plans import registry_data
@@ -23,7 +23,7 @@ from keelson.session import checkpoint_root, scratch_dir
 from keelson.sinks import files as sinks
 from keelson.sinks import tables
 from keelson.sources import catalog, infer, synth
-from keelson.sources.files import read_table, scan_csv, scan_parquet, spread, table_path
+from keelson.sources.files import read_table, scan_csv, scan_footers, scan_parquet, spread, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -136,7 +136,7 @@ def q_row_id(spark, root):
 
 
 def q_row_counts(spark, root):
-    return profile.row_counts({t: read_table(spark, root, t)
+    return profile.row_counts({t: scan_footers(spark, table_path(root, t))
                                for t in ("lineitem", "orders", "customer", "supplier", "part")})
 
 
@@ -148,7 +148,7 @@ def q_shape_profile(spark, root):
 
 
 def q_key_range(spark, root):
-    return profile.key_range(read_table(spark, root, "customer"), "c_custkey")
+    return profile.key_range(scan_footers(spark, table_path(root, "customer")), "c_custkey")
 
 
 def q_class_counts(spark, root):
@@ -169,6 +169,35 @@ def q_scaler_stats(spark, root):
                      _r("mean").alias("mean"), _r("std").alias("std"))
 
 
+# Units of the exact totals below: doubles of at least one are whole multiples.
+EXACT_UNIT = 52
+EXACT_COLUMNS = ["l_quantity", "l_extendedprice"]
+
+
+def q_exact_moments(spark, root):
+    """Exact totals, in units of 2**-52 as text, with the nearest mean and the deviation."""
+    found = exact.exact_moments(read_table(spark, root, "lineitem"), EXACT_COLUMNS)
+    rows = [(c, m.n, str(m.total * 2 ** EXACT_UNIT), m.mean, m.std) for c, m in found.items()]
+    out = spark.createDataFrame(rows, "column_name string, n long, total_units string, mean double, std double")
+    return out.select("column_name", "n", "total_units", _r("mean").alias("mean"), _r("std").alias("std"))
+
+
+def q_impute_mean_exact(spark, root):
+    df = documents_with_labels(spark, root).select("doc_id", "quality", "toxic")
+    out = clean.impute_mean(df, ["quality", "toxic"], exact.exact_means(df, ["quality", "toxic"]))
+    return out.select("doc_id", _r("quality").alias("quality"), _r("toxic").alias("toxic"))
+
+
+def q_column_shapes(spark, root):
+    shapes = profile.column_shapes(read_table(spark, root, "lineitem"))
+    return shapes.select("column_name", "n_present", "id_like", "near_constant", "skewed")
+
+
+def q_column_shapes_documents(spark, root):
+    shapes = profile.column_shapes(documents_with_labels(spark, root).drop("source"))
+    return shapes.select("column_name", "n_present", "id_like", "near_constant", "skewed")
+
+
 def q_minmax_scale(spark, root):
     part = read_table(spark, root, "part").select("p_partkey", *PART_SCALED)
     out = scale.minmax_scale(part, PART_SCALED)
@@ -300,6 +329,21 @@ def q_table_append(spark, root):
 PART_FEATURES = ["p_partkey", "p_size", "p_retailprice"]
 
 
+def q_feature_lookup_bucketed(spark, root):
+    """Lookup in a feature table bucketed by its key: only the base rows are moved."""
+    db = _demo_schema(spark)
+    name = f"{db}.part_buckets"
+    part = read_table(spark, root, "part").select(*PART_FEATURES)
+    tables.drop_table(spark, name)
+    tables.create_feature_table(spark, name, "p_partkey", part.schema, "Part features by bucket",
+                                location=scratch_dir(spark, "part-buckets"),
+                                buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tables.write_feature_table(spark, name, part)
+    base = read_table(spark, root, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    features = [c for c in PART_FEATURES if c != "p_partkey"]
+    return training_set(base, [FeatureLookup(name, features, "l_partkey", "p_partkey")])
+
+
 def q_feature_table_write(spark, root):
     db = _demo_schema(spark)
     name = f"{db}.part_features"
@@ -624,6 +668,11 @@ QUERIES: dict[str, Query] = {
     "class_counts": q_class_counts,
     "validate_input": q_validate_input,
     "scaler_stats": q_scaler_stats,
+    "exact_moments": q_exact_moments,
+    "impute_mean_exact": q_impute_mean_exact,
+    "column_shapes": q_column_shapes,
+    "column_shapes_documents": q_column_shapes_documents,
+    "feature_lookup_bucketed": q_feature_lookup_bucketed,
     "minmax_scale": q_minmax_scale,
     "standard_scale": q_standard_scale,
     "scaled_feature_matrix": q_scaled_feature_matrix,

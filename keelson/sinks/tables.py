@@ -66,12 +66,15 @@ def drop_table(spark: SparkSession, name: str) -> None:
 def create_table(spark: SparkSession, name: str, schema: StructType | str,
                  comment: str | None = None, properties: dict[str, str] | None = None,
                  location: str | None = None, fmt: str = "parquet",
-                 if_not_exists: bool = True) -> None:
-    """CREATE TABLE with typed columns (K6)."""
+                 if_not_exists: bool = True, buckets: tuple[int, Sequence[str]] | None = None) -> None:
+    """CREATE TABLE with typed columns (K6); ``buckets`` is a number and the columns that deal and sort the rows."""
     cols = schema if isinstance(schema, str) else ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parts = [f"CREATE TABLE {'IF NOT EXISTS ' if if_not_exists else ''}{quote_name(name)} ({cols})",
              f"USING {fmt}"]
+    if buckets:
+        by = ", ".join(f"`{k}`" for k in buckets[1])
+        parts.append(f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets[0]} BUCKETS")
     if comment is not None:
         parts.append(f"COMMENT {_sql_text(comment)}")
     if location:
@@ -116,14 +119,20 @@ def set_feature_metadata(spark: SparkSession, name: str, primary_keys: str | Seq
 
 def create_feature_table(spark: SparkSession, name: str, primary_keys: str | Sequence[str],
                          schema: StructType, description: str | None = None,
-                         location: str | None = None) -> None:
-    """K3: empty table from a schema, with key and description."""
+                         location: str | None = None, buckets: int | None = None) -> None:
+    """K3: empty table from a schema, with key and description.
+
+    With ``buckets`` rows are dealt to that many files by the key and sorted by it, on every
+    overwrite. A lookup then joins without moving the feature side, if there are at least
+    as many buckets as ``spark.sql.shuffle.partitions`` (Spark moves both sides otherwise).
+    """
     keys = _keys(primary_keys)
     missing = [k for k in keys if k not in schema.fieldNames()]
     if missing:
         raise ValueError(f"primary key columns {missing} are not in the schema")
     create_table(spark, name, schema, comment=description,
-                 properties={PK_PROPERTY: ",".join(keys)}, location=location)
+                 properties={PK_PROPERTY: ",".join(keys)}, location=location,
+                 buckets=(buckets, keys) if buckets else None)
 
 
 def _in_table_order(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
@@ -180,7 +189,9 @@ def write_feature_table(spark: SparkSession, name: str, df: DataFrame, mode: str
     base = table_properties(spark, name).get(BASE_PROPERTY) or facts["Location"]
     path = f"{base.rstrip('/')}.snapshots/{time.time_ns()}-{uuid.uuid4().hex[:8]}"
     try:
-        rows = _write_snapshot(_in_table_order(spark, name, df) if same else df, path, fmt)
+        buckets = _buckets(facts, keys)
+        ordered = _in_table_order(spark, name, df) if same else df
+        rows = _write_buckets(ordered, name, path, fmt, buckets) if buckets else _write_snapshot(ordered, path, fmt)
         if check_keys:
             assert_primary_key(rows, keys, name=name)
         if same:
@@ -210,6 +221,24 @@ def _write_snapshot(df: DataFrame, path: str, fmt: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).format(fmt).load(path)
 
 
+def _buckets(facts: dict[str, str], keys: Sequence[str]) -> tuple[int, Sequence[str]] | None:
+    """Number of buckets and their columns, for a table dealt by its key."""
+    number = int(facts.get("Num Buckets", -1))
+    return (number, keys) if number > 0 else None
+
+
+def _write_buckets(df: DataFrame, name: str, path: str, fmt: str, buckets: tuple[int, Sequence[str]]) -> DataFrame:
+    """A snapshot of one sorted file a bucket. Spark writes buckets through a table only: one that exists for this write."""
+    spark, (number, keys) = df.sparkSession, buckets
+    stage = f"{name}__stage{uuid.uuid4().hex[:8]}"
+    try:
+        (df.repartition(number, *keys).write.format(fmt).bucketBy(number, *keys).sortBy(*keys)
+         .option("path", path).saveAsTable(quote_name(stage)))
+    finally:
+        drop_table(spark, stage)
+    return spark.read.schema(df.schema).format(fmt).load(path)
+
+
 def _set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
     spark.sql(f"ALTER TABLE {quote_name(name)} SET TBLPROPERTIES ({_sql_text(key)} = {_sql_text(value)})")
 
@@ -236,7 +265,8 @@ def _swap_in(spark: SparkSession, name: str, schema: StructType, path: str, fmt:
     following, previous = name + _NEXT, name + _PREV
     properties = {k: v for k, v in table_properties(spark, name).items() if not k.startswith(_OWN_PROPERTIES)} | {BASE_PROPERTY: base}
     drop_table(spark, following)
-    create_table(spark, following, schema, comment=facts.get("Comment"), properties=properties, location=path, fmt=fmt)
+    create_table(spark, following, schema, comment=facts.get("Comment"), properties=properties, location=path, fmt=fmt,
+                 buckets=_buckets(facts, table_primary_keys(spark, name)))
     if facts.get("Type") != "EXTERNAL":
         # Renames and drops move or delete the files of a managed table; this one's files must stay.
         _detach(spark, name)

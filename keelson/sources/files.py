@@ -32,6 +32,22 @@ def scan_parquet(spark: SparkSession, path: str, fmt: str = "parquet",
     return df.select(*columns) if columns else df
 
 
+def scan_footers(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet scan whose plain counts, minima and maxima come from the files' footers.
+
+    The newer reader pushes ``count``, and ``min`` and ``max`` of numbers and dates, of a whole table into
+    the scan when ``spark.sql.parquet.aggregatePushdown`` is set (here, for the session: other
+    readers do not look at it), so no column data is read. Any other use of the frame is an ordinary scan.
+    """
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    classic = spark.conf.get("spark.sql.sources.useV1SourceList")
+    spark.conf.set("spark.sql.sources.useV1SourceList", ",".join(s for s in classic.split(",") if s.strip().lower() != "parquet"))
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.useV1SourceList", classic)
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Rebalance a scan that yields fewer tasks than the cluster has cores.
 

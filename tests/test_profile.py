@@ -1,6 +1,8 @@
+import duckdb
 from pyspark.sql import functions as F
 
 from keelson.operators import profile
+from tests.conftest import SF_SMALL
 
 
 def test_validate_input_reports_faults(spark):
@@ -36,3 +38,26 @@ def test_large_distinct_keys_are_not_constant_and_empty_input_is_reported(spark)
     assert not rows["k"].is_constant and rows["s"].is_constant
     empty = spark.createDataFrame([], "k bigint, y int")
     assert profile.input_faults(profile.validate_input(empty, "y"), "y") == ["input has no rows"]
+
+
+def test_column_shapes_of_made_columns(spark):
+    df = spark.range(2000).select(
+        "id", (F.col("id") % 7).alias("few"), F.when(F.col("id") % 30 == 0, F.lit("b")).otherwise(F.lit("a")).alias("mostly"),
+        F.exp(F.col("id") / 100.0).alias("steep"), F.lit(None).cast("double").alias("none"), F.lit(float("nan")).alias("nan"),
+        F.concat(F.lit("k"), F.least(F.col("id"), F.lit(1920))).alias("near_border"), (F.col("id") % 2 == 0).alias("flag"))
+    rows = {r.column_name: r for r in profile.column_shapes(df).collect()}
+    assert {c for c, r in rows.items() if r.id_like} == {"id", "steep", "near_border"}
+    assert {c for c, r in rows.items() if r.near_constant} == {"mostly"} and rows["mostly"].top_count == 1933
+    assert {c for c, r in rows.items() if r.skewed} == {"steep"}
+    assert rows["none"].n_present == rows["nan"].n_present == 0
+    empty = profile.column_shapes(df.limit(0)).collect()
+    assert len(empty) == 8 and not any(r.id_like or r.near_constant or r.skewed for r in empty)
+
+
+def test_distinct_sketch_keeps_its_error_on_every_given_table(spark):
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "labels"):
+        path = f"{SF_SMALL}/{t}.parquet"
+        found = profile.column_shapes(spark.read.parquet(path)).collect()
+        names = ", ".join(f'count(DISTINCT "{r.column_name}")' for r in found)
+        for r, exact in zip(found, duckdb.sql(f"SELECT {names} FROM '{path}'").fetchone()):
+            assert abs(r.distinct_estimate - exact) <= 4 * profile.SKETCH_ERROR * exact, (t, r.column_name)
