@@ -148,7 +148,7 @@ def _confirm(n: int, percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, text_hash, kept`` for every row of ``docs``."""
     docs = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -172,7 +172,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80) -> Dat
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
-def drop_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80) -> DataFrame:
+def drop_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group of near-duplicates; documents without words all stay.
 
     Of kept rows that share an id (repeated rows), the one with the smallest text hash stays.

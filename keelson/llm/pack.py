@@ -245,6 +245,18 @@ def _epoch(level: int, epoch: int, capacity: int):
     return run
 
 
+def _reopened(bins: np.ndarray, fill: np.ndarray, capacity: int) -> np.ndarray:
+    """Pieces of the bins that the next level packs again: the worst-filled ones, with at most half of the pieces.
+
+    So every level has at most half of the pieces of the one before it, and levels go on until one shard is left.
+    """
+    worst = np.argsort(fill, kind="stable")
+    pieces = np.bincount(bins, minlength=len(fill))[worst]
+    chosen = np.zeros(len(fill), dtype=bool)
+    chosen[worst[np.cumsum(pieces) <= len(bins) // 2]] = True
+    return (chosen & (fill < WELL_FILLED * capacity))[bins]
+
+
 def _finish(level: int, capacity: int, last: bool):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("uid")
@@ -259,7 +271,7 @@ def _finish(level: int, capacity: int, last: bool):
         offset[order] = before - first[bins[order]]
         return pd.DataFrame({"uid": rows["uid"].to_numpy(), "length": sizes, "offset": offset,
                              "sequence_id": (level << 56) + (int(key[0]) << 24) + bins,
-                             "open": False if last else fill[bins] < WELL_FILLED * capacity})
+                             "open": False if last else _reopened(bins, fill, capacity)})
     return run
 
 
@@ -292,12 +304,9 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048) -> DataFrame:
         last = count <= SHARD_PIECES
         packed = stash(_pack_level(items, count, level, length, last), "pack-level")
         items = packed.filter("open").select("uid", "length")
-        open_count = 0 if last else items.count()
-        # Pieces that cannot share bins stay as they are.
-        settled = packed if open_count > count // 2 else packed.filter("not open")
-        settled = settled.select(F.col("uid").alias("__uid"), "sequence_id", "offset")
+        settled = packed.filter("not open").select(F.col("uid").alias("__uid"), "sequence_id", "offset")
         placed = settled if placed is None else placed.unionByName(settled)
-        count = 0 if open_count > count // 2 else open_count
+        count = 0 if last else items.count()
         level += 1
     out = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     full = pieces.filter(F.col("length") == length).withColumns({

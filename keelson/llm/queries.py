@@ -36,7 +36,7 @@ def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents")).select(
+    return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), shingle=4).select(
         "doc_id", "n_shingles", "component_id", "kept")
 
 

@@ -47,9 +47,9 @@ def components(ids, linked):
     return {i: find(i) for i in ids}
 
 
-def near_components(texts, percent=80):
+def near_components(texts, percent=80, n=4):
     """Component of every id by brute force over all pairs of distinct sets."""
-    sets = {i: shingle_set(t) for i, t in texts.items()}
+    sets = {i: shingle_set(t, n) for i, t in texts.items()}
     rep = {}
     for i in sorted(sets):
         if sets[i]:

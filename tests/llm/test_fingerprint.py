@@ -80,3 +80,39 @@ def test_rows_do_not_touch():
         own = np.frombuffer(t, np.uint8)
         alone = fingerprint.sketches(own, np.array([0, len(own)]))
         assert [x[k].tolist() for x in together] == [x[0].tolist() for x in alone]
+
+
+def parsed(texts):
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    return [list(p) for p in zip(*fingerprint.sketches(raw, offsets))], fingerprint.parse_levels(raw, offsets, max(fingerprint.LEVELS))
+
+
+def test_long_texts_that_differ_in_a_few_words_differ():
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        words = [f"w{k}" for k in rng.integers(0, 5000, 20_000)]
+        other = list(words)
+        for k in rng.integers(0, len(words), 10):
+            other[k] = f"new{k}"
+        (a, b, again), _ = parsed([" ".join(words), " ".join(other), " ".join(words)])
+        assert fingerprint.write_fingerprint(a) != fingerprint.write_fingerprint(b)
+        assert fingerprint.write_fingerprint(a) == fingerprint.write_fingerprint(again)
+        assert fingerprint.likeness(a, b) > 0.8
+
+
+def test_likeness_is_near_the_share_of_common_phrases():
+    rng = np.random.default_rng(4)
+    errors = []
+    for k in range(60):
+        words = [f"w{x}" for x in rng.integers(0, 3000, 3000)]
+        cut = int(rng.integers(300, 2700))
+        other = words[:cut] + [f"v{x}" for x in rng.integers(0, 3000, 3000 - cut)]
+        (a, b), levels = parsed([" ".join(words), " ".join(other)])
+        true = 0.0
+        for level in fingerprint.LEVELS:
+            names, row = levels[level - 1]
+            x, y = set(names[row == 0].tolist()), set(names[row == 1].tolist())
+            true += len(x & y) / len(x | y) / len(fingerprint.LEVELS)
+        errors.append(abs(fingerprint.likeness(a, b) - true))
+    assert np.mean(errors) < 0.07 and max(errors) < 0.25

@@ -8,7 +8,7 @@ from tests.llm.helpers import awkward_docs, near_components, sentence, shingle_s
 
 
 def run(docs):
-    return minhash_dedup.near_duplicates(docs).collect()
+    return minhash_dedup.near_duplicates(docs, shingle=4).collect()
 
 
 def test_against_brute_force(spark):

@@ -66,6 +66,24 @@ def test_empty_table(spark):
     assert pack.pack(awkward_docs(spark).limit(0), PATH).collect() == []
 
 
+def test_reopened_pieces_are_at_most_half_and_the_worst_filled():
+    rng = np.random.default_rng(7)
+    for _ in range(50):
+        bins = np.unique(rng.integers(0, 40, 200), return_inverse=True)[1]
+        fill = rng.integers(1, 1001, bins.max() + 1).astype(float)
+        again = pack._reopened(bins, fill, 1000)
+        assert again.sum() <= 100
+        reopened, left = fill[np.unique(bins[again])], fill[np.unique(bins[~again])]
+        assert not len(reopened) or (reopened.max() <= left.min() and reopened.max() < 995)
+
+
+def test_pieces_that_cannot_share_bins_end(spark, monkeypatch):
+    monkeypatch.setattr(pack, "SHARD_PIECES", 10)
+    words = spark.range(90).selectExpr("id as doc_id", "repeat('word ', 1200) as text")
+    used, _ = check(pack.pack(words, PATH).collect(), words.collect(), 2048)
+    assert used == 90
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t\r  aB'sé漢١²\U0001F600<|endoftext|>.,-"), st.characters(codec="utf-8")), max_size=60))
 def test_words_are_encoded_like_whole_texts(text):
