@@ -1,24 +1,31 @@
-"""Operator 2: main text of web pages by element names, with template words by equivalence classes.
-
-A page is a sequence of tokens: tags (with the path of open elements as their
-role) and text words. Per host, tokens whose vector of occurrences over the
-host's pages is the same form an equivalence class; Spark finds the classes by
-an order-free digest of each token's (page, count) pairs. A class is valid if
-its tokens are frequent, occur equally often on every page that has them, and hold at least
-one tag; the tokens of valid classes are the host's template, a flat set: classes
-are not nested, no slots are read from them. Text is read as content or
-furniture by the elements it nests in: an element that is furniture by its
-name, or by the words of its class, id or role, takes all it encloses out; the
-blocks that remain under a main element (article, main, or a content container;
-of an article in a larger container, those in the article alone) are the text,
-and without one those under the body.
-A block whose words all belong to the template is a label and is dropped, but
-outside a main element only, so an article that many pages share stays whole.
-
-Hosts of one page, or without a valid class, have no template and are read by
-the elements alone. Hot hosts are split: classes come from partial
-aggregates per (host, token), and pages are read one by one with the template's
-digests, of which a host has a bounded number.
+"""Operator 2: main text of web pages by equivalence classes nested into a template per host.
+
+A page is a sequence of tokens: start tags and runs of text, each in the role of
+its path of open elements (names, with the words of class, id and role of boxes).
+Per host, the tokens whose vector of occurrences over the host's distinct pages is the same form
+an equivalence class; Spark finds the classes by an order-free digest of each token's
+(page, count) pairs. Classes that hold a tag and occur on half of the pages, at least
+on two, are candidates.
+
+A second reading of all pages orders and nests them. An instance of a class starts
+where one of its tags comes again; its slot is the nearest open element of
+another class with the last tag seen of that class. A token's place is the tag of its own class before it and its
+instance's slot. Tokens whose place is the same wherever they occur are ordered
+and nested; they are the host's template, and what is not in it fills its slots.
+
+The third reading takes the slots out: a block (text between two tags that break
+the line) is a value of the slot it lies in, unless all its runs stand at their places in the template.
+Names only label the slots: an element that is furniture by its
+name, or by the words of its class, id or role, takes all it encloses out, and if a page has
+blocks under a main element (article, main, or a content container; of an article in a
+larger container, those in the article alone), these are its text. Otherwise
+it is every block that is a slot's value. Inside a main element template blocks are
+text too, as an article may stand on many pages; so are they on a page that has no
+other block.
+
+Hosts of one page have no two vectors to compare and are read by the labels. Hot hosts
+are split: classes and places come from partial aggregates per (host, token), and pages are
+read one by one with the host's template, whose size is at most twice the tokens of a mean page.
 
 Defined results: a null or empty page has an empty text; a page without
 ``://`` in its URL belongs to the host ``''``; unclosed elements end with their
@@ -26,7 +33,7 @@ parent; the content of a script or another raw element ends with its own end tag
 (without one, with the page), whatever signs it holds; quotes delimit values only after an
 equals sign; text outside the body counts as furniture only in the head; texts hidden
 by attributes or styles are kept; pages of any length are read whole;
-repeated pages are extracted alike; only ``page_id``, ``url`` and ``html`` are read.
+repeated pages are extracted alike, and exact copies count once in the vectors; only ``page_id``, ``url`` and ``html`` are read.
 """
 
 from __future__ import annotations
@@ -34,7 +41,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,10 +49,9 @@ from pyspark.sql import functions as F
 
 from keelson.llm.common import stash
 
-# A template token occurs on at least this share of a host's pages, and a host
-# of fewer pages has no template: chance makes too many equal vectors there.
+# A template token occurs on at least this share of a host's pages, and on two.
 FREQUENT = 0.5
-LEAST_PAGES = 8
+LEAST_SUPPORT = 2
 
 # Fixed values of HTML: elements whose content is no text, void elements,
 # elements that break the line, and end tags implied by a start tag.
@@ -128,12 +134,12 @@ class Main:
 
 
 class Element:
-    """An open element: its path and how its content is read."""
+    """An open element: its role's digest, the element around it and how its content is read."""
 
-    __slots__ = ("name", "path", "furniture", "main")
+    __slots__ = ("name", "token", "parent", "furniture", "main")
 
-    def __init__(self, name: str, path: str, furniture: bool, main: Main | None):
-        self.name, self.path, self.furniture, self.main = name, path, furniture, main
+    def __init__(self, name: str, token: int, parent: Element | None, furniture: bool, main: Main | None):
+        self.name, self.token, self.parent, self.furniture, self.main = name, token, parent, furniture, main
 
 
 def _tag(page: str, at: int) -> tuple[list[tuple[str, str]], int]:
@@ -197,7 +203,7 @@ def pieces(page: str) -> Iterator[tuple[str, str, list[tuple[str, str]]]]:
 
 def tokens(page: str) -> Iterator[tuple[str, str, Element]]:
     """(kind, value, element) of a page: kind ``<``, ``>`` for tags, ``|`` for a line break, ``t`` for text."""
-    stack = [Element("", "", False, None)]
+    stack = [Element("", 0, None, False, None)]
     for kind, name, attributes in pieces(page):
         if kind == "t":
             yield "t", name, stack[-1]
@@ -226,8 +232,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, Element]]:
         furniture = parent.furniture or (out and name in boxes) or name in FURNITURE or (name == "header" and not inside)
         if not furniture and (name in ("article", "main") or said and name in BOXES) and (not inside or name == "article"):
             main = Main(name == "article", inside)
-        element = Element(name, f"{parent.path}/{name}" + ("." + ".".join(sorted(words)) if words and name in BOXES else ""),
-                          furniture, main)
+        role = name + "." + ".".join(sorted(words)) if words and name in BOXES else name
+        element = Element(name, _digest("<", parent.token, role), parent, furniture, main)
         yield ("|" if name in VOID else "<"), name, element
         if name not in VOID and not (name in RAW and kind == "/"):
             stack.append(element)
@@ -242,29 +248,94 @@ def _close(stack: list[Element], names: tuple[str, ...], stop: tuple[str, ...])
             return
 
 
-def _digest(kind: str, path: str, value: str) -> int:
-    return int.from_bytes(hashlib.blake2b(f"{kind}\n{path}\n{value}".encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+def _digest(kind: str, within: int, value: str) -> int:
+    return int.from_bytes(hashlib.blake2b(f"{kind}{within}\n{value}".encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
+def _text_token(element: Element, text: str) -> int:
+    return _digest("t", element.token, " ".join(text.split()))
 
 
 def page_tokens(page: str) -> dict[int, list]:
-    """Per token digest: [count, whether it is a tag, whether it lies outside main elements]."""
+    """Per token digest: [count, whether it is a tag]."""
     out: dict[int, list] = {}
     for kind, value, element in tokens(page):
-        if kind in "<|":
-            entry = out.setdefault(_digest("<", element.path, ""), [0, True, not element.main])
-            entry[0] += 1
-        elif kind == "t" and not element.main and element.name not in RAW:
-            for word in value.split():
-                entry = out.setdefault(_digest("t", element.path, word), [0, False, True])
-                entry[0] += 1
+        # A stray end tag breaks the line but starts no element.
+        if kind in "<|" and element.name == value:
+            out.setdefault(element.token, [0, True])[0] += 1
+        elif kind == "t" and element.name not in RAW and not value.isspace():
+            out.setdefault(_text_token(element, value), [0, False])[0] += 1
     return out
 
 
+class Instance:
+    """One occurrence of a class on a page: its slot, its tokens so far and the last tag of them."""
+
+    __slots__ = ("slot", "seen", "last")
+
+    def __init__(self, slot: int):
+        self.slot, self.seen, self.last = slot, set(), 0
+
+
+class Reader:
+    """Places of a host's class tokens on one page, asked for in page order."""
+
+    def __init__(self, classes: Mapping[int, int]):
+        self.classes, self.open = classes, {}
+
+    def slot(self, element: Element | None, own: int | None) -> int:
+        """The nearest open element of another class than ``own``, named by that class's last tag."""
+        while element is not None:
+            cls = self.classes.get(element.token)
+            if cls is not None and cls != own:
+                return self.open[cls].last
+            element = element.parent
+        return 0
+
+    def tag(self, element: Element) -> int | None:
+        cls = self.classes.get(element.token)
+        if cls is None:
+            return None
+        instance = self.open.get(cls)
+        if instance is None or element.token in instance.seen:
+            instance = self.open[cls] = Instance(self.slot(element.parent, cls))
+        place = _place(instance)
+        instance.seen.add(element.token)
+        instance.last = element.token
+        return place
+
+    def text(self, token: int) -> int | None:
+        """Place of a text token; None if it is before its class's first tag or twice in an instance."""
+        instance = self.open.get(self.classes[token])
+        if instance is None or token in instance.seen:
+            return None
+        instance.seen.add(token)
+        return _place(instance)
+
+
+def _place(instance: Instance) -> int:
+    return _digest("@", instance.slot, str(instance.last))
+
+
+def page_places(page: str, classes: Mapping[int, int]) -> Iterator[tuple[int, int | None]]:
+    """(token, place) of every occurrence of a class token on the page."""
+    reader = Reader(classes)
+    for kind, value, element in tokens(page):
+        if kind in "<|" and element.name == value:
+            place = reader.tag(element)
+            if place is not None:
+                yield element.token, place
+        elif kind == "t" and element.name not in RAW and not value.isspace():
+            token = _text_token(element, value)
+            if token in classes:
+                yield token, reader.text(token)
+
+
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         row, token, count, tag = [], [], [], []
         for i, page in enumerate(batch.column("html").to_pylist()):
-            for digest, (n, is_tag, _) in page_tokens(page or "").items():
+            for digest, (n, is_tag) in page_tokens(page or "").items():
                 row.append(i)
                 token.append(digest)
                 count.append(n)
@@ -275,67 +346,142 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(count, pa.int64()), pa.array(tag, pa.bool_())], ["host", "page", "token", "n", "tag"])
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """``host, token`` of the valid equivalence classes.
+def classes_of(pages: DataFrame) -> DataFrame:
+    """``host, token, cls, tag``: the candidate classes of every host.
 
     ``pages`` has ``host, page`` (a digest of the content, so copies of a page count once) and ``html``.
     """
     seen = pages.mapInArrow(_occurrences, "host string, page long, token long, n long, tag boolean").distinct()
     size = stash(pages.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-                 .filter(F.col("pages") >= LEAST_PAGES), "html-hosts")
+                 .filter(F.col("pages") >= LEAST_SUPPORT), "html-hosts")
     vector = (seen.groupBy("host", "token").agg(
-        F.count(F.lit(1)).alias("support"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("tag").alias("tag"),
+        F.count(F.lit(1)).alias("support"), F.max("tag").alias("tag"),
         # Sums of two hashes name the vector whatever the order of its entries.
         F.sum(F.xxhash64("page", "n").cast("decimal(38,0)")).alias("v1"),
-        F.sum(F.hash("page", "n").cast("decimal(38,0)")).alias("v2")))
-    frequent = stash(vector.join(size, "host").filter(F.col("support") >= F.col("pages") * FREQUENT)
-                     .filter(F.col("least") == F.col("most")), "html-frequent")
-    cls = ["host", "v1", "v2"]
-    valid = stash(frequent.groupBy(cls).agg(F.max("tag").alias("has_tag")).filter("has_tag").drop("has_tag"), "html-classes")
-    return frequent.join(valid, cls, "left_semi").select("host", "token")
-
-
-def main_text(page: str, template: frozenset[int] | set[int]) -> str:
-    """Text of the content slots of a page, blocks joined by one blank."""
-    blocks: list[list] = []
-    fresh = True
+        F.sum(F.xxhash64("n", "page").cast("decimal(38,0)")).alias("v2")))
+    frequent = stash(vector.join(size, "host")
+                     .filter((F.col("support") >= F.col("pages") * FREQUENT) & (F.col("support") >= LEAST_SUPPORT))
+                     .select("host", "token", "tag", F.xxhash64("host", "v1", "v2").alias("cls")), "html-frequent")
+    tagged = frequent.filter("tag").select("host", "cls").distinct()
+    return frequent.join(tagged, ["host", "cls"], "left_semi").select("host", "token", "cls", "tag")
+
+
+# Ends of the range of longs: a place that no other equals.
+_NO_PLACE = (-(1 << 63), (1 << 63) - 1)
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        known: dict[str, dict[int, int]] = {}
+        found: dict[tuple[str, int], tuple[int, int]] = {}
+        hosts = batch.column("host").to_pylist()
+        lists = batch.column("tokens"), batch.column("classes")
+        for i, page in enumerate(batch.column("html").to_pylist()):
+            host = hosts[i]
+            if host not in known:
+                known[host] = dict(zip(lists[0][i].as_py(), lists[1][i].as_py()))
+            for token, place in page_places(page, known[host]):
+                low, high = _NO_PLACE if place is None else (place, place)
+                at = found.get((host, token))
+                found[host, token] = (low, high) if at is None else (min(low, at[0]), max(high, at[1]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([h for h, _ in found], pa.string()), pa.array([t for _, t in found], pa.int64()),
+             pa.array([low for low, _ in found.values()], pa.int64()), pa.array([high for _, high in found.values()], pa.int64())],
+            ["host", "token", "low", "high"])
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """``host, token, cls, place``: the template of every host; ``place`` is null for tags that are out of order or not nested.
+
+    Such tags stay, as the places of others were read with them; their place fits nothing.
+    """
+    found = stash(classes_of(pages), "html-classes")
+    read = _with_template(pages, _per_host(found, "token", "cls"), "inner", "host", "html", "tokens", "classes")
+    at = (read.mapInArrow(_places, "host string, token long, low long, high long").groupBy("host", "token")
+          .agg(F.min("low").alias("low"), F.max("high").alias("high")))
+    place = F.when(F.col("low") == F.col("high"), F.col("low"))
+    return (found.join(at, ["host", "token"]).select("host", "token", "cls", "tag", place.alias("place"))
+            .filter("tag or place is not null").drop("tag"))
+
+
+def _per_host(found: DataFrame, *columns: str) -> DataFrame:
+    """One row a host: arrays ``tokens``, ``classes`` and, if given, ``places`` in the order of tokens."""
+    names = dict(zip(columns, ("tokens", "classes", "places")))
+    rows = found.groupBy("host").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("rows"))
+    return stash(rows.select(F.col("host").alias("__host"), *[F.col(f"rows.{c}").alias(n) for c, n in names.items()]), "html-templates")
+
+
+def _with_template(rows: DataFrame, per_host: DataFrame, how: str, *columns: str) -> DataFrame:
+    return rows.join(per_host, F.col("host") == F.col("__host"), how).select(*columns)
+
+
+class Block:
+    """Text between two breaks of the line: its slot, its labels and whether all of it is template."""
+
+    __slots__ = ("slot", "main", "furniture", "fixed", "parts")
+
+    def __init__(self, slot: int, main: Main | None, furniture: bool):
+        self.slot, self.main, self.furniture, self.fixed, self.parts = slot, main, furniture, True, []
+
+    @property
+    def text(self) -> str:
+        return " ".join("".join(self.parts).split())
+
+
+def page_blocks(page: str, template: Mapping[int, tuple[int, int | None]]) -> list[Block]:
+    """Blocks of a page in its order, read with the template ``{token: (class, place)}`` of its host."""
+    reader = Reader({token: cls for token, (cls, _) in template.items()})
+    blocks: list[Block] = []
+    # The open block of text and of furniture: furniture amid a line does not break it.
+    current: dict[bool, Block] = {}
     for kind, value, element in tokens(page):
         if kind in "<>|":
+            if template and kind in "<|" and element.name == value:
+                reader.tag(element)
             if kind == "|" and value != "wbr" or value not in INLINE and value not in UNSEEN:
-                fresh = True
+                current = {}
             continue
-        if element.furniture or element.name in RAW:
+        if element.name in RAW:
             continue
-        if fresh or not blocks:
-            blocks.append([element.main, [], False])
-            fresh = False
-        block = blocks[-1]
-        block[1].append(value)
-        block[2] = block[2] or bool(element.main) or any(_digest("t", element.path, w) not in template for w in value.split())
-    texts = [(main, " ".join("".join(parts).split())) for main, parts, filled in blocks if filled]
-    texts = [(main, text) for main, text in texts if text]
-    any_main = any(main for main, _ in texts)
+        block = current.get(element.furniture)
+        if block is None:
+            block = current[element.furniture] = Block(reader.slot(element, None) if template else 0, element.main, element.furniture)
+            blocks.append(block)
+        block.parts.append(value)
+        if template and block.fixed and not value.isspace():
+            token = _text_token(element, value)
+            block.fixed = token in template and template[token][1] is not None and reader.text(token) == template[token][1]
+        elif not template:
+            block.fixed = False
+    return [b for b in blocks if b.text]
+
+
+def main_text(page: str, template: Mapping[int, tuple[int, int | None]]) -> str:
+    """Text of the slots that are not furniture, blocks joined by one blank."""
+    blocks = [b for b in page_blocks(page, template or {}) if not b.furniture]
+    main = [b for b in blocks if b.main]
     # What lies in an article is the text, not what is around it in a larger container.
     around = set()
-    for main, _ in texts:
-        if main and main.article:
-            outer = main.outer
-            while outer:
-                if not outer.article:
-                    around.add(outer)
-                outer = outer.outer
-    return " ".join(text for main, text in texts if main not in around and (main or not any_main))
+    for block in main:
+        outer = block.main.outer if block.main.article else None
+        while outer:
+            if not outer.article:
+                around.add(outer)
+            outer = outer.outer
+    kept = [b for b in main if b.main not in around] or [b for b in blocks if not b.fixed] or blocks
+    return " ".join(b.text for b in kept)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        known: dict[int, frozenset[int]] = {}
+        known: dict[str, dict[int, tuple[int, int | None]]] = {}
         texts = []
-        token_lists = batch.column("tokens")
+        lists = [batch.column(name) for name in ("tokens", "classes", "places")]
         hosts = batch.column("host").to_pylist()
         for i, page in enumerate(batch.column("html").to_pylist()):
             if hosts[i] not in known:
-                known[hosts[i]] = frozenset(token_lists[i].as_py() or ())
+                token, cls, place = (column[i].as_py() or () for column in lists)
+                known[hosts[i]] = dict(zip(token, zip(cls, place)))
             texts.append(main_text(page or "", known[hosts[i]]))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
@@ -351,10 +497,9 @@ def host_of():
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
     rows = pages.select("page_id", "url", "html", host_of().alias("host"))
-    tokens_ = templates(rows.filter("html is not null").select("host", F.xxhash64("html").alias("page"), "html"))
-    per_host = stash(tokens_.groupBy("host").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-                     .withColumnRenamed("host", "__host"), "html-templates")
-    joined = rows.join(per_host, F.col("host") == F.col("__host"), "left").drop("__host")
+    found = templates(rows.filter("html is not null").select("host", F.xxhash64("html").alias("page"), "html"))
+    joined = _with_template(rows, _per_host(found, "token", "cls", "place"), "left",
+                            "page_id", "url", "html", "host", "tokens", "classes", "places")
     id_type = pages.schema["page_id"].dataType.simpleString()
-    return joined.select("page_id", "url", "html", "host", "tokens").mapInArrow(
+    return joined.mapInArrow(
         _extract, f"page_id {id_type}, url string, text string, n_chars long")

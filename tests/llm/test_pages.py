@@ -20,7 +20,8 @@ def test_page_without_template():
 def test_odd_markup():
     cases = {"": "", "plain text only": "plain text only", "<p>a<p>b": "a b", "<article>1 < 2 and <b>bo</b>ld &amp &am": "1 < 2 and bold & &am",
              "<article>cut off <a href='x": "cut off", "<div class='content with-sidebar'>x<div class='ad'>y</div>z</div>": "x z",
-             "<p hidden>also</p><p>yes</p>": "also yes", "<body>a&nbsp;b <!-- <p>no</p> --></body>": "a b"}
+             "<p hidden>also</p><p>yes</p>": "also yes", "<body>a&nbsp;b <!-- <p>no</p> --></body>": "a b",
+             "<div>a<svg>x</svg>b<span class=ad>y</span>c</div>": "a bc"}
     for page, want in cases.items():
         assert html_extract.main_text(page, frozenset()) == want
 
@@ -71,6 +72,116 @@ def test_template_words_go_and_copies_stay(spark):
     assert out[201] == "no url" and out[202] == ""
 
 
+def shop(i, parts, items):
+    """A page without a main element: menu and notes alike on all pages, items of any number, boxes with values."""
+    body = "".join(f"<p>{p}</p>" for p in parts)
+    rows = "".join(f"<li><b>Item</b><i>{x}</i></li>" for x in items)
+    return (f"<html><head><title>t{i}</title></head><body><div class=top><a>Start</a> | <a>Contact</a></div><div><h1>Title {i}</h1>{body}</div>"
+            f"<div><ul>{rows}</ul></div><div><p>All rights</p><p>Made in town</p></div></body></html>")
+
+
+def shops(n=9):
+    return [shop(i, [f"first part {i}", "a part of two pages"][: 1 + (i < 2)], [f"x{i}_{k}" for k in range(1 + i % 4)]) for i in range(n)]
+
+
+def brute_classes(pages):
+    """Explicit occurrence vectors of the distinct pages, and places by plain scans."""
+    pages = sorted(set(pages))
+    counts = [html_extract.page_tokens(p) for p in pages]
+    vectors = {t: tuple(c.get(t, [0])[0] for c in counts) for c in counts for t in c}
+    kinds = {t: c[t][1] for c in counts for t in c}
+    groups = {}
+    for t, v in vectors.items():
+        if sum(x > 0 for x in v) >= max(2, len(pages) / 2):
+            groups.setdefault(v, set()).add(t)
+    groups = {v: g for v, g in groups.items() if any(kinds[t] for t in g)}
+    own = {t: v for v, g in groups.items() for t in g}
+    places = {t: set() for t in own}
+    for page in pages:
+        line = []
+        for kind, value, element in html_extract.tokens(page):
+            if kind in "<|" and element.name == value:
+                line.append((element.token, element, True))
+            elif kind == "t" and value.strip() and element.name not in html_extract.RAW:
+                line.append((html_extract._text_token(element, value), element, False))
+        for at, (t, element, is_tag) in enumerate(line):
+            if t not in own:
+                continue
+            # The instance reaches back to the last tag of the class that starts a new round.
+            start, seen = None, set()
+            for k in range(at + 1):
+                u, _, tag = line[k]
+                if own.get(u) == own[t] and (tag or start is not None):
+                    if tag and (start is None or u in seen):
+                        start, seen = k, set()
+                    if k < at:
+                        seen.add(u)
+            if start is None or not is_tag and t in seen:
+                places[t] |= {"none", "never"}
+                continue
+            before = [line[k][0] for k in range(start, at) if line[k][2] and own.get(line[k][0]) == own[t]]
+            around, up = None, line[start][1].parent
+            while up is not None and around is None:
+                if up.token in own and own[up.token] != own[t]:
+                    around = [u for u, _, tag in line[:start] if tag and own.get(u) == own[up.token]][-1]
+                up = up.parent
+            places[t].add((before[-1] if before else 0, around or 0))
+    fits = {t for t, p in places.items() if len(p) == 1}
+    return groups, {t for t in own if kinds[t] or t in fits}, fits
+
+
+def test_classes_against_brute_force(spark):
+    odd = ["<body><p>x<i>1</i><p>y<i>2</i>", "<body><p>x<i>1</i><p>x<b>2</b><i>3</i>", "<body><p>y<i>1</i><hr><p>x<i>2</i>"]
+    swapped = [f"<div><a>u{i}</a><b>same</b></div>" if i % 2 else f"<div><b>same</b><a>u{i}</a></div>" for i in range(6)]
+    hosts = {"shop": shops(), "two": shops(2), "odd": odd, "swapped": swapped, "one": shops(1), "copies": shops(2)[:1] * 9 + shops(3),
+             "given": [r.html for r in read(spark, SF_ORACLE, "pages").limit(12).collect()]}
+    rows = [(h, p) for h, pages in hosts.items() for p in pages]
+    pages = spark.createDataFrame(rows, "host string, html string").selectExpr("host", "xxhash64(html) AS page", "html")
+    groups, template = {}, {}
+    for r in html_extract.classes_of(pages).collect():
+        groups.setdefault(r.host, {}).setdefault(r.cls, set()).add(r.token)
+    for r in html_extract.templates(pages).collect():
+        template.setdefault(r.host, {})[r.token] = r.place
+    for host, every in hosts.items():
+        want, kept, fits = brute_classes(every)
+        assert {frozenset(g) for g in want.values()} == {frozenset(g) for g in groups.get(host, {}).values()}, host
+        assert set(template.get(host, {})) == kept, host
+        assert {t for t, place in template.get(host, {}).items() if place is not None} == fits, host
+    assert "one" not in template and any(place is None for place in template["swapped"].values())
+
+
+def test_slots_without_main_element(spark):
+    rows = [(i, f"http://s/{i}", p) for i, p in enumerate(shops())] + [(50, "http://alone/", shop(1, ["only"], ["z"]))]
+    # A host of two pages that carry one text: all of it is template, so the labels alone decide.
+    rows += [(60 + i, f"http://twins/{i}", f"<title>{i}</title><body><div>one text</div><nav>n{i}</nav>") for i in range(2)]
+    # Parts alike on all pages stay inside a main element.
+    rows += [(70 + i, f"http://m/{i}", f"<div>top</div><main><p>shared part</p><p>own {i}</p></main>") for i in range(4)]
+    out = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
+    for i in range(9):
+        parts = [f"first part {i}"] + ["a part of two pages"] * (i < 2)
+        assert out[i] == " ".join([f"Title {i}", *parts, *[f"Itemx{i}_{k}" for k in range(1 + i % 4)]])
+    assert out[50] == "Start | Contact Title 1 only Itemz All rights Made in town"
+    assert out[60] == out[61] == "one text"
+    assert out[72] == "shared part own 2"
+
+
+def test_slots_of_a_page(spark):
+    pages = spark.createDataFrame([("s", p) for p in shops()], "host string, html string").selectExpr("host", "xxhash64(html) AS page", "html")
+    template = {r.token: (r.cls, r.place) for r in html_extract.templates(pages).collect()}
+    blocks = html_extract.page_blocks(shops()[3], template)
+    fixed = [b.text for b in blocks if b.fixed]
+    assert fixed == ["Start | Contact", "All rights", "Made in town"]
+    items = [b for b in blocks if b.text.startswith("Item")]
+    assert len(items) == 4 and len({b.slot for b in items}) == 1 and items[0].slot != blocks[1].slot
+
+
+def test_deep_and_long_pages(spark):
+    deep = "<div>" * 3000 + "core" + "</div>" * 3000
+    rows = [(i, "http://d/x", f"{deep}<p>{i} " + "word " * 40_000 + "</p><p>end</p>") for i in range(3)]
+    out = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(out[i] == f"{i} " + " ".join(["word"] * 40_000) for i in range(3))
+
+
 def test_empty_pages(spark):
     empty = read(spark, SF_ORACLE, "pages").limit(0)
     assert html_extract.extract(empty).collect() == []
