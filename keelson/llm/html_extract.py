@@ -55,19 +55,19 @@ LEAST_SUPPORT = 2
 
 # Fixed values of HTML: elements whose content is no text, void elements,
 # elements that break the line, and end tags implied by a start tag.
-RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "noembed", "noframes", "xmp")
-UNSEEN = ("script", "style", "noscript", "template")
-VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
-INLINE = ("a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
-          "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time",
-          "tt", "u", "var", "wbr")
-CLOSES_P = ("address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figure", "footer", "form",
-            "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul")
-CLOSES_SELF = ("li", "dt", "dd", "tr", "td", "th", "option", "thead", "tbody", "tfoot")
+RAW = frozenset(("script", "style", "noscript", "template", "textarea", "title", "iframe", "noembed", "noframes", "xmp"))
+UNSEEN = frozenset(("script", "style", "noscript", "template"))
+VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
+INLINE = frozenset(("a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
+                    "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time",
+                    "tt", "u", "var", "wbr"))
+CLOSES_P = frozenset(("address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figure", "footer", "form",
+                      "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"))
+CLOSES_SELF = frozenset(("li", "dt", "dd", "tr", "td", "th", "option", "thead", "tbody", "tfoot"))
 
 # Elements that are furniture by name, and words of class, id or role that say so.
-FURNITURE = ("nav", "footer", "aside", "form", "head", "button", "select", "menu", "dialog", "svg", "canvas", "object",
-             "audio", "video", *RAW)
+FURNITURE = frozenset(("nav", "footer", "aside", "form", "head", "button", "select", "menu", "dialog", "svg", "canvas", "object",
+                       "audio", "video", *RAW))
 FURNITURE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar side aside rail footer header masthead topbar toolbar cookie cookies consent notice gdpr "
@@ -79,8 +79,8 @@ MAIN_WORDS = frozenset("article articlebody content main post entry story mainco
 NEUTRAL_WORDS = frozenset("post entry article box block list links link button buttons bar area section wrapper wrap container "
                           "inner outer top bottom left right form text title item items panel group row col module".split())
 # Elements that a word of their attributes may turn into furniture, outside and inside a main element.
-BOXES = ("div", "section", "ul", "ol", "dl", "table", "p", "span", "header", "li", "details", "figure", "a", "iframe", "center")
-BOXES_INSIDE = ("div", "section", "ul", "ol", "header", "details", "figure", "center")
+BOXES = frozenset(("div", "section", "ul", "ol", "dl", "table", "p", "span", "header", "li", "details", "figure", "a", "iframe", "center"))
+BOXES_INSIDE = frozenset(("div", "section", "ul", "ol", "header", "details", "figure", "center"))
 
 # One attribute, or the end of the tag: quotes count after an equals sign only.
 _ATTRIBUTE = re.compile(r"""[\s/]*(?:(>)|([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)(?:"|$)|'([^']*)(?:'|$)|([^\s>]*)))?|$)""", re.S)
@@ -186,7 +186,8 @@ def pieces(page: str) -> Iterator[tuple[str, str, list[tuple[str, str]]]]:
                 at += 1
                 continue
             name = m.group(0).lower()
-            attributes, end = _tag(page, m.end())
+            # Most tags have no attributes.
+            attributes, end = ([], m.end() + 1) if page.startswith(">", m.end()) else _tag(page, m.end())
             empty = page[end - 2:end] == "/>"
             at = end
             if after == "/":
