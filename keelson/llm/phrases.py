@@ -51,6 +51,8 @@ UNKNOWN = "und"
 WORD_BITS, PAIR_BITS = 25, 27
 # Suffixes of one range, and text joined at a time by a task.
 RANGE_ROWS, BLOCK_BYTES = 1_500_000, 8 << 20
+# Distinct suffixes a task holds while it joins those of several blocks.
+HELD_ROWS = 600_000
 SEEDS = 4
 
 # What ends a piece, and what separates words besides.
@@ -191,8 +193,14 @@ def join_equal(table: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.concatenate([table[first], table[~same]]), np.concatenate([total, weight[~same]])
 
 
+def _suffix_batch(table: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*[pa.array(table[:, k].copy()) for k in range(DEPTH)], pa.array(n)], [*COLS, "n"])
+
+
 def _suffixes(seed: int, pairs):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Equal suffixes of all blocks of a task are joined, not only those of one.
+        held, weight = np.zeros((0, DEPTH), np.int64), np.zeros(0, np.int64)
         for _, _, _, key, piece, _, _ in _blocks(batches, seed):
             good = np.zeros(len(key), dtype=bool)
             good[:-1] = (piece[:-1] == piece[1:]) & in_bitmap(pairs.value, pair_keys(key))
@@ -207,7 +215,11 @@ def _suffixes(seed: int, pairs):
                 if k + 1 < DEPTH:
                     going[going] = good[spot + k]
             table, n = join_equal(table, np.ones(len(table), dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([*[pa.array(table[:, k].copy()) for k in range(DEPTH)], pa.array(n)], [*COLS, "n"])
+            held, weight = join_equal(np.concatenate([held, table]), np.concatenate([weight, n])) if len(held) else (table, n)
+            if len(held) >= HELD_ROWS:
+                yield _suffix_batch(held, weight)
+                held, weight = held[:0], weight[:0]
+        yield _suffix_batch(held, weight)
     return run
 
 

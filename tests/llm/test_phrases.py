@@ -113,3 +113,17 @@ def test_clashing_keys_are_found(spark, monkeypatch):
     starts, ends, _, _ = phrases.words(raw, offsets)
     assert phrases._other_words(raw, starts, ends, np.array([0, 0, 0, 0, 0])).tolist() == [4, 1]
     assert len(phrases._other_words(raw, starts, ends, np.array([0, 1, 0, 0, 4]))) == 0
+
+
+def test_suffixes_are_joined_over_all_blocks_of_a_task(monkeypatch):
+    class Every:
+        value = np.full(1 << 5, 0xFFFFFFFF, dtype=np.uint32)
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b c d"] * 40), pa.array(["en"] * 40), pa.array([1] * 40)], ["text", "lang", "lang_hash"])
+    monkeypatch.setattr(phrases, "BLOCK_BYTES", 20)
+    made = [r for out in phrases._suffixes(0, Every)([batch, batch]) for r in out.to_pylist()]
+    assert sorted(r["n"] for r in made) == [80, 80, 80]
+    # A task that holds too many hands them on and starts anew; none is lost.
+    monkeypatch.setattr(phrases, "HELD_ROWS", 1)
+    made = [r for out in phrases._suffixes(0, Every)([batch, batch]) for r in out.to_pylist()]
+    assert len(made) > 3 and sum(r["n"] for r in made) == 240
