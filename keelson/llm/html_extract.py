@@ -41,7 +41,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -85,9 +85,13 @@ BOXES_INSIDE = frozenset(("div", "section", "ul", "ol", "header", "details", "fi
 # One attribute, or the end of the tag: quotes count after an equals sign only.
 _ATTRIBUTE = re.compile(r"""[\s/]*(?:(>)|([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)(?:"|$)|'([^']*)(?:'|$)|([^\s>]*)))?|$)""", re.S)
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
+# A tag without attributes.
+_PLAIN = re.compile(r"<(/?)([A-Za-z][^\s/>]*)>")
 # The end tag of a raw element; nothing else ends its content.
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|$)", re.I) for name in RAW}
 _WORDS = re.compile(r"[A-Za-z]+(?=[^A-Za-z]|$)|[A-Z]?[a-z]+")
+# What a site's pages repeat is worked out once: results kept by a task, and the longest tag kept.
+KEPT, KEPT_TAG = 1 << 14, 200
 
 
 # Words that make furniture of a box outside a main element only: inside, a header holds the headline.
@@ -142,14 +146,58 @@ class Element:
         self.name, self.token, self.parent, self.furniture, self.main = name, token, parent, furniture, main
 
 
+class Kept(dict):
+    """Results of ``work`` by its arguments, forgotten when they grow too many; they do not travel to tasks."""
+
+    def __init__(self, work: Callable):
+        self.work = work
+
+    def __missing__(self, key: tuple):
+        if len(self) >= KEPT:
+            self.clear()
+        value = self[key] = self.work(*key)
+        return value
+
+    def __reduce__(self):
+        return Kept, (self.work,)
+
+
+def _said_by(names: tuple[tuple[str, str], ...], inside: bool) -> tuple[str, bool, bool]:
+    """What ``_attribute_words`` finds in class, id and role, the words sorted and joined."""
+    words, furniture, main = _attribute_words(names, inside)
+    return ".".join(sorted(words)), furniture, main
+
+
+_said = Kept(_said_by)
+
+
 def _tag(page: str, at: int) -> tuple[list[tuple[str, str]], int]:
     """Attributes of the tag whose name ends at ``at``, and the place after the tag."""
+    close = page.find(">", at, at + KEPT_TAG)
+    if close >= 0:
+        found = _short_tag[page[at:close + 1],]
+        if found is not None:
+            return found, close + 1
+    found, at, closed = _attributes(page, at)
+    return found, at if closed else len(page)
+
+
+def _short_attributes(rest: str) -> list[tuple[str, str]] | None:
+    """Attributes of a tag that ends at its first ``>``; None if that lies in a quoted value."""
+    found, _, closed = _attributes(rest, 0)
+    return found if closed else None
+
+
+_short_tag = Kept(_short_attributes)
+
+
+def _attributes(page: str, at: int) -> tuple[list[tuple[str, str]], int, bool]:
     found = []
     while True:
         m = _ATTRIBUTE.match(page, at)
         at = m.end()
         if not m.group(2):
-            return found, at if m.group(1) else len(page)
+            return found, at, bool(m.group(1))
         found.append((m.group(2).lower(), html.unescape(m.group(3) or m.group(4) or m.group(5) or "")))
 
 
@@ -168,6 +216,18 @@ def pieces(page: str) -> Iterator[tuple[str, str, list[tuple[str, str]]]]:
             if cut < 0:
                 return
         at = cut
+        # Most tags have no attributes.
+        m = _PLAIN.match(page, at)
+        if m is not None:
+            name, at = m.group(2).lower(), m.end()
+            if m.group(1):
+                yield ">", name, []
+                continue
+            yield "<", name, []
+            if name in _RAW_END:
+                close = _RAW_END[name].search(page, at)
+                at = close.start() if close else size
+            continue
         after = page[at + 1:at + 2]
         if page.startswith("<!--", at):
             end = page.find("-->", at + 2)
@@ -186,8 +246,7 @@ def pieces(page: str) -> Iterator[tuple[str, str, list[tuple[str, str]]]]:
                 at += 1
                 continue
             name = m.group(0).lower()
-            # Most tags have no attributes.
-            attributes, end = ([], m.end() + 1) if page.startswith(">", m.end()) else _tag(page, m.end())
+            attributes, end = _tag(page, m.end())
             empty = page[end - 2:end] == "/>"
             at = end
             if after == "/":
@@ -228,13 +287,15 @@ def tokens(page: str) -> Iterator[tuple[str, str, Element]]:
             stack.pop()
         parent = stack[-1]
         inside = main = parent.main
-        words, out, said = _attribute_words(attributes, bool(inside)) if attributes else (set(), False, False)
+        named = tuple([a for a in attributes if a[0] in ("class", "id", "role")]) if attributes else ()
+        short = sum(len(value) for _, value in named) < KEPT_TAG
+        words, out, said = (_said[named, inside is not None] if short else _said_by(named, inside is not None)) if named else ("", False, False)
         boxes = BOXES_INSIDE if inside else BOXES
         furniture = parent.furniture or (out and name in boxes) or name in FURNITURE or (name == "header" and not inside)
         if not furniture and (name in ("article", "main") or said and name in BOXES) and (not inside or name == "article"):
             main = Main(name == "article", inside)
-        role = name + "." + ".".join(sorted(words)) if words and name in BOXES else name
-        element = Element(name, _digest("<", parent.token, role), parent, furniture, main)
+        role = name + "." + words if words and name in BOXES else name
+        element = Element(name, (_kept_digest["<", parent.token, role] if len(role) < KEPT_TAG else _digest("<", parent.token, role)), parent, furniture, main)
         yield ("|" if name in VOID else "<"), name, element
         if name not in VOID and not (name in RAW and kind == "/"):
             stack.append(element)
@@ -253,6 +314,10 @@ def _digest(kind: str, within: int, value: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{kind}{within}\n{value}".encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
+# Of tags and places, which come again on every page; runs of text rarely do.
+_kept_digest = Kept(_digest)
+
+
 def _text_token(element: Element, text: str) -> int:
     return _digest("t", element.token, " ".join(text.split()))
 
@@ -315,7 +380,7 @@ class Reader:
 
 
 def _place(instance: Instance) -> int:
-    return _digest("@", instance.slot, str(instance.last))
+    return _kept_digest["@", instance.slot, str(instance.last)]
 
 
 def page_places(page: str, classes: Mapping[int, int]) -> Iterator[tuple[int, int | None]]:
