@@ -32,7 +32,7 @@ from pyspark.sql.types import (ArrayType, IntegerType, MapType, StringType, Stru
 
 from keelson.functions.text import name_version
 from keelson.operators.rank import rank_within_groups
-from keelson.session import checkpoint_root, scratch_dir
+from keelson.session import checkpoint_root, stored
 from keelson.sinks import commits
 
 INPUT_T = StructType([StructField("name", StringType()), StructField("version", IntegerType())])
@@ -278,39 +278,60 @@ def model_lineage(models: DataFrame, datasets: DataFrame, role: str = ROLE_TRAIN
 _NODE = ("name", "version")
 
 
-def dataset_ancestors(datasets: DataFrame) -> DataFrame:
-    """Every ancestor of every dataset version: ``name, version, ancestor_name, ancestor_version, distance``.
+def _merged(lists: DataFrame, *key: str) -> DataFrame:
+    """One list ``far`` per key: every (name, version) in any of its lists, once, with its least distance."""
+    flat = lists.groupBy(*key).agg(F.sort_array(F.flatten(F.collect_list("far"))).alias("__all"))
+
+    def first_of_its_name(x, i):
+        before = F.get("__all", i - 1)
+        return (i == 0) | ~(x["name"].eqNullSafe(before["name"]) & x["version"].eqNullSafe(before["version"]))
+
+    return flat.select(*key, F.filter("__all", first_of_its_name).alias("far"))
+
+
+def _further(far, more: int):
+    return F.transform(far, lambda x: F.struct(x["name"].alias("name"), x["version"].alias("version"),
+                                               (x["distance"] + F.lit(more)).alias("distance")))
+
 
-    Paths are doubled: a round joins all known paths end to start, so the rounds
-    grow with the logarithm of the longest lineage. ``distance`` is the
-    shortest path. A version that is its own ancestor (a cycle, which a registry
-    should not hold) ends the rounds all the same: it appears at most once for
-    each descendant, and as an ancestor of itself, which ``lineage_cycles`` lists.
+def ancestor_lists(datasets: DataFrame) -> DataFrame:
+    """Every ancestor of every dataset version that has one: ``name, version, far``, an array of (name, version, distance).
+
+    Lists are doubled: a round appends the lists of the versions at the full reach so far, so the rounds
+    grow with the logarithm of the longest lineage, and a path is made from its middle only. Ancestors travel
+    as lists, as names that a lineage repeats then pack well, and a version without an ancestor at the
+    full reach has all of them: it stays where it is written. ``distance`` is the shortest path. A version
+    that is its own ancestor (a cycle, which a registry should not hold) ends the rounds all the same: it
+    appears at most once for each descendant, and as an ancestor of itself, which ``lineage_cycles`` lists.
     """
-    spark = datasets.sparkSession
-    ends = ["name", "version", "ancestor_name", "ancestor_version"]
-    edges = lineage_inputs(datasets).select("name", "version", F.col("input_name").alias("ancestor_name"),
-                                            F.col("input_version").alias("ancestor_version"))
-    whole = [F.col(c).isNotNull() for c in ends]
-    known = edges.filter(whole[0] & whole[1] & whole[2] & whole[3]).distinct().withColumn("distance", F.lit(1))
-    reach = 1
+    ends = [F.col(c).isNotNull() for c in ("name", "version", "input_name", "input_version")]
+    edges = lineage_inputs(datasets).filter(ends[0] & ends[1] & ends[2] & ends[3])
+    one = F.struct(F.col("input_name").alias("name"), F.col("input_version").alias("version"), F.lit(1).alias("distance"))
+    lists = _merged(edges.select(*_NODE, F.array(one).alias("far")), *_NODE)
+    settled, reach = None, 1
     while True:
-        path = scratch_dir(spark, "ancestors")
-        known.write.parquet(path)
-        known = spark.read.schema("name string, version int, ancestor_name string, ancestor_version int, distance int").parquet(path)
+        growing = stored(lists, "ancestors")
+        known = growing if settled is None else settled.unionByName(growing)
+        at_reach = F.filter("far", lambda x: x["distance"] == reach)
+        last = growing.select(*_NODE, F.explode(at_reach).alias("end")).select(
+            *_NODE, F.col("end.name").alias("via_name"), F.col("end.version").alias("via_version"))
         # Paths of the last round's full reach are new; without one, none can grow further.
-        if known.filter(F.col("distance") == reach).isEmpty():
+        if last.isEmpty():
             return known
-        tail = known.select(F.col("name").alias("ancestor_name"), F.col("version").alias("ancestor_version"),
-                            F.col("ancestor_name").alias("far_name"), F.col("ancestor_version").alias("far_version"),
-                            F.col("distance").alias("more"))
-        longer = known.join(tail, ["ancestor_name", "ancestor_version"]).select(
-            "name", "version", F.col("far_name").alias("ancestor_name"), F.col("far_version").alias("ancestor_version"),
-            (F.col("distance") + F.col("more")).alias("distance"))
-        known = known.unionByName(longer).groupBy(*ends).agg(F.min("distance").alias("distance"))
+        tail = known.select(F.col("name").alias("via_name"), F.col("version").alias("via_version"), "far")
+        longer = last.join(tail, ["via_name", "via_version"]).select(*_NODE, _further("far", reach).alias("far"))
+        lists = _merged(growing.filter(F.size(at_reach) > 0).unionByName(longer), *_NODE)
+        ended = growing.filter(F.size(at_reach) == 0)
+        settled = ended if settled is None else settled.unionByName(ended)
         reach *= 2
 
 
+def dataset_ancestors(datasets: DataFrame) -> DataFrame:
+    """Every ancestor of every dataset version: ``name, version, ancestor_name, ancestor_version, distance``."""
+    return ancestor_lists(datasets).select(*_NODE, F.explode("far").alias("a")).select(
+        *_NODE, F.col("a.name").alias("ancestor_name"), F.col("a.version").alias("ancestor_version"), F.col("a.distance").alias("distance"))
+
+
 def lineage_cycles(ancestors: DataFrame) -> DataFrame:
     """Dataset versions that are their own ancestors, with the length of the shortest cycle."""
     own = (F.col("name") == F.col("ancestor_name")) & (F.col("version") == F.col("ancestor_version"))
@@ -322,13 +343,16 @@ def model_ancestors(models: DataFrame, datasets: DataFrame, role: str = ROLE_TRA
 
     Of several paths the shortest counts. A dataset on a cycle is not followed round it.
     """
-    used = _model_roles(models).where(F.col("role") == F.lit(role)).drop("role").distinct()
-    far = dataset_ancestors(datasets)
-    far = far.filter((F.col("name") != F.col("ancestor_name")) | (F.col("version") != F.col("ancestor_version")))
-    far = far.select(F.col("name").alias("dataset_name"), F.col("version").alias("dataset_version"),
-                     "ancestor_name", "ancestor_version", (F.col("distance") + 1).alias("distance"))
-    near = used.select("model_name", "model_version", F.col("dataset_name").alias("ancestor_name"),
-                       F.col("dataset_version").alias("ancestor_version"), F.lit(1).alias("distance"))
-    behind = _join_roles(used.withColumn("role", F.lit(role)), far, "inner").select(*near.columns)
-    return (near.unionByName(behind).groupBy("model_name", "model_version", "ancestor_name", "ancestor_version")
-            .agg(F.min("distance").alias("distance")))
+    used = _model_roles(models).where(F.col("role") == F.lit(role))
+    others = F.filter("far", lambda x: (x["name"] != F.col("name")) | (x["version"] != F.col("version")))
+    far = ancestor_lists(datasets).select(F.col("name").alias("dataset_name"), F.col("version").alias("dataset_version"),
+                                          _further(others, 1).alias("far"))
+    near = F.array(F.struct(F.col("dataset_name").alias("name"), F.col("dataset_version").alias("version"), F.lit(1).alias("distance")))
+    model = ["model_name", "model_version"]
+    behind = _join_roles(used, far, "left").select(
+        *model, F.when(F.col("far").isNull(), near).otherwise(F.concat(near, F.col("far"))).alias("far"))
+    # Lists of a model with one training set are whole and distinct as they are.
+    if not used.groupBy(*model).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        behind = _merged(behind, *model)
+    return behind.select(*model, F.explode("far").alias("a")).select(
+        *model, F.col("a.name").alias("ancestor_name"), F.col("a.version").alias("ancestor_version"), F.col("a.distance").alias("distance"))

@@ -19,7 +19,7 @@ from keelson.operators import auc, clean, exact, model, profile, registry, rowid
 from keelson.operators.keys import pk_violations
 from keelson.operators.lookup import FeatureLookup, training_set
 from keelson.plans import registry_data
-from keelson.session import checkpoint_root, scratch_dir
+from keelson.session import scratch_dir, stored
 from keelson.sinks import files as sinks
 from keelson.sinks import tables
 from keelson.sources import catalog, infer, synth
@@ -446,20 +446,19 @@ def q_synth_ground_truth(spark, root):
 def _datasets(spark, root):
     """The dataset registry, materialised once like the stored table it stands for.
 
-    It feeds several joins; checkpointing it to the shared folder means every
-    consumer reads it instead of re-deriving the versions (adaptive
+    It feeds several joins; written to the shared folder, every consumer reads
+    the columns it needs instead of re-deriving the versions (adaptive
     execution does not share exchanges across branches).
     """
     orders = read_table(spark, root, "orders")
-    checkpoint_root(spark)
     largest = registry_data.most_orders_per_customer(orders)
-    return registry_data.registered_datasets(orders, largest).checkpoint(eager=True), largest
+    return stored(registry_data.registered_datasets(orders, largest), "registry-datasets"), largest
 
 
 def _registry(spark, root):
     """Both registry tables, for the queries that read models."""
     ds, largest = _datasets(spark, root)
-    return ds, registry_data.registered_models(ds, largest).checkpoint(eager=True)
+    return ds, stored(registry_data.registered_models(ds, largest), "registry-models")
 
 
 def q_register_versions(spark, root):

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.operators import registry as reg
-from keelson.session import checkpoint_root
+from keelson.session import stored
 
 ORDERS_FIELDS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
                  ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"),
@@ -55,10 +55,9 @@ def registered_datasets(orders: DataFrame, largest: int | None = None) -> DataFr
     """D1 in two batches: everything before the cut date, then the rest."""
     req = dataset_requests(orders)
     order = ("registered_at", "o_orderkey")
-    checkpoint_root(orders.sparkSession)
-    first = reg.assign_versions(reg.empty_datasets(orders.sparkSession),
-                                req.where(F.col("registered_at") < F.lit(FIRST_BATCH_BEFORE)), order,
-                                largest).checkpoint(eager=True)
+    first = stored(reg.assign_versions(reg.empty_datasets(orders.sparkSession),
+                                       req.where(F.col("registered_at") < F.lit(FIRST_BATCH_BEFORE)), order,
+                                       largest), "registry-first")
     second = reg.assign_versions(first, req.where(F.col("registered_at") >= F.lit(FIRST_BATCH_BEFORE)),
                                  order, largest)
     return with_inputs(first.unionByName(second))

@@ -14,7 +14,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -90,3 +90,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path below the checkpoint root (never reused)."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the scratch folder: read from there instead of derived again, column by column."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

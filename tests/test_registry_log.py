@@ -131,3 +131,22 @@ def test_lineage_of_a_training_set_that_a_third_of_all_models_share(spark):
     lineage = reg.model_lineage(models, ds)
     assert lineage.count() == n and {r.input_name for r in lineage.collect()} == {"raw"}
     assert "__salt" in lineage._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ancestors_shuffle_lists_and_leave_finished_versions_alone(spark, monkeypatch):
+    # A chain of 9 beside many short ones: only what still grows is written again.
+    ds = _datasets(spark, [*[(f"c{i}", f"c{i + 1}") for i in range(9)], *[(f"s{i}", "raw") for i in range(40)]])
+    rows, stored = [], reg.stored
+    monkeypatch.setattr(reg, "stored", lambda df, label: rows.append(df.count()) or stored(df, label))
+    far = {(r.name, a.name): a.distance for r in reg.ancestor_lists(ds).collect() for a in r.far}
+    assert far == {(f"c{i}", f"c{j}"): j - i for i in range(10) for j in range(i + 1, 10)} | {(f"s{i}", "raw"): 1 for i in range(40)}
+    assert rows[0] == 49 and rows[1] == 49 and max(rows[2:]) <= 8
+
+
+def test_ancestors_of_models_with_several_training_sets_and_repeated_rows(spark):
+    ds = _datasets(spark, [("a", "b"), ("b", "c"), ("d", "c"), ("d", "e")])
+    kind = "name string, version int, datasets array<struct<role:string,name:string,version:int>>"
+    train = reg.ROLE_TRAIN
+    models = spark.createDataFrame([("m", 1, [(train, "a", 1), (train, "d", 1)]), ("m", 1, [(train, "c", 1)]), (None, 2, [(train, None, 1)])], kind)
+    got = sorted((str(r.model_name), str(r.ancestor_name), r.distance) for r in reg.model_ancestors(models, ds).collect())
+    assert got == [("None", "None", 1), ("m", "a", 1), ("m", "b", 2), ("m", "c", 1), ("m", "d", 1), ("m", "e", 2)]
