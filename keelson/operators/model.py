@@ -17,13 +17,15 @@ holds coefficients and one metric per candidate.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -108,7 +110,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, key: str
     """
     if not grid:
         raise ValueError("empty grid")
-    data = assign_folds(_with_label(df, label), key, folds, seed, "__fold")
+    data = assign_folds(_with_label(df, label), key, folds, seed, "__fold").select(*features, LABEL, "__fold")
     pipe = _estimator(features, 0.0, tol=tol)
     lr = pipe.getStages()[-1]
     builder = ParamGridBuilder()
@@ -120,15 +122,33 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, key: str
         maps.append(pm)
     ev = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol=LABEL,
                                        metricName="areaUnderROC", numBins=0)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, foldCol="__fold",
-                        numFolds=folds, parallelism=parallelism, seed=seed)
-    fitted = cv.fit(data)
-    best = max(range(len(maps)), key=lambda i: fitted.avgMetrics[i])
-    rows = [(i, float(maps[i][lr.regParam]), int(maps[i][lr.maxIter]), float(fitted.avgMetrics[i]), i == best)
+    # The folds are read and hashed once; every fit and every evaluation filters the kept columns.
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        held = {r["__fold"]: r["n"] for r in data.groupBy("__fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+        for i in range(folds):
+            for side, n in (("training", sum(held.values()) - held.get(i, 0)), ("validation", held.get(i, 0))):
+                if not n:
+                    raise ValueError(f"The {side} data at fold {i} is empty.")
+
+        def fold_metric(job: tuple[int, int]) -> float:
+            fold, i = job
+            fitted = pipe.fit(data.where(F.col("__fold") != F.lit(fold)), maps[i])
+            return ev.evaluate(fitted.transform(data.where(F.col("__fold") == F.lit(fold))))
+
+        with ThreadPool(parallelism) as pool:
+            jobs = [(fold, i) for fold in range(folds) for i in range(len(maps))]
+            found = dict(zip(jobs, pool.map(inheritable_thread_target(df.sparkSession)(fold_metric), jobs, chunksize=1)))
+        means = [sum(found[fold, i] for fold in range(folds)) / folds for i in range(len(maps))]
+        best = max(range(len(maps)), key=lambda i: means[i])
+        best_model = pipe.fit(data, maps[best])
+    finally:
+        data.unpersist()
+    rows = [(i, float(maps[i][lr.regParam]), int(maps[i][lr.maxIter]), means[i], i == best)
             for i in range(len(maps))]
     spark = df.sparkSession
     metrics = spark.createDataFrame(rows, "candidate int, reg_param double, max_iter int, mean_auc double, best boolean")
-    return fitted.bestModel, metrics
+    return best_model, metrics
 
 
 def save_model(model: PipelineModel, path: str) -> str:

@@ -71,3 +71,34 @@ def test_three_classes_are_refused(spark):
     df = spark.createDataFrame([(float(i), i % 3) for i in range(30)], "x double, y int")
     with pytest.raises(ValueError, match="binary"):
         model.fit_logreg(df, ["x"], "y")
+
+
+def test_cross_validation_reads_its_input_once_and_agrees_with_mllib(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator
+
+    df, _, _ = _frame(spark)
+    df = spark.createDataFrame(df.collect(), df.schema)
+    seen = spark.sparkContext.accumulator(0)
+
+    def value(x):
+        seen.add(1)
+        return x
+
+    read = df.withColumn("a", F.udf(value, "double")("a"))
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    best, metrics = model.cross_validate(read, ["a", "b"], "y", "k", [{"regParam": 0.01}, {"regParam": 5.0}])
+    assert seen.value == 400 and spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    data = model.assign_folds(model._with_label(df, "y"), "k", 5, 42, "__fold")
+    pipe = model._estimator(["a", "b"], 0.0)
+    ev = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol=model.LABEL, numBins=0)
+    maps = [{pipe.getStages()[-1].regParam: r} for r in (0.01, 5.0)]
+    want = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, foldCol="__fold", numFolds=5).fit(data)
+    assert [r.mean_auc for r in metrics.orderBy("candidate").collect()] == pytest.approx(want.avgMetrics, abs=1e-9)
+    assert model.coefficients(best, ["a", "b"]) == [(n, pytest.approx(v, abs=1e-6)) for n, v in model.coefficients(want.bestModel, ["a", "b"])]
+
+
+def test_an_empty_fold_is_refused(spark):
+    df = spark.createDataFrame([(1, float(i), i % 2) for i in range(20)], "k int, a double, y int")
+    with pytest.raises(ValueError, match="is empty"):
+        model.cross_validate(df, ["a"], "y", "k", [{"regParam": 0.1}])
