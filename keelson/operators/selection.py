@@ -204,8 +204,12 @@ def _fit_all(data: DataFrame, jobs: Sequence[dict], centre: np.ndarray, spread:
                 continue
             before[m], best[m] = value, beta[m]
             g = t @ grad[m] + keep[m] * beta[m]
-            h = t @ hess[m] @ t.T + np.diag(keep[m])
-            step = np.linalg.lstsq(h, g, rcond=None)[0]
+            seen = t @ hess[m] @ t.T
+            h = seen + np.diag(keep[m])
+            # A constant column moves nothing; left in, the solver's rounding would give it a weight.
+            live = seen.any(axis=1) | (g != 0)
+            step = np.zeros(len(g))
+            step[live] = np.linalg.lstsq(h[np.ix_(live, live)], g[live], rcond=None)[0]
             beta[m] = beta[m] - step
             done[m] = float(g @ step) / 2 <= TOLERANCE * max(1.0, 1e-6 * value)
         if all(done):
