@@ -8,7 +8,12 @@ the suffixes' leading words:
   one is abandoned, and so is one whose leading pair is infrequent. Tasks know
   frequent words and pairs by bitmaps of fixed size, which never turn a frequent one
   away; what they let through besides only costs work;
-* each task joins equal suffixes, and what is left is routed over the cluster by
+* phrases of two words have their exact counts from the pairs. Longer ones are cut
+  before their first three words that cannot be frequent: every task adds up its threes
+  of words in hashed cells, the cells are summed over all tasks, and a three whose
+  cell stays below the threshold is infrequent (Park, Chen and Yu's hash filter);
+* each task joins equal suffixes of three words or more (a few tasks a core, so that
+  a suffix comes once from each of them, however long the table), and what is left is routed over the cluster by
   a range partitioning on the leading words, so that a hot lead is cut between
   its continuations;
 * each range is sorted by a three-way multikey quicksort of pointers to its
@@ -49,10 +54,16 @@ LEAST, TOP, COVER = 100, 2000, 100
 UNKNOWN = "und"
 # Bits of the bitmaps of frequent words and pairs, as powers of two.
 WORD_BITS, PAIR_BITS = 25, 27
+# Cells that threes of words are added up in, as a power of two, and the slices they are summed in.
+THREE_BITS, SLICE_BITS = 26, 5
+# Threes a task holds before it hands on their cells.
+HELD_THREES = 4_000_000
 # Suffixes of one range, and text joined at a time by a task.
 RANGE_ROWS, BLOCK_BYTES = 1_500_000, 8 << 20
 # Distinct suffixes a task holds while it joins those of several blocks.
 HELD_ROWS = 600_000
+# Tasks a core that joins suffixes has: more text a task, fewer copies of one suffix.
+TASKS_A_CORE = 2
 SEEDS = 4
 
 # What ends a piece, and what separates words besides.
@@ -96,6 +107,11 @@ def pair_keys(key: np.ndarray) -> np.ndarray:
     return mix64(key[:-1] * _STEP + key[1:])
 
 
+def three_cells(key: np.ndarray, bits: int) -> np.ndarray:
+    """Cell, one of 2^bits, of every word with the two words after it (the last two have none)."""
+    return (mix64(pair_keys(key)[:-1] * _STEP + key[2:]) >> np.uint64(64 - bits)).astype(np.int64)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], seed: int):
     """(bytes, starts, ends, keys, piece ids, rows, batch) of about ``BLOCK_BYTES`` of text at a time."""
     for batch in batches:
@@ -177,11 +193,80 @@ def _count_pairs(seed: int, frequent):
         for _, _, _, key, piece, _, _ in _blocks(batches, seed):
             known = in_bitmap(frequent.value, key)
             at = np.flatnonzero(known[:-1] & known[1:] & (piece[:-1] == piece[1:]))
-            uniq, n = np.unique(pair_keys(key)[at], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(uniq.view(np.int64)), pa.array(n)], ["key", "n"])
+            table, n = join_equal(np.stack([key[at], key[at + 1]], axis=1).view(np.int64), np.ones(len(at), dtype=np.int64))
+            # Pairs of one first word together are shuffled in fewer bytes.
+            order = np.argsort(table[:, 0])
+            yield pa.RecordBatch.from_arrays([pa.array(table[order, 0]), pa.array(table[order, 1]), pa.array(n[order])], ["w1", "w2", "n"])
     return run
 
 
+def _pair_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        both = np.stack([batch.column(c).to_numpy() for c in ("w1", "w2")], axis=1).view(np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array(mix64(both[:, 0] * _STEP + both[:, 1]).view(np.int64))], ["key"])
+
+
+def _good_pairs(key: np.ndarray, piece: np.ndarray, pairs) -> np.ndarray:
+    """Whether each word and the word after it may be a frequent pair of one piece."""
+    good = np.zeros(len(key), dtype=bool)
+    good[:-1] = (piece[:-1] == piece[1:]) & in_bitmap(pairs.value, pair_keys(key))
+    return good
+
+
+def _cell_batch(cells: np.ndarray, bits: int) -> pa.RecordBatch:
+    """One row a slice: its cells, 32 bits each, and how often each was met."""
+    cell, n = np.unique(cells, return_counts=True)
+    wide = bits - SLICE_BITS
+    part, at = np.unique(cell >> wide, return_index=True)
+    bound = (np.append(at, len(cell)) * 4).astype(np.int32)
+    packed = [pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(bound.tobytes()), pa.py_buffer(x.astype(np.uint32).tobytes())])
+              for x in (cell & ((1 << wide) - 1), n)]
+    return pa.RecordBatch.from_arrays([pa.array(part), *packed], ["slice", "cells", "n"])
+
+
+def _count_threes(seed: int, pairs, bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for _, _, _, key, piece, _, _ in _blocks(batches, seed):
+            good = _good_pairs(key, piece, pairs)
+            held.append(three_cells(key, bits)[good[:-2] & good[1:-1]])
+            size += len(held[-1])
+            if size >= HELD_THREES:
+                yield _cell_batch(np.concatenate(held), bits)
+                held, size = [], 0
+        if size:
+            yield _cell_batch(np.concatenate(held), bits)
+    return run
+
+
+def _sum_cells(least: int, bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, cells, n in zip(*(batch.column(c).to_pylist() for c in ("slice", "cells", "n"))):
+                if part not in total:
+                    total[part] = np.zeros(1 << (bits - SLICE_BITS), dtype=np.int64)
+                total[part][np.frombuffer(cells, dtype=np.uint32)] += np.frombuffer(n, dtype=np.uint32)
+        for part, n in total.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int64()), pa.array([np.packbits(n >= least, bitorder="little").tobytes()])], ["slice", "bits"])
+    return run
+
+
+def three_bitmap(texts: DataFrame, seed: int, pairs, least: int, bits: int) -> np.ndarray:
+    """Bitmap of the 2^bits cells: whose threes of words number at least ``least``, as bytes.
+
+    Tasks sum the cells slice by slice; 2^bits bits reach the driver. A task hands on one row a
+    slice and at most one cell a word.
+    """
+    cells = texts.mapInArrow(_count_threes(seed, pairs, bits), "slice long, cells binary, n binary")
+    found = (cells.repartition(1 << SLICE_BITS, "slice").mapInArrow(_sum_cells(least, bits), "slice long, bits binary")).toArrow()
+    data = np.zeros((1 << SLICE_BITS, 1 << (bits - SLICE_BITS - 3)), dtype=np.uint8)
+    for part, bits in zip(found.column("slice").to_pylist(), found.column("bits").to_pylist()):
+        data[part] = np.frombuffer(bits, dtype=np.uint8)
+    return data.reshape(-1)
+
+
 def join_equal(table: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows of ``table`` and their summed weights; rows whose hashes clash stay apart."""
     h = np.zeros(len(table), dtype=np.uint64)
@@ -197,23 +282,31 @@ def _suffix_batch(table: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*[pa.array(table[:, k].copy()) for k in range(DEPTH)], pa.array(n)], [*COLS, "n"])
 
 
-def _suffixes(seed: int, pairs):
+def _suffixes(seed: int, pairs, threes=None):
+    """Suffixes whose pairs may all be frequent; with ``threes``, those of three words or more whose threes may be, too."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Equal suffixes of all blocks of a task are joined, not only those of one.
         held, weight = np.zeros((0, DEPTH), np.int64), np.zeros(0, np.int64)
         for _, _, _, key, piece, _, _ in _blocks(batches, seed):
-            good = np.zeros(len(key), dtype=bool)
-            good[:-1] = (piece[:-1] == piece[1:]) & in_bitmap(pairs.value, pair_keys(key))
-            # A suffix goes on while every pair in it is frequent.
+            good = _good_pairs(key, piece, pairs)
+            lead = 2
+            if threes is not None:
+                lead = 3
+                at = np.flatnonzero(good[:-2] & good[1:-1])
+                cell = three_cells(key, len(threes.value).bit_length() + 2)[at]
+                good = np.zeros(len(key), dtype=bool)
+                good[at] = (threes.value[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
+            # A suffix goes on while every ``lead`` words in it are frequent.
             alive = np.flatnonzero(good)
             table = np.zeros((len(alive), DEPTH), dtype=np.int64)
-            table[:, 0] = key[alive].view(np.int64)
+            for k in range(lead - 1):
+                table[:, k] = key[alive + k].view(np.int64)
             going = np.ones(len(alive), dtype=bool)
-            for k in range(1, DEPTH):
+            for k in range(lead - 1, DEPTH):
                 spot = alive[going]
                 table[going, k] = key[spot + k].view(np.int64)
                 if k + 1 < DEPTH:
-                    going[going] = good[spot + k]
+                    going[going] = good[spot + k + 2 - lead]
             table, n = join_equal(table, np.ones(len(table), dtype=np.int64))
             held, weight = join_equal(np.concatenate([held, table]), np.concatenate([weight, n])) if len(held) else (table, n)
             if len(held) >= HELD_ROWS:
@@ -273,7 +366,8 @@ def _sort_range(least: int):
             return
         held = pa.Table.from_batches(held)
         table = np.stack([held.column(c).to_numpy() for c in COLS], axis=1)
-        found = quicksort_counts(table, held.column("n").to_numpy(), least, keep_ends=True)
+        # Phrases of two words are counted before; here only those that go on are at hand.
+        found = [f for f in quicksort_counts(table, held.column("n").to_numpy(), least, keep_ends=True) if f[1] > 2]
         for at in range(0, len(found), 100_000):
             some = found[at:at + 100_000]
             yield pa.RecordBatch.from_arrays(
@@ -298,14 +392,18 @@ def count_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     totals = stash(counted.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
     frequent = counted.filter(F.col("n") >= least)
     known = spark.sparkContext.broadcast(bitmap(frequent, WORD_BITS))
-    pairs = (texts.mapInArrow(_count_pairs(seed, known), "key long, n long")
-             .groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
-    good = spark.sparkContext.broadcast(bitmap(pairs, PAIR_BITS))
+    pairs = stash(texts.mapInArrow(_count_pairs(seed, known), "w1 long, w2 long, n long")
+                  .groupBy("w1", "w2").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "phrase-pairs")
+    good = spark.sparkContext.broadcast(bitmap(pairs.mapInArrow(_pair_keys, "key long"), PAIR_BITS))
+    threes = spark.sparkContext.broadcast(three_bitmap(texts, seed, good, least, THREE_BITS))
     layout = ", ".join(f"{c} long" for c in COLS) + ", n long"
-    suffixes = stash(texts.mapInArrow(_suffixes(seed, good), layout), "phrase-suffixes")
+    # A frequent suffix comes once from every task that meets it: tasks go with the cores here, not with the text.
+    fewer = texts.coalesce(TASKS_A_CORE * spark.sparkContext.defaultParallelism)
+    suffixes = stash(fewer.mapInArrow(_suffixes(seed, good, threes), layout), "phrase-suffixes")
     ranges = max(1, -(-suffixes.count() // RANGE_ROWS))
     sorted_out = (suffixes.repartitionByRange(ranges, *COLS).mapInArrow(_sort_range(least), "words array<long>, a long"))
-    phrases = stash(sorted_out.groupBy("words").agg(F.sum("a").alias("a")).filter(F.col("a") >= least), "phrases")
+    longer = sorted_out.groupBy("words").agg(F.sum("a").alias("a")).filter(F.col("a") >= least)
+    phrases = stash(pairs.select(F.array("w1", "w2").alias("words"), F.col("n").alias("a")).unionByName(longer), "phrases")
     return frequent, totals, phrases
 
 

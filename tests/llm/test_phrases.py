@@ -127,3 +127,59 @@ def test_suffixes_are_joined_over_all_blocks_of_a_task(monkeypatch):
     monkeypatch.setattr(phrases, "HELD_ROWS", 1)
     made = [r for out in phrases._suffixes(0, Every)([batch, batch]) for r in out.to_pylist()]
     assert len(made) > 3 and sum(r["n"] for r in made) == 240
+
+
+def _made(docs, monkeypatch, least=100):
+    """Rows of the suffix table, and the phrases, of one run."""
+    made, real = {}, phrases.stash
+
+    def keep(df, label):
+        made[label] = real(df, label)
+        return made[label]
+
+    monkeypatch.setattr(phrases, "stash", keep)
+    found = mine(docs, least=least)
+    return made["phrase-suffixes"].agg(F.count(F.lit(1)), F.sum("n"), F.min("w3")).first(), found
+
+
+def test_suffixes_without_a_frequent_three_are_not_emitted(spark, monkeypatch):
+    # All pairs of a to l are frequent; of their threes only "x y z" is.
+    vocab = "abcdefghijkl"
+    rows = [(f"{a} {b}. {b} {a}", "en") for a in vocab for b in vocab] * 3
+    rows += [(f"{vocab[i % 12]} {vocab[i // 12 % 12]} {vocab[i * 7 % 12]}", "en") for i in range(144)] + [("x y z", "en")] * 9
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    (n, weight, third), found = _made(docs, monkeypatch, least=6)
+    assert found == brute(rows, 6, 2000)
+    assert n <= 3 and weight == 9
+
+
+def test_suffix_rows_go_with_cores_not_with_partitions(spark, monkeypatch):
+    rows = [("p q r s t. u v w", "en")] * 400
+    few = 2 * spark.sparkContext.defaultParallelism
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(10 * few)
+    (n, weight, third), found = _made(docs, monkeypatch)
+    # Four suffixes of three words or more, once a task; those of two words come from the pairs.
+    assert n <= 4 * few and weight == 4 * 400 and third != 0
+    assert found == brute(rows, 100, 2000)
+
+
+@pytest.mark.parametrize("bits", [8, 10])
+def test_threes_in_crowded_cells_cost_work_only(spark, monkeypatch, bits):
+    rows = random_rows(80, bits) + [("of the a B c dd of the a B c dd", "en")] * 9
+    monkeypatch.setattr(phrases, "THREE_BITS", bits)
+    monkeypatch.setattr(phrases, "HELD_THREES", 50)
+    assert mine(spark.createDataFrame(rows, "text string, lang string").repartition(3), least=3) == brute(rows, 3, 2000)
+
+
+def test_cells_of_all_blocks_are_summed(monkeypatch):
+    class Every:
+        value = np.full(1 << 5, 0xFFFFFFFF, dtype=np.uint32)
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b c d"] * 40), pa.array(["en"] * 40), pa.array([1] * 40)], ["text", "lang", "lang_hash"])
+    for block, held in ((1 << 20, 1 << 20), (20, 3)):
+        monkeypatch.setattr(phrases, "BLOCK_BYTES", block)
+        monkeypatch.setattr(phrases, "HELD_THREES", held)
+        made = list(phrases._count_threes(0, Every, 26)([batch, batch]))
+        for least, hot in ((80, 2), (81, 0)):
+            bits = [np.frombuffer(r["bits"], dtype=np.uint8) for out in phrases._sum_cells(least, 26)(made) for r in out.to_pylist()]
+            assert sum(int(np.unpackbits(b).sum()) for b in bits) == hot
