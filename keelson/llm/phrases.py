@@ -8,10 +8,10 @@ the suffixes' leading words:
   one is abandoned, and so is one whose leading pair is infrequent. Tasks know
   frequent words and pairs by bitmaps of fixed size, which never turn a frequent one
   away; what they let through besides only costs work;
-* phrases of two words have their exact counts from the pairs. Longer ones are cut
-  before their first three words that cannot be frequent: every task adds up its threes
-  of words in hashed cells, the cells are summed over all tasks, and a three whose
-  cell stays below the threshold is infrequent (Park, Chen and Yu's hash filter);
+* phrases of two words have their exact counts from the pairs. Longer ones end where
+  they cannot be frequent any more: every task adds up its runs of three to ``DEPTH`` words
+  in hashed cells, the cells are summed over all tasks, and a run whose cell stays
+  below the threshold is infrequent (Park, Chen and Yu's hash filter);
 * each task joins equal suffixes of three words or more (a few tasks a core, so that
   a suffix comes once from each of them, however long the table), and what is left is routed over the cluster by
   a range partitioning on the leading words, so that a hot lead is cut between
@@ -54,10 +54,10 @@ LEAST, TOP, COVER = 100, 2000, 100
 UNKNOWN = "und"
 # Bits of the bitmaps of frequent words and pairs, as powers of two.
 WORD_BITS, PAIR_BITS = 25, 27
-# Cells that threes of words are added up in, as a power of two, and the slices they are summed in.
-THREE_BITS, SLICE_BITS = 26, 5
-# Threes a task holds before it hands on their cells.
-HELD_THREES = 4_000_000
+# Cells that runs of three words or more are added up in, as a power of two, and the slices they are summed in.
+RUN_BITS, SLICE_BITS = 26, 5
+# Runs a task holds before it hands on their cells.
+HELD_RUNS = 4_000_000
 # Suffixes of one range, and text joined at a time by a task.
 RANGE_ROWS, BLOCK_BYTES = 1_500_000, 8 << 20
 # Distinct suffixes a task holds while it joins those of several blocks.
@@ -107,9 +107,15 @@ def pair_keys(key: np.ndarray) -> np.ndarray:
     return mix64(key[:-1] * _STEP + key[1:])
 
 
-def three_cells(key: np.ndarray, bits: int) -> np.ndarray:
-    """Cell, one of 2^bits, of every word with the two words after it (the last two have none)."""
-    return (mix64(pair_keys(key)[:-1] * _STEP + key[2:]) >> np.uint64(64 - bits)).astype(np.int64)
+def run_cells(key: np.ndarray, good: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(first words, cells of 2^bits) of all runs of 3, 4, ... ``DEPTH`` words whose pairs are all ``good``."""
+    at = np.flatnonzero(good)
+    h = mix64(key[at] * _STEP + key[at + 1])
+    for k in range(2, DEPTH):
+        more = good[at + k - 1]
+        at = at[more]
+        h = mix64(h[more] * _STEP + key[at + k])
+        yield at, (h >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], seed: int):
@@ -224,14 +230,14 @@ def _cell_batch(cells: np.ndarray, bits: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(part), *packed], ["slice", "cells", "n"])
 
 
-def _count_threes(seed: int, pairs, bits: int):
+def _count_runs(seed: int, pairs, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for _, _, _, key, piece, _, _ in _blocks(batches, seed):
-            good = _good_pairs(key, piece, pairs)
-            held.append(three_cells(key, bits)[good[:-2] & good[1:-1]])
-            size += len(held[-1])
-            if size >= HELD_THREES:
+            for _, cells in run_cells(key, _good_pairs(key, piece, pairs), bits):
+                held.append(cells)
+                size += len(cells)
+            if size >= HELD_RUNS:
                 yield _cell_batch(np.concatenate(held), bits)
                 held, size = [], 0
         if size:
@@ -253,13 +259,13 @@ def _sum_cells(least: int, bits: int):
     return run
 
 
-def three_bitmap(texts: DataFrame, seed: int, pairs, least: int, bits: int) -> np.ndarray:
-    """Bitmap of the 2^bits cells: whose threes of words number at least ``least``, as bytes.
+def run_bitmap(texts: DataFrame, seed: int, pairs, least: int, bits: int) -> np.ndarray:
+    """Bitmap of the 2^bits cells: whose runs of words number at least ``least``, as bytes.
 
     Tasks sum the cells slice by slice; 2^bits bits reach the driver. A task hands on one row a
-    slice and at most one cell a word.
+    slice and at most ``DEPTH`` - 2 cells a word.
     """
-    cells = texts.mapInArrow(_count_threes(seed, pairs, bits), "slice long, cells binary, n binary")
+    cells = texts.mapInArrow(_count_runs(seed, pairs, bits), "slice long, cells binary, n binary")
     found = (cells.repartition(1 << SLICE_BITS, "slice").mapInArrow(_sum_cells(least, bits), "slice long, bits binary")).toArrow()
     data = np.zeros((1 << SLICE_BITS, 1 << (bits - SLICE_BITS - 3)), dtype=np.uint8)
     for part, bits in zip(found.column("slice").to_pylist(), found.column("bits").to_pylist()):
@@ -282,31 +288,24 @@ def _suffix_batch(table: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*[pa.array(table[:, k].copy()) for k in range(DEPTH)], pa.array(n)], [*COLS, "n"])
 
 
-def _suffixes(seed: int, pairs, threes=None):
-    """Suffixes whose pairs may all be frequent; with ``threes``, those of three words or more whose threes may be, too."""
+def _suffixes(seed: int, pairs, runs=None):
+    """Suffixes while their pairs may all be frequent; with ``runs``, those of three words or more while they may be as a whole."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Equal suffixes of all blocks of a task are joined, not only those of one.
         held, weight = np.zeros((0, DEPTH), np.int64), np.zeros(0, np.int64)
         for _, _, _, key, piece, _, _ in _blocks(batches, seed):
             good = _good_pairs(key, piece, pairs)
-            lead = 2
-            if threes is not None:
-                lead = 3
-                at = np.flatnonzero(good[:-2] & good[1:-1])
-                cell = three_cells(key, len(threes.value).bit_length() + 2)[at]
-                good = np.zeros(len(key), dtype=bool)
-                good[at] = (threes.value[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
-            # A suffix goes on while every ``lead`` words in it are frequent.
-            alive = np.flatnonzero(good)
+            length = np.where(good, 2, 0)
+            for k, (at, cell) in enumerate(run_cells(key, good, 10 if runs is None else len(runs.value).bit_length() + 2), 3):
+                if runs is not None:
+                    at = at[((runs.value[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1)]
+                    at = at[length[at] == k - 1]
+                length[at] = k
+            alive = np.flatnonzero(length >= (2 if runs is None else 3))
             table = np.zeros((len(alive), DEPTH), dtype=np.int64)
-            for k in range(lead - 1):
-                table[:, k] = key[alive + k].view(np.int64)
-            going = np.ones(len(alive), dtype=bool)
-            for k in range(lead - 1, DEPTH):
-                spot = alive[going]
-                table[going, k] = key[spot + k].view(np.int64)
-                if k + 1 < DEPTH:
-                    going[going] = good[spot + k + 2 - lead]
+            for k in range(DEPTH):
+                going = length[alive] > k
+                table[going, k] = key[alive[going] + k].view(np.int64)
             table, n = join_equal(table, np.ones(len(table), dtype=np.int64))
             held, weight = join_equal(np.concatenate([held, table]), np.concatenate([weight, n])) if len(held) else (table, n)
             if len(held) >= HELD_ROWS:
@@ -395,11 +394,11 @@ def count_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     pairs = stash(texts.mapInArrow(_count_pairs(seed, known), "w1 long, w2 long, n long")
                   .groupBy("w1", "w2").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "phrase-pairs")
     good = spark.sparkContext.broadcast(bitmap(pairs.mapInArrow(_pair_keys, "key long"), PAIR_BITS))
-    threes = spark.sparkContext.broadcast(three_bitmap(texts, seed, good, least, THREE_BITS))
+    runs = spark.sparkContext.broadcast(run_bitmap(texts, seed, good, least, RUN_BITS))
     layout = ", ".join(f"{c} long" for c in COLS) + ", n long"
     # A frequent suffix comes once from every task that meets it: tasks go with the cores here, not with the text.
     fewer = texts.coalesce(TASKS_A_CORE * spark.sparkContext.defaultParallelism)
-    suffixes = stash(fewer.mapInArrow(_suffixes(seed, good, threes), layout), "phrase-suffixes")
+    suffixes = stash(fewer.mapInArrow(_suffixes(seed, good, runs), layout), "phrase-suffixes")
     ranges = max(1, -(-suffixes.count() // RANGE_ROWS))
     sorted_out = (suffixes.repartitionByRange(ranges, *COLS).mapInArrow(_sort_range(least), "words array<long>, a long"))
     longer = sorted_out.groupBy("words").agg(F.sum("a").alias("a")).filter(F.col("a") >= least)

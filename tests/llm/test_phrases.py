@@ -164,10 +164,10 @@ def test_suffix_rows_go_with_cores_not_with_partitions(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("bits", [8, 10])
-def test_threes_in_crowded_cells_cost_work_only(spark, monkeypatch, bits):
+def test_runs_in_crowded_cells_cost_work_only(spark, monkeypatch, bits):
     rows = random_rows(80, bits) + [("of the a B c dd of the a B c dd", "en")] * 9
-    monkeypatch.setattr(phrases, "THREE_BITS", bits)
-    monkeypatch.setattr(phrases, "HELD_THREES", 50)
+    monkeypatch.setattr(phrases, "RUN_BITS", bits)
+    monkeypatch.setattr(phrases, "HELD_RUNS", 50)
     assert mine(spark.createDataFrame(rows, "text string, lang string").repartition(3), least=3) == brute(rows, 3, 2000)
 
 
@@ -178,8 +178,8 @@ def test_cells_of_all_blocks_are_summed(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(["a b c d"] * 40), pa.array(["en"] * 40), pa.array([1] * 40)], ["text", "lang", "lang_hash"])
     for block, held in ((1 << 20, 1 << 20), (20, 3)):
         monkeypatch.setattr(phrases, "BLOCK_BYTES", block)
-        monkeypatch.setattr(phrases, "HELD_THREES", held)
-        made = list(phrases._count_threes(0, Every, 26)([batch, batch]))
-        for least, hot in ((80, 2), (81, 0)):
+        monkeypatch.setattr(phrases, "HELD_RUNS", held)
+        made = list(phrases._count_runs(0, Every, 26)([batch, batch]))
+        for least, hot in ((80, 3), (81, 0)):
             bits = [np.frombuffer(r["bits"], dtype=np.uint8) for out in phrases._sum_cells(least, 26)(made) for r in out.to_pylist()]
             assert sum(int(np.unpackbits(b).sum()) for b in bits) == hot
